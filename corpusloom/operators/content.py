@@ -70,14 +70,15 @@ def _host(site_host: str | None) -> Column:
     return F.lit(site_host) if site_host else F.col("base")["authority"]
 
 
-def _prepare(pages: DataFrame) -> DataFrame:
+def with_content(pages: DataFrame) -> DataFrame:
+    """Add ``_content``, the nodes of the stripped content container."""
     pages = strip_boilerplate(with_base(pages))
     return pages if "_content" in pages.columns else pages.withColumn("_content", content(pages))
 
 
 def with_headings(pages: DataFrame) -> DataFrame:
     """Add ``h1`` (first one) and ``headings`` (all h2 and h3, blank ones too)."""
-    pages = _prepare(pages)
+    pages = with_content(pages)
     dom, nodes = F.col("dom"), F.col("_content")
     heads = F.filter(nodes, lambda n: D.tag_in(n, "h2", "h3"))
     return (pages
@@ -88,7 +89,7 @@ def with_headings(pages: DataFrame) -> DataFrame:
 
 def with_text_blocks(pages: DataFrame) -> DataFrame:
     """Add ``blocks`` (i, tag, text) and ``text_blocks``; an article without any gives its whole text."""
-    pages = _prepare(pages)
+    pages = with_content(pages)
     pages = pages.withColumn("blocks", _blocks(F.col("dom"), F.col("_content")))
     texts = F.col("blocks")["text"]
     if "page_type" not in pages.columns:
@@ -100,18 +101,18 @@ def with_text_blocks(pages: DataFrame) -> DataFrame:
 
 
 def with_tables(pages: DataFrame) -> DataFrame:
-    pages = _prepare(pages)
+    pages = with_content(pages)
     return pages.withColumn("tables", tables_of(F.col("dom"), F.col("_content")))
 
 
 def with_images(pages: DataFrame) -> DataFrame:
-    pages = _prepare(pages)
+    pages = with_content(pages)
     return pages.withColumn("images", _images(F.col("_content"), F.col("base")))
 
 
 def with_links(pages: DataFrame, site_host: str | None = None) -> DataFrame:
     """Add ``links`` (href, text, kind) in document order."""
-    pages = _prepare(pages)
+    pages = with_content(pages)
     return pages.withColumn("links", _links(F.col("dom"), F.col("_content"), F.col("base"), _host(site_host)))
 
 
