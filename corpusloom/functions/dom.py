@@ -1,75 +1,81 @@
-"""Navigation of a ``dom`` array: a node's subtree is a slice, its text a join of that slice.
+"""Navigation of the ``dom`` column: a node's subtree is a slice, its text a join of that slice.
 
 Removed nodes are null in the array, so positions stay valid and a removed node
-simply matches nothing.
+simply matches nothing. All helpers return SQL text; tests are about a lambda
+variable called ``n``.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.functions.text import normalize_ws
-
-
-def descendants(dom: Column, node: Column) -> Column:
-    return F.slice(dom, node["pre"] + 2, node["last"] - node["pre"])
+from corpusloom.functions.text import lit, normalize_ws, rx
 
 
-def following(dom: Column, node: Column, stop: Column) -> Column:
-    """Nodes after the subtree of ``node`` and before position ``stop``."""
-    return F.slice(dom, node["last"] + 2, F.greatest(stop - node["last"] - 1, F.lit(0)))
+def descendants(node: str) -> str:
+    return f"slice(dom, {node}.pre + 2, {node}.last - {node}.pre)"
 
 
-def raw_text(dom: Column, node: Column) -> Column:
+def raw_text(node: str) -> str:
     """Contents of a script or style element."""
-    return F.array_join(descendants(dom, node)["raw"], "")
+    return f"array_join({descendants(node)}.raw, '')"
 
 
-def text(dom: Column, node: Column, separator: str) -> Column:
+def text(node: str, separator: str) -> str:
     """Readable text of a subtree, whitespace normalised; null without a node."""
-    return F.when(node.isNotNull(), normalize_ws(F.array_join(descendants(dom, node)["text"], separator)))
+    joined = f"array_join({descendants(node)}.text, '{separator}')"
+    return f"CASE WHEN {node} IS NOT NULL THEN {normalize_ws(joined)} END"
 
 
-def tag_in(node: Column, *tags: str) -> Column:
-    return node["tag"].isin(*tags)
+def tag_in(*tags: str) -> str:
+    return "n.tag IN (" + ", ".join(map(lit, tags)) + ")"
 
 
-def is_tag(tag: str):
-    """Test for :func:`select` on one element name."""
-    return lambda node: node["tag"] == tag
+def has_class(*names: str) -> str:
+    """One of the class names is set on the node."""
+    if len(names) == 1:
+        return f"coalesce(array_contains(n.classes, {lit(names[0])}), false)"
+    return "coalesce(arrays_overlap(n.classes, array(" + ", ".join(map(lit, names)) + ")), false)"
 
 
-def has_class(node: Column, *names: str) -> Column:
-    """One of the class names is set on the node."""
-    return F.coalesce(F.arrays_overlap(node["classes"], F.array(*[F.lit(n) for n in names])), F.lit(False))
+def attr(name: str, node: str = "n") -> str:
+    return f"{node}.attrs[{lit(name)}]"
 
 
-def attr(node: Column, name: str) -> Column:
-    return node["attrs"][name]
+def attr_is(name: str, *values: str) -> str:
+    return f"coalesce({attr(name)} IN (" + ", ".join(map(lit, values)) + "), false)"
 
 
-def attr_like(node: Column, name: str, pattern: str) -> Column:
-    return F.coalesce(attr(node, name).rlike(f"(?i){pattern}"), F.lit(False))
+def attr_like(name: str, pattern: str) -> str:
+    return f"coalesce({attr(name)} RLIKE {rx('(?i)' + pattern)}, false)"
 
 
-def any_of(*tests: Column) -> Column:
-    return reduce(lambda a, b: a | b, tests)
+def any_of(*tests: str) -> str:
+    return "(" + " OR ".join(f"({t})" for t in tests) + ")"
 
 
-def select(dom: Column, test) -> Column:
+def select(nodes: str, test: str) -> str:
     """Nodes that pass ``test``, in document order."""
-    return F.filter(dom, test)
+    return f"filter({nodes}, n -> {test})"
 
 
-def item_rows(pages: DataFrame, key: str, items: str | Column, pos: str, item: str) -> DataFrame:
+def first(nodes: str, test: str) -> str:
+    return f"get({select(nodes, test)}, 0)"
+
+
+def item_rows(pages: DataFrame, key, items: str | Column, pos: str, item: str) -> DataFrame:
     """One row per array item, ``(key…, pos, item)``; pages without items give none.
 
     The outer form keeps Spark from deriving a size filter that would evaluate the
     whole array expression a second time below the explode.
     """
     keys = [key] if isinstance(key, str) else list(key)
+    items = F.expr(items) if isinstance(items, str) else items
     return (pages.select(*keys, F.posexplode_outer(items).alias(pos, item))
             .where(F.col(pos).isNotNull()))
+
+
+def add(pages: DataFrame, name: str, expression: str) -> DataFrame:
+    """Add a column given as SQL text."""
+    return pages.withColumn(name, F.expr(expression))

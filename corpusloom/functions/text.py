@@ -1,53 +1,70 @@
-"""String helpers as Column expressions."""
+"""String and list helpers.
 
-from __future__ import annotations
+The helpers of this package take and return SQL expression text, to be used in
+``F.expr`` and inside ``transform`` / ``filter`` lambdas; Catalyst sees one
+declarative expression per operator.
+"""
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from __future__ import annotations
 
 # Every character Python counts as whitespace, spelled out because Java's \s stops at ASCII.
 WS = r"[\s\x0B\x1C-\x1F\x85\p{Z}]"
 
+NO_STRINGS = "cast(array() AS array<string>)"
 
-def normalize_ws(s: Column) -> Column:
-    """Collapse runs of whitespace to one blank and trim; null gives ''."""
-    return F.trim(F.regexp_replace(F.coalesce(s, F.lit("")), f"{WS}+", " "))
 
+def lit(value: str) -> str:
+    """A string literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
-def strip(s: Column) -> Column:
-    """Drop leading and trailing whitespace of any kind."""
-    return F.regexp_replace(s, rf"^{WS}+|{WS}+\z", "")
 
+def rx(pattern: str) -> str:
+    """A regular expression as a raw literal."""
+    if "'" in pattern:
+        raise ValueError("quote in pattern")
+    return f"r'{pattern}'"
 
-def non_empty(s: Column) -> Column:
-    """The string, or null when it is empty."""
-    return F.nullif(s, F.lit(""))
 
+def let(name: str, value: str, body: str) -> str:
+    """Bind ``value`` once under ``name`` and use it several times in ``body``."""
+    return f"get(transform(array({value}), {name} -> {body}), 0)"
 
-def falsy_coalesce(*columns: Column) -> Column:
-    """First non-empty string; when none is, whatever the last one holds."""
-    return F.coalesce(*[non_empty(c) for c in columns[:-1]], columns[-1])
 
+def first(items: str) -> str:
+    """First item, null when there is none."""
+    return f"get({items}, 0)"
 
-def let(value: Column, body) -> Column:
-    """Bind ``value`` once and use it several times in ``body``."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+def normalize_ws(s: str) -> str:
+    """Collapse runs of whitespace to one blank and trim; null gives ''."""
+    return f"trim(regexp_replace(coalesce({s}, ''), {rx(WS + '+')}, ' '))"
 
 
-def first(items: Column, keep=None) -> Column:
-    """First item (that ``keep`` accepts), null when there is none."""
-    return F.get(F.filter(items, keep) if keep else items, F.lit(0))
+def strip(s: str) -> str:
+    """Drop leading and trailing whitespace of any kind."""
+    return f"regexp_replace({s}, {rx(f'^{WS}+|{WS}+' + chr(92) + 'z')}, '')"
+
+
+def non_empty(s: str) -> str:
+    """The string, or null when it is empty."""
+    return f"nullif({s}, '')"
+
+
+def falsy_coalesce(*values: str) -> str:
+    """First non-empty string; when none is, whatever the last one holds."""
+    return "coalesce(" + ", ".join([*map(non_empty, values[:-1]), values[-1]]) + ")"
 
 
-def split_trim(s: Column, separator: str = ",") -> Column:
+def split_trim(s: str, separator: str = ",") -> str:
     """Split, strip every part and drop the empty ones."""
-    return F.filter(F.transform(F.split(s, separator), strip), lambda x: x != "")
+    return f"filter(transform(split({s}, '{separator}'), w -> {strip('w')}), w -> w <> '')"
 
 
-def sha256_hex(s: Column) -> Column:
-    return F.sha2(s, 256)
+def sha256_hex(s: str) -> str:
+    return f"sha2({s}, 256)"
 
 
-def normalize_heading(s: Column) -> Column:
+def normalize_heading(s: str) -> str:
     """Lower-case heading text without closing punctuation."""
-    return F.trim(F.regexp_replace(F.lower(normalize_ws(s)), r"[:?؛،.\-]+\z", ""))
+    closing = r"[:?؛،.\-]+\z"
+    return f"trim(regexp_replace(lower({normalize_ws(s)}), {rx(closing)}, ''))"

@@ -1,99 +1,83 @@
-"""URL helpers as Column expressions (RFC 3986 references against http-like bases)."""
+"""URL helpers as SQL expressions (RFC 3986 references against http-like bases)."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
-from corpusloom.functions.text import let, non_empty
+from corpusloom.functions.text import let, non_empty, rx
 
 # scheme, authority, path, query, fragment
-_URL = (r"(?s)^(?:([A-Za-z][A-Za-z0-9+.\-]*):)?(?://([^/?#]*))?([^?#]*)"
-        r"(?:\?([^#]*))?(?:#(.*))?\z")
+_URL = rx(r"(?s)^(?:([A-Za-z][A-Za-z0-9+.\-]*):)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?(?:#(.*))?\z")
 # a plain absolute path: nothing to resolve, nothing to rebuild
-_PLAIN_PATH = r"^/(?:[A-Za-z0-9_~%,+=&@$!*'():\-]+(?:\.[A-Za-z0-9_\-]+)*/?)*\z"
+_PLAIN_PATH = rx(r"^/(?:[A-Za-z0-9_~%,+=&@$!*():\-]+(?:\.[A-Za-z0-9_\-]+)*/?)*\z")
+_DOTS = rx(r"(?:^|/)\.\.?(?:/|\z)")
+_CLOSING_DOTS = rx(r"(?:^|/)\.\.?\z")
+_TO_CLEAN = rx(r"^[\x00-\x20]+|[\t\r\n]")
 
 # Link suffixes that count as downloads.
 DOWNLOAD_EXTENSIONS = (".pdf", ".doc", ".docx", ".xls", ".xlsx", ".csv", ".zip")
 
 
-def _part(url: Column, group: int) -> Column:
-    return F.regexp_extract(url, _URL, group)
-
-
-def clean_url(url: Column) -> Column:
+def clean_url(url: str) -> str:
     """Drop leading control characters and blanks, and line breaks or tabs anywhere."""
-    return F.regexp_replace(url, r"^[\x00-\x20]+|[\t\r\n]", "")
+    return f"regexp_replace({url}, {_TO_CLEAN}, '')"
 
 
-def split_url(url: Column) -> Column:
-    """``struct(url, scheme, authority, path, query)``; absent parts are ''."""
-    u = clean_url(url)
-    return F.struct(url.alias("url"), F.lower(_part(u, 1)).alias("scheme"), _part(u, 2).alias("authority"),
-                    _part(u, 3).alias("path"), _part(u, 4).alias("query"))
+def split_url(url: str) -> str:
+    """``struct(url, scheme, authority, path, query, fragment)``; absent parts are ''."""
+    return let("u", clean_url(url), (
+        f"struct({url} AS url, lower(regexp_extract(u, {_URL}, 1)) AS scheme, regexp_extract(u, {_URL}, 2) AS authority, "
+        f"regexp_extract(u, {_URL}, 3) AS path, regexp_extract(u, {_URL}, 4) AS query, "
+        f"regexp_extract(u, {_URL}, 5) AS fragment)"))
 
 
-def authority(url: Column) -> Column:
+def authority(url: str) -> str:
     """Lower-case authority, port and user information included; '' when there is none."""
-    return F.lower(_part(clean_url(url), 2))
-
-
-def same_site(url: Column, host: Column) -> Column:
-    return authority(url) == F.lower(host)
+    return f"lower(regexp_extract({clean_url(url)}, {_URL}, 2))"
 
 
-def is_download(url: Column) -> Column:
+def is_download(url: str) -> str:
     suffixes = "|".join(e[1:] for e in DOWNLOAD_EXTENSIONS)
-    return F.lower(url).rlike(rf"\.(?:{suffixes})\z")
+    return f"lower({url}) RLIKE {rx(rf'\.(?:{suffixes})\z')}"
 
 
-def url_key(url: Column) -> Column:
+def url_key(url: str) -> str:
     """Form used to compare a page with a fixed path: no closing slashes, lower case."""
-    return F.lower(F.regexp_replace(url, r"/+\z", ""))
+    return f"lower(trim(TRAILING '/' FROM {url}))"
 
 
-def _resolve_dots(path: Column) -> Column:
-    segments = F.split(path, "/")
-    kept = F.aggregate(
-        segments, F.array().cast("array<string>"),
-        lambda acc, s: F.when(s == "..", F.slice(acc, F.lit(1), F.greatest(F.size(acc) - 1, F.lit(0))))
-        .when(s == ".", acc).otherwise(F.concat(acc, F.array(s))))
-    closing = F.when(path.rlike(r"(?:^|/)\.\.?\z"), F.array(F.lit(""))).otherwise(F.array().cast("array<string>"))
-    return F.array_join(F.concat(kept, closing), "/")
+def _resolve_dots(path: str) -> str:
+    kept = (f"aggregate(split({path}, '/'), cast(array() AS array<string>), (acc, s) -> "
+            "CASE WHEN s = '..' THEN slice(acc, 1, greatest(size(acc) - 1, 0)) WHEN s = '.' THEN acc "
+            "ELSE concat(acc, array(s)) END)")
+    closing = f"CASE WHEN {path} RLIKE {_CLOSING_DOTS} THEN array('') ELSE cast(array() AS array<string>) END"
+    return f"array_join(concat({kept}, {closing}), '/')"
 
 
-def _unparse(scheme: Column, host: Column, path: Column, query: Column, fragment: Column) -> Column:
-    rooted = F.when((path == "") | path.startswith("/"), path).otherwise(F.concat(F.lit("/"), path))
-    return F.concat(scheme, F.lit("://"), host, rooted,
-                    F.when(query != "", F.concat(F.lit("?"), query)).otherwise(""),
-                    F.when(fragment != "", F.concat(F.lit("#"), fragment)).otherwise(""))
+def _unparse(host: str, path: str, query: str, fragment: str) -> str:
+    return (f"concat(b.scheme, '://', {host}, "
+            f"CASE WHEN {path} = '' OR startswith({path}, '/') THEN {path} ELSE concat('/', {path}) END, "
+            f"CASE WHEN {query} <> '' THEN concat('?', {query}) ELSE '' END, "
+            f"CASE WHEN {fragment} <> '' THEN concat('#', {fragment}) ELSE '' END)")
 
 
-def make_abs(base: Column, ref: Column) -> Column:
+def make_abs(base: str, ref: str) -> str:
     """Resolve ``ref`` against ``base``, a struct made by :func:`split_url`.
 
     An empty reference is the base itself; a reference with another scheme
     (``mailto:``, ``https:`` seen from ``http:``) is returned as it stands.
     """
-    def full(r: Column) -> Column:
-        scheme, host, path, query, fragment = (r[k] for k in ("s", "h", "p", "q", "f"))
-        folder = F.coalesce(non_empty(F.regexp_extract(base["path"], r"(?s)^(.*/)", 1)), F.lit("/"))
-        joined = F.when(path.startswith("/"), path).otherwise(
-            F.regexp_replace(F.concat(folder, path), "/{2,}", "/"))
-        resolved = let(joined, lambda p: F.when(p.rlike(r"(?:^|/)\.\.?(?:/|\z)"), _resolve_dots(p)).otherwise(p))
-        return (
-            F.when((scheme != "") & (scheme != base["scheme"]), ref)
-            .when(host != "", _unparse(base["scheme"], host, path, query, fragment))
-            .when(path == "", _unparse(base["scheme"], base["authority"], base["path"],
-                                       F.coalesce(non_empty(query), base["query"]), fragment))
-            .otherwise(_unparse(base["scheme"], base["authority"],
-                                F.coalesce(non_empty(resolved), F.lit("/")), query, fragment)))
-
-    def parts(c: Column) -> Column:
-        return F.struct(F.lower(_part(c, 1)).alias("s"), _part(c, 2).alias("h"), _part(c, 3).alias("p"),
-                        _part(c, 4).alias("q"), _part(c, 5).alias("f"))
-
-    return (F.when(F.coalesce(ref, F.lit("")) == "", base["url"])
-            .when(ref.rlike(_PLAIN_PATH) & (base["authority"] != ""),
-                  F.concat(base["scheme"], F.lit("://"), base["authority"], ref))
-            .otherwise(let(clean_url(ref), lambda c: let(parts(c), full))))
+    folder = f"coalesce({non_empty('regexp_extract(b.path, ' + rx('(?s)^(.*/)') + ', 1)')}, '/')"
+    joined = (f"CASE WHEN startswith(r.path, '/') THEN r.path "
+              f"ELSE regexp_replace(concat({folder}, r.path), '/{{2,}}', '/') END")
+    resolved = let("p", joined, f"CASE WHEN p RLIKE {_DOTS} THEN {_resolve_dots('p')} ELSE p END")
+    relative = let("q", f"coalesce({non_empty(resolved)}, '/')",
+                   _unparse("b.authority", "q", "r.query", "r.fragment"))
+    same_path = let("q", f"coalesce({non_empty('r.query')}, b.query)",
+                    _unparse("b.authority", "b.path", "q", "r.fragment"))
+    full = let("r", split_url("f"), (
+        f"CASE WHEN r.scheme <> '' AND r.scheme <> b.scheme THEN f "
+        f"WHEN r.authority <> '' THEN {_unparse('r.authority', 'r.path', 'r.query', 'r.fragment')} "
+        f"WHEN r.path = '' THEN {same_path} ELSE {relative} END"))
+    return let("b", base, let("f", ref, (
+        f"CASE WHEN coalesce(f, '') = '' THEN b.url "
+        f"WHEN f RLIKE {_PLAIN_PATH} AND b.authority <> '' THEN concat(b.scheme, '://', b.authority, f) "
+        f"ELSE {full} END")))

@@ -1,74 +1,64 @@
-"""JSON values (``VARIANT``) with the type tests JSON-LD needs."""
+"""JSON values (``VARIANT``) with the type tests JSON-LD needs, as SQL expressions."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from corpusloom.functions.text import NO_STRINGS, let, strip
 
-from corpusloom.functions.text import let, strip
+NO_VARIANTS = "cast(array() AS array<variant>)"
 
-VARIANTS = "array<variant>"
 
+def is_object(v: str) -> str:
+    return f"startswith(schema_of_variant({v}), 'OBJECT<')"
 
-def kind(v: Column) -> Column:
-    return F.schema_of_variant(v)
 
+def is_array(v: str) -> str:
+    return f"startswith(schema_of_variant({v}), 'ARRAY<')"
 
-def is_object(v: Column) -> Column:
-    return kind(v).startswith("OBJECT<")
 
+def is_string(v: str) -> str:
+    return f"schema_of_variant({v}) = 'STRING'"
 
-def is_array(v: Column) -> Column:
-    return kind(v).startswith("ARRAY<")
 
-
-def is_string(v: Column) -> Column:
-    return kind(v) == "STRING"
-
-
-def member(v: Column, key: str) -> Column:
+def member(v: str, key: str) -> str:
     """Value under ``key`` of an object, null when absent."""
-    return F.try_variant_get(v, f'$["{key}"]', "variant")
+    return f"try_variant_get({v}, '$[\"{key}\"]', 'variant')"
 
 
-def as_string(v: Column) -> Column:
+def as_string(v: str) -> str:
     """The text of a JSON string, null for every other JSON value."""
-    return F.when(is_string(v), v.cast("string"))
+    return f"CASE WHEN {is_string(v)} THEN cast({v} AS string) END"
 
 
-def string_member(v: Column, key: str) -> Column:
-    return let(member(v, key), as_string)
+def string_member(v: str, key: str) -> str:
+    return let("sm", member(v, key), as_string("sm"))
 
 
-def items(v: Column) -> Column:
+def items(v: str) -> str:
     """The elements of a JSON array, no elements for every other JSON value."""
-    return F.when(is_array(v), F.try_variant_get(v, "$", VARIANTS)).otherwise(F.array().cast(VARIANTS))
+    return f"CASE WHEN {is_array(v)} THEN try_variant_get({v}, '$', 'array<variant>') ELSE {NO_VARIANTS} END"
 
 
-def tolerant_json(raw: Column) -> Column:
+def tolerant_json(raw: str) -> str:
     """Parse JSON text; on failure once more without byte-order marks; else null."""
-    text = strip(raw)
-    return F.coalesce(F.try_parse_json(text), F.try_parse_json(F.replace(text, F.lit("\ufeff"), F.lit(""))))
+    return let("t", strip(raw), "coalesce(try_parse_json(t), try_parse_json(replace(t, '\\uFEFF', '')))")
 
 
-def top_level_objects(v: Column) -> Column:
+def top_level_objects(v: str) -> str:
     """Objects of one JSON-LD script: a graph's members, the object itself, or an array's members."""
-    graph = member(v, "@graph")
-    found = (F.when(is_object(v), F.when(is_array(graph), items(graph)).otherwise(F.array(v)))
-             .otherwise(items(v)))
-    return F.filter(found, is_object)
+    found = let("g", member(v, "@graph"), (
+        f"CASE WHEN {is_object(v)} AND {is_array('g')} THEN {items('g')} "
+        f"WHEN {is_object(v)} THEN array({v}) ELSE {items(v)} END"))
+    return f"filter(coalesce({found}, {NO_VARIANTS}), o -> {is_object('o')})"
 
 
-def type_names(v: Column) -> Column:
+def type_names(v: str) -> str:
     """Values of ``@type``, a string or a list, stripped, empty ones dropped."""
-    def names(t: Column) -> Column:
-        listed = F.transform(items(t), lambda x: x.cast("string"))
-        return F.when(is_string(t), F.array(t.cast("string"))).otherwise(listed)
-
-    found = F.filter(let(member(v, "@type"), names), lambda x: x != "")
-    return F.transform(found, strip)
+    names = let("ty", member(v, "@type"), (
+        f"CASE WHEN {is_string('ty')} THEN array(cast(ty AS string)) "
+        f"ELSE transform({items('ty')}, x -> cast(x AS string)) END"))
+    return f"transform(filter(coalesce({names}, {NO_STRINGS}), x -> x <> ''), x -> {strip('x')})"
 
 
-def plain_type(v: Column) -> Column:
+def plain_type(v: str) -> str:
     """Lower-case ``@type`` when it is a plain string, '' otherwise."""
-    return F.lower(F.coalesce(string_member(v, "@type"), F.lit("")))
+    return f"lower(coalesce({string_member(v, '@type')}, ''))"

@@ -10,7 +10,7 @@ from corpusloom.functions.text import sha256_hex
 
 def _digest(items: str) -> Column:
     """Hash of a group's strings in sorted order."""
-    return sha256_hex(F.expr(f"listagg({items}, chr(10)) within group (order by {items})"))
+    return F.expr(sha256_hex(f"listagg({items}, chr(10)) WITHIN GROUP (ORDER BY {items})"))
 
 
 def corpus_signature(hashed: DataFrame, *by: str, record_hash: str = "record_hash") -> DataFrame:

@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from corpusloom.functions import dom as D
-from corpusloom.functions.text import normalize_heading
+from corpusloom.functions.text import let, lit, normalize_heading, rx
 from corpusloom.functions.urls import url_key
 from corpusloom.operators.head import with_base
 from corpusloom.operators.jsonld import flatten_types, with_jsonld
@@ -49,17 +48,15 @@ def section_rules(spark: SparkSession, patterns=SECTION_PATTERNS) -> DataFrame:
     return spark.createDataFrame(rows, "section_prio int, pattern_prio int, section string, pattern string")
 
 
-def classify_heading(heading: Column, patterns=SECTION_PATTERNS) -> Column:
+def classify_heading(heading: str, patterns=SECTION_PATTERNS) -> str:
     """Section a heading opens, null when no pattern matches; rules are tried in order."""
-    norm = normalize_heading(heading)
-    section = F.lit(None).cast("string")
-    for name, regexes in reversed(patterns):
-        section = F.when(norm.rlike("|".join(f"(?:{r})" for r in regexes)), F.lit(name)).otherwise(section)
-    return section
+    rules = " ".join(f"WHEN norm RLIKE {rx('|'.join(f'(?:{r})' for r in regexes))} THEN {lit(section)}"
+                     for section, regexes in patterns)
+    return let("norm", normalize_heading(heading), f"CASE {rules} END")
 
 
-def is_card(node: Column) -> Column:
-    return (node["tag"] == "article") | D.has_class(node, *CARD_CLASSES)
+def is_card() -> str:
+    return D.any_of(D.tag_in("article"), D.has_class(*CARD_CLASSES))
 
 
 def with_page_type(pages: DataFrame, site_origin: str | None = None) -> DataFrame:
@@ -70,27 +67,20 @@ def with_page_type(pages: DataFrame, site_origin: str | None = None) -> DataFram
     """
     if "page_type" in pages.columns:
         return pages
-    pages = with_base(with_jsonld(pages))
-    dom, base = F.col("dom"), F.col("base")
-    site = F.lit(site_origin) if site_origin else F.concat(base["scheme"], F.lit("://"), base["authority"])
-    types = F.transform(flatten_types(F.col("jsonld")), lambda t: F.lower(t))
-
-    def holds(*names: str) -> Column:
-        return F.arrays_overlap(F.col("_types"), F.array(*[F.lit(n) for n in names]))
-
-    paged = F.exists(dom, lambda n: D.has_class(n, "pagination") | (
-        (n["tag"] == "a") & D.has_class(n, "next", "prev")))
-    cards = F.size(F.filter(dom, is_card))
-    return (
-        pages.withColumn("_types", types)
-        .withColumn("page_type",
-                    F.when(url_key(F.col("final_url")) == url_key(F.concat(site, F.lit(LISTING_PATH))), "WebPage")
-                    .when(holds("product"), "Product")
-                    .when(holds(*ARTICLE_TYPES), "Article")
-                    .when(holds(*COLLECTION_TYPES), "CollectionPage")
-                    .when(F.coalesce(paged, F.lit(False)) & (cards >= CARDS_NEEDED), "CollectionPage")
-                    .otherwise("WebPage"))
-        .drop("_types"))
+    site = lit(site_origin) if site_origin else "concat(base.scheme, '://', base.authority)"
+    listing = f"{url_key('final_url')} = {url_key(f'concat({site}, {lit(LISTING_PATH)})')}"
+
+    def holds(*names: str) -> str:
+        return "arrays_overlap(ts, array(" + ", ".join(map(lit, names)) + "))"
+
+    paged = "exists(dom, n -> " + D.any_of(
+        D.has_class("pagination"), D.tag_in("a") + " AND " + D.has_class("next", "prev")) + ")"
+    by_type = let("ts", f"transform({flatten_types('jsonld')}, t -> lower(t))", (
+        f"CASE WHEN {holds('product')} THEN 'Product' WHEN {holds(*ARTICLE_TYPES)} THEN 'Article' "
+        f"WHEN {holds(*COLLECTION_TYPES)} THEN 'CollectionPage' "
+        f"WHEN {paged} AND size({D.select('dom', is_card())}) >= {CARDS_NEEDED} THEN 'CollectionPage' "
+        "ELSE 'WebPage' END"))
+    return D.add(with_base(with_jsonld(pages)), "page_type", f"CASE WHEN {listing} THEN 'WebPage' ELSE {by_type} END")
 
 
 def classify_pages(pages: DataFrame, key: str = "page_id") -> DataFrame:

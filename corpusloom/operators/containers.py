@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.functions import dom as D
-from corpusloom.functions.text import first, let
+from corpusloom.functions.text import let
 from corpusloom.operators.classify import with_page_type
 from corpusloom.sources.shred import NODE
 
@@ -20,54 +20,39 @@ BOILERPLATE_IDS = ("comments",)
 THEME_CONTENT, ENTRY_CONTENT, SINGLE_POST = "elementor-widget-theme-post-content", "entry-content", "single-post"
 
 
-def is_boilerplate(node: Column) -> Column:
-    return D.any_of(D.tag_in(node, *BOILERPLATE_TAGS), D.has_class(node, *BOILERPLATE_CLASSES),
-                    F.coalesce(D.attr(node, "id").isin(*BOILERPLATE_IDS), F.lit(False)))
+def is_boilerplate() -> str:
+    return D.any_of(D.tag_in(*BOILERPLATE_TAGS), D.has_class(*BOILERPLATE_CLASSES), D.attr_is("id", *BOILERPLATE_IDS))
 
 
-def _main_of(dom: Column) -> Column:
+def _main_of() -> str:
     """``main[role=main]``, ``main``, ``article``, ``body``, then the whole document."""
-    def choose(candidates: Column) -> Column:
-        return F.coalesce(
-            first(candidates, lambda n: (n["tag"] == "main") & F.coalesce(D.attr(n, "role") == "main", F.lit(False))),
-            *[first(candidates, D.is_tag(tag)) for tag in ("main", "article", "body")],
-            F.get(dom, F.lit(0)))
+    in_order = [D.tag_in("main") + " AND " + D.attr_is("role", "main"),
+                *map(D.tag_in, ("main", "article", "body"))]
+    return let("cs", D.select("dom", D.tag_in("main", "article", "body")),
+               f"coalesce({', '.join(D.first('cs', test) for test in in_order)}, get(dom, 0))")
 
-    return let(D.select(dom, lambda n: D.tag_in(n, "main", "article", "body")), choose)
 
-
-def _article_of(dom: Column) -> Column:
+def _article_of() -> str:
     """The four article-body selectors in order, null when none matches."""
-    def inside(hosts: Column, node: Column) -> Column:
-        return F.exists(hosts, lambda h: (h["pre"] < node["pre"]) & (node["pre"] <= h["last"]))
-
-    def choose(bodies: Column) -> Column:
-        posts = D.select(dom, lambda n: (n["tag"] == "article") & D.has_class(n, "post"))
-        singles = D.select(dom, lambda n: D.has_class(n, SINGLE_POST))
-        return F.coalesce(
-            first(bodies, lambda n: D.has_class(n, THEME_CONTENT)),
-            let(posts, lambda hs: first(bodies, lambda n: D.has_class(n, ENTRY_CONTENT) & inside(hs, n))),
-            let(singles, lambda hs: first(bodies, lambda n: D.has_class(n, ENTRY_CONTENT) & inside(hs, n))),
-            first(bodies, lambda n: D.has_class(n, ENTRY_CONTENT)))
+    def inside(host_test: str) -> str:
+        within = f"{D.has_class(ENTRY_CONTENT)} AND exists(hs, h -> h.pre < n.pre AND n.pre <= h.last)"
+        return let("hs", D.select("dom", host_test), D.first("bs", within))
 
-    return let(D.select(dom, lambda n: D.has_class(n, THEME_CONTENT, ENTRY_CONTENT)), choose)
+    return let("bs", D.select("dom", D.has_class(THEME_CONTENT, ENTRY_CONTENT)), (
+        f"CASE WHEN size(bs) > 0 THEN coalesce({D.first('bs', D.has_class(THEME_CONTENT))}, "
+        f"{inside(D.tag_in('article') + ' AND ' + D.has_class('post'))}, "
+        f"{inside(D.has_class(SINGLE_POST))}, {D.first('bs', D.has_class(ENTRY_CONTENT))}) END"))
 
 
 def with_container(pages: DataFrame, kind: str | None = None) -> DataFrame:
     """Add ``container``: by page type, or always the ``main`` / ``article`` choice if ``kind`` says so."""
     if "container" in pages.columns:
         return pages
-    dom = F.col("dom")
-    main = _main_of(dom)
-    article = F.coalesce(_article_of(dom), main)
-    if kind == "main":
-        node = main
-    elif kind == "article":
-        node = article
-    else:
-        pages = with_page_type(pages)
-        node = F.when(F.col("page_type").isin("Article", "Product"), article).otherwise(main)
-    return pages.withColumn("container", node)
+    main, article = _main_of(), f"coalesce({_article_of()}, {_main_of()})"
+    if kind is not None:
+        return D.add(pages, "container", {"main": main, "article": article}[kind])
+    return D.add(with_page_type(pages), "container", (
+        f"CASE WHEN page_type IN ('Article', 'Product') THEN {article} ELSE {main} END"))
 
 
 def strip_boilerplate(pages: DataFrame) -> DataFrame:
@@ -78,32 +63,22 @@ def strip_boilerplate(pages: DataFrame) -> DataFrame:
     """
     if "_stripped" in pages.columns:
         return pages
-    pages = with_container(pages)
-    dom, container = F.col("dom"), F.col("container")
-    ranges = F.transform(F.filter(D.descendants(dom, container), is_boilerplate),
-                         lambda n: F.struct(n["pre"].alias("pre"), n["last"].alias("last")))
-    nothing = F.array().cast("array<struct<pre:int,last:int>>")
-    topmost = F.aggregate(ranges, nothing, lambda acc, r: F.when(
-        r["pre"] > F.coalesce(F.get(acc, F.size(acc) - 1)["last"], F.lit(-1)),
-        F.concat(acc, F.array(r))).otherwise(acc))
-    blank = F.lit(None).cast(NODE)
-
-    def rebuild(cuts: Column) -> Column:
-        def piece(cut: Column, i: Column) -> Column:
-            start = F.coalesce(F.get(cuts, i - 1)["last"] + 1, F.lit(0))
-            return F.concat(F.slice(dom, start + 1, cut["pre"] - start),
-                            F.array_repeat(blank, cut["last"] - cut["pre"] + 1))
-
-        end = F.get(cuts, F.size(cuts) - 1)["last"]
-        tail = F.slice(dom, end + 2, F.size(dom) - end - 1)
-        return F.when(F.size(cuts) == 0, dom).otherwise(
-            F.concat(F.flatten(F.transform(cuts, piece)), tail))
-
-    return (pages.withColumn("_cuts", topmost)
-            .withColumn("dom", rebuild(F.col("_cuts")))
-            .drop("_cuts").withColumn("_stripped", F.lit(True)))
-
-
-def content(pages: DataFrame) -> Column:
-    """Nodes of the content container, boilerplate already nulled."""
-    return D.descendants(F.col("dom"), F.col("container"))
+    ranges = (f"transform({D.select(D.descendants('container'), is_boilerplate())}, "
+              "n -> struct(n.pre AS pre, n.last AS last))")
+    topmost = (f"aggregate({ranges}, cast(array() AS array<struct<pre:int,last:int>>), (acc, r) -> "
+               "CASE WHEN r.pre > coalesce(get(acc, size(acc) - 1).last, -1) THEN concat(acc, array(r)) ELSE acc END)")
+    piece = let("start", "coalesce(get(_cuts, i - 1).last + 1, 0)", (
+        "concat(slice(dom, start + 1, c.pre - start), "
+        f"array_repeat(cast(null AS {NODE.simpleString()}), c.last - c.pre + 1))"))
+    end = "get(_cuts, size(_cuts) - 1).last"
+    return (D.add(D.add(with_container(pages), "_cuts", topmost), "dom", (
+        f"CASE WHEN size(_cuts) = 0 THEN dom ELSE concat(flatten(transform(_cuts, (c, i) -> {piece})), "
+        f"slice(dom, {end} + 2, size(dom) - {end} - 1)) END"))
+        .drop("_cuts").withColumn("_stripped", F.lit(True)))
+
+
+def with_content(pages: DataFrame) -> DataFrame:
+    """Add ``_content``, the nodes of the container with boilerplate nulled."""
+    if "_content" in pages.columns:
+        return pages
+    return D.add(strip_boilerplate(pages), "_content", D.descendants("container"))

@@ -2,118 +2,88 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.functions import dom as D
-from corpusloom.functions.text import first, let, non_empty, normalize_ws, strip
+from corpusloom.functions.text import let, lit, non_empty, normalize_ws, strip
 from corpusloom.functions.urls import authority, is_download, make_abs
-from corpusloom.operators.containers import content, strip_boilerplate
+from corpusloom.operators.containers import with_content
 from corpusloom.operators.head import with_base
 
 # Shortest text that counts as a block.
 MIN_BLOCK, MIN_LIST_ITEM = 40, 20
 
 
-def table_rows(dom: Column, table: Column) -> Column:
-    """Rows of cell texts; rows whose cells are all blank are dropped."""
-    rows = F.filter(D.descendants(dom, table), lambda n: n["tag"] == "tr")
-    cells = F.transform(rows, lambda tr: F.transform(
-        F.filter(D.descendants(dom, tr), lambda n: D.tag_in(n, "th", "td")),
-        lambda cell: D.text(dom, cell, " ")))
-    return F.filter(cells, lambda row: F.exists(row, lambda c: c != ""))
+def tables_of(nodes: str) -> str:
+    """Tables among ``nodes`` as rows of cell texts; blank rows and tables without rows are dropped."""
+    cells = f"transform({D.select(D.descendants('tr'), D.tag_in('th', 'td'))}, c -> {D.text('c', ' ')})"
+    rows = f"filter(transform({D.select(D.descendants('tb'), D.tag_in('tr'))}, tr -> {cells}), r -> exists(r, c -> c <> ''))"
+    return f"filter(transform({D.select(nodes, D.tag_in('table'))}, tb -> {rows}), t -> size(t) > 0)"
 
 
-def tables_of(dom: Column, nodes: Column) -> Column:
-    """Row sets of all tables among ``nodes``, tables without rows dropped."""
-    tables = F.filter(nodes, lambda n: n["tag"] == "table")
-    return F.filter(F.transform(tables, lambda t: table_rows(dom, t)), lambda rows: F.size(rows) > 0)
+def _blocks(nodes: str) -> str:
+    """``(i, tag, text)`` of every block long enough, first of equal texts only, in order.
 
+    Sorted by (text, position), the first of each run of equal texts is the one to keep.
+    """
+    found = (f"transform({D.select(nodes, D.tag_in('p', 'li', 'blockquote'))}, (n, i) -> "
+             f"struct({D.text('n', ' ')} AS text, i AS i, n.tag AS tag))")
+    kept = f"filter({found}, b -> length(b.text) >= if(b.tag = 'li', {MIN_LIST_ITEM}, {MIN_BLOCK}))"
+    firsts = let("s", f"array_sort({kept})", "filter(s, (b, i) -> i = 0 OR b.text <> get(s, i - 1).text)")
+    return f"array_sort(transform({firsts}, b -> struct(b.i AS i, b.tag AS tag, b.text AS text)))"
 
-def _blocks(dom: Column, nodes: Column) -> Column:
-    """``(i, tag, text)`` of every block long enough, first of equal texts only, in order."""
-    found = F.filter(nodes, lambda n: D.tag_in(n, "p", "li", "blockquote"))
-    texts = F.transform(found, lambda n, i: F.struct(
-        D.text(dom, n, " ").alias("text"), i.alias("i"), n["tag"].alias("tag")))
-    kept = F.filter(texts, lambda b: F.length(b["text"]) >= F.when(
-        b["tag"] == "li", MIN_LIST_ITEM).otherwise(MIN_BLOCK))
-    firsts = let(F.array_sort(kept), lambda s: F.filter(
-        s, lambda b, i: (i == 0) | (b["text"] != F.get(s, i - 1)["text"])))
-    return F.array_sort(F.transform(firsts, lambda b: F.struct(b["i"].alias("i"), b["tag"].alias("tag"),
-                                                               b["text"].alias("text"))))
 
+def _links(nodes: str, site_host: str | None) -> str:
+    host = f"lower({lit(site_host)})" if site_host else "lower(base.authority)"
+    link = let("a", make_abs("base", strip(D.attr("href"))), (
+        f"struct(a AS href, {D.text('n', '')} AS text, CASE WHEN {is_download('a')} THEN 'download' "
+        f"WHEN {authority('a')} = {host} THEN 'internal' ELSE 'external' END AS kind)"))
+    anchors = D.select(nodes, D.tag_in("a") + " AND " + D.attr("href") + " IS NOT NULL")
+    return f"transform({anchors}, n -> {link})"
 
-def _links(dom: Column, nodes: Column, base: Column, host: Column) -> Column:
-    anchors = F.filter(nodes, lambda n: (n["tag"] == "a") & D.attr(n, "href").isNotNull())
 
-    def link(n: Column) -> Column:
-        return let(make_abs(base, strip(D.attr(n, "href"))), lambda href: F.struct(
-            href.alias("href"), D.text(dom, n, "").alias("text"),
-            F.when(is_download(href), "download")
-            .when(authority(href) == F.lower(host), "internal").otherwise("external").alias("kind")))
-
-    return F.transform(anchors, link)
-
-
-def _images(nodes: Column, base: Column) -> Column:
-    found = F.filter(nodes, lambda n: n["tag"] == "img")
-
-    def image(n: Column) -> Column:
-        src = F.coalesce(*[non_empty(D.attr(n, a)) for a in ("src", "data-src", "data-lazy-src")])
-        return let(src, lambda s: F.struct(F.when(s.isNotNull(), make_abs(base, s)).alias("src"),
-                                           normalize_ws(D.attr(n, "alt")).alias("alt")))
-
-    return F.filter(F.transform(found, image), lambda im: im["src"].isNotNull())
-
-
-def _host(site_host: str | None) -> Column:
-    return F.lit(site_host) if site_host else F.col("base")["authority"]
-
-
-def with_content(pages: DataFrame) -> DataFrame:
-    """Add ``_content``, the nodes of the stripped content container."""
-    pages = strip_boilerplate(with_base(pages))
-    return pages if "_content" in pages.columns else pages.withColumn("_content", content(pages))
+def _images(nodes: str) -> str:
+    source = "coalesce(" + ", ".join(non_empty(D.attr(a)) for a in ("src", "data-src", "data-lazy-src")) + ")"
+    image = let("s", source, (f"struct(CASE WHEN s IS NOT NULL THEN {make_abs('base', 's')} END AS src, "
+                              f"{normalize_ws(D.attr('alt'))} AS alt)"))
+    return f"filter(transform({D.select(nodes, D.tag_in('img'))}, n -> {image}), im -> im.src IS NOT NULL)"
 
 
 def with_headings(pages: DataFrame) -> DataFrame:
     """Add ``h1`` (first one) and ``headings`` (all h2 and h3, blank ones too)."""
-    pages = with_content(pages)
-    dom, nodes = F.col("dom"), F.col("_content")
-    heads = F.filter(nodes, lambda n: D.tag_in(n, "h2", "h3"))
-    return (pages
-            .withColumn("h1", let(first(nodes, lambda n: n["tag"] == "h1"), lambda n: D.text(dom, n, "")))
-            .withColumn("headings", F.transform(heads, lambda n: F.struct(
-                n["tag"].alias("tag"), D.text(dom, n, "").alias("text")))))
+    if "headings" in pages.columns:
+        return pages
+    pages = D.add(with_content(pages), "h1", let("h", D.first("_content", D.tag_in("h1")), D.text("h", "")))
+    return D.add(pages, "headings", (f"transform({D.select('_content', D.tag_in('h2', 'h3'))}, "
+                                     f"n -> struct(n.tag AS tag, {D.text('n', '')} AS text))"))
 
 
 def with_text_blocks(pages: DataFrame) -> DataFrame:
     """Add ``blocks`` (i, tag, text) and ``text_blocks``; an article without any gives its whole text."""
-    pages = with_content(pages)
-    pages = pages.withColumn("blocks", _blocks(F.col("dom"), F.col("_content")))
-    texts = F.col("blocks")["text"]
+    if "text_blocks" in pages.columns:
+        return pages
+    pages = D.add(with_content(pages), "blocks", _blocks("_content"))
     if "page_type" not in pages.columns:
-        return pages.withColumn("text_blocks", texts)
-    whole = D.text(F.col("dom"), F.col("container"), " ")
-    fallback = F.filter(F.array(whole), lambda t: t != "")
-    return pages.withColumn("text_blocks", F.when(
-        (F.col("page_type") == "Article") & (F.size(texts) == 0), fallback).otherwise(texts))
+        return D.add(pages, "text_blocks", "blocks.text")
+    return D.add(pages, "text_blocks", (
+        "CASE WHEN page_type = 'Article' AND size(blocks) = 0 "
+        f"THEN filter(array({D.text('container', ' ')}), t -> t <> '') ELSE blocks.text END"))
 
 
 def with_tables(pages: DataFrame) -> DataFrame:
-    pages = with_content(pages)
-    return pages.withColumn("tables", tables_of(F.col("dom"), F.col("_content")))
+    return pages if "tables" in pages.columns else D.add(with_content(pages), "tables", tables_of("_content"))
 
 
 def with_images(pages: DataFrame) -> DataFrame:
-    pages = with_content(pages)
-    return pages.withColumn("images", _images(F.col("_content"), F.col("base")))
+    return pages if "images" in pages.columns else D.add(with_content(with_base(pages)), "images", _images("_content"))
 
 
 def with_links(pages: DataFrame, site_host: str | None = None) -> DataFrame:
     """Add ``links`` (href, text, kind) in document order."""
-    pages = with_content(pages)
-    return pages.withColumn("links", _links(F.col("dom"), F.col("_content"), F.col("base"), _host(site_host)))
+    if "links" in pages.columns:
+        return pages
+    return D.add(with_content(with_base(pages)), "links", _links("_content", site_host))
 
 
 # Fact tables: one row per item, exploded in place without a shuffle.
@@ -147,9 +117,7 @@ def links(pages: DataFrame, site_host: str | None = None, whole_page: bool = Fal
           key: str = "page_id") -> DataFrame:
     """``(page_id, pos, href, text, kind)`` of the content, or of the whole page."""
     if whole_page:
-        pages = with_base(pages)
-        dom = F.col("dom")
-        pages = pages.withColumn("links", _links(dom, dom, F.col("base"), _host(site_host)))
+        pages = D.add(with_base(pages), "links", _links("dom", site_host))
     else:
         pages = with_links(pages, site_host)
     return D.item_rows(pages, key, "links", "pos", "l").select(key, "pos", "l.href", "l.text", "l.kind")

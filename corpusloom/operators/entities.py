@@ -2,90 +2,63 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.functions import dom as D
 from corpusloom.functions import variants as V
-from corpusloom.functions.text import falsy_coalesce, first, let, non_empty, split_trim, strip
+from corpusloom.functions.text import NO_STRINGS, falsy_coalesce, first, let, lit, non_empty, split_trim, strip
 from corpusloom.functions.urls import make_abs
 from corpusloom.operators.classify import ARTICLE_TYPES, classify_heading, is_card
-from corpusloom.operators.content import tables_of, with_content, with_headings, with_images
+from corpusloom.operators.containers import with_content
+from corpusloom.operators.content import tables_of, with_headings, with_images
 from corpusloom.operators.head import with_head
 
-STRINGS = "array<string>"
+TITLE = falsy_coalesce("head.title", "h1")
 
 
-def _title(head: Column, h1: Column) -> Column:
-    return falsy_coalesce(head["title"], h1)
-
-
-def section_extents(dom: Column, nodes: Column) -> Column:
+def section_extents(nodes: str) -> str:
     """``(pre, last, parent, tag, stop)`` of every h1 to h4: a section reaches to the next such sibling.
 
     Sorting by (parent, position) puts siblings next to each other, so the end of
     a section is simply the following entry.
     """
-    heads = F.transform(
-        F.filter(nodes, lambda n: D.tag_in(n, "h1", "h2", "h3", "h4")),
-        lambda n: F.struct(n["parent"].alias("parent"), n["pre"].alias("pre"),
-                           n["last"].alias("last"), n["tag"].alias("tag")))
-
-    def extents(siblings: Column) -> Column:
-        def extent(h: Column, i: Column) -> Column:
-            after = F.get(siblings, i + 1)
-            return F.struct(
-                h["pre"].alias("pre"), h["last"].alias("last"), h["parent"].alias("parent"), h["tag"].alias("tag"),
-                F.when(after["parent"] == h["parent"], after["pre"])
-                .otherwise(F.get(dom, h["parent"])["last"] + 1).alias("stop"))
-
-        return F.array_sort(F.transform(siblings, extent))
-
-    return let(F.array_sort(heads), extents)
+    heads = (f"array_sort(transform({D.select(nodes, D.tag_in('h1', 'h2', 'h3', 'h4'))}, "
+             "n -> struct(n.parent AS parent, n.pre AS pre, n.last AS last, n.tag AS tag)))")
+    return let("hs", heads, (
+        "array_sort(transform(hs, (h, i) -> struct(h.pre AS pre, h.last AS last, h.parent AS parent, h.tag AS tag, "
+        "CASE WHEN get(hs, i + 1).parent = h.parent THEN get(hs, i + 1).pre "
+        "ELSE get(dom, h.parent).last + 1 END AS stop)))"))
 
 
 def with_sections(pages: DataFrame) -> DataFrame:
     """Add ``sections``: classified h2 to h4 headings with the texts and tables that belong to them."""
-    pages = with_content(pages)
-    dom, nodes = F.col("dom"), F.col("_content")
-    headings = F.filter(section_extents(dom, nodes), lambda h: h["tag"] != "h1")
-    keyed = F.transform(headings, lambda h: F.struct(
-        h.alias("h"), classify_heading(D.text(dom, h, " ")).alias("section")))
-
-    def block_texts(n: Column) -> Column:
-        listed = F.transform(F.filter(D.descendants(dom, n), lambda d: d["tag"] == "li"),
-                             lambda li: D.text(dom, li, " "))
-        return (F.when(D.tag_in(n, "p", "li", "blockquote"), F.array(D.text(dom, n, " ")))
-                .when(D.tag_in(n, "ul", "ol"), listed)
-                .otherwise(F.array().cast(STRINGS)))
-
-    def body(k: Column) -> Column:
-        siblings = F.filter(D.following(dom, k["h"], k["h"]["stop"]),
-                            lambda n: n["parent"] == k["h"]["parent"])
-        return let(siblings, lambda s: F.struct(
-            k["h"]["pre"].alias("pre"), k["section"].alias("section"),
-            F.filter(F.flatten(F.transform(s, block_texts)), lambda t: t != "").alias("texts"),
-            tables_of(dom, s).alias("tables")))
-
-    return pages.withColumn("sections", F.transform(
-        F.filter(keyed, lambda k: k["section"].isNotNull()), body))
-
-
-def _section_text(sections: Column, name: str) -> Column:
+    if "sections" in pages.columns:
+        return pages
+    keyed = (f"filter(transform(filter({section_extents('_content')}, h -> h.tag <> 'h1'), "
+             f"h -> struct(h AS h, {classify_heading(D.text('h', ' '))} AS section)), k -> k.section IS NOT NULL)")
+    siblings = D.select("slice(dom, k.h.last + 2, k.h.stop - k.h.last - 1)", "n.parent = k.h.parent")
+    texts = (f"CASE WHEN {D.tag_in('p', 'li', 'blockquote')} THEN array({D.text('n', ' ')}) "
+             f"WHEN {D.tag_in('ul', 'ol')} THEN transform(filter({D.descendants('n')}, d -> d.tag = 'li'), "
+             f"d -> {D.text('d', ' ')}) ELSE {NO_STRINGS} END")
+    body = let("sibs", siblings, (
+        f"struct(k.h.pre AS pre, k.section AS section, filter(flatten(transform(sibs, n -> {texts})), t -> t <> '') AS texts, "
+        f"{tables_of('sibs')} AS tables)"))
+    return D.add(with_content(pages), "sections", f"transform({keyed}, k -> {body})")
+
+
+def _section_text(name: str) -> str:
     """Texts of the first heading of a section that has any."""
-    hit = first(sections, lambda s: (s["section"] == name) & (F.size(s["texts"]) > 0))
-    return F.array_join(hit["texts"], "\n\n")
+    hit = f"get(filter(sections, s -> s.section = {lit(name)} AND size(s.texts) > 0), 0)"
+    return f"array_join({hit}.texts, '\\n\\n')"
 
 
-def _spec_tables(sections: Column) -> Column:
+def _spec_tables() -> str:
     """Tables under specification headings, up to and with the first one that has text."""
-    def collect(specs: Column) -> Column:
-        stop = first(specs, lambda s: F.size(s["texts"]) > 0)["pre"]
-        reached = let(stop, lambda at: F.filter(specs, lambda s: at.isNull() | (s["pre"] <= at)))
-        return F.flatten(reached["tables"])
-
-    found = let(F.filter(sections, lambda s: s["section"] == "specifications"), collect)
-    return let(found, lambda t: F.when(F.size(t) > 0, t))
+    reached = let("stop", "get(filter(sp, s -> size(s.texts) > 0), 0).pre",
+                  "filter(sp, s -> stop IS NULL OR s.pre <= stop)")
+    found = let("sp", "filter(sections, s -> s.section = 'specifications')", f"flatten({reached}.tables)")
+    return let("ts", found, "CASE WHEN size(ts) > 0 THEN ts END")
 
 
 def with_product(pages: DataFrame) -> DataFrame:
@@ -93,149 +66,105 @@ def with_product(pages: DataFrame) -> DataFrame:
     if "product" in pages.columns:
         return pages
     pages = with_sections(with_headings(with_head(with_content(pages))))
-    sections, h1 = F.col("sections"), F.col("h1")
-    named = first(F.col("jsonld"), lambda o: (V.plain_type(o) == "product")
-                  & V.string_member(o, "name").isNotNull())
-    name = falsy_coalesce(let(named, lambda o: V.string_member(o, "name")), h1, _title(F.col("head"), h1))
-    uses, tables = _section_text(sections, "applications_uses"), F.col("_spec_tables")
-    product = F.struct(
-        name.alias("name"),
-        F.struct(
-            _section_text(sections, "description").alias("description_of_product"),
-            _section_text(sections, "what_is").alias("what_is_product"),
-            _section_text(sections, "other_names").alias("other_names"),
-            F.struct(_section_text(sections, "specifications").alias("text"),
-                     tables.alias("tables")).alias("specifications"),
-            uses.alias("applications_and_uses"),
-            _section_text(sections, "packing").alias("packing"),
-            uses.alias("uses_applications"),
-            tables.alias("grades_specs"),
-            F.array().cast(STRINGS).alias("faqs")).alias("sections"))
-    is_product = F.col("page_type") == "Product"
-    return (pages.withColumn("sections", F.when(is_product, sections))
-            .withColumn("_spec_tables", _spec_tables(F.col("sections")))
-            .withColumn("product", F.when(is_product, product))
-            .drop("_spec_tables", "sections"))
-
-
-def _strings(v: Column, whole) -> Column:
-    """A JSON string through ``whole``, or the stripped non-empty strings of a JSON array."""
-    listed = F.filter(F.transform(V.items(v), lambda x: strip(V.as_string(x))), lambda s: s != "")
-    return F.when(V.is_string(v), whole(v.cast("string"))).otherwise(listed)
-
-
-def _author(obj: Column) -> Column:
-    def name_of(v: Column) -> Column:
-        return F.when(V.is_object(v), V.string_member(v, "name"))
-
-    return let(V.member(obj, "author"), lambda a: F.coalesce(
-        name_of(a), first(F.transform(V.items(a), name_of), lambda n: n.isNotNull())))
-
-
-def _image(obj: Column) -> Column:
-    def src(v: Column) -> Column:
-        return F.when(V.is_object(v), V.string_member(v, "url")).otherwise(V.as_string(v))
-
-    return let(V.member(obj, "image"), lambda im: F.coalesce(
-        src(im), first(F.transform(V.items(im), src), lambda s: s.isNotNull())))
+    named = (f"filter(transform(filter(jsonld, o -> {V.plain_type('o')} = 'product'), "
+             f"o -> {V.string_member('o', 'name')}), m -> m IS NOT NULL)")
+    pages = D.add(pages, "sections", "CASE WHEN page_type = 'Product' THEN sections END")
+    pages = D.add(pages, "_parts", (
+        f"struct({_section_text('description')} AS description, {_section_text('what_is')} AS what_is, "
+        f"{_section_text('other_names')} AS other_names, {_section_text('specifications')} AS specs, "
+        f"{_section_text('applications_uses')} AS uses, {_section_text('packing')} AS packing, "
+        f"{_spec_tables()} AS tables)"))
+    return D.add(pages, "product", (
+        f"CASE WHEN page_type = 'Product' THEN struct({falsy_coalesce(first(named), 'h1', TITLE)} AS name, struct("
+        "_parts.description AS description_of_product, _parts.what_is AS what_is_product, _parts.other_names AS other_names, "
+        "struct(_parts.specs AS text, _parts.tables AS tables) AS specifications, _parts.uses AS applications_and_uses, "
+        "_parts.packing AS packing, _parts.uses AS uses_applications, _parts.tables AS grades_specs, "
+        f"{NO_STRINGS} AS faqs) AS sections) END")).drop("_parts", "sections")
+
+
+def _strings(key: str, whole) -> str:
+    """A JSON string through ``whole``, or the stripped non-empty strings of a JSON array; over all objects."""
+    listed = f"filter(transform({V.items('m')}, x -> {strip(V.as_string('x'))}), x -> x <> '')"
+    per_object = let("m", V.member("o", key), (
+        f"CASE WHEN {V.is_string('m')} THEN {whole('cast(m AS string)')} WHEN m IS NULL THEN {NO_STRINGS} ELSE {listed} END"))
+    return f"flatten(transform(_article_objs, o -> {per_object}))"
+
+
+def _one_of(key: str, value) -> str:
+    """Per object: ``value`` of the member itself, else of the first usable entry when it is an array."""
+    per_object = let("m", V.member("o", key), (
+        f"coalesce({value('m')}, get(filter(transform({V.items('m')}, x -> {value('x')}), x -> x IS NOT NULL), 0))"))
+    return f"filter(transform(_article_objs, o -> {per_object}), x -> x IS NOT NULL)"
 
 
 def with_article(pages: DataFrame) -> DataFrame:
     """Add ``article`` for Article pages, null for others."""
     if "article" in pages.columns:
         return pages
+
+    def metas(name: str) -> str:
+        return D.select("dom", D.tag_in("meta") + " AND " + D.attr_is("property", name))
+
+    def name_of(v: str) -> str:
+        return f"CASE WHEN {V.is_object(v)} THEN {V.string_member(v, 'name')} END"
+
+    def src_of(v: str) -> str:
+        return f"CASE WHEN {V.is_object(v)} THEN {V.string_member(v, 'url')} ELSE {V.as_string(v)} END"
+
+    def feature(src: str, alt: str = "cast(null AS string)") -> str:
+        return let("f", src, f"CASE WHEN f IS NOT NULL THEN struct(f AS src, {alt} AS alt) END")
+
+    author = let("au", _one_of("author", name_of), "coalesce(get(filter(au, x -> x <> ''), 0), get(au, 0))")
+    meta_section = let("ms", non_empty(f"get({metas('article:section')}, 0).attrs['content']"),
+                       f"CASE WHEN ms IS NULL THEN {NO_STRINGS} ELSE array({strip('ms')}) END")
+    categories = _strings("articleSection", lambda s: f"filter(array({strip(s)}), x -> x <> '')")
+    meta_tags = f"filter(transform({metas('article:tag')}, n -> {strip(D.attr('content'))}), x -> x <> '')"
+    usable = ("get(filter(images, im -> NOT startswith(im.src, 'data:') AND NOT contains(lower(im.alt), 'logo') "
+              "AND NOT contains(lower(im.alt), 'avatar')), 0)")
+    og_image = "coalesce(head.og['og:image'], head.og['og:image:url'])"
+    from_content = let("im", usable, feature("im.src", non_empty("im.alt")))
+    featured = f"coalesce({feature(first(_one_of('image', src_of)))}, {feature(og_image)}, {from_content})"
+    objects = f"filter(jsonld, o -> {V.plain_type('o')} IN ({', '.join(map(lit, ARTICLE_TYPES))}))"
     pages = with_images(with_headings(with_head(with_content(pages))))
-    dom, h1, objs, head = F.col("dom"), F.col("h1"), F.col("_article_objs"), F.col("head")
-
-    def metas(name: str) -> Column:
-        return F.filter(dom, lambda n: (n["tag"] == "meta")
-                        & F.coalesce(D.attr(n, "property") == name, F.lit(False)))
-
-    def joined(key: str, whole) -> Column:
-        return F.flatten(F.transform(objs, lambda o: let(
-            V.member(o, key), lambda v: F.coalesce(_strings(v, whole), F.array().cast(STRINGS)))))
-
-    def sorted_set(*lists: Column) -> Column:
-        return F.array_sort(F.array_distinct(F.concat(*lists)))
-
-    meta_tags = F.filter(F.transform(metas("article:tag"), lambda m: strip(D.attr(m, "content"))),
-                         lambda t: t != "")
-    section = non_empty(D.attr(F.get(metas("article:section"), F.lit(0)), "content"))
-    meta_section = let(section, lambda s: F.when(s.isNotNull(), F.array(strip(s)))
-                       .otherwise(F.array().cast(STRINGS)))
-    authors = F.filter(F.transform(objs, _author), lambda a: a.isNotNull())
-    author = let(authors, lambda a: F.coalesce(first(a, lambda n: n != ""), F.get(a, F.lit(0))))
-
-    def feature(src: Column, alt: Column) -> Column:
-        return F.when(src.isNotNull(), F.struct(src.alias("src"), alt.alias("alt")))
-
-    usable = first(F.col("images"), lambda im: ~im["src"].startswith("data:")
-                   & ~F.lower(im["alt"]).contains("logo") & ~F.lower(im["alt"]).contains("avatar"))
-    no_alt = F.lit(None).cast("string")
-    featured = F.coalesce(
-        feature(first(F.transform(objs, _image), lambda s: s.isNotNull()), no_alt),
-        feature(F.coalesce(F.try_element_at(head["og"], F.lit("og:image")),
-                           F.try_element_at(head["og"], F.lit("og:image:url"))), no_alt),
-        let(usable, lambda im: feature(im["src"], non_empty(im["alt"]))))
-    article = F.struct(
-        falsy_coalesce(h1, _title(head, h1)).alias("headline"),
-        author.alias("author"),
-        sorted_set(joined("articleSection", lambda s: F.filter(F.array(strip(s)), lambda x: x != "")),
-                   meta_section).alias("categories"),
-        sorted_set(joined("keywords", split_trim), meta_tags).alias("tags"),
-        featured.alias("featured_image"))
-    is_article = F.col("page_type") == "Article"
-    return (pages
-            .withColumn("_article_objs", F.when(is_article, F.filter(
-                F.col("jsonld"), lambda o: V.plain_type(o).isin(*ARTICLE_TYPES))))
-            .withColumn("article", F.when(is_article, article))
-            .drop("_article_objs"))
-
-
-ITEM = "struct<title:string,url:string,excerpt:string,thumb:string,date:string>"
+    pages = D.add(pages, "_article_objs", f"CASE WHEN page_type = 'Article' THEN {objects} END")
+    return D.add(pages, "article", (
+        f"CASE WHEN page_type = 'Article' THEN struct({falsy_coalesce('h1', TITLE)} AS headline, {author} AS author, "
+        f"array_sort(array_distinct(concat({categories}, {meta_section}))) AS categories, "
+        f"array_sort(array_distinct(concat({_strings('keywords', split_trim)}, {meta_tags}))) AS tags, "
+        f"{featured} AS featured_image) END")).drop("_article_objs")
 
 
 def with_collection(pages: DataFrame) -> DataFrame:
     """Add ``collection`` for CollectionPage pages, null for others."""
     if "collection" in pages.columns:
         return pages
+    excerpt = D.attr_like("class", "(?:excerpt|summary|entry-summary)")
+    parts = let("inside", D.descendants("card"), (
+        f"struct(card AS card, {D.first('inside', D.tag_in('a') + ' AND ' + D.attr('href') + ' IS NOT NULL')} AS a, "
+        f"{D.first('inside', excerpt)} AS excerpt, {D.first('inside', D.tag_in('img'))} AS img)"))
+    cards = f"filter(transform({D.select('_content', is_card())}, card -> {parts}), c -> c.a IS NOT NULL)"
+    thumb = let("s", non_empty("c.img.attrs['src']"), f"CASE WHEN s IS NOT NULL THEN {make_abs('base', 's')} END")
+    item = (f"struct(coalesce({non_empty(D.text('c.a', ''))}, {D.text('c.card', '')}) AS title, "
+            f"{make_abs('base', D.attr('href', 'c.a'))} AS url, {D.text('c.excerpt', '')} AS excerpt, "
+            f"{thumb} AS thumb, cast(null AS string) AS date)")
     pages = with_headings(with_head(with_content(pages)))
-    dom, base, h1 = F.col("dom"), F.col("base"), F.col("h1")
-    cards = F.transform(F.filter(F.col("_content"), is_card), lambda card: let(
-        D.descendants(dom, card), lambda inner: F.struct(
-            card.alias("card"),
-            first(inner, lambda n: (n["tag"] == "a") & D.attr(n, "href").isNotNull()).alias("a"),
-            first(inner, lambda n: D.attr_like(n, "class", "(?:excerpt|summary|entry-summary)")).alias("excerpt"),
-            first(inner, D.is_tag("img")).alias("img"))))
-
-    def item(c: Column) -> Column:
-        return F.struct(
-            F.coalesce(non_empty(D.text(dom, c["a"], "")), D.text(dom, c["card"], "")).alias("title"),
-            make_abs(base, D.attr(c["a"], "href")).alias("url"),
-            D.text(dom, c["excerpt"], "").alias("excerpt"),
-            let(non_empty(D.attr(c["img"], "src")), lambda s: F.when(
-                s.isNotNull(), make_abs(base, s))).alias("thumb"),
-            F.lit(None).cast("string").alias("date"))
-
-    items = F.transform(F.filter(cards, lambda c: c["a"].isNotNull()), item)
-    collection = F.struct(
-        falsy_coalesce(h1, _title(F.col("head"), h1)).alias("name"),
-        F.lit(None).cast("string").alias("description"),
-        F.struct(F.lit(1).alias("page"), F.lit(None).cast("int").alias("total_pages")).alias("pagination"),
-        items.alias("items"))
-    return pages.withColumn("collection", F.when(F.col("page_type") == "CollectionPage", collection))
+    return D.add(pages, "collection", (
+        f"CASE WHEN page_type = 'CollectionPage' THEN struct({falsy_coalesce('h1', TITLE)} AS name, "
+        "cast(null AS string) AS description, struct(1 AS page, cast(null AS int) AS total_pages) AS pagination, "
+        f"transform({cards}, c -> {item}) AS items) END"))
 
 
 def article_facts(pages: DataFrame, key: str = "page_id") -> DataFrame:
-    return with_article(pages).where(F.col("article").isNotNull()).select(key, "article.*")
+    return with_article(pages).select(key, F.explode_outer(F.array("article")).alias("a")).where(
+        "a IS NOT NULL").select(key, "a.*")
 
 
 def product_facts(pages: DataFrame, key: str = "page_id") -> DataFrame:
-    return with_product(pages).where(F.col("product").isNotNull()).select(key, "product.name", "product.sections.*")
+    return with_product(pages).select(key, F.explode_outer(F.array("product")).alias("p")).where(
+        "p IS NOT NULL").select(key, "p.name", "p.sections.*")
 
 
 def collection_items(pages: DataFrame, key: str = "page_id") -> DataFrame:
     """``(page_id, pos, title, url, excerpt, thumb)`` of collection pages."""
     rows = D.item_rows(with_collection(pages), key, "collection.items", "pos", "item")
     return rows.select(key, "pos", "item.title", "item.url", "item.excerpt", "item.thumb")
-

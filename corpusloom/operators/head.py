@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from corpusloom.functions import dom as D
 from corpusloom.functions import variants as V
@@ -14,122 +13,87 @@ from corpusloom.operators.jsonld import with_jsonld
 
 def with_base(pages: DataFrame) -> DataFrame:
     """Add ``base``, the split final URL all references of the page resolve against."""
-    return pages if "base" in pages.columns else pages.withColumn("base", split_url(F.col("final_url")))
+    return pages if "base" in pages.columns else D.add(pages, "base", split_url("final_url"))
 
 
-def _last_per_key(pairs: Column) -> Column:
-    """Pairs ``(k, v)`` to a map sorted by key; the last pair of a key counts; null when empty."""
-    ranked = F.array_sort(F.transform(pairs, lambda p, i: F.struct(
-        p["k"].alias("k"), (-i).alias("order"), p["v"].alias("v"))))
-    heads = let(ranked, lambda r: F.filter(
-        r, lambda p, i: (i == 0) | (p["k"] != F.get(r, i - 1)["k"])))
-    return let(heads, lambda h: F.when(F.size(h) > 0, F.map_from_arrays(h["k"], h["v"])))
+def _meta_map(name: str, prefix: str) -> str:
+    """Metas ``prefix:…`` with a content, as a map sorted by key; the last one of a key counts.
 
+    Sorted by (key, latest first), the first entry of each run is the one to keep.
+    """
+    metas = D.select("_metas", f"{D.attr_like(name, f'^{prefix}:')} AND {D.attr('content')} <> ''")
+    ranked = (f"array_sort(transform({metas}, (n, i) -> "
+              f"struct(lower({D.attr(name)}) AS k, -i AS latest, {D.attr('content')} AS v)))")
+    kept = let("r", ranked, "filter(r, (p, i) -> i = 0 OR p.k <> get(r, i - 1).k)")
+    return let("h", kept, "CASE WHEN size(h) > 0 THEN map_from_arrays(h.k, h.v) END")
 
-def _meta_map(metas: Column, name: str, prefix: str) -> Column:
-    kept = F.filter(metas, lambda m: D.attr_like(m, name, f"^{prefix}:")
-                    & F.coalesce(D.attr(m, "content") != "", F.lit(False)))
-    return _last_per_key(F.transform(kept, lambda m: F.struct(
-        F.lower(D.attr(m, name)).alias("k"), D.attr(m, "content").alias("v"))))
 
-
-def _meta_content(metas: Column, name: str, pattern: str) -> Column:
+def _meta_content(name: str, pattern: str) -> str:
     """Content of the first meta whose name matches; '' when it has none, null without such a meta."""
-    hit = first(metas, lambda m: D.attr_like(m, name, pattern))
-    return let(hit, lambda m: F.when(m.isNotNull(), normalize_ws(D.attr(m, "content"))))
+    return let("m", D.first("_metas", D.attr_like(name, pattern)),
+               f"CASE WHEN m IS NOT NULL THEN {normalize_ws(D.attr('content', 'm'))} END")
 
 
 def with_head(pages: DataFrame) -> DataFrame:
     """Add ``head``: title, canonical, meta_description, robots, og, twitter."""
     if "head" in pages.columns:
         return pages
-    pages = with_base(pages)
-    dom, base, metas = F.col("dom"), F.col("base"), F.col("_metas")
-    canonical_link = first(dom, lambda n: (n["tag"] == "link") & D.attr_like(n, "rel", r"\bcanonical\b"))
-    href = non_empty(strip(D.attr(F.col("_canonical"), "href")))
-    return (
-        pages
-        .withColumn("_metas", D.select(dom, lambda n: n["tag"] == "meta"))
-        .withColumn("_canonical", canonical_link)
-        .withColumn("head", F.struct(
-            let(first(dom, lambda n: n["tag"] == "title"), lambda n: D.text(dom, n, "")).alias("title"),
-            F.coalesce(F.when(href.isNotNull(), make_abs(base, href)), F.col("final_url")).alias("canonical"),
-            _meta_content(metas, "name", r"^description$").alias("meta_description"),
-            _meta_content(metas, "name", "robots").alias("robots"),
-            _meta_map(metas, "property", "og").alias("og"),
-            _meta_map(metas, "name", "twitter").alias("twitter")))
-        .drop("_metas", "_canonical"))
-
-
-def _first_property(dom: Column, name: str) -> Column:
-    """Content of the first meta with exactly this property; null when it is empty."""
-    hit = first(dom, lambda n: (n["tag"] == "meta") & F.coalesce(D.attr(n, "property") == name, F.lit(False)))
-    return non_empty(D.attr(hit, "content"))
-
-
-def _date_values(jsonld: Column, *keys: str) -> Column:
-    per_object = F.transform(jsonld, lambda o: F.array(*[V.string_member(o, k) for k in keys]))
-    return F.filter(F.flatten(per_object), lambda s: s.isNotNull())
+    link = D.first("dom", "n.tag = 'link' AND " + D.attr_like("rel", r"\bcanonical\b"))
+    canonical = let("c", non_empty(strip(f"{link}.attrs['href']")),
+                    f"CASE WHEN c IS NULL THEN final_url ELSE {make_abs('base', 'c')} END")
+    title = let("t", D.first("dom", "n.tag = 'title'"), D.text("t", ""))
+    pages = D.add(with_base(pages), "_metas", D.select("dom", "n.tag = 'meta'"))
+    return D.add(pages, "head", (
+        f"struct({title} AS title, {canonical} AS canonical, "
+        f"{_meta_content('name', '^description$')} AS meta_description, "
+        f"{_meta_content('name', 'robots')} AS robots, "
+        f"{_meta_map('property', 'og')} AS og, {_meta_map('name', 'twitter')} AS twitter)")).drop("_metas")
 
 
 def with_dates(pages: DataFrame) -> DataFrame:
     """Add ``dates``: published and modified as found, never parsed."""
     if "dates" in pages.columns:
         return pages
-    pages = with_jsonld(pages)
-    dom, jsonld = F.col("dom"), F.col("jsonld")
-
-    def pick(values: Column, *fallback: Column) -> Column:
-        return let(values, lambda v: F.coalesce(first(v, lambda s: s != ""), *fallback, F.get(v, F.lit(0))))
 
-    return pages.withColumn("dates", F.struct(
-        pick(_date_values(jsonld, "datePublished", "dateCreated"),
-             _first_property(dom, "article:published_time")).alias("published"),
-        pick(_date_values(jsonld, "dateModified", "dateUpdated"),
-             _first_property(dom, "article:modified_time"),
-             _first_property(dom, "og:updated_time")).alias("modified")))
+    def values(*keys: str) -> str:
+        members = ", ".join(V.string_member("o", k) for k in keys)
+        return f"filter(flatten(transform(jsonld, o -> array({members}))), d -> d IS NOT NULL)"
 
+    def meta(name: str) -> str:
+        return non_empty(f"{D.first('dom', D.tag_in('meta') + ' AND ' + D.attr_is('property', name))}"
+                         ".attrs['content']")
 
-def page_dates(pages: DataFrame, key: str = "page_id") -> DataFrame:
-    return with_dates(pages).select(key, "dates.published", "dates.modified")
+    def pick(found: str, *fallback: str) -> str:
+        return let("ds", found, f"coalesce(get(filter(ds, d -> d <> ''), 0), {', '.join(fallback)}, get(ds, 0))")
 
+    published = pick(values("datePublished", "dateCreated"), meta("article:published_time"))
+    modified = pick(values("dateModified", "dateUpdated"), meta("article:modified_time"), meta("og:updated_time"))
+    return D.add(with_jsonld(pages), "dates", f"struct({published} AS published, {modified} AS modified)")
 
-def _jsonld_trail(obj: Column, base: Column) -> Column:
-    """Named items of one breadcrumb list, in array order."""
-    def entry(item: Column) -> Column:
-        inner = V.member(item, "item")
-        return let(inner, lambda e: F.struct(
-            V.member(e, "name").cast("string").alias("name"),
-            let(non_empty(V.string_member(e, "@id")), lambda u: F.when(u.isNotNull(), make_abs(base, u))).alias("url")))
 
-    objects = F.filter(V.items(V.member(obj, "itemListElement")),
-                       lambda i: V.is_object(i) & F.coalesce(V.is_object(V.member(i, "item")), F.lit(False)))
-    return F.filter(F.transform(objects, entry), lambda e: e["name"] != "")
+def page_dates(pages: DataFrame, key: str = "page_id") -> DataFrame:
+    return with_dates(pages).select(key, "dates.published", "dates.modified")
 
 
 def with_breadcrumbs(pages: DataFrame) -> DataFrame:
     """Add ``breadcrumbs``: from the first breadcrumb list with named items, else from the page's trail."""
     if "breadcrumbs" in pages.columns:
         return pages
-    pages = with_base(with_jsonld(pages))
-    dom, base = F.col("dom"), F.col("base")
-    lists = F.filter(F.col("jsonld"), lambda o: F.coalesce(
-        V.string_member(o, "@type") == "BreadcrumbList", F.lit(False)))
-    trails = F.transform(lists, lambda o: _jsonld_trail(o, base))
-    nav = first(dom, lambda n: D.has_class(n, "breadcrumb")
-                | ((n["tag"] == "nav") & D.attr_like(n, "aria-label", "breadcrumb")))
-    anchors = F.filter(D.descendants(dom, F.col("_nav")), lambda n: n["tag"] == "a")
-    linked = F.transform(anchors, lambda n: F.struct(
-        D.text(dom, n, "").alias("name"),
-        F.when(F.coalesce(D.attr(n, "href"), F.lit("")) != "", make_abs(base, D.attr(n, "href"))).alias("url")))
-    return (
-        pages
-        .withColumn("_nav", nav)
-        .withColumn("breadcrumbs", F.coalesce(
-            first(trails, lambda t: F.size(t) > 0),
-            F.filter(linked, lambda e: e["name"] != ""),
-            F.array().cast("array<struct<name:string,url:string>>")))
-        .drop("_nav"))
+    lists = f"filter(jsonld, o -> coalesce({V.string_member('o', '@type')} = 'BreadcrumbList', false))"
+    entries = (f"filter({V.items(V.member('o', 'itemListElement'))}, "
+               f"i -> {V.is_object('i')} AND coalesce({V.is_object(V.member('i', 'item'))}, false))")
+    url = let("u", non_empty(V.string_member("e", "@id")), f"CASE WHEN u IS NOT NULL THEN {make_abs('base', 'u')} END")
+    entry = let("e", V.member("i", "item"), f"struct(cast({V.member('e', 'name')} AS string) AS name, {url} AS url)")
+    trails = f"transform({lists}, o -> filter(transform({entries}, i -> {entry}), c -> c.name <> ''))"
+    nav = D.first("dom", D.any_of(D.has_class("breadcrumb"),
+                                  "n.tag = 'nav' AND " + D.attr_like("aria-label", "breadcrumb")))
+    href = D.attr("href")
+    anchors = (f"transform({D.select(D.descendants('_nav'), D.tag_in('a'))}, n -> "
+               f"struct({D.text('n', '')} AS name, CASE WHEN {href} <> '' THEN {make_abs('base', href)} END AS url))")
+    pages = D.add(with_base(with_jsonld(pages)), "_nav", nav)
+    return D.add(pages, "breadcrumbs", (
+        f"coalesce({first(f'filter({trails}, t -> size(t) > 0)')}, filter({anchors}, c -> c.name <> ''), "
+        "cast(array() AS array<struct<name:string,url:string>>))")).drop("_nav")
 
 
 def breadcrumbs(pages: DataFrame, key: str = "page_id") -> DataFrame:

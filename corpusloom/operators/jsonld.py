@@ -2,34 +2,28 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from corpusloom.functions import dom as D
 from corpusloom.functions import variants as V
 from corpusloom.functions.text import let
 
-
-def _objects_per_script(dom: Column) -> Column:
-    scripts = D.select(dom, lambda n: (n["tag"] == "script") & D.attr_like(n, "type", r"application/ld\+json"))
-    parsed = F.transform(scripts, lambda n: V.tolerant_json(D.raw_text(dom, n)))
-    return F.transform(parsed, lambda v: let(v, lambda x: F.coalesce(
-        F.when(x.isNotNull(), V.top_level_objects(x)), F.array().cast(V.VARIANTS))))
+_SCRIPTS = D.select("dom", "n.tag = 'script' AND " + D.attr_like("type", r"application/ld\+json"))
+# One list of objects per script; a script that is not JSON has none.
+_OBJECTS = f"transform({_SCRIPTS}, n -> {let('v', V.tolerant_json(D.raw_text('n')), V.top_level_objects('v'))})"
 
 
 def with_jsonld(pages: DataFrame) -> DataFrame:
     """Add ``jsonld``, all JSON-LD objects of the page in document order."""
-    if "jsonld" in pages.columns:
-        return pages
-    return pages.withColumn("jsonld", F.flatten(_objects_per_script(F.col("dom"))))
+    return pages if "jsonld" in pages.columns else D.add(pages, "jsonld", f"flatten({_OBJECTS})")
 
 
 def extract_jsonld(pages: DataFrame, key: str = "page_id") -> DataFrame:
     """One row per object: ``(page_id, script_pos, obj_pos, obj)``."""
-    scripts = D.item_rows(pages, key, _objects_per_script(F.col("dom")), "script_pos", "objs")
+    scripts = D.item_rows(pages, key, _OBJECTS, "script_pos", "objs")
     return D.item_rows(scripts, (key, "script_pos"), "objs", "obj_pos", "obj")
 
 
-def flatten_types(jsonld: Column) -> Column:
+def flatten_types(jsonld: str) -> str:
     """All ``@type`` names of the objects, in order."""
-    return F.flatten(F.transform(jsonld, V.type_names))
+    return f"flatten(transform({jsonld}, o -> {V.type_names('o')}))"

@@ -17,6 +17,6 @@ def attach_profile(records: DataFrame, profiles: DataFrame, url: str = "url") ->
     """
     one = (profiles.groupBy(F.lower("host").alias("_host")).agg(F.min("profile").alias("_profile")))
     order = records.columns
-    joined = records.drop("company_fixed").withColumn("_host", authority(F.col(url))).join(one, "_host", "left")
+    joined = records.drop("company_fixed").withColumn("_host", F.expr(authority(url))).join(one, "_host", "left")
     return (joined.withColumn("company_fixed", F.try_parse_json("_profile"))
             .select(*(order if "company_fixed" in order else [*order, "company_fixed"])))

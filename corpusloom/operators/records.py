@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.functions.text import falsy_coalesce, sha256_hex
+from corpusloom.functions.text import sha256_hex
 from corpusloom.operators.content import with_headings, with_images, with_links, with_tables, with_text_blocks
 from corpusloom.operators.classify import with_page_type
-from corpusloom.operators.entities import with_article, with_collection, with_product
+from corpusloom.operators.entities import TITLE, with_article, with_collection, with_product
 from corpusloom.operators.head import with_breadcrumbs, with_dates, with_head
 from corpusloom.sources.fetched import is_harvestable
 from corpusloom.sources.shred import shred_pages
@@ -18,12 +18,10 @@ RECORD = ("doc_id", "url", "requested_url", "http", "document_identifier", "page
 PAGE_TYPES = ("Product", "Article", "CollectionPage", "WebPage")
 
 
-def doc_id(url: Column, title: Column, blocks: Column) -> Column:
+def doc_id(url: str, title: str, blocks: str) -> str:
     """Identifier made of the canonical URL, the title and all text blocks."""
-    empty = F.lit("")
-    base = F.concat_ws("|", F.coalesce(url, empty), F.coalesce(title, empty),
-                       F.coalesce(F.array_join(blocks, "\n"), empty))
-    return F.concat(F.lit("sha256:"), sha256_hex(base))
+    base = f"concat_ws('|', coalesce({url}, ''), coalesce({title}, ''), coalesce(array_join({blocks}, '\\n'), ''))"
+    return f"concat('sha256:', {sha256_hex(base)})"
 
 
 def build_records(pages: DataFrame, site_host: str | None = None, site_origin: str | None = None,
@@ -36,35 +34,26 @@ def build_records(pages: DataFrame, site_host: str | None = None, site_origin: s
     df = with_breadcrumbs(with_dates(with_page_type(with_head(pages), site_origin)))
     df = with_links(with_images(with_tables(with_text_blocks(with_headings(df)))), site_host)
     df = with_collection(with_product(with_article(df)))
-    head, h1, links = F.col("head"), F.col("h1"), F.col("links")
-    title = falsy_coalesce(head["title"], h1)
 
-    def rich(kind: str) -> Column:
-        return F.transform(F.filter(links, lambda l: l["kind"] == kind),
-                           lambda l: F.struct(l["href"].alias("href"), l["text"].alias("text")))
+    def rich(kind: str) -> str:
+        return (f"transform(filter(links, l -> l.kind = '{kind}'), l -> struct(l.href AS href, l.text AS text)) "
+                f"AS {'downloads' if kind == 'download' else f'links_{kind}_rich'}")
 
-    def urls(kind: str) -> Column:
-        return F.array_sort(F.array_distinct(F.filter(links, lambda l: l["kind"] == kind)["href"]))
+    def urls(kind: str) -> str:
+        return f"array_sort(array_distinct(filter(links, l -> l.kind = '{kind}').href)) AS links_{kind}"
 
-    return df.select(
+    return df.selectExpr(
         *keep,
-        doc_id(head["canonical"], title, F.col("text_blocks")).alias("doc_id"),
-        F.col("final_url").alias("url"),
-        "requested_url",
-        F.struct(F.col("status").alias("status")).alias("http"),
-        F.struct(title.alias("title"), head["canonical"].alias("canonical"),
-                 F.lit(None).cast("string").alias("document_code"),
-                 F.col("page_type").alias("page_type")).alias("document_identifier"),
-        F.struct(head["meta_description"].alias("meta_description"), head["robots"].alias("robots"),
-                 head["og"].alias("og"), head["twitter"].alias("twitter"),
-                 F.col("breadcrumbs"), F.col("dates")).alias("page_meta"),
+        f"{doc_id('head.canonical', TITLE, 'text_blocks')} AS doc_id",
+        "final_url AS url", "requested_url", "struct(status AS status) AS http",
+        f"struct({TITLE} AS title, head.canonical AS canonical, cast(null AS string) AS document_code, "
+        "page_type AS page_type) AS document_identifier",
+        "struct(head.meta_description AS meta_description, head.robots AS robots, head.og AS og, "
+        "head.twitter AS twitter, breadcrumbs AS breadcrumbs, dates AS dates) AS page_meta",
         "jsonld",
-        F.struct("h1", "headings", "text_blocks", "tables", "images", rich("download").alias("downloads"),
-                 urls("internal").alias("links_internal"), urls("external").alias("links_external"),
-                 rich("internal").alias("links_internal_rich"),
-                 rich("external").alias("links_external_rich")).alias("content"),
-        F.lit(None).cast("variant").alias("company_fixed"),
-        "article", "product", "collection")
+        f"struct(h1, headings, text_blocks, tables, images, {rich('download')}, {urls('internal')}, {urls('external')}, "
+        f"{rich('internal')}, {rich('external')}) AS content",
+        "cast(null AS variant) AS company_fixed", "article", "product", "collection")
 
 
 def harvest_results(fetched: DataFrame, site_host: str | None = None, site_origin: str | None = None,
@@ -104,5 +93,5 @@ def duplicate_docs(records: DataFrame) -> DataFrame:
 
 def with_record_hash(records: DataFrame) -> DataFrame:
     """Add ``record_hash`` over the canonical JSON of the whole record."""
-    return records.withColumn("record_hash", sha256_hex(
-        F.to_json(F.struct(*RECORD), {"ignoreNullFields": "false"})))
+    return records.withColumn("record_hash", F.sha2(
+        F.to_json(F.struct(*RECORD), {"ignoreNullFields": "false"}), 256))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.functions import dom as D
-from corpusloom.functions.text import let, strip
+from corpusloom.functions.text import NO_STRINGS, let, lit, rx, strip
 from corpusloom.functions.urls import authority
 
 _XML = ("url array<struct<loc:string>>, sitemap array<struct<loc:string>>, loc array<string>, "
@@ -14,25 +14,22 @@ _XML = ("url array<struct<loc:string>>, sitemap array<struct<loc:string>>, loc a
 _LOOSE_LOC = r"(?i)<loc>\s*([^<\s]+)\s*</loc>"
 
 
-def _locs(xml: Column) -> Column:
+def _locs() -> str:
     """Locations of one document; text that is not XML is searched for ``<loc>`` instead."""
-    def listed(parsed: Column) -> Column:
-        found = F.concat(*[F.coalesce(part, F.array().cast("array<string>")) for part in (
-            parsed["sitemap"]["loc"], parsed["url"]["loc"], parsed["loc"])])
-        return F.transform(F.filter(found, lambda s: s.isNotNull()), strip)
+    def listed(parsed: str) -> str:
+        parts = ", ".join(f"coalesce({parsed}.{p}, {NO_STRINGS})" for p in ("sitemap.loc", "url.loc", "loc"))
+        return f"transform(filter(concat({parts}), s -> s IS NOT NULL), s -> {strip('s')})"
 
-    def choose(parsed: Column) -> Column:
-        plain = listed(parsed)
-        prefixed = listed(F.from_xml(xml, _XML, {"ignoreNamespace": "true"}))
-        return (F.when(parsed["_corrupt_record"].isNotNull(), F.regexp_extract_all(xml, F.lit(_LOOSE_LOC), F.lit(1)))
-                .when(F.size(plain) > 0, plain).otherwise(prefixed))
-
-    return let(F.from_xml(xml, _XML), choose)
+    # a prefix on the sitemap namespace itself shows as an empty first result
+    prefixed = f"from_xml(xml, {lit(_XML)}, map('ignoreNamespace', 'true'))"
+    return let("x", f"from_xml(xml, {lit(_XML)})", (
+        f"CASE WHEN x._corrupt_record IS NOT NULL THEN regexp_extract_all(xml, {rx(_LOOSE_LOC)}, 1) "
+        f"WHEN size({listed('x')}) > 0 THEN {listed('x')} ELSE {listed(prefixed)} END"))
 
 
 def sitemap_locs(sitemaps: DataFrame) -> DataFrame:
     """``(sitemap_url, pos, loc)`` of every document."""
-    return D.item_rows(sitemaps, "sitemap_url", _locs(F.col("xml")), "pos", "loc")
+    return D.item_rows(sitemaps, "sitemap_url", _locs(), "pos", "loc")
 
 
 def discover_frontier(sitemaps: DataFrame, is_index: Column, site_host: str | None = None) -> DataFrame:
@@ -43,13 +40,13 @@ def discover_frontier(sitemaps: DataFrame, is_index: Column, site_host: str | No
     index itself). There is exactly one level of nesting.
     """
     usable = sitemaps.where((F.col("status") == 200) & (F.col("xml") != ""))
-    host = F.lower(F.lit(site_host)) if site_host else authority(F.col("sitemap_url"))
+    host = F.lower(F.lit(site_host)) if site_host else F.expr(authority("sitemap_url"))
     named = (sitemap_locs(usable.where(is_index))
-             .where(authority(F.col("loc")) == host)
+             .where(F.expr(authority("loc")) == host)
              .select(F.col("loc").alias("sitemap_url")).distinct())
     children = usable.join(named, "sitemap_url", "left_semi")
     return (sitemap_locs(children)
-            .where(authority(F.col("loc")) == host)
+            .where(F.expr(authority("loc")) == host)
             .select(F.col("loc").alias("url")).distinct().orderBy("url"))
 
 
