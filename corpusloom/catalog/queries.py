@@ -116,7 +116,7 @@ def container_text(spark, sf_dir):
 @query
 def stripped_body_text(spark, sf_dir):
     """Text of the body after boilerplate removal."""
-    pages = D.add(crawled(spark, sf_dir), "container", D.first("dom", D.tag_in("body")))
+    pages = D.add(crawled(spark, sf_dir), container=D.first("dom", D.tag_in("body")))
     return containers.strip_boilerplate(pages).select("page_id", F.expr(D.text("container", " ")).alias("text"))
 
 
@@ -432,7 +432,7 @@ def corpus_signature(spark, sf_dir):
 
 @query
 def signature_per_site(spark, sf_dir):
-    hashed = D.add(_hashed_titles(spark, sf_dir), "host", U.authority("canonical"))
+    hashed = D.add(_hashed_titles(spark, sf_dir), host=U.authority("canonical"))
     return changes.corpus_signature(hashed, "host")
 
 

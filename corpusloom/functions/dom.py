@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.functions.text import lit, normalize_ws, rx
+from corpusloom.functions.text import let, lit, rx
 
 
 def descendants(node: str) -> str:
@@ -23,9 +23,14 @@ def raw_text(node: str) -> str:
 
 
 def text(node: str, separator: str) -> str:
-    """Readable text of a subtree, whitespace normalised; null without a node."""
+    """Readable text of a subtree, whitespace normalised; null without a node.
+
+    Text nodes come with collapsed whitespace, so only blanks that meet at node
+    borders are left to merge.
+    """
     joined = f"array_join({descendants(node)}.text, '{separator}')"
-    return f"CASE WHEN {node} IS NOT NULL THEN {normalize_ws(joined)} END"
+    merged = let("jt", joined, f"trim(CASE WHEN contains(jt, '  ') THEN regexp_replace(jt, {rx(' {2,}')}, ' ') ELSE jt END)")
+    return f"CASE WHEN {node} IS NOT NULL THEN {merged} END"
 
 
 def tag_in(*tags: str) -> str:
@@ -35,8 +40,10 @@ def tag_in(*tags: str) -> str:
 def has_class(*names: str) -> str:
     """One of the class names is set on the node."""
     if len(names) == 1:
-        return f"coalesce(array_contains(n.classes, {lit(names[0])}), false)"
-    return "coalesce(arrays_overlap(n.classes, array(" + ", ".join(map(lit, names)) + ")), false)"
+        test = f"array_contains(n.classes, {lit(names[0])})"
+    else:
+        test = "arrays_overlap(n.classes, array(" + ", ".join(map(lit, names)) + "))"
+    return f"(size(n.classes) > 0 AND {test})"
 
 
 def attr(name: str, node: str = "n") -> str:
@@ -76,6 +83,6 @@ def item_rows(pages: DataFrame, key, items: str | Column, pos: str, item: str) -
             .where(F.col(pos).isNotNull()))
 
 
-def add(pages: DataFrame, name: str, expression: str) -> DataFrame:
-    """Add a column given as SQL text."""
-    return pages.withColumn(name, F.expr(expression))
+def add(pages: DataFrame, **columns: str) -> DataFrame:
+    """Add columns given as SQL text, in one projection."""
+    return pages.withColumns({name: F.expr(text) for name, text in columns.items()})

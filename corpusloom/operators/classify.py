@@ -8,7 +8,7 @@ from corpusloom.functions import dom as D
 from corpusloom.functions.text import let, lit, normalize_heading, rx
 from corpusloom.functions.urls import url_key
 from corpusloom.operators.head import with_base
-from corpusloom.operators.jsonld import flatten_types, with_jsonld
+from corpusloom.operators.jsonld import flatten_types
 
 # JSON-LD types (lower case) by page type, and card markup.
 ARTICLE_TYPES = ("article", "newsarticle", "blogposting")
@@ -59,14 +59,7 @@ def is_card() -> str:
     return D.any_of(D.tag_in("article"), D.has_class(*CARD_CLASSES))
 
 
-def with_page_type(pages: DataFrame, site_origin: str | None = None) -> DataFrame:
-    """Add ``page_type``: Product, Article, CollectionPage or WebPage.
-
-    ``site_origin`` (``https://host``) names the one site of a harvest; without it
-    every page belongs to the site of its own URL.
-    """
-    if "page_type" in pages.columns:
-        return pages
+def page_type_sql(site_origin: str | None = None) -> str:
     site = lit(site_origin) if site_origin else "concat(base.scheme, '://', base.authority)"
     listing = f"{url_key('final_url')} = {url_key(f'concat({site}, {lit(LISTING_PATH)})')}"
 
@@ -80,7 +73,18 @@ def with_page_type(pages: DataFrame, site_origin: str | None = None) -> DataFram
         f"WHEN {holds(*COLLECTION_TYPES)} THEN 'CollectionPage' "
         f"WHEN {paged} AND size({D.select('dom', is_card())}) >= {CARDS_NEEDED} THEN 'CollectionPage' "
         "ELSE 'WebPage' END"))
-    return D.add(with_base(with_jsonld(pages)), "page_type", f"CASE WHEN {listing} THEN 'WebPage' ELSE {by_type} END")
+    return f"CASE WHEN {listing} THEN 'WebPage' ELSE {by_type} END"
+
+
+def with_page_type(pages: DataFrame, site_origin: str | None = None) -> DataFrame:
+    """Add ``page_type``: Product, Article, CollectionPage or WebPage.
+
+    ``site_origin`` (``https://host``) names the one site of a harvest; without it
+    every page belongs to the site of its own URL.
+    """
+    if "page_type" in pages.columns:
+        return pages
+    return D.add(with_base(pages), page_type=page_type_sql(site_origin))
 
 
 def classify_pages(pages: DataFrame, key: str = "page_id") -> DataFrame:

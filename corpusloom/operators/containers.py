@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from corpusloom.functions import dom as D
 from corpusloom.functions.text import let
@@ -50,8 +49,8 @@ def with_container(pages: DataFrame, kind: str | None = None) -> DataFrame:
         return pages
     main, article = _main_of(), f"coalesce({_article_of()}, {_main_of()})"
     if kind is not None:
-        return D.add(pages, "container", {"main": main, "article": article}[kind])
-    return D.add(with_page_type(pages), "container", (
+        return D.add(pages, container={"main": main, "article": article}[kind])
+    return D.add(with_page_type(pages), container=(
         f"CASE WHEN page_type IN ('Article', 'Product') THEN {article} ELSE {main} END"))
 
 
@@ -67,18 +66,19 @@ def strip_boilerplate(pages: DataFrame) -> DataFrame:
               "n -> struct(n.pre AS pre, n.last AS last))")
     topmost = (f"aggregate({ranges}, cast(array() AS array<struct<pre:int,last:int>>), (acc, r) -> "
                "CASE WHEN r.pre > coalesce(get(acc, size(acc) - 1).last, -1) THEN concat(acc, array(r)) ELSE acc END)")
-    piece = let("start", "coalesce(get(_cuts, i - 1).last + 1, 0)", (
+    piece = let("start", "coalesce(get(cuts, i - 1).last + 1, 0)", (
         "concat(slice(dom, start + 1, c.pre - start), "
         f"array_repeat(cast(null AS {NODE.simpleString()}), c.last - c.pre + 1))"))
-    end = "get(_cuts, size(_cuts) - 1).last"
-    return (D.add(D.add(with_container(pages), "_cuts", topmost), "dom", (
-        f"CASE WHEN size(_cuts) = 0 THEN dom ELSE concat(flatten(transform(_cuts, (c, i) -> {piece})), "
+    end = "get(cuts, size(cuts) - 1).last"
+    rebuilt = let("cuts", topmost, (
+        f"CASE WHEN size(cuts) = 0 THEN dom ELSE concat(flatten(transform(cuts, (c, i) -> {piece})), "
         f"slice(dom, {end} + 2, size(dom) - {end} - 1)) END"))
-        .drop("_cuts").withColumn("_stripped", F.lit(True)))
+    return D.add(with_container(pages), dom=rebuilt, _stripped="true")
 
 
 def with_content(pages: DataFrame) -> DataFrame:
-    """Add ``_content``, the nodes of the container with boilerplate nulled."""
+    """Add ``_content``, the elements of the container without boilerplate."""
     if "_content" in pages.columns:
         return pages
-    return D.add(strip_boilerplate(pages), "_content", D.descendants("container"))
+    elements = D.select(D.descendants("container"), "NOT startswith(n.tag, '#')")
+    return D.add(strip_boilerplate(pages), _content=elements)

@@ -23,15 +23,17 @@ def tables_of(nodes: str) -> str:
 
 
 def _blocks(nodes: str) -> str:
-    """``(i, tag, text)`` of every block long enough, first of equal texts only, in order.
+    """``(text, i, tag)`` of every block long enough, first of equal texts only, in order.
 
-    Sorted by (text, position), the first of each run of equal texts is the one to keep.
+    Only a page that repeats a text is sorted: by (text, position) the first of each
+    run of equal texts is the one to keep.
     """
     found = (f"transform({D.select(nodes, D.tag_in('p', 'li', 'blockquote'))}, (n, i) -> "
              f"struct({D.text('n', ' ')} AS text, i AS i, n.tag AS tag))")
     kept = f"filter({found}, b -> length(b.text) >= if(b.tag = 'li', {MIN_LIST_ITEM}, {MIN_BLOCK}))"
-    firsts = let("s", f"array_sort({kept})", "filter(s, (b, i) -> i = 0 OR b.text <> get(s, i - 1).text)")
-    return f"array_sort(transform({firsts}, b -> struct(b.i AS i, b.tag AS tag, b.text AS text)))"
+    firsts = let("s", "array_sort(bs)", "filter(s, (b, i) -> i = 0 OR b.text <> get(s, i - 1).text)")
+    by_place = f"transform(array_sort(transform({firsts}, b -> struct(b.i AS i, b AS b))), e -> e.b)"
+    return let("bs", kept, f"CASE WHEN size(array_distinct(bs.text)) = size(bs) THEN bs ELSE {by_place} END")
 
 
 def _links(nodes: str, site_host: str | None) -> str:
@@ -50,40 +52,52 @@ def _images(nodes: str) -> str:
     return f"filter(transform({D.select(nodes, D.tag_in('img'))}, n -> {image}), im -> im.src IS NOT NULL)"
 
 
+def headings_sql() -> dict[str, str]:
+    return {"h1": let("h", D.first("_content", D.tag_in("h1")), D.text("h", "")),
+            "headings": (f"transform({D.select('_content', D.tag_in('h2', 'h3'))}, "
+                         f"n -> struct(n.tag AS tag, {D.text('n', '')} AS text))")}
+
+
+def text_blocks_sql(typed: bool) -> str:
+    """Texts of the blocks; an article without any gives its whole text."""
+    if not typed:
+        return f"{_blocks('_content')}.text"
+    whole = f"filter(array({D.text('container', ' ')}), t -> t <> '')"
+    return let("tb", f"{_blocks('_content')}.text", (
+        f"CASE WHEN page_type = 'Article' AND size(tb) = 0 THEN {whole} ELSE tb END"))
+
+
+def content_sql(site_host: str | None = None) -> dict[str, str]:
+    """All content columns of a page, to be added in one projection."""
+    return {**headings_sql(), "text_blocks": text_blocks_sql(True), "tables": tables_of("_content"),
+            "images": _images("_content"), "links": _links("_content", site_host)}
+
+
 def with_headings(pages: DataFrame) -> DataFrame:
     """Add ``h1`` (first one) and ``headings`` (all h2 and h3, blank ones too)."""
-    if "headings" in pages.columns:
-        return pages
-    pages = D.add(with_content(pages), "h1", let("h", D.first("_content", D.tag_in("h1")), D.text("h", "")))
-    return D.add(pages, "headings", (f"transform({D.select('_content', D.tag_in('h2', 'h3'))}, "
-                                     f"n -> struct(n.tag AS tag, {D.text('n', '')} AS text))"))
+    return pages if "headings" in pages.columns else D.add(with_content(pages), **headings_sql())
 
 
 def with_text_blocks(pages: DataFrame) -> DataFrame:
-    """Add ``blocks`` (i, tag, text) and ``text_blocks``; an article without any gives its whole text."""
+    """Add ``text_blocks``; with the page type known, articles without blocks give their whole text."""
     if "text_blocks" in pages.columns:
         return pages
-    pages = D.add(with_content(pages), "blocks", _blocks("_content"))
-    if "page_type" not in pages.columns:
-        return D.add(pages, "text_blocks", "blocks.text")
-    return D.add(pages, "text_blocks", (
-        "CASE WHEN page_type = 'Article' AND size(blocks) = 0 "
-        f"THEN filter(array({D.text('container', ' ')}), t -> t <> '') ELSE blocks.text END"))
+    return D.add(with_content(pages), text_blocks=text_blocks_sql("page_type" in pages.columns))
 
 
 def with_tables(pages: DataFrame) -> DataFrame:
-    return pages if "tables" in pages.columns else D.add(with_content(pages), "tables", tables_of("_content"))
+    return pages if "tables" in pages.columns else D.add(with_content(pages), tables=tables_of("_content"))
 
 
 def with_images(pages: DataFrame) -> DataFrame:
-    return pages if "images" in pages.columns else D.add(with_content(with_base(pages)), "images", _images("_content"))
+    return pages if "images" in pages.columns else D.add(with_content(with_base(pages)), images=_images("_content"))
 
 
 def with_links(pages: DataFrame, site_host: str | None = None) -> DataFrame:
     """Add ``links`` (href, text, kind) in document order."""
     if "links" in pages.columns:
         return pages
-    return D.add(with_content(with_base(pages)), "links", _links("_content", site_host))
+    return D.add(with_content(with_base(pages)), links=_links("_content", site_host))
 
 
 # Fact tables: one row per item, exploded in place without a shuffle.
@@ -117,7 +131,7 @@ def links(pages: DataFrame, site_host: str | None = None, whole_page: bool = Fal
           key: str = "page_id") -> DataFrame:
     """``(page_id, pos, href, text, kind)`` of the content, or of the whole page."""
     if whole_page:
-        pages = D.add(with_base(pages), "links", _links("dom", site_host))
+        pages = D.add(with_base(pages), links=_links("dom", site_host))
     else:
         pages = with_links(pages, site_host)
     return D.item_rows(pages, key, "links", "pos", "l").select(key, "pos", "l.href", "l.text", "l.kind")

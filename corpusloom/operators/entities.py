@@ -31,10 +31,8 @@ def section_extents(nodes: str) -> str:
         "ELSE get(dom, h.parent).last + 1 END AS stop)))"))
 
 
-def with_sections(pages: DataFrame) -> DataFrame:
-    """Add ``sections``: classified h2 to h4 headings with the texts and tables that belong to them."""
-    if "sections" in pages.columns:
-        return pages
+def sections_sql() -> str:
+    """Classified h2 to h4 headings of products with the texts and tables that belong to them."""
     keyed = (f"filter(transform(filter({section_extents('_content')}, h -> h.tag <> 'h1'), "
              f"h -> struct(h AS h, {classify_heading(D.text('h', ' '))} AS section)), k -> k.section IS NOT NULL)")
     siblings = D.select("slice(dom, k.h.last + 2, k.h.stop - k.h.last - 1)", "n.parent = k.h.parent")
@@ -44,7 +42,7 @@ def with_sections(pages: DataFrame) -> DataFrame:
     body = let("sibs", siblings, (
         f"struct(k.h.pre AS pre, k.section AS section, filter(flatten(transform(sibs, n -> {texts})), t -> t <> '') AS texts, "
         f"{tables_of('sibs')} AS tables)"))
-    return D.add(with_content(pages), "sections", f"transform({keyed}, k -> {body})")
+    return f"CASE WHEN page_type = 'Product' THEN transform({keyed}, k -> {body}) END"
 
 
 def _section_text(name: str) -> str:
@@ -61,25 +59,27 @@ def _spec_tables() -> str:
     return let("ts", found, "CASE WHEN size(ts) > 0 THEN ts END")
 
 
+def product_sql() -> str:
+    """The product branch, from ``sections``, ``jsonld``, ``h1`` and ``head``."""
+    named = (f"filter(transform(filter(jsonld, o -> {V.plain_type('o')} = 'product'), "
+             f"o -> {V.string_member('o', 'name')}), m -> m IS NOT NULL)")
+    parts = (f"struct({_section_text('specifications')} AS specs, {_section_text('applications_uses')} AS uses, "
+             f"{_spec_tables()} AS tables)")
+    sections = let("pt", parts, (
+        f"struct({_section_text('description')} AS description_of_product, {_section_text('what_is')} AS what_is_product, "
+        f"{_section_text('other_names')} AS other_names, struct(pt.specs AS text, pt.tables AS tables) AS specifications, "
+        f"pt.uses AS applications_and_uses, {_section_text('packing')} AS packing, pt.uses AS uses_applications, "
+        f"pt.tables AS grades_specs, {NO_STRINGS} AS faqs)"))
+    return (f"CASE WHEN page_type = 'Product' THEN struct({falsy_coalesce(first(named), 'h1', TITLE)} AS name, "
+            f"{sections} AS sections) END")
+
+
 def with_product(pages: DataFrame) -> DataFrame:
     """Add ``product`` for Product pages, null for others."""
     if "product" in pages.columns:
         return pages
-    pages = with_sections(with_headings(with_head(with_content(pages))))
-    named = (f"filter(transform(filter(jsonld, o -> {V.plain_type('o')} = 'product'), "
-             f"o -> {V.string_member('o', 'name')}), m -> m IS NOT NULL)")
-    pages = D.add(pages, "sections", "CASE WHEN page_type = 'Product' THEN sections END")
-    pages = D.add(pages, "_parts", (
-        f"struct({_section_text('description')} AS description, {_section_text('what_is')} AS what_is, "
-        f"{_section_text('other_names')} AS other_names, {_section_text('specifications')} AS specs, "
-        f"{_section_text('applications_uses')} AS uses, {_section_text('packing')} AS packing, "
-        f"{_spec_tables()} AS tables)"))
-    return D.add(pages, "product", (
-        f"CASE WHEN page_type = 'Product' THEN struct({falsy_coalesce(first(named), 'h1', TITLE)} AS name, struct("
-        "_parts.description AS description_of_product, _parts.what_is AS what_is_product, _parts.other_names AS other_names, "
-        "struct(_parts.specs AS text, _parts.tables AS tables) AS specifications, _parts.uses AS applications_and_uses, "
-        "_parts.packing AS packing, _parts.uses AS uses_applications, _parts.tables AS grades_specs, "
-        f"{NO_STRINGS} AS faqs) AS sections) END")).drop("_parts", "sections")
+    pages = D.add(with_headings(with_head(with_content(pages))), sections=sections_sql())
+    return D.add(pages, product=product_sql()).drop("sections")
 
 
 def _strings(key: str, whole) -> str:
@@ -97,14 +97,23 @@ def _one_of(key: str, value) -> str:
     return f"filter(transform(_article_objs, o -> {per_object}), x -> x IS NOT NULL)"
 
 
-def with_article(pages: DataFrame) -> DataFrame:
-    """Add ``article`` for Article pages, null for others."""
-    if "article" in pages.columns:
-        return pages
+def article_inputs_sql() -> dict[str, str]:
+    """What the article branch needs from the page: its JSON-LD objects and two kinds of metas.
+
+    Metas inside removed boilerplate no longer count.
+    """
+    def contents(name: str) -> str:
+        kept = f"{D.tag_in('meta')} AND {D.attr_is('property', name)} AND get(dom, n.pre) IS NOT NULL"
+        return f"transform({D.select('_marks', kept)}, n -> coalesce({D.attr('content')}, ''))"
+
+    objects = f"filter(jsonld, o -> {V.plain_type('o')} IN ({', '.join(map(lit, ARTICLE_TYPES))}))"
+    return {"_article_objs": f"CASE WHEN page_type = 'Article' THEN {objects} END",
+            "_article_tags": f"CASE WHEN page_type = 'Article' THEN {contents('article:tag')} END",
+            "_article_section": f"CASE WHEN page_type = 'Article' THEN get({contents('article:section')}, 0) END"}
 
-    def metas(name: str) -> str:
-        return D.select("dom", D.tag_in("meta") + " AND " + D.attr_is("property", name))
 
+def article_sql() -> str:
+    """The article branch, from its inputs, ``images``, ``h1`` and ``head``."""
     def name_of(v: str) -> str:
         return f"CASE WHEN {V.is_object(v)} THEN {V.string_member(v, 'name')} END"
 
@@ -115,29 +124,31 @@ def with_article(pages: DataFrame) -> DataFrame:
         return let("f", src, f"CASE WHEN f IS NOT NULL THEN struct(f AS src, {alt} AS alt) END")
 
     author = let("au", _one_of("author", name_of), "coalesce(get(filter(au, x -> x <> ''), 0), get(au, 0))")
-    meta_section = let("ms", non_empty(f"get({metas('article:section')}, 0).attrs['content']"),
-                       f"CASE WHEN ms IS NULL THEN {NO_STRINGS} ELSE array({strip('ms')}) END")
+    meta_section = f"CASE WHEN _article_section <> '' THEN array({strip('_article_section')}) ELSE {NO_STRINGS} END"
     categories = _strings("articleSection", lambda s: f"filter(array({strip(s)}), x -> x <> '')")
-    meta_tags = f"filter(transform({metas('article:tag')}, n -> {strip(D.attr('content'))}), x -> x <> '')"
+    meta_tags = f"filter(transform(_article_tags, x -> {strip('x')}), x -> x <> '')"
     usable = ("get(filter(images, im -> NOT startswith(im.src, 'data:') AND NOT contains(lower(im.alt), 'logo') "
               "AND NOT contains(lower(im.alt), 'avatar')), 0)")
     og_image = "coalesce(head.og['og:image'], head.og['og:image:url'])"
     from_content = let("im", usable, feature("im.src", non_empty("im.alt")))
     featured = f"coalesce({feature(first(_one_of('image', src_of)))}, {feature(og_image)}, {from_content})"
-    objects = f"filter(jsonld, o -> {V.plain_type('o')} IN ({', '.join(map(lit, ARTICLE_TYPES))}))"
-    pages = with_images(with_headings(with_head(with_content(pages))))
-    pages = D.add(pages, "_article_objs", f"CASE WHEN page_type = 'Article' THEN {objects} END")
-    return D.add(pages, "article", (
-        f"CASE WHEN page_type = 'Article' THEN struct({falsy_coalesce('h1', TITLE)} AS headline, {author} AS author, "
-        f"array_sort(array_distinct(concat({categories}, {meta_section}))) AS categories, "
-        f"array_sort(array_distinct(concat({_strings('keywords', split_trim)}, {meta_tags}))) AS tags, "
-        f"{featured} AS featured_image) END")).drop("_article_objs")
+    return (f"CASE WHEN page_type = 'Article' THEN struct({falsy_coalesce('h1', TITLE)} AS headline, {author} AS author, "
+            f"array_sort(array_distinct(concat({categories}, {meta_section}))) AS categories, "
+            f"array_sort(array_distinct(concat({_strings('keywords', split_trim)}, {meta_tags}))) AS tags, "
+            f"{featured} AS featured_image) END")
 
 
-def with_collection(pages: DataFrame) -> DataFrame:
-    """Add ``collection`` for CollectionPage pages, null for others."""
-    if "collection" in pages.columns:
+def with_article(pages: DataFrame) -> DataFrame:
+    """Add ``article`` for Article pages, null for others."""
+    if "article" in pages.columns:
         return pages
+    inputs = article_inputs_sql()
+    pages = D.add(with_images(with_headings(with_head(with_content(pages)))), **inputs)
+    return D.add(pages, article=article_sql()).drop(*inputs)
+
+
+def items_sql() -> str:
+    """Cards of collection pages with a link, in document order."""
     excerpt = D.attr_like("class", "(?:excerpt|summary|entry-summary)")
     parts = let("inside", D.descendants("card"), (
         f"struct(card AS card, {D.first('inside', D.tag_in('a') + ' AND ' + D.attr('href') + ' IS NOT NULL')} AS a, "
@@ -147,11 +158,22 @@ def with_collection(pages: DataFrame) -> DataFrame:
     item = (f"struct(coalesce({non_empty(D.text('c.a', ''))}, {D.text('c.card', '')}) AS title, "
             f"{make_abs('base', D.attr('href', 'c.a'))} AS url, {D.text('c.excerpt', '')} AS excerpt, "
             f"{thumb} AS thumb, cast(null AS string) AS date)")
-    pages = with_headings(with_head(with_content(pages)))
-    return D.add(pages, "collection", (
-        f"CASE WHEN page_type = 'CollectionPage' THEN struct({falsy_coalesce('h1', TITLE)} AS name, "
-        "cast(null AS string) AS description, struct(1 AS page, cast(null AS int) AS total_pages) AS pagination, "
-        f"transform({cards}, c -> {item}) AS items) END"))
+    return f"CASE WHEN page_type = 'CollectionPage' THEN transform({cards}, c -> {item}) END"
+
+
+def collection_sql() -> str:
+    """The collection branch, from ``_items``, ``h1`` and ``head``."""
+    return (f"CASE WHEN page_type = 'CollectionPage' THEN struct({falsy_coalesce('h1', TITLE)} AS name, "
+            "cast(null AS string) AS description, struct(1 AS page, cast(null AS int) AS total_pages) AS pagination, "
+            "_items AS items) END")
+
+
+def with_collection(pages: DataFrame) -> DataFrame:
+    """Add ``collection`` for CollectionPage pages, null for others."""
+    if "collection" in pages.columns:
+        return pages
+    pages = D.add(with_headings(with_head(with_content(pages))), _items=items_sql())
+    return D.add(pages, collection=collection_sql()).drop("_items")
 
 
 def article_facts(pages: DataFrame, key: str = "page_id") -> DataFrame:

@@ -8,12 +8,14 @@ from corpusloom.functions import dom as D
 from corpusloom.functions import variants as V
 from corpusloom.functions.text import first, let, non_empty, normalize_ws, strip
 from corpusloom.functions.urls import make_abs, split_url
-from corpusloom.operators.jsonld import with_jsonld
+from corpusloom.operators.jsonld import JSONLD, MARKS
 
 
 def with_base(pages: DataFrame) -> DataFrame:
-    """Add ``base``, the split final URL all references of the page resolve against."""
-    return pages if "base" in pages.columns else D.add(pages, "base", split_url("final_url"))
+    """Add ``base`` (the split final URL all references resolve against), ``jsonld`` and ``_marks``."""
+    if "base" in pages.columns:
+        return pages
+    return D.add(pages, base=split_url("final_url"), jsonld=JSONLD, _marks=MARKS)
 
 
 def _meta_map(name: str, prefix: str) -> str:
@@ -21,7 +23,7 @@ def _meta_map(name: str, prefix: str) -> str:
 
     Sorted by (key, latest first), the first entry of each run is the one to keep.
     """
-    metas = D.select("_metas", f"{D.attr_like(name, f'^{prefix}:')} AND {D.attr('content')} <> ''")
+    metas = D.select("_marks", f"n.tag = 'meta' AND {D.attr_like(name, f'^{prefix}:')} AND {D.attr('content')} <> ''")
     ranked = (f"array_sort(transform({metas}, (n, i) -> "
               f"struct(lower({D.attr(name)}) AS k, -i AS latest, {D.attr('content')} AS v)))")
     kept = let("r", ranked, "filter(r, (p, i) -> i = 0 OR p.k <> get(r, i - 1).k)")
@@ -30,55 +32,52 @@ def _meta_map(name: str, prefix: str) -> str:
 
 def _meta_content(name: str, pattern: str) -> str:
     """Content of the first meta whose name matches; '' when it has none, null without such a meta."""
-    return let("m", D.first("_metas", D.attr_like(name, pattern)),
+    return let("m", D.first("_marks", "n.tag = 'meta' AND " + D.attr_like(name, pattern)),
                f"CASE WHEN m IS NOT NULL THEN {normalize_ws(D.attr('content', 'm'))} END")
 
 
-def with_head(pages: DataFrame) -> DataFrame:
-    """Add ``head``: title, canonical, meta_description, robots, og, twitter."""
-    if "head" in pages.columns:
-        return pages
-    link = D.first("dom", "n.tag = 'link' AND " + D.attr_like("rel", r"\bcanonical\b"))
+def head_sql() -> str:
+    link = D.first("_marks", "n.tag = 'link' AND " + D.attr_like("rel", r"\bcanonical\b"))
     canonical = let("c", non_empty(strip(f"{link}.attrs['href']")),
                     f"CASE WHEN c IS NULL THEN final_url ELSE {make_abs('base', 'c')} END")
-    title = let("t", D.first("dom", "n.tag = 'title'"), D.text("t", ""))
-    pages = D.add(with_base(pages), "_metas", D.select("dom", "n.tag = 'meta'"))
-    return D.add(pages, "head", (
-        f"struct({title} AS title, {canonical} AS canonical, "
-        f"{_meta_content('name', '^description$')} AS meta_description, "
-        f"{_meta_content('name', 'robots')} AS robots, "
-        f"{_meta_map('property', 'og')} AS og, {_meta_map('name', 'twitter')} AS twitter)")).drop("_metas")
+    title = let("t", D.first("_marks", "n.tag = 'title'"), D.text("t", ""))
+    return (f"struct({title} AS title, {canonical} AS canonical, "
+            f"{_meta_content('name', '^description$')} AS meta_description, "
+            f"{_meta_content('name', 'robots')} AS robots, "
+            f"{_meta_map('property', 'og')} AS og, {_meta_map('name', 'twitter')} AS twitter)")
 
 
-def with_dates(pages: DataFrame) -> DataFrame:
-    """Add ``dates``: published and modified as found, never parsed."""
-    if "dates" in pages.columns:
-        return pages
+def with_head(pages: DataFrame) -> DataFrame:
+    """Add ``head``: title, canonical, meta_description, robots, og, twitter."""
+    return pages if "head" in pages.columns else D.add(with_base(pages), head=head_sql())
 
+
+def dates_sql() -> str:
     def values(*keys: str) -> str:
         members = ", ".join(V.string_member("o", k) for k in keys)
         return f"filter(flatten(transform(jsonld, o -> array({members}))), d -> d IS NOT NULL)"
 
     def meta(name: str) -> str:
-        return non_empty(f"{D.first('dom', D.tag_in('meta') + ' AND ' + D.attr_is('property', name))}"
-                         ".attrs['content']")
+        return non_empty(D.first("_marks", D.tag_in("meta") + " AND " + D.attr_is("property", name)) + ".attrs['content']")
 
     def pick(found: str, *fallback: str) -> str:
         return let("ds", found, f"coalesce(get(filter(ds, d -> d <> ''), 0), {', '.join(fallback)}, get(ds, 0))")
 
     published = pick(values("datePublished", "dateCreated"), meta("article:published_time"))
     modified = pick(values("dateModified", "dateUpdated"), meta("article:modified_time"), meta("og:updated_time"))
-    return D.add(with_jsonld(pages), "dates", f"struct({published} AS published, {modified} AS modified)")
+    return f"struct({published} AS published, {modified} AS modified)"
+
+
+def with_dates(pages: DataFrame) -> DataFrame:
+    """Add ``dates``: published and modified as found, never parsed."""
+    return pages if "dates" in pages.columns else D.add(with_base(pages), dates=dates_sql())
 
 
 def page_dates(pages: DataFrame, key: str = "page_id") -> DataFrame:
     return with_dates(pages).select(key, "dates.published", "dates.modified")
 
 
-def with_breadcrumbs(pages: DataFrame) -> DataFrame:
-    """Add ``breadcrumbs``: from the first breadcrumb list with named items, else from the page's trail."""
-    if "breadcrumbs" in pages.columns:
-        return pages
+def breadcrumbs_sql() -> str:
     lists = f"filter(jsonld, o -> coalesce({V.string_member('o', '@type')} = 'BreadcrumbList', false))"
     entries = (f"filter({V.items(V.member('o', 'itemListElement'))}, "
                f"i -> {V.is_object('i')} AND coalesce({V.is_object(V.member('i', 'item'))}, false))")
@@ -88,12 +87,16 @@ def with_breadcrumbs(pages: DataFrame) -> DataFrame:
     nav = D.first("dom", D.any_of(D.has_class("breadcrumb"),
                                   "n.tag = 'nav' AND " + D.attr_like("aria-label", "breadcrumb")))
     href = D.attr("href")
-    anchors = (f"transform({D.select(D.descendants('_nav'), D.tag_in('a'))}, n -> "
-               f"struct({D.text('n', '')} AS name, CASE WHEN {href} <> '' THEN {make_abs('base', href)} END AS url))")
-    pages = D.add(with_base(with_jsonld(pages)), "_nav", nav)
-    return D.add(pages, "breadcrumbs", (
-        f"coalesce({first(f'filter({trails}, t -> size(t) > 0)')}, filter({anchors}, c -> c.name <> ''), "
-        "cast(array() AS array<struct<name:string,url:string>>))")).drop("_nav")
+    anchors = let("nav", nav, (
+        f"transform({D.select(D.descendants('nav'), D.tag_in('a'))}, n -> "
+        f"struct({D.text('n', '')} AS name, CASE WHEN {href} <> '' THEN {make_abs('base', href)} END AS url))"))
+    return (f"coalesce({first(f'filter({trails}, t -> size(t) > 0)')}, filter({anchors}, c -> c.name <> ''), "
+            "cast(array() AS array<struct<name:string,url:string>>))")
+
+
+def with_breadcrumbs(pages: DataFrame) -> DataFrame:
+    """Add ``breadcrumbs``: from the first breadcrumb list with named items, else from the page's trail."""
+    return pages if "breadcrumbs" in pages.columns else D.add(with_base(pages), breadcrumbs=breadcrumbs_sql())
 
 
 def breadcrumbs(pages: DataFrame, key: str = "page_id") -> DataFrame:

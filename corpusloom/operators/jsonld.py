@@ -9,13 +9,17 @@ from corpusloom.functions import variants as V
 from corpusloom.functions.text import let
 
 _SCRIPTS = D.select("dom", "n.tag = 'script' AND " + D.attr_like("type", r"application/ld\+json"))
+# The nodes metadata is read from; everything in the head needs only these.
+MARKS = D.select("dom", D.tag_in("title", "meta", "link"))
 # One list of objects per script; a script that is not JSON has none.
 _OBJECTS = f"transform({_SCRIPTS}, n -> {let('v', V.tolerant_json(D.raw_text('n')), V.top_level_objects('v'))})"
 
+JSONLD = f"flatten({_OBJECTS})"
+
 
 def with_jsonld(pages: DataFrame) -> DataFrame:
     """Add ``jsonld``, all JSON-LD objects of the page in document order."""
-    return pages if "jsonld" in pages.columns else D.add(pages, "jsonld", f"flatten({_OBJECTS})")
+    return pages if "jsonld" in pages.columns else D.add(pages, jsonld=JSONLD)
 
 
 def extract_jsonld(pages: DataFrame, key: str = "page_id") -> DataFrame:

@@ -5,11 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusloom.functions import dom as D
 from corpusloom.functions.text import sha256_hex
-from corpusloom.operators.content import with_headings, with_images, with_links, with_tables, with_text_blocks
-from corpusloom.operators.classify import with_page_type
-from corpusloom.operators.entities import TITLE, with_article, with_collection, with_product
-from corpusloom.operators.head import with_breadcrumbs, with_dates, with_head
+from corpusloom.operators.classify import page_type_sql
+from corpusloom.operators.containers import with_content
+from corpusloom.operators.content import content_sql
+from corpusloom.operators.entities import (
+    TITLE, article_inputs_sql, article_sql, collection_sql, items_sql, product_sql, sections_sql)
+from corpusloom.operators.head import breadcrumbs_sql, dates_sql, head_sql, with_base
 from corpusloom.sources.fetched import is_harvestable
 from corpusloom.sources.shred import shred_pages
 
@@ -29,11 +32,13 @@ def build_records(pages: DataFrame, site_host: str | None = None, site_origin: s
     """Records of shredded pages, plus the ``keep`` columns. One narrow stage, no shuffle.
 
     JSON-LD, head data and the page type read the whole page; content is read after
-    boilerplate removal.
+    boilerplate removal. Columns are added in few projections, because each one
+    copies the node array of the page.
     """
-    df = with_breadcrumbs(with_dates(with_page_type(with_head(pages), site_origin)))
-    df = with_links(with_images(with_tables(with_text_blocks(with_headings(df)))), site_host)
-    df = with_collection(with_product(with_article(df)))
+    df = D.add(with_base(pages), head=head_sql(), dates=dates_sql(), breadcrumbs=breadcrumbs_sql(),
+               page_type=page_type_sql(site_origin))
+    df = D.add(with_content(df), **content_sql(site_host), **article_inputs_sql(),
+               sections=sections_sql(), _items=items_sql())
 
     def rich(kind: str) -> str:
         return (f"transform(filter(links, l -> l.kind = '{kind}'), l -> struct(l.href AS href, l.text AS text)) "
@@ -53,7 +58,8 @@ def build_records(pages: DataFrame, site_host: str | None = None, site_origin: s
         "jsonld",
         f"struct(h1, headings, text_blocks, tables, images, {rich('download')}, {urls('internal')}, {urls('external')}, "
         f"{rich('internal')}, {rich('external')}) AS content",
-        "cast(null AS variant) AS company_fixed", "article", "product", "collection")
+        "cast(null AS variant) AS company_fixed", f"{article_sql()} AS article", f"{product_sql()} AS product",
+        f"{collection_sql()} AS collection")
 
 
 def harvest_results(fetched: DataFrame, site_host: str | None = None, site_origin: str | None = None,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,6 +21,9 @@ def configure(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as named in ``spark.checkpoint.dir``."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not folder and spark.sparkContext.master.startswith("local"):
+        folder = tempfile.mkdtemp(prefix="corpusloom-")  # one machine: driver and executors share it
+        spark.conf.set("spark.checkpoint.dir", folder)
     if not folder:
         raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
     return folder.rstrip("/")

@@ -9,14 +9,19 @@ and everything after this step is built-in Spark expressions without a shuffle.
 from __future__ import annotations
 
 import re
+import sys
 from collections.abc import Iterator
 from html import unescape
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# Ship the parser with the task, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 NODE = T.StructType([
     T.StructField("pre", T.IntegerType()),
     T.StructField("last", T.IntegerType()),
@@ -25,7 +30,7 @@ NODE = T.StructType([
     T.StructField("tag", T.StringType()),       # '#document', '#text', '#raw' or an element name
     T.StructField("classes", T.ArrayType(T.StringType())),
     T.StructField("attrs", T.MapType(T.StringType(), T.StringType())),
-    T.StructField("text", T.StringType()),      # readable text nodes only
+    T.StructField("text", T.StringType()),      # readable text nodes only, whitespace collapsed
     T.StructField("raw", T.StringType()),       # text inside script, style, template, rt, rp
 ])
 DOM = T.ArrayType(NODE)
@@ -81,27 +86,34 @@ class _Nodes:
         self.parent: list[int | None] = []
         self.level: list[int] = []
         self.tag: list[str] = []
-        self.classes: list[list[str] | None] = []
-        self.attrs: list[list[tuple[str, str]]] = []
+        self.classes: list[str] = []
+        self.class_ends = [0]
+        self.attr_names: list[str] = []
+        self.attr_values: list[str] = []
+        self.attr_ends = [0]
         self.text: list[str | None] = []
         self.raw: list[str | None] = []
         self.errors: list[str | None] = []
 
-    def _add(self, tag, classes=None, attrs=(), text=None, raw=None) -> int:
+    def _add(self, tag, attrs=None, text=None, raw=None) -> int:
         pre = len(self.tag) - self.base
         self.last.append(pre)
         self.parent.append(self.open[-1] if self.open else None)
         self.level.append(len(self.open))
         self.tag.append(tag)
-        self.classes.append(classes)
-        self.attrs.append(attrs)
+        if attrs:
+            self.attr_names.extend(attrs)
+            self.attr_values.extend(attrs.values())
+            if "class" in attrs:
+                self.classes.extend(attrs["class"].split())
+        self.attr_ends.append(len(self.attr_names))
+        self.class_ends.append(len(self.classes))
         self.text.append(text)
         self.raw.append(raw)
         return pre
 
     def _push(self, tag: str, attrs: dict[str, str] | None = None) -> None:
-        words = attrs["class"].split() if attrs and "class" in attrs else None
-        pre = self._add(tag, words, list(attrs.items()) if attrs else ())
+        pre = self._add(tag, attrs)
         self.open.append(pre)
         self.names.append(tag)
         self.count[tag] = self.count.get(tag, 0) + 1
@@ -125,15 +137,15 @@ class _Nodes:
             if self._is_open(_RAW_TEXT):
                 self._add("#raw", raw=text)
             else:
-                self._add("#text", text=text)
+                self._add("#text", text=_collapse(text))
 
-    def _ensure_body(self) -> None:
+    def _ensure_body(self, attrs: dict[str, str] | None = None) -> None:
         if not self.body:
             if self.count.get("head"):
                 self._pop_to(self.names.index("head"))
             if len(self.names) == 1:
                 self._push("html")
-            self._push("body")
+            self._push("body", attrs)
             self.head = self.body = True
 
     def _data(self, text: str) -> None:
@@ -150,9 +162,7 @@ class _Nodes:
             if tag == "html" and len(self.names) == 1:
                 self._push("html", attrs)
             elif tag == "body" and not self.body:
-                self._ensure_body()
-                self.attrs[-1] = list(attrs.items())
-                self.classes[-1] = attrs["class"].split() if "class" in attrs else None
+                self._ensure_body(attrs)
             elif tag == "head" and not self.head:
                 if len(self.names) == 1:
                     self._push("html")
@@ -237,26 +247,39 @@ class _Nodes:
                 self._parse(html)
             except Exception as exc:  # the row carries its own error, the job goes on
                 error = f"{type(exc).__name__}: {exc}"
-                for column in (self.last, self.parent, self.level, self.tag, self.classes,
-                               self.attrs, self.text, self.raw):
+                for column in (self.last, self.parent, self.level, self.tag, self.text, self.raw):
                     del column[self.base:]
+                for ends, items in ((self.class_ends, [self.classes]),
+                                    (self.attr_ends, [self.attr_names, self.attr_values])):
+                    del ends[self.base + 1:]
+                    for column in items:
+                        del column[ends[-1]:]
         self.offsets.append(len(self.tag))
         self.errors.append(error)
 
     def columns(self) -> tuple[pa.Array, pa.Array]:
         pre = [i for a, b in zip(self.offsets, self.offsets[1:]) for i in range(b - a)]
         text = pa.string()
+        classes = pa.ListArray.from_arrays(pa.array(self.class_ends, pa.int32()), pa.array(self.classes, text))
+        attrs = pa.MapArray.from_arrays(pa.array(self.attr_ends, pa.int32()),
+                                        pa.array(self.attr_names, text), pa.array(self.attr_values, text))
         node = pa.StructArray.from_arrays(
             [pa.array(pre, pa.int32()), pa.array(self.last, pa.int32()),
              pa.array(self.parent, pa.int32()), pa.array(self.level, pa.int32()),
-             pa.array(self.tag, text), pa.array(self.classes, pa.list_(text)),
-             pa.array(self.attrs, pa.map_(text, text)),
-             pa.array(self.text, text), pa.array(self.raw, text)],
+             pa.array(self.tag, text), classes, attrs, pa.array(self.text, text), pa.array(self.raw, text)],
             names=NODE.names)
         return (pa.ListArray.from_arrays(pa.array(self.offsets, pa.int32()), node),
                 pa.array(self.errors, text))
 
 
+def _collapse(text: str) -> str:
+    """Runs of whitespace to one blank; blanks at the ends stay, they separate neighbouring nodes."""
+    words = " ".join(text.split())
+    if not words:
+        return " "
+    return (" " if text[0].isspace() else "") + words + (" " if text[-1].isspace() else "")
+
+
 def _attributes(source: str) -> tuple[dict[str, str], bool]:
     """Attributes of a start tag (the first of a repeated name counts), and whether it ends in a slash."""
     out: dict[str, str] = {}
