@@ -70,6 +70,12 @@ def collection_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return render.collections(table(spark, sf_dir, "supplier"))
 
 
+def trail_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trails = render.trails(*(table(spark, sf_dir, name) for name in ("customer", "nation", "region")))
+    # small customers tables end up as the broadcast side, which leaves one partition to parse
+    return trails.repartition(spark.sparkContext.defaultParallelism * 2, "page_key")
+
+
 def mixed_site(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All kinds of rendered pages together with the crawl; some fetches of the crawl fail."""
     crawl = scan(spark, sf_dir, "pages").select(F.col("page_id").cast("string").alias("page_key"), "url", "html")
@@ -198,14 +204,14 @@ def page_dates(spark, sf_dir):
 
 @query
 def breadcrumbs(spark, sf_dir):
-    trails = render.trails(scan(spark, sf_dir, "customer"), table(spark, sf_dir, "nation"), table(spark, sf_dir, "region"))
+    trails = trail_pages(spark, sf_dir)
     return head.breadcrumbs(shredded(trails), key="page_key")
 
 
 @query
 def breadcrumb_trails(spark, sf_dir):
     """Trails as one string, the form of the site CSV."""
-    trails = render.trails(scan(spark, sf_dir, "customer"), table(spark, sf_dir, "nation"), table(spark, sf_dir, "region"))
+    trails = trail_pages(spark, sf_dir)
     return head.with_breadcrumbs(shredded(trails)).select(
         "page_key", F.array_join(F.col("breadcrumbs")["name"], " > ").alias("trail"))
 

@@ -8,15 +8,19 @@ from pyspark.sql import functions as F
 from corpusloom.functions.urls import authority
 
 
-def attach_profile(records: DataFrame, profiles: DataFrame, url: str = "url") -> DataFrame:
-    """Fill ``company_fixed`` from ``profiles(host, profile)``, profile being JSON text.
+def with_profile(pages: DataFrame, profiles: DataFrame, url: str = "url") -> DataFrame:
+    """Add ``profile``, the JSON text ``profiles(host, profile)`` holds for the host of ``url``.
 
     No broadcast is forced: Spark broadcasts the profiles when their size is below
     its threshold, and otherwise joins by shuffle with skewed hosts split. One
-    profile per host is kept, so records are never multiplied.
+    profile per host is kept, so pages are never multiplied.
     """
-    one = (profiles.groupBy(F.lower("host").alias("_host")).agg(F.min("profile").alias("_profile")))
-    order = records.columns
-    joined = records.drop("company_fixed").withColumn("_host", F.expr(authority(url))).join(one, "_host", "left")
-    return (joined.withColumn("company_fixed", F.try_parse_json("_profile"))
-            .select(*(order if "company_fixed" in order else [*order, "company_fixed"])))
+    one = profiles.groupBy(F.lower("host").alias("_host")).agg(F.min("profile").alias("profile"))
+    return pages.withColumn("_host", F.expr(authority(url))).join(one, "_host", "left").drop("_host")
+
+
+def attach_profile(records: DataFrame, profiles: DataFrame, url: str = "url") -> DataFrame:
+    """Fill ``company_fixed`` of finished records."""
+    order = records.columns if "company_fixed" in records.columns else [*records.columns, "company_fixed"]
+    joined = with_profile(records.drop("company_fixed"), profiles, url)
+    return joined.withColumn("company_fixed", F.try_parse_json("profile")).select(*order)

@@ -31,6 +31,8 @@ def build_records(pages: DataFrame, site_host: str | None = None, site_origin: s
                   keep: tuple[str, ...] = ()) -> DataFrame:
     """Records of shredded pages, plus the ``keep`` columns. One narrow stage, no shuffle.
 
+    A ``profile`` column (JSON text) becomes ``company_fixed``.
+
     JSON-LD, head data and the page type read the whole page; content is read after
     boilerplate removal. Columns are added in few projections, because each one
     copies the node array of the page.
@@ -58,26 +60,27 @@ def build_records(pages: DataFrame, site_host: str | None = None, site_origin: s
         "jsonld",
         f"struct(h1, headings, text_blocks, tables, images, {rich('download')}, {urls('internal')}, {urls('external')}, "
         f"{rich('internal')}, {rich('external')}) AS content",
-        "cast(null AS variant) AS company_fixed", f"{article_sql()} AS article", f"{product_sql()} AS product",
+        f"{'try_parse_json(profile)' if 'profile' in df.columns else 'cast(null AS variant)'} AS company_fixed", f"{article_sql()} AS article", f"{product_sql()} AS product",
         f"{collection_sql()} AS collection")
 
 
 def harvest_results(fetched: DataFrame, site_host: str | None = None, site_origin: str | None = None,
                     keep: tuple[str, ...] = ()) -> DataFrame:
-    """``(ok, url, final_url, status, error, record)`` of every fetch, failed ones included."""
+    """``(ok, url, final_url, status, error, record, record_hash)`` of every fetch, failed ones included."""
     checked = fetched.withColumn("html", F.when(is_harvestable(), F.col("html")))
     checked = checked.withColumn("_fetched", F.col("html").isNotNull())
     pages = shred_pages(checked)
     records = build_records(pages, site_host, site_origin, keep=(*keep, "_fetched", "parse_error"))
     ok = F.col("_fetched") & F.col("parse_error").isNull()
     crashed = F.col("parse_error").isNotNull()
-    return records.select(
+    results = records.select(
         *keep, ok.alias("ok"), F.col("requested_url").alias("url"),
         F.when(crashed, F.col("requested_url")).otherwise(F.col("url")).alias("final_url"),
         F.when(crashed, 0).otherwise(F.col("http.status")).alias("status"),
         F.when(~F.col("_fetched"), F.concat(F.lit("HTTP "), F.col("http.status").cast("string")))
         .otherwise(F.col("parse_error")).alias("error"),
         F.when(ok, F.struct(*RECORD)).alias("record"))
+    return results.withColumn("record_hash", _content_hash(F.col("record")))
 
 
 def ok_records(results: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -97,7 +100,11 @@ def duplicate_docs(records: DataFrame) -> DataFrame:
     return records.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_records")).where("n_records > 1")
 
 
+def _content_hash(record: Column) -> Column:
+    """Hash of the canonical JSON: fixed field order, sorted maps and objects, nulls kept."""
+    return F.sha2(F.to_json(record, {"ignoreNullFields": "false"}), 256)
+
+
 def with_record_hash(records: DataFrame) -> DataFrame:
     """Add ``record_hash`` over the canonical JSON of the whole record."""
-    return records.withColumn("record_hash", F.sha2(
-        F.to_json(F.struct(*RECORD), {"ignoreNullFields": "false"}), 256))
+    return records.withColumn("record_hash", _content_hash(F.struct(*RECORD)))

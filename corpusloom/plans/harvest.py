@@ -9,9 +9,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.operators.changes import corpus_signature, latest_version, snapshot_diff
-from corpusloom.operators.profiles import attach_profile
+from corpusloom.operators.profiles import with_profile
 from corpusloom.operators.quality import quality_columns, quality_struct
-from corpusloom.operators.records import RECORD, harvest_results, ok_records, with_record_hash
+from corpusloom.operators.records import RECORD, harvest_results, ok_records
 from corpusloom.session import configure, stage
 from corpusloom.sinks.corpora import corpus_name, corpus_stats, write_corpora, write_errors
 from corpusloom.sinks.tables import csv_articles, csv_products, csv_site_pages, write_csv
@@ -20,16 +20,13 @@ from corpusloom.sources.corpus import read_manifest
 
 def harvest(fetched: DataFrame, site_host: str | None = None, site_origin: str | None = None,
             profiles: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """``(results, records)``, parsed once and staged as a table in the shared folder."""
+    """``(results, records)``, parsed and hashed once and staged as a table in the shared folder."""
     configure(fetched.sparkSession)
-    results = stage(harvest_results(fetched, site_host, site_origin), "results")
-    records = ok_records(results)
-    if profiles is not None:
-        records = attach_profile(records, profiles)
-    hashed = with_record_hash(records).withColumn("canonical", F.col("document_identifier.canonical"))
     if profiles is not None:
-        hashed = stage(hashed, "records")
-    return results, hashed
+        fetched = with_profile(fetched, profiles, "final_url")
+    results = stage(harvest_results(fetched, site_host, site_origin), "results")
+    records = ok_records(results, keep=("record_hash",))
+    return results, records.withColumn("canonical", F.col("document_identifier.canonical"))
 
 
 def harvest_summary(results: DataFrame, records: DataFrame, source: str | None = None,

@@ -37,6 +37,11 @@ def json_lines(records: DataFrame) -> DataFrame:
     return records.select(*[sorted_fields(F.col(f.name), f.dataType).alias(f.name) for f in fields])
 
 
+def in_export_order(records: DataFrame) -> DataFrame:
+    """Records sorted for export; a row number breaks ties, so copies spread over tasks too."""
+    return records.withColumn("_row", F.monotonically_increasing_id()).orderBy(*sort_key(), "_row").drop("_row")
+
+
 def _write_json(df: DataFrame, path: str, compression: str, *partition: str) -> None:
     (df.write.mode("errorifexists").option("ignoreNullFields", "false").option("compression", compression)
      .partitionBy(*partition).json(path))
@@ -45,8 +50,7 @@ def _write_json(df: DataFrame, path: str, compression: str, *partition: str) ->
 def write_jsonl(records: DataFrame, path: str, compression: str = "gzip") -> DataFrame:
     """Write one record per line and return ``(n_records, corpus_signature)`` of the content."""
     records = stage(with_record_hash(records), "jsonl")
-    ordered = records.orderBy(*sort_key()).select(*RECORD)
-    _write_json(json_lines(ordered), path, compression)
+    _write_json(json_lines(in_export_order(records).select(*RECORD)), path, compression)
     return corpus_stats(records)
 
 
@@ -61,7 +65,7 @@ def corpus_stats(hashed: DataFrame, *by: str) -> DataFrame:
 
 def write_corpora(records: DataFrame, path: str, compression: str = "gzip") -> None:
     """All typed corpora in one pass, one folder per page type; together they are the full corpus."""
-    typed = records.withColumn("corpus", corpus_name()).orderBy(*sort_key())
+    typed = in_export_order(records.withColumn("corpus", corpus_name()))
     _write_json(json_lines(typed.select(*RECORD, "corpus")), path, compression, "corpus")
 
 

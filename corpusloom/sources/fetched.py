@@ -25,14 +25,15 @@ def fetched_pages(fetched: DataFrame, frontier: DataFrame | None = None) -> Data
     """Fetch results, or the frontier with its results; a URL without one has status 0 and no body."""
     if frontier is None:
         return fetched.withColumn("html", F.coalesce("html", F.lit("")))
-    urls = frontier.select(F.col("url").alias("requested_url"))
-    # one frontier row per URL, so a URL fetched many times is a one-sided hot key
-    # that adaptive execution splits
-    joined = urls.join(fetched, "requested_url", "left")
-    return (joined
-            .withColumn("final_url", F.coalesce("final_url", "requested_url"))
-            .withColumn("status", F.coalesce("status", F.lit(0)))
-            .withColumn("html", F.coalesce("html", F.lit(""))))
+    urls = frontier.select(F.col("url").alias("requested_url")).distinct()
+    # Two joins whose large side is the left one: a URL fetched a great many times is then a
+    # skewed partition adaptive execution can split. The other side has one row per URL.
+    found = fetched.join(urls, "requested_url", "left_semi")
+    missing = urls.join(fetched.select("requested_url").distinct(), "requested_url", "left_anti")
+    return (found.unionByName(missing, allowMissingColumns=True)
+            .withColumns({"final_url": F.coalesce("final_url", "requested_url"),
+                          "status": F.coalesce("status", F.lit(0)),
+                          "html": F.coalesce("html", F.lit(""))}))
 
 
 def is_harvestable() -> Column:

@@ -13,6 +13,7 @@ import sys
 from collections.abc import Iterator
 from html import unescape
 
+import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
@@ -39,15 +40,10 @@ DOM = T.ArrayType(NODE)
 # page at hand and not the number of rows Spark put in the input batch.
 NODES_PER_BATCH = 200_000
 
-_ATTRS = (r"(?:[\s/]++|[^\s/>][^\s/>=]*+"
-          r"(?:\s*+=\s*+(?:\"[^\"]*\"|'[^']*'|[^\s\"'>][^\s>]*+)?+)?+)*+")
-_TOKEN = re.compile(
-    r"(?P<text>[^<]+)"
-    rf"|<(?P<open>[a-zA-Z][^\s/>]*+)(?P<attrs>{_ATTRS})>"
-    r"|</(?P<close>[a-zA-Z][^\s/>]*+)[^>]*+>"
-    r"|(?P<skip><!--.*?(?:-->|\Z)|<[!?/][^>]*+>)"
-    r"|(?P<stray><)", re.S)
-_ATTR = re.compile(r"([^\s/>][^\s/>=]*)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>][^\s>]*)?)?")
+_MARKUP = re.compile(
+    r"<(?:(?P<open>[a-zA-Z][^\s/>]*+)|/(?P<close>[a-zA-Z][^\s/>]*+)[^>]*+>"
+    r"|(?P<skip>!--.*?(?:-->|\Z)|[!?/][^>]*+>))", re.S)
+_ATTR = re.compile(r"[\s/]*+(?:([^\s/>][^\s/>=]*+)(?:\s*+=\s*+(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>][^\s>]*+))?+)?+)?+")
 _ATTR_ENTITY = re.compile(r"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[A-Za-z][A-Za-z0-9]*(?:;|(?![=A-Za-z0-9])))")
 _RAW_END = {t: re.compile(rf"</{t}(?=[\s/>])", re.I) for t in ("script", "style", "title", "textarea")}
 
@@ -82,34 +78,32 @@ class _Nodes:
 
     def __init__(self) -> None:
         self.offsets = [0]
+        self.rows: list[tuple] = []  # parent, level, tag, text, raw
         self.last: list[int] = []
-        self.parent: list[int | None] = []
-        self.level: list[int] = []
-        self.tag: list[str] = []
-        self.classes: list[str] = []
-        self.class_ends = [0]
+        self.with_attrs: list[int] = []  # rows that have attributes, with how many
+        self.n_attrs: list[int] = []
         self.attr_names: list[str] = []
         self.attr_values: list[str] = []
-        self.attr_ends = [0]
-        self.text: list[str | None] = []
-        self.raw: list[str | None] = []
+        self.with_classes: list[int] = []
+        self.n_classes: list[int] = []
+        self.classes: list[str] = []
         self.errors: list[str | None] = []
 
-    def _add(self, tag, attrs=None, text=None, raw=None) -> int:
-        pre = len(self.tag) - self.base
+    def _add(self, tag: str, attrs: dict[str, str] | None = None, text: str | None = None, raw: str | None = None) -> int:
+        row, opened = len(self.rows), self.open
+        pre = row - self.base
+        self.rows.append((opened[-1] if opened else None, len(opened), tag, text, raw))
         self.last.append(pre)
-        self.parent.append(self.open[-1] if self.open else None)
-        self.level.append(len(self.open))
-        self.tag.append(tag)
         if attrs:
+            self.with_attrs.append(row)
+            self.n_attrs.append(len(attrs))
             self.attr_names.extend(attrs)
             self.attr_values.extend(attrs.values())
-            if "class" in attrs:
-                self.classes.extend(attrs["class"].split())
-        self.attr_ends.append(len(self.attr_names))
-        self.class_ends.append(len(self.classes))
-        self.text.append(text)
-        self.raw.append(raw)
+            words = attrs["class"].split() if "class" in attrs else None
+            if words:
+                self.with_classes.append(row)
+                self.n_classes.append(len(words))
+                self.classes.extend(words)
         return pre
 
     def _push(self, tag: str, attrs: dict[str, str] | None = None) -> None:
@@ -118,21 +112,22 @@ class _Nodes:
         self.names.append(tag)
         self.count[tag] = self.count.get(tag, 0) + 1
 
-    def _pop(self) -> None:
+    def _pop_to(self, depth: int) -> None:
         self._flush()
-        self.last[self.base + self.open.pop()] = len(self.tag) - self.base - 1
-        self.count[self.names.pop()] -= 1
+        end = len(self.rows) - self.base - 1
+        while len(self.open) > depth:
+            self.last[self.base + self.open.pop()] = end
+            self.count[self.names.pop()] -= 1
 
     def _is_open(self, tags) -> bool:
-        return any(self.count.get(t) for t in tags)
-
-    def _pop_to(self, depth: int) -> None:
-        while len(self.open) > depth:
-            self._pop()
+        for tag in tags:
+            if self.count.get(tag):
+                return True
+        return False
 
     def _flush(self) -> None:
         if self.buffer:
-            text = "".join(self.buffer)
+            text = self.buffer[0] if len(self.buffer) == 1 else "".join(self.buffer)
             self.buffer = []
             if self._is_open(_RAW_TEXT):
                 self._add("#raw", raw=text)
@@ -188,9 +183,10 @@ class _Nodes:
                     break
             if cut is not None:
                 self._pop_to(cut)
-        self._push(tag, attrs)
         if closed or tag in _VOID:
-            self._pop()
+            self._add(tag, attrs)
+        else:
+            self._push(tag, attrs)
 
     def _end(self, tag: str) -> None:
         if tag in ("html", "body") or not self.count.get(tag):
@@ -211,65 +207,84 @@ class _Nodes:
         self.count: dict[str, int] = {}
         self.head = self.body = False
         self._push("#document")
-        at, end, match = 0, len(html), _TOKEN.match
+        at, end, last_close = 0, len(html), html.rfind(">")
         while at < end:
-            token = match(html, at)
-            at = token.end()
-            kind = token.lastgroup
-            if kind == "text":
-                text = token.group()
+            # what follows the last ">" cannot be markup
+            mark = html.find("<", at) if at < last_close else -1
+            if mark != at:
+                text = html[at:mark] if mark > 0 else html[at:]
                 self._data(unescape(text) if "&" in text else text)
-            elif kind == "attrs":
-                tag = token.group("open").lower()
-                attrs, closed = _attributes(token.group("attrs"))
-                self._start(tag, attrs, closed)
-                if tag in _RAW_END and not closed:
-                    stop = _RAW_END[tag].search(html, at)
-                    body = html[at:stop.start() if stop else end]
-                    if body:
-                        self.buffer.append(unescape(body) if tag in ("title", "textarea") else body)
-                    at = stop.start() if stop else end
-            elif kind == "close":
-                self._end(token.group("close").lower())
+                if mark < 0:
+                    break
+            found = _MARKUP.match(html, mark)
+            kind = found.lastgroup if found else None
+            if kind == "open":
+                attrs, at, closed = _attributes(html, found.end())
+                if at:
+                    tag = found.group("open").lower()
+                    self._start(tag, attrs, closed)
+                    if tag in _RAW_END and not closed:
+                        stop = _RAW_END[tag].search(html, at)
+                        body = html[at:stop.start() if stop else end]
+                        if body:
+                            self.buffer.append(unescape(body) if tag in ("title", "textarea") else body)
+                        at = stop.start() if stop else end
+                    continue
+                kind = None
+            if kind == "close":
+                self._end(found.group("close").lower())
+                at = found.end()
             elif kind == "skip":
                 self._flush()
-            else:
+                at = found.end()
+            else:  # no markup after all
                 self._data("<")
-        self._flush()
+                at = mark + 1
         self._pop_to(0)
 
     def page(self, html: str | None) -> None:
         """Append the nodes of one page; a page that cannot be parsed keeps its error."""
-        self.base = len(self.tag)
+        self.base = len(self.rows)
         error = None
         if html:
             try:
                 self._parse(html)
             except Exception as exc:  # the row carries its own error, the job goes on
                 error = f"{type(exc).__name__}: {exc}"
-                for column in (self.last, self.parent, self.level, self.tag, self.text, self.raw):
-                    del column[self.base:]
-                for ends, items in ((self.class_ends, [self.classes]),
-                                    (self.attr_ends, [self.attr_names, self.attr_values])):
-                    del ends[self.base + 1:]
-                    for column in items:
-                        del column[ends[-1]:]
-        self.offsets.append(len(self.tag))
+                self._forget(self.base)
+        self.offsets.append(len(self.rows))
         self.errors.append(error)
 
+    def _forget(self, base: int) -> None:
+        """Drop all nodes from row ``base`` on."""
+        for owners, sizes, columns in ((self.with_attrs, self.n_attrs, (self.attr_names, self.attr_values)),
+                                       (self.with_classes, self.n_classes, (self.classes,))):
+            while owners and owners[-1] >= base:
+                owners.pop()
+                size = sizes.pop()
+                for column in columns:
+                    del column[len(column) - size:]
+        del self.rows[base:], self.last[base:]
+
     def columns(self) -> tuple[pa.Array, pa.Array]:
-        pre = [i for a, b in zip(self.offsets, self.offsets[1:]) for i in range(b - a)]
-        text = pa.string()
-        classes = pa.ListArray.from_arrays(pa.array(self.class_ends, pa.int32()), pa.array(self.classes, text))
-        attrs = pa.MapArray.from_arrays(pa.array(self.attr_ends, pa.int32()),
+        text, n = pa.string(), len(self.rows)
+        parent, level, tag, readable, raw = zip(*self.rows) if n else ((),) * 5
+
+        def ends(owners: list[int], sizes: list[int]) -> pa.Array:
+            per_row = np.zeros(n + 1, np.int32)
+            per_row[np.array(owners, np.int64) + 1] = sizes
+            return pa.array(np.cumsum(per_row, dtype=np.int32))
+
+        starts = np.array(self.offsets, np.int32)
+        pre = np.arange(n, dtype=np.int32) - np.repeat(starts[:-1], np.diff(starts))
+        classes = pa.ListArray.from_arrays(ends(self.with_classes, self.n_classes), pa.array(self.classes, text))
+        attrs = pa.MapArray.from_arrays(ends(self.with_attrs, self.n_attrs),
                                         pa.array(self.attr_names, text), pa.array(self.attr_values, text))
         node = pa.StructArray.from_arrays(
-            [pa.array(pre, pa.int32()), pa.array(self.last, pa.int32()),
-             pa.array(self.parent, pa.int32()), pa.array(self.level, pa.int32()),
-             pa.array(self.tag, text), classes, attrs, pa.array(self.text, text), pa.array(self.raw, text)],
+            [pa.array(pre), pa.array(self.last, pa.int32()), pa.array(parent, pa.int32()), pa.array(level, pa.int32()),
+             pa.array(tag, text), classes, attrs, pa.array(readable, text), pa.array(raw, text)],
             names=NODE.names)
-        return (pa.ListArray.from_arrays(pa.array(self.offsets, pa.int32()), node),
-                pa.array(self.errors, text))
+        return pa.ListArray.from_arrays(pa.array(starts), node), pa.array(self.errors, text)
 
 
 def _collapse(text: str) -> str:
@@ -280,20 +295,26 @@ def _collapse(text: str) -> str:
     return (" " if text[0].isspace() else "") + words + (" " if text[-1].isspace() else "")
 
 
-def _attributes(source: str) -> tuple[dict[str, str], bool]:
-    """Attributes of a start tag (the first of a repeated name counts), and whether it ends in a slash."""
+def _attributes(html: str, at: int) -> tuple[dict[str, str] | None, int, bool]:
+    """Attributes of the start tag at ``at``, where the tag ends, and whether it ends in a slash.
+
+    The first of a repeated name counts. A tag that never ends is no tag: its end is 0.
+    """
+    if html.startswith(">", at):
+        return None, at + 1, False
     out: dict[str, str] = {}
-    end = 0
-    if source:
-        for found in _ATTR.finditer(source):
-            name, value = found.groups()
-            value, end = value or "", found.end()
-            if value[:1] in ("'", '"'):
-                value = value[1:-1]
-            if "&" in value:
-                value = _ATTR_ENTITY.sub(lambda m: unescape(m.group()), value)
-            out.setdefault(name.lower(), value)
-    return out, "/" in source[end:]
+    while True:
+        found = _ATTR.match(html, at)
+        name, double, single, bare = found.groups()
+        if name is None:
+            end = found.end()
+            closed = html.startswith("/", end - 1) and end > at
+            return (out, end + 1, closed) if html.startswith(">", end) else (None, 0, False)
+        at = found.end()
+        value = double or single or bare or ""
+        if "&" in value:
+            value = _ATTR_ENTITY.sub(lambda m: unescape(m.group()), value)
+        out.setdefault(name.lower(), value)
 
 
 def _shred(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -304,7 +325,7 @@ def _shred(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         html, nodes, start = batch.column(at), _Nodes(), 0
         for row in range(batch.num_rows):
             nodes.page(html[row].as_py())
-            if len(nodes.tag) >= NODES_PER_BATCH or row + 1 == batch.num_rows:
+            if len(nodes.rows) >= NODES_PER_BATCH or row + 1 == batch.num_rows:
                 rows = batch.slice(start, row + 1 - start)
                 yield pa.RecordBatch.from_arrays([rows.column(i) for i in kept] + list(nodes.columns()), names)
                 nodes, start = _Nodes(), row + 1
