@@ -16,7 +16,7 @@ from corpusloom.operators import changes, classify, containers, content, entitie
 from corpusloom.operators.carry import carry_forward
 from corpusloom.operators.profiles import attach_profile
 from corpusloom.operators.records import (
-    build_records, doc_id, duplicate_docs, harvest_results, ok_records, with_record_hash)
+    build_records, doc_id, duplicate_docs, harvest_records, harvest_results, with_record_hash)
 from corpusloom.plans import harvest as plans
 from corpusloom.session import configure, new_work_path, spread, stage
 from corpusloom.sinks import corpora, tables
@@ -367,7 +367,7 @@ def type_counts(spark, sf_dir):
 
 @query
 def quality_metrics(spark, sf_dir):
-    return quality.quality_metrics(ok_records(stage(harvest_results(mixed_site(spark, sf_dir)), "results")))
+    return quality.quality_metrics(harvest_records(mixed_site(spark, sf_dir)))
 
 
 @query
@@ -395,7 +395,7 @@ def jsonl_round_trip(spark, sf_dir):
 def typed_corpora(spark, sf_dir):
     """All typed corpora written in one pass and counted by folder."""
     path = new_work_path(spark, "corpora")
-    corpora.write_corpora(ok_records(stage(harvest_results(mixed_site(spark, sf_dir)), "results")), path)
+    corpora.write_corpora(stage(harvest_records(mixed_site(spark, sf_dir)), "records"), path)
     back = spark.read.schema("doc_id STRING, corpus STRING").json(path)
     return back.groupBy("corpus").agg(F.count("doc_id").alias("n"))
 

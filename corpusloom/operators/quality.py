@@ -57,7 +57,7 @@ def quality_struct() -> Column:
 
 def type_counts(results: DataFrame) -> DataFrame:
     """Records per page type, failed fetches under ``error`` and all records under ``total``."""
-    kind = F.when(F.col("ok"), F.col("record.document_identifier.page_type")).otherwise("error")
+    kind = F.when(F.col("ok"), F.col("page_type")).otherwise("error")
     counts = results.groupBy(kind.alias("page_type"), "ok").agg(F.count(F.lit(1)).alias("n"))
     total = F.sum(F.when(F.col("ok"), F.col("n")).otherwise(0))
     rolled = counts.rollup("page_type").agg(F.sum("n").alias("n"), total.alias("n_ok"),

@@ -66,11 +66,14 @@ def build_records(pages: DataFrame, site_host: str | None = None, site_origin: s
 
 def harvest_results(fetched: DataFrame, site_host: str | None = None, site_origin: str | None = None,
                     keep: tuple[str, ...] = ()) -> DataFrame:
-    """``(ok, url, final_url, status, error, record, record_hash)`` of every fetch, failed ones included."""
+    """``(ok, url, final_url, status, error, page_type, record, record_hash)`` of every fetch, failed ones included.
+
+    The page type stands beside the record, so counting types does not build records.
+    """
     checked = fetched.withColumn("html", F.when(is_harvestable(), F.col("html")))
     checked = checked.withColumn("_fetched", F.col("html").isNotNull())
     pages = shred_pages(checked)
-    records = build_records(pages, site_host, site_origin, keep=(*keep, "_fetched", "parse_error"))
+    records = build_records(pages, site_host, site_origin, keep=(*keep, "_fetched", "parse_error", "page_type"))
     ok = F.col("_fetched") & F.col("parse_error").isNull()
     crashed = F.col("parse_error").isNotNull()
     results = records.select(
@@ -79,10 +82,17 @@ def harvest_results(fetched: DataFrame, site_host: str | None = None, site_origi
         F.when(crashed, 0).otherwise(F.col("http.status")).alias("status"),
         F.when(~F.col("_fetched"), F.concat(F.lit("HTTP "), F.col("http.status").cast("string")))
         .otherwise(F.col("parse_error")).alias("error"),
+        F.when(ok, F.col("page_type")).alias("page_type"),
         F.when(ok, F.struct(*RECORD)).alias("record"))
     return results.withColumn("record_hash", _content_hash(F.col("record")))
 
 
+def harvest_records(fetched: DataFrame, site_host: str | None = None, site_origin: str | None = None) -> DataFrame:
+    """Records of the fetches that succeed, straight from the parser; unused parts are pruned."""
+    pages = shred_pages(fetched.where(is_harvestable()))
+    return build_records(pages.where("parse_error IS NULL"), site_host, site_origin)
+
+
 def ok_records(results: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     return results.where("ok").select(*keep, "record.*")
 

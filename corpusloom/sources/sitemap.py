@@ -18,7 +18,7 @@ def _locs() -> str:
     """Locations of one document; text that is not XML is searched for ``<loc>`` instead."""
     def listed(parsed: str) -> str:
         parts = ", ".join(f"coalesce({parsed}.{p}, {NO_STRINGS})" for p in ("sitemap.loc", "url.loc", "loc"))
-        return f"transform(filter(concat({parts}), s -> s IS NOT NULL), s -> {strip('s')})"
+        return f"transform(filter(concat({parts}), s -> s <> ''), s -> {strip('s')})"
 
     # a prefix on the sitemap namespace itself shows as an empty first result
     prefixed = f"from_xml(xml, {lit(_XML)}, map('ignoreNamespace', 'true'))"
