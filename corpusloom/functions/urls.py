@@ -12,9 +12,6 @@ _DOTS = rx(r"(?:^|/)\.\.?(?:/|\z)")
 _CLOSING_DOTS = rx(r"(?:^|/)\.\.?\z")
 _TO_CLEAN = rx(r"^[\x00-\x20]+|[\t\r\n]")
 
-# Link suffixes that count as downloads.
-DOWNLOAD_EXTENSIONS = (".pdf", ".doc", ".docx", ".xls", ".xlsx", ".csv", ".zip")
-
 
 def clean_url(url: str) -> str:
     """Drop leading control characters and blanks, and line breaks or tabs anywhere."""
@@ -34,8 +31,8 @@ def authority(url: str) -> str:
     return f"lower(regexp_extract({clean_url(url)}, {_URL}, 2))"
 
 
-def is_download(url: str) -> str:
-    suffixes = "|".join(e[1:] for e in DOWNLOAD_EXTENSIONS)
+def is_download(url: str, extensions: tuple[str, ...]) -> str:
+    suffixes = "|".join(e[1:] for e in extensions)
     return f"lower({url}) RLIKE {rx(rf'\.(?:{suffixes})\z')}"
 
 

@@ -9,37 +9,7 @@ from corpusloom.functions.text import let, lit, normalize_heading, rx
 from corpusloom.functions.urls import url_key
 from corpusloom.operators.head import with_base
 from corpusloom.operators.jsonld import flatten_types
-
-# JSON-LD types (lower case) by page type, and card markup.
-ARTICLE_TYPES = ("article", "newsarticle", "blogposting")
-COLLECTION_TYPES = ("collectionpage", "itemlist")
-CARD_CLASSES = ("post-card", "archive-item", "product-card", "entry", "card",
-                "elementor-post", "elementor-grid-item")
-CARDS_NEEDED = 3
-LISTING_PATH = "/products"
-
-# Section names and their heading patterns, in order of precedence.
-SECTION_PATTERNS = (
-    ("description", (
-        r"\bdescription\b", r"\bdescription\s+of\b", r"\boverview\b", r"\bintroduction\b",
-        r"\babout\b", r"\bproduct\s+overview\b")),
-    ("what_is", (
-        r"\bwhat\s+is\b", r"\bwhat\s+is\s+this\b", r"\bdefinition\b", r"\bdefinition\s+of\b")),
-    ("other_names", (
-        r"\bother\s+names?\b", r"\balso\s+known\s+as\b", r"\bsynonyms?\b",
-        r"\balternative\s+names?\b", r"\baka\b")),
-    ("specifications", (
-        r"\bspecification(s)?\b", r"\btechnical\s+data\b", r"\btechnical\s+specs?\b",
-        r"\bproduct\s+data\b", r"\btypical\s+properties\b", r"\bphysical\s+properties\b",
-        r"\bchemical\s+properties\b", r"\bgrades?\b")),
-    ("applications_uses", (
-        r"\bapplications?\s+and\s+uses\b", r"\bapplications?\b", r"\buses\b", r"\busage\b",
-        r"\bfields?\s+of\s+application\b", r"\bindustr(y|ies)\b", r"\bwhere\s+to\s+use\b")),
-    ("packing", (
-        r"\bpacking\b", r"\bpackaging\b", r"\bavailable\s+packing\b", r"\bpacking\s+type\b",
-        r"\bpacking\s+and\s+storage\b", r"\bpackaging\s+and\s+storage\b", r"\bpacking\s+and\s+delivery\b")),
-)
-
+from corpusloom.rules import DEFAULTS, SECTION_PATTERNS, Rules
 
 def section_rules(spark: SparkSession, patterns=SECTION_PATTERNS) -> DataFrame:
     """The rule set as rows: ``(section_prio, pattern_prio, section, pattern)``."""
@@ -55,13 +25,13 @@ def classify_heading(heading: str, patterns=SECTION_PATTERNS) -> str:
     return let("norm", normalize_heading(heading), f"CASE {rules} END")
 
 
-def is_card() -> str:
-    return D.any_of(D.tag_in("article"), D.has_class(*CARD_CLASSES))
+def is_card(rules: Rules = DEFAULTS) -> str:
+    return D.any_of(D.tag_in("article"), D.has_class(*rules.card_classes))
 
 
-def page_type_sql(site_origin: str | None = None) -> str:
+def page_type_sql(site_origin: str | None = None, rules: Rules = DEFAULTS) -> str:
     site = lit(site_origin) if site_origin else "concat(base.scheme, '://', base.authority)"
-    listing = f"{url_key('final_url')} = {url_key(f'concat({site}, {lit(LISTING_PATH)})')}"
+    listing = f"{url_key('final_url')} = {url_key(f'concat({site}, {lit(rules.listing_path)})')}"
 
     def holds(*names: str) -> str:
         return "arrays_overlap(ts, array(" + ", ".join(map(lit, names)) + "))"
@@ -69,14 +39,14 @@ def page_type_sql(site_origin: str | None = None) -> str:
     paged = "exists(dom, n -> " + D.any_of(
         D.has_class("pagination"), D.tag_in("a") + " AND " + D.has_class("next", "prev")) + ")"
     by_type = let("ts", f"transform({flatten_types('jsonld')}, t -> lower(t))", (
-        f"CASE WHEN {holds('product')} THEN 'Product' WHEN {holds(*ARTICLE_TYPES)} THEN 'Article' "
-        f"WHEN {holds(*COLLECTION_TYPES)} THEN 'CollectionPage' "
-        f"WHEN {paged} AND size({D.select('dom', is_card())}) >= {CARDS_NEEDED} THEN 'CollectionPage' "
+        f"CASE WHEN {holds('product')} THEN 'Product' WHEN {holds(*rules.article_types)} THEN 'Article' "
+        f"WHEN {holds(*rules.collection_types)} THEN 'CollectionPage' "
+        f"WHEN {paged} AND size({D.select('dom', is_card(rules))}) >= {rules.cards_needed} THEN 'CollectionPage' "
         "ELSE 'WebPage' END"))
     return f"CASE WHEN {listing} THEN 'WebPage' ELSE {by_type} END"
 
 
-def with_page_type(pages: DataFrame, site_origin: str | None = None) -> DataFrame:
+def with_page_type(pages: DataFrame, site_origin: str | None = None, rules: Rules = DEFAULTS) -> DataFrame:
     """Add ``page_type``: Product, Article, CollectionPage or WebPage.
 
     ``site_origin`` (``https://host``) names the one site of a harvest; without it
@@ -84,7 +54,7 @@ def with_page_type(pages: DataFrame, site_origin: str | None = None) -> DataFram
     """
     if "page_type" in pages.columns:
         return pages
-    return D.add(with_base(pages), page_type=page_type_sql(site_origin))
+    return D.add(with_base(pages), page_type=page_type_sql(site_origin, rules))
 
 
 def classify_pages(pages: DataFrame, key: str = "page_id") -> DataFrame:

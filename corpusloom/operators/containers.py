@@ -7,20 +7,12 @@ from pyspark.sql import DataFrame
 from corpusloom.functions import dom as D
 from corpusloom.functions.text import let
 from corpusloom.operators.classify import with_page_type
+from corpusloom.rules import DEFAULTS, Rules
 from corpusloom.sources.shred import NODE
 
-# Markup that never counts as content.
-BOILERPLATE_TAGS = ("form", "nav", "header", "footer", "aside")
-BOILERPLATE_CLASSES = ("comments-area", "comment-form", "site-footer", "widget-area", "entry-footer",
-                       "wp-block-comments", "pagination")
-BOILERPLATE_IDS = ("comments",)
-
-# Class names of article bodies.
-THEME_CONTENT, ENTRY_CONTENT, SINGLE_POST = "elementor-widget-theme-post-content", "entry-content", "single-post"
-
-
-def is_boilerplate() -> str:
-    return D.any_of(D.tag_in(*BOILERPLATE_TAGS), D.has_class(*BOILERPLATE_CLASSES), D.attr_is("id", *BOILERPLATE_IDS))
+def is_boilerplate(rules: Rules = DEFAULTS) -> str:
+    return D.any_of(D.tag_in(*rules.boilerplate_tags), D.has_class(*rules.boilerplate_classes),
+                    D.attr_is("id", *rules.boilerplate_ids))
 
 
 def _main_of() -> str:
@@ -31,30 +23,30 @@ def _main_of() -> str:
                f"coalesce({', '.join(D.first('cs', test) for test in in_order)}, get(dom, 0))")
 
 
-def _article_of() -> str:
+def _article_of(rules: Rules) -> str:
     """The four article-body selectors in order, null when none matches."""
     def inside(host_test: str) -> str:
-        within = f"{D.has_class(ENTRY_CONTENT)} AND exists(hs, h -> h.pre < n.pre AND n.pre <= h.last)"
+        within = f"{D.has_class(rules.entry_content)} AND exists(hs, h -> h.pre < n.pre AND n.pre <= h.last)"
         return let("hs", D.select("dom", host_test), D.first("bs", within))
 
-    return let("bs", D.select("dom", D.has_class(THEME_CONTENT, ENTRY_CONTENT)), (
-        f"CASE WHEN size(bs) > 0 THEN coalesce({D.first('bs', D.has_class(THEME_CONTENT))}, "
+    return let("bs", D.select("dom", D.has_class(rules.theme_content, rules.entry_content)), (
+        f"CASE WHEN size(bs) > 0 THEN coalesce({D.first('bs', D.has_class(rules.theme_content))}, "
         f"{inside(D.tag_in('article') + ' AND ' + D.has_class('post'))}, "
-        f"{inside(D.has_class(SINGLE_POST))}, {D.first('bs', D.has_class(ENTRY_CONTENT))}) END"))
+        f"{inside(D.has_class(rules.single_post))}, {D.first('bs', D.has_class(rules.entry_content))}) END"))
 
 
-def with_container(pages: DataFrame, kind: str | None = None) -> DataFrame:
+def with_container(pages: DataFrame, kind: str | None = None, rules: Rules = DEFAULTS) -> DataFrame:
     """Add ``container``: by page type, or always the ``main`` / ``article`` choice if ``kind`` says so."""
     if "container" in pages.columns:
         return pages
-    main, article = _main_of(), f"coalesce({_article_of()}, {_main_of()})"
+    main, article = _main_of(), f"coalesce({_article_of(rules)}, {_main_of()})"
     if kind is not None:
         return D.add(pages, container={"main": main, "article": article}[kind])
-    return D.add(with_page_type(pages), container=(
+    return D.add(with_page_type(pages, rules=rules), container=(
         f"CASE WHEN page_type IN ('Article', 'Product') THEN {article} ELSE {main} END"))
 
 
-def strip_boilerplate(pages: DataFrame) -> DataFrame:
+def strip_boilerplate(pages: DataFrame, rules: Rules = DEFAULTS) -> DataFrame:
     """Null every boilerplate subtree below the container in ``dom``.
 
     Only the topmost boilerplate elements matter; the array is rebuilt from the
@@ -62,7 +54,7 @@ def strip_boilerplate(pages: DataFrame) -> DataFrame:
     """
     if "_stripped" in pages.columns:
         return pages
-    ranges = (f"transform({D.select(D.descendants('container'), is_boilerplate())}, "
+    ranges = (f"transform({D.select(D.descendants('container'), is_boilerplate(rules))}, "
               "n -> struct(n.pre AS pre, n.last AS last))")
     topmost = (f"aggregate({ranges}, cast(array() AS array<struct<pre:int,last:int>>), (acc, r) -> "
                "CASE WHEN r.pre > coalesce(get(acc, size(acc) - 1).last, -1) THEN concat(acc, array(r)) ELSE acc END)")
@@ -73,12 +65,12 @@ def strip_boilerplate(pages: DataFrame) -> DataFrame:
     rebuilt = let("cuts", topmost, (
         f"CASE WHEN size(cuts) = 0 THEN dom ELSE concat(flatten(transform(cuts, (c, i) -> {piece})), "
         f"slice(dom, {end} + 2, size(dom) - {end} - 1)) END"))
-    return D.add(with_container(pages), dom=rebuilt, _stripped="true")
+    return D.add(with_container(pages, rules=rules), dom=rebuilt, _stripped="true")
 
 
-def with_content(pages: DataFrame) -> DataFrame:
+def with_content(pages: DataFrame, rules: Rules = DEFAULTS) -> DataFrame:
     """Add ``_content``, the elements of the container without boilerplate."""
     if "_content" in pages.columns:
         return pages
     elements = D.select(D.descendants("container"), "NOT startswith(n.tag, '#')")
-    return D.add(strip_boilerplate(pages), _content=elements)
+    return D.add(strip_boilerplate(pages, rules), _content=elements)

@@ -10,9 +10,7 @@ from corpusloom.functions.text import let, lit, non_empty, normalize_ws, strip
 from corpusloom.functions.urls import authority, is_download, make_abs
 from corpusloom.operators.containers import with_content
 from corpusloom.operators.head import with_base
-
-# Shortest text that counts as a block.
-MIN_BLOCK, MIN_LIST_ITEM = 40, 20
+from corpusloom.rules import DEFAULTS, Rules
 
 
 def tables_of(nodes: str) -> str:
@@ -22,7 +20,7 @@ def tables_of(nodes: str) -> str:
     return f"filter(transform({D.select(nodes, D.tag_in('table'))}, tb -> {rows}), t -> size(t) > 0)"
 
 
-def _blocks(nodes: str) -> str:
+def _blocks(nodes: str, rules: Rules) -> str:
     """``(text, i, tag)`` of every block long enough, first of equal texts only, in order.
 
     Only a page that repeats a text is sorted: by (text, position) the first of each
@@ -30,16 +28,16 @@ def _blocks(nodes: str) -> str:
     """
     found = (f"transform({D.select(nodes, D.tag_in('p', 'li', 'blockquote'))}, (n, i) -> "
              f"struct({D.text('n', ' ')} AS text, i AS i, n.tag AS tag))")
-    kept = f"filter({found}, b -> length(b.text) >= if(b.tag = 'li', {MIN_LIST_ITEM}, {MIN_BLOCK}))"
+    kept = f"filter({found}, b -> length(b.text) >= if(b.tag = 'li', {rules.min_list_item}, {rules.min_block}))"
     firsts = let("s", "array_sort(bs)", "filter(s, (b, i) -> i = 0 OR b.text <> get(s, i - 1).text)")
     by_place = f"transform(array_sort(transform({firsts}, b -> struct(b.i AS i, b AS b))), e -> e.b)"
     return let("bs", kept, f"CASE WHEN size(array_distinct(bs.text)) = size(bs) THEN bs ELSE {by_place} END")
 
 
-def _links(nodes: str, site_host: str | None) -> str:
+def _links(nodes: str, site_host: str | None, rules: Rules) -> str:
     host = f"lower({lit(site_host)})" if site_host else "lower(base.authority)"
     link = let("a", make_abs("base", strip(D.attr("href"))), (
-        f"struct(a AS href, {D.text('n', '')} AS text, CASE WHEN {is_download('a')} THEN 'download' "
+        f"struct(a AS href, {D.text('n', '')} AS text, CASE WHEN {is_download('a', rules.download_extensions)} THEN 'download' "
         f"WHEN {authority('a')} = {host} THEN 'internal' ELSE 'external' END AS kind)"))
     anchors = D.select(nodes, D.tag_in("a") + " AND " + D.attr("href") + " IS NOT NULL")
     return f"transform({anchors}, n -> {link})"
@@ -58,80 +56,80 @@ def headings_sql() -> dict[str, str]:
                          f"n -> struct(n.tag AS tag, {D.text('n', '')} AS text))")}
 
 
-def text_blocks_sql(typed: bool) -> str:
+def text_blocks_sql(typed: bool, rules: Rules = DEFAULTS) -> str:
     """Texts of the blocks; an article without any gives its whole text."""
     if not typed:
-        return f"{_blocks('_content')}.text"
+        return f"{_blocks('_content', rules)}.text"
     whole = f"filter(array({D.text('container', ' ')}), t -> t <> '')"
-    return let("tb", f"{_blocks('_content')}.text", (
+    return let("tb", f"{_blocks('_content', rules)}.text", (
         f"CASE WHEN page_type = 'Article' AND size(tb) = 0 THEN {whole} ELSE tb END"))
 
 
-def content_sql(site_host: str | None = None) -> dict[str, str]:
+def content_sql(site_host: str | None = None, rules: Rules = DEFAULTS) -> dict[str, str]:
     """All content columns of a page, to be added in one projection."""
-    return {**headings_sql(), "text_blocks": text_blocks_sql(True), "tables": tables_of("_content"),
-            "images": _images("_content"), "links": _links("_content", site_host)}
+    return {**headings_sql(), "text_blocks": text_blocks_sql(True, rules), "tables": tables_of("_content"),
+            "images": _images("_content"), "links": _links("_content", site_host, rules)}
 
 
-def with_headings(pages: DataFrame) -> DataFrame:
+def with_headings(pages: DataFrame, rules: Rules = DEFAULTS) -> DataFrame:
     """Add ``h1`` (first one) and ``headings`` (all h2 and h3, blank ones too)."""
-    return pages if "headings" in pages.columns else D.add(with_content(pages), **headings_sql())
+    return pages if "headings" in pages.columns else D.add(with_content(pages, rules), **headings_sql())
 
 
-def with_text_blocks(pages: DataFrame) -> DataFrame:
+def with_text_blocks(pages: DataFrame, rules: Rules = DEFAULTS) -> DataFrame:
     """Add ``text_blocks``; with the page type known, articles without blocks give their whole text."""
     if "text_blocks" in pages.columns:
         return pages
-    return D.add(with_content(pages), text_blocks=text_blocks_sql("page_type" in pages.columns))
+    return D.add(with_content(pages, rules), text_blocks=text_blocks_sql("page_type" in pages.columns, rules))
 
 
-def with_tables(pages: DataFrame) -> DataFrame:
-    return pages if "tables" in pages.columns else D.add(with_content(pages), tables=tables_of("_content"))
+def with_tables(pages: DataFrame, rules: Rules = DEFAULTS) -> DataFrame:
+    return pages if "tables" in pages.columns else D.add(with_content(pages, rules), tables=tables_of("_content"))
 
 
-def with_images(pages: DataFrame) -> DataFrame:
-    return pages if "images" in pages.columns else D.add(with_content(with_base(pages)), images=_images("_content"))
+def with_images(pages: DataFrame, rules: Rules = DEFAULTS) -> DataFrame:
+    return pages if "images" in pages.columns else D.add(with_content(with_base(pages), rules), images=_images("_content"))
 
 
-def with_links(pages: DataFrame, site_host: str | None = None) -> DataFrame:
+def with_links(pages: DataFrame, site_host: str | None = None, rules: Rules = DEFAULTS) -> DataFrame:
     """Add ``links`` (href, text, kind) in document order."""
     if "links" in pages.columns:
         return pages
-    return D.add(with_content(with_base(pages)), links=_links("_content", site_host))
+    return D.add(with_content(with_base(pages), rules), links=_links("_content", site_host, rules))
 
 
 # Fact tables: one row per item, exploded in place without a shuffle.
 
-def headings(pages: DataFrame, key: str = "page_id") -> DataFrame:
-    rows = D.item_rows(with_headings(pages), key, "headings", "pos", "h")
+def headings(pages: DataFrame, key: str = "page_id", rules: Rules = DEFAULTS) -> DataFrame:
+    rows = D.item_rows(with_headings(pages, rules), key, "headings", "pos", "h")
     return rows.select(key, "pos", "h.tag", "h.text")
 
 
-def text_blocks(pages: DataFrame, key: str = "page_id") -> DataFrame:
+def text_blocks(pages: DataFrame, key: str = "page_id", rules: Rules = DEFAULTS) -> DataFrame:
     """``(page_id, block_no, text)``, numbered from 1."""
-    rows = D.item_rows(with_text_blocks(pages), key, "text_blocks", "pos", "text")
+    rows = D.item_rows(with_text_blocks(pages, rules), key, "text_blocks", "pos", "text")
     return rows.select(key, (F.col("pos") + 1).alias("block_no"), "text")
 
 
-def table_cells(pages: DataFrame, key: str = "page_id") -> DataFrame:
+def table_cells(pages: DataFrame, key: str = "page_id", rules: Rules = DEFAULTS) -> DataFrame:
     """``(page_id, table_no, row_no, col_no, text)``, numbered from 1."""
-    rows = D.item_rows(with_tables(pages), key, "tables", "t", "rows")
+    rows = D.item_rows(with_tables(pages, rules), key, "tables", "t", "rows")
     rows = D.item_rows(rows, (key, "t"), "rows", "r", "cells")
     rows = D.item_rows(rows, (key, "t", "r"), "cells", "c", "text")
     return rows.select(key, *[(F.col(a) + 1).alias(b) for a, b in
                               (("t", "table_no"), ("r", "row_no"), ("c", "col_no"))], "text")
 
 
-def images(pages: DataFrame, key: str = "page_id") -> DataFrame:
-    rows = D.item_rows(with_images(pages), key, "images", "pos", "im")
+def images(pages: DataFrame, key: str = "page_id", rules: Rules = DEFAULTS) -> DataFrame:
+    rows = D.item_rows(with_images(pages, rules), key, "images", "pos", "im")
     return rows.select(key, "pos", "im.src", "im.alt")
 
 
 def links(pages: DataFrame, site_host: str | None = None, whole_page: bool = False,
-          key: str = "page_id") -> DataFrame:
+          key: str = "page_id", rules: Rules = DEFAULTS) -> DataFrame:
     """``(page_id, pos, href, text, kind)`` of the content, or of the whole page."""
     if whole_page:
-        pages = D.add(with_base(pages), links=_links("dom", site_host))
+        pages = D.add(with_base(pages), links=_links("dom", site_host, rules))
     else:
-        pages = with_links(pages, site_host)
+        pages = with_links(pages, site_host, rules)
     return D.item_rows(pages, key, "links", "pos", "l").select(key, "pos", "l.href", "l.text", "l.kind")

@@ -9,10 +9,11 @@ from corpusloom.functions import dom as D
 from corpusloom.functions import variants as V
 from corpusloom.functions.text import NO_STRINGS, falsy_coalesce, first, let, lit, non_empty, split_trim, strip
 from corpusloom.functions.urls import make_abs
-from corpusloom.operators.classify import ARTICLE_TYPES, classify_heading, is_card
+from corpusloom.operators.classify import classify_heading, is_card
 from corpusloom.operators.containers import with_content
 from corpusloom.operators.content import tables_of, with_headings, with_images
 from corpusloom.operators.head import with_head
+from corpusloom.rules import DEFAULTS, Rules
 
 TITLE = falsy_coalesce("head.title", "h1")
 
@@ -31,10 +32,10 @@ def section_extents(nodes: str) -> str:
         "ELSE get(dom, h.parent).last + 1 END AS stop)))"))
 
 
-def sections_sql() -> str:
+def sections_sql(rules: Rules = DEFAULTS) -> str:
     """Classified h2 to h4 headings of products with the texts and tables that belong to them."""
     keyed = (f"filter(transform(filter({section_extents('_content')}, h -> h.tag <> 'h1'), "
-             f"h -> struct(h AS h, {classify_heading(D.text('h', ' '))} AS section)), k -> k.section IS NOT NULL)")
+             f"h -> struct(h AS h, {classify_heading(D.text('h', ' '), rules.section_patterns)} AS section)), k -> k.section IS NOT NULL)")
     siblings = D.select("slice(dom, k.h.last + 2, k.h.stop - k.h.last - 1)", "n.parent = k.h.parent")
     texts = (f"CASE WHEN {D.tag_in('p', 'li', 'blockquote')} THEN array({D.text('n', ' ')}) "
              f"WHEN {D.tag_in('ul', 'ol')} THEN transform(filter({D.descendants('n')}, d -> d.tag = 'li'), "
@@ -74,11 +75,11 @@ def product_sql() -> str:
             f"{sections} AS sections) END")
 
 
-def with_product(pages: DataFrame) -> DataFrame:
+def with_product(pages: DataFrame, rules: Rules = DEFAULTS) -> DataFrame:
     """Add ``product`` for Product pages, null for others."""
     if "product" in pages.columns:
         return pages
-    pages = D.add(with_headings(with_head(with_content(pages))), sections=sections_sql())
+    pages = D.add(with_headings(with_head(with_content(pages, rules))), sections=sections_sql(rules))
     return D.add(pages, product=product_sql()).drop("sections")
 
 
@@ -97,7 +98,7 @@ def _one_of(key: str, value) -> str:
     return f"filter(transform(_article_objs, o -> {per_object}), x -> x IS NOT NULL)"
 
 
-def article_inputs_sql() -> dict[str, str]:
+def article_inputs_sql(rules: Rules = DEFAULTS) -> dict[str, str]:
     """What the article branch needs from the page: its JSON-LD objects and two kinds of metas.
 
     Metas inside removed boilerplate no longer count.
@@ -106,7 +107,7 @@ def article_inputs_sql() -> dict[str, str]:
         kept = f"{D.tag_in('meta')} AND {D.attr_is('property', name)} AND get(dom, n.pre) IS NOT NULL"
         return f"transform({D.select('_marks', kept)}, n -> coalesce({D.attr('content')}, ''))"
 
-    objects = f"filter(jsonld, o -> {V.plain_type('o')} IN ({', '.join(map(lit, ARTICLE_TYPES))}))"
+    objects = f"filter(jsonld, o -> {V.plain_type('o')} IN ({', '.join(map(lit, rules.article_types))}))"
     return {"_article_objs": f"CASE WHEN page_type = 'Article' THEN {objects} END",
             "_article_tags": f"CASE WHEN page_type = 'Article' THEN {contents('article:tag')} END",
             "_article_section": f"CASE WHEN page_type = 'Article' THEN get({contents('article:section')}, 0) END"}
@@ -138,22 +139,22 @@ def article_sql() -> str:
             f"{featured} AS featured_image) END")
 
 
-def with_article(pages: DataFrame) -> DataFrame:
+def with_article(pages: DataFrame, rules: Rules = DEFAULTS) -> DataFrame:
     """Add ``article`` for Article pages, null for others."""
     if "article" in pages.columns:
         return pages
-    inputs = article_inputs_sql()
-    pages = D.add(with_images(with_headings(with_head(with_content(pages)))), **inputs)
+    inputs = article_inputs_sql(rules)
+    pages = D.add(with_images(with_headings(with_head(with_content(pages, rules)))), **inputs)
     return D.add(pages, article=article_sql()).drop(*inputs)
 
 
-def items_sql() -> str:
+def items_sql(rules: Rules = DEFAULTS) -> str:
     """Cards of collection pages with a link, in document order."""
     excerpt = D.attr_like("class", "(?:excerpt|summary|entry-summary)")
     parts = let("inside", D.descendants("card"), (
         f"struct(card AS card, {D.first('inside', D.tag_in('a') + ' AND ' + D.attr('href') + ' IS NOT NULL')} AS a, "
         f"{D.first('inside', excerpt)} AS excerpt, {D.first('inside', D.tag_in('img'))} AS img)"))
-    cards = f"filter(transform({D.select('_content', is_card())}, card -> {parts}), c -> c.a IS NOT NULL)"
+    cards = f"filter(transform({D.select('_content', is_card(rules))}, card -> {parts}), c -> c.a IS NOT NULL)"
     thumb = let("s", non_empty("c.img.attrs['src']"), f"CASE WHEN s IS NOT NULL THEN {make_abs('base', 's')} END")
     item = (f"struct(coalesce({non_empty(D.text('c.a', ''))}, {D.text('c.card', '')}) AS title, "
             f"{make_abs('base', D.attr('href', 'c.a'))} AS url, {D.text('c.excerpt', '')} AS excerpt, "
@@ -168,11 +169,11 @@ def collection_sql() -> str:
             "_items AS items) END")
 
 
-def with_collection(pages: DataFrame) -> DataFrame:
+def with_collection(pages: DataFrame, rules: Rules = DEFAULTS) -> DataFrame:
     """Add ``collection`` for CollectionPage pages, null for others."""
     if "collection" in pages.columns:
         return pages
-    pages = D.add(with_headings(with_head(with_content(pages))), _items=items_sql())
+    pages = D.add(with_headings(with_head(with_content(pages, rules))), _items=items_sql(rules))
     return D.add(pages, collection=collection_sql()).drop("_items")
 
 

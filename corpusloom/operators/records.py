@@ -13,6 +13,7 @@ from corpusloom.operators.content import content_sql
 from corpusloom.operators.entities import (
     TITLE, article_inputs_sql, article_sql, collection_sql, items_sql, product_sql, sections_sql)
 from corpusloom.operators.head import breadcrumbs_sql, dates_sql, head_sql, with_base
+from corpusloom.rules import DEFAULTS, Rules
 from corpusloom.sources.fetched import is_harvestable
 from corpusloom.sources.shred import shred_pages
 
@@ -28,7 +29,7 @@ def doc_id(url: str, title: str, blocks: str) -> str:
 
 
 def build_records(pages: DataFrame, site_host: str | None = None, site_origin: str | None = None,
-                  keep: tuple[str, ...] = ()) -> DataFrame:
+                  keep: tuple[str, ...] = (), rules: Rules = DEFAULTS) -> DataFrame:
     """Records of shredded pages, plus the ``keep`` columns. One narrow stage, no shuffle.
 
     A ``profile`` column (JSON text) becomes ``company_fixed``.
@@ -38,9 +39,9 @@ def build_records(pages: DataFrame, site_host: str | None = None, site_origin: s
     copies the node array of the page.
     """
     df = D.add(with_base(pages), head=head_sql(), dates=dates_sql(), breadcrumbs=breadcrumbs_sql(),
-               page_type=page_type_sql(site_origin))
-    df = D.add(with_content(df), **content_sql(site_host), **article_inputs_sql(),
-               sections=sections_sql(), _items=items_sql())
+               page_type=page_type_sql(site_origin, rules))
+    df = D.add(with_content(df, rules), **content_sql(site_host, rules), **article_inputs_sql(rules),
+               sections=sections_sql(rules), _items=items_sql(rules))
 
     def rich(kind: str) -> str:
         return (f"transform(filter(links, l -> l.kind = '{kind}'), l -> struct(l.href AS href, l.text AS text)) "
@@ -65,7 +66,7 @@ def build_records(pages: DataFrame, site_host: str | None = None, site_origin: s
 
 
 def harvest_results(fetched: DataFrame, site_host: str | None = None, site_origin: str | None = None,
-                    keep: tuple[str, ...] = ()) -> DataFrame:
+                    keep: tuple[str, ...] = (), rules: Rules = DEFAULTS) -> DataFrame:
     """``(ok, url, final_url, status, error, page_type, record, record_hash)`` of every fetch, failed ones included.
 
     The page type stands beside the record, so counting types does not build records.
@@ -73,7 +74,7 @@ def harvest_results(fetched: DataFrame, site_host: str | None = None, site_origi
     checked = fetched.withColumn("html", F.when(is_harvestable(), F.col("html")))
     checked = checked.withColumn("_fetched", F.col("html").isNotNull())
     pages = shred_pages(checked)
-    records = build_records(pages, site_host, site_origin, keep=(*keep, "_fetched", "parse_error", "page_type"))
+    records = build_records(pages, site_host, site_origin, keep=(*keep, "_fetched", "parse_error", "page_type"), rules=rules)
     ok = F.col("_fetched") & F.col("parse_error").isNull()
     crashed = F.col("parse_error").isNotNull()
     results = records.select(
@@ -87,10 +88,11 @@ def harvest_results(fetched: DataFrame, site_host: str | None = None, site_origi
     return results.withColumn("record_hash", _content_hash(F.col("record")))
 
 
-def harvest_records(fetched: DataFrame, site_host: str | None = None, site_origin: str | None = None) -> DataFrame:
+def harvest_records(fetched: DataFrame, site_host: str | None = None, site_origin: str | None = None,
+                    rules: Rules = DEFAULTS) -> DataFrame:
     """Records of the fetches that succeed, straight from the parser; unused parts are pruned."""
     pages = shred_pages(fetched.where(is_harvestable()))
-    return build_records(pages.where("parse_error IS NULL"), site_host, site_origin)
+    return build_records(pages.where("parse_error IS NULL"), site_host, site_origin, rules=rules)
 
 
 def ok_records(results: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:

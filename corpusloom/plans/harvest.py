@@ -12,6 +12,7 @@ from corpusloom.operators.changes import corpus_signature, latest_version, snaps
 from corpusloom.operators.profiles import with_profile
 from corpusloom.operators.quality import quality_columns, quality_struct
 from corpusloom.operators.records import RECORD, harvest_results, ok_records
+from corpusloom.rules import DEFAULTS, Rules
 from corpusloom.session import configure, stage
 from corpusloom.sinks.corpora import corpus_name, corpus_stats, write_corpora, write_errors
 from corpusloom.sinks.tables import csv_articles, csv_products, csv_site_pages, write_csv
@@ -19,12 +20,12 @@ from corpusloom.sources.corpus import read_manifest
 
 
 def harvest(fetched: DataFrame, site_host: str | None = None, site_origin: str | None = None,
-            profiles: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+            profiles: DataFrame | None = None, rules: Rules = DEFAULTS) -> tuple[DataFrame, DataFrame]:
     """``(results, records)``, parsed and hashed once and staged as a table in the shared folder."""
     configure(fetched.sparkSession)
     if profiles is not None:
         fetched = with_profile(fetched, profiles, "final_url")
-    results = stage(harvest_results(fetched, site_host, site_origin), "results")
+    results = stage(harvest_results(fetched, site_host, site_origin, rules=rules), "results")
     records = ok_records(results, keep=("record_hash",))
     return results, records.withColumn("canonical", F.col("document_identifier.canonical"))
 

@@ -36,9 +36,10 @@ NODE = T.StructType([
 ])
 DOM = T.ArrayType(NODE)
 
-# One output batch is cut when it holds this many nodes, so memory follows the
-# page at hand and not the number of rows Spark put in the input batch.
+# One output batch is cut when it holds this many nodes or this much HTML, so memory
+# follows the page at hand and not the number of rows Spark put in the input batch.
 NODES_PER_BATCH = 200_000
+CHARS_PER_BATCH = 64_000_000
 
 _MARKUP = re.compile(
     r"<(?:(?P<open>[a-zA-Z][^\s/>]*+)|/(?P<close>[a-zA-Z][^\s/>]*+)[^>]*+>"
@@ -322,13 +323,16 @@ def _shred(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at = batch.schema.get_field_index("html")
         kept = [i for i in range(batch.num_columns) if i != at]
         names = [batch.schema.names[i] for i in kept] + ["dom", "parse_error"]
-        html, nodes, start = batch.column(at), _Nodes(), 0
+        html, nodes, start, chars = batch.column(at), _Nodes(), 0, 0
         for row in range(batch.num_rows):
-            nodes.page(html[row].as_py())
-            if len(nodes.rows) >= NODES_PER_BATCH or row + 1 == batch.num_rows:
+            page = html[row].as_py()
+            nodes.page(page)
+            chars += len(page or "")
+            full = len(nodes.rows) >= NODES_PER_BATCH or chars >= CHARS_PER_BATCH
+            if full or row + 1 == batch.num_rows:
                 rows = batch.slice(start, row + 1 - start)
                 yield pa.RecordBatch.from_arrays([rows.column(i) for i in kept] + list(nodes.columns()), names)
-                nodes, start = _Nodes(), row + 1
+                nodes, start, chars = _Nodes(), row + 1, 0
 
 
 def shred_pages(pages: DataFrame) -> DataFrame:

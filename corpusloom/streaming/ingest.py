@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from corpusloom.operators.records import harvest_results
+from corpusloom.rules import DEFAULTS, Rules
 from corpusloom.session import configure
 from corpusloom.sources.fetched import FETCHED
 
@@ -16,9 +17,9 @@ def fetched_stream(spark: SparkSession, path: str) -> DataFrame:
 
 
 def harvest_stream(fetched: DataFrame, out: str, checkpoint: str, site_host: str | None = None,
-                   site_origin: str | None = None) -> StreamingQuery:
+                   site_origin: str | None = None, rules: Rules = DEFAULTS) -> StreamingQuery:
     """Append harvest results to ``out`` for all files now present, exactly once."""
-    results = harvest_results(fetched, site_host, site_origin)
+    results = harvest_results(fetched, site_host, site_origin, rules=rules)
     return (results.writeStream.format("parquet").option("path", out)
             .option("checkpointLocation", checkpoint).outputMode("append")
             .trigger(availableNow=True).start())

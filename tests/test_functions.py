@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions import text as X
 from corpusloom.functions import urls as U
-from corpusloom.operators.classify import SECTION_PATTERNS, classify_heading, section_rules
+from corpusloom.operators.classify import classify_heading, section_rules
+from corpusloom.rules import SECTION_PATTERNS
 
 BASES = ["http://h.example", "http://h.example/", "https://h.example:81/a/b/c?q=1", "http://h.example/a//b/",
          "http://h.example/a/./x/../y", "HTTP://u@H.example/a/b#frag"]

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.operators.profiles import attach_profile
 from corpusloom.operators.records import build_records, harvest_results, with_record_hash
+from corpusloom.rules import Rules
 from corpusloom.sources.fetched import from_pages
 from corpusloom.sources.shred import shred_pages
 
@@ -270,6 +271,18 @@ def test_profile(spark, records):
     assert sorted((r.url, r.p) for r in got) == [("https://A.example:80/x", '{"n":1}'), ("https://b.example/", None)]
 
 
+def test_own_rules(spark):
+    rules = Rules(min_block=3, boilerplate_tags=("section",), download_extensions=(".txt",), card_classes=("tile",),
+                  section_patterns=(("packing", (r"\bboxes\b",)),))
+    html = (product("<main><nav><p>kept</p></nav><section><p>gone</p></section><a href='/a.txt'>t</a><a href='/a.pdf'>p</a>"
+                    "<h2>Boxes</h2><p>two</p><h2>Uses</h2><p>none</p></main>"))
+    pages = from_pages(spark.createDataFrame([("1", URL, html)], "page_id string, url string, html string"))
+    got = build_records(shred_pages(pages), rules=rules).first()
+    assert got.content.text_blocks == ["kept", "two", "none"]
+    assert [d.href[-5:] for d in got.content.downloads] == ["a.txt"]
+    assert got.product.sections.packing == "two" and got.product.sections.uses_applications is None
+
+
 def test_records_need_no_shuffle(spark):
     pages = from_pages(spark.createDataFrame([("1", URL, "<p>x")], "page_id string, url string, html string"))
     plan = with_record_hash(build_records(shred_pages(pages)))._jdf.queryExecution().executedPlan().toString()
