@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from datetime import datetime
+from urllib.parse import urlsplit
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.operators.changes import corpus_signature, latest_version, snapshot_diff
@@ -13,10 +14,13 @@ from corpusloom.operators.profiles import with_profile
 from corpusloom.operators.quality import quality_columns, quality_struct
 from corpusloom.operators.records import RECORD, harvest_results, ok_records
 from corpusloom.rules import DEFAULTS, Rules
+from corpusloom.schema import MANIFEST_DDL
 from corpusloom.session import configure, stage
 from corpusloom.sinks.corpora import corpus_name, corpus_stats, write_corpora, write_errors
 from corpusloom.sinks.tables import csv_articles, csv_products, csv_site_pages, write_csv
 from corpusloom.sources.corpus import read_manifest
+from corpusloom.sources.fetched import fetched_pages
+from corpusloom.sources.sitemap import discover_frontier, require_frontier
 
 
 def harvest(fetched: DataFrame, site_host: str | None = None, site_origin: str | None = None,
@@ -30,9 +34,25 @@ def harvest(fetched: DataFrame, site_host: str | None = None, site_origin: str |
     return results, records.withColumn("canonical", F.col("document_identifier.canonical"))
 
 
+def harvest_site(sitemaps: DataFrame, fetched: DataFrame, index_url: str, profiles: DataFrame | None = None,
+                 rules: Rules = DEFAULTS) -> tuple[DataFrame, DataFrame]:
+    """A whole site from its sitemap index: frontier, its fetch results, records.
+
+    Fails on an index URL without scheme or host, and when nothing is discovered.
+    """
+    parts = urlsplit(index_url)
+    if not parts.scheme or not parts.netloc:
+        raise ValueError(f"invalid sitemap index URL: {index_url}")
+    is_index = F.col("sitemap_url") == index_url
+    frontier = require_frontier(discover_frontier(sitemaps, is_index, parts.netloc))
+    return harvest(fetched_pages(fetched, frontier), parts.netloc, f"{parts.scheme}://{parts.netloc}", profiles, rules)
+
+
 def harvest_summary(results: DataFrame, records: DataFrame, source: str | None = None,
                     sitemap_index: str | None = None, generated_at: datetime | None = None,
-                    previous_version: str | None = None, previous_signature: str | None = None) -> DataFrame:
+                    previous_version: str | None = None, previous_signature: str | None = None,
+                    output_root: str | None = None, changed: tuple[str, ...] = (),
+                    unchanged: tuple[str, ...] = ()) -> DataFrame:
     """One row: counts, content hashes, quality and change detection of a run."""
     stamp = F.lit(generated_at) if generated_at else F.current_timestamp()
     errors = results.where(~F.col("ok")).agg(F.count(F.lit(1)))
@@ -57,7 +77,14 @@ def harvest_summary(results: DataFrame, records: DataFrame, source: str | None =
         F.struct(
             (F.lit(previous_version) if previous_version else none).alias("previous_version"),
             (F.lit(previous_signature) if previous_signature else none).alias("previous_corpus_signature"),
-            corpus_signature(records).scalar().alias("corpus_signature")).alias("change_detection"))
+            corpus_signature(records).scalar().alias("corpus_signature"),
+            _strings(changed).alias("changed_files"), _strings(unchanged).alias("unchanged_files"),
+        ).alias("change_detection"),
+        F.lit(output_root).cast("string").alias("output_root"))
+
+
+def _strings(values: tuple[str, ...]) -> Column:
+    return F.array(*[F.lit(v) for v in values]).cast("array<string>")
 
 
 @dataclass(frozen=True)
@@ -96,15 +123,20 @@ def publish_version(results: DataFrame, records: DataFrame, root: str, **summary
     for name, flat in (("site_pages", csv_site_pages), ("products", csv_products), ("articles", csv_articles)):
         write_csv(flat(written), f"{path}/csv/{name}")
     write_errors(results, f"{path}/errors")
+    # one row per corpus and one for all records, so this is a handful of rows
+    stats = (corpus_stats(written.withColumn("rel_path", F.concat(F.lit("corpora/corpus="), corpus_name())), "rel_path")
+             .unionByName(corpus_stats(written).withColumn("rel_path", F.lit("records")))
+             .select(F.lit(version).alias("version"), "rel_path", F.col("corpus_signature").alias("content_hash"),
+                     "n_records", F.lit(signature).alias("corpus_signature"),
+                     F.current_timestamp().alias("written_at"))).collect()
+    rows = spark.createDataFrame(stats, MANIFEST_DDL)
+    before = {r["rel_path"]: r["content_hash"] for r in manifest.where(F.col("version") == (number or 0)).collect()}
+    same = tuple(sorted(r["rel_path"] for r in stats if before.get(r["rel_path"]) == r["content_hash"]))
     (harvest_summary(results, written, previous_version=f"v{number}" if number else None,
-                     previous_signature=previous["corpus_signature"] if previous else None, **summary)
+                     previous_signature=previous["corpus_signature"] if previous else None, output_root=root,
+                     changed=tuple(sorted({r["rel_path"] for r in stats} - set(same))), unchanged=same, **summary)
      .write.mode("overwrite").option("ignoreNullFields", "false").json(f"{path}/summary"))
-    stats = (corpus_stats(written.withColumn("rel_path", F.concat(F.lit("corpora/corpus="), corpus_name())), "rel_path")
-             .unionByName(corpus_stats(written).withColumn("rel_path", F.lit("records"))))
-    (stats.select(F.lit(version).alias("version"), "rel_path", F.col("corpus_signature").alias("content_hash"),
-                  "n_records", F.lit(signature).alias("corpus_signature"),
-                  F.current_timestamp().alias("written_at"))
-     .coalesce(1).write.mode("append").parquet(manifest_path))
+    rows.coalesce(1).write.mode("append").parquet(manifest_path)
     return Published(version, True, signature, path)
 
 
@@ -116,7 +148,7 @@ def version_changes(manifest: DataFrame, version: int) -> DataFrame:
     return snapshot_diff(of(version), of(version - 1), key="rel_path", record_hash="content_hash")
 
 
-def version_diff(current_path: str, previous_path: str, spark) -> DataFrame:
+def version_diff(current_path: str, previous_path: str, spark: SparkSession) -> DataFrame:
     """``(canonical, status)`` of the records of two versions; reads two columns of each."""
     def read(path: str) -> DataFrame:
         return spark.read.parquet(f"{path}/records").select("canonical", "record_hash")

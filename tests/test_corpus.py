@@ -164,7 +164,9 @@ def test_publish(spark, tmp_path):
     assert {r.canonical[-4:]: r.status for r in diff.collect()} == {"art1": "same", "art2": "removed", "prod": "same", "coll": "removed", "page": "same"}
     summary = spark.read.json(f"{two.path}/summary").first()
     assert summary.counts.errors == 1 and summary.counts.total_records == 3
-    assert summary.change_detection.previous_version == "v1"
+    assert summary.change_detection.previous_version == "v1" and summary.output_root == root
+    assert summary.change_detection.changed_files == ["corpora/corpus=articles", "records"]
+    assert summary.change_detection.unchanged_files == ["corpora/corpus=pages", "corpora/corpus=products"]
     assert summary.change_detection.previous_corpus_signature == one.signature
     assert previous_signature(spark, f"{two.path}/summary").first()["corpus_signature"] == two.signature
     assert previous_signature(spark, f"{root}/nowhere").count() == 0
@@ -210,6 +212,20 @@ def test_sitemaps(spark):
         require_frontier(discover_frontier(df, is_index, "other.example"))
 
 
+def test_harvest_site(spark):
+    index = "https://s.example/index.xml"
+    maps = spark.createDataFrame([
+        (index, 200, "<sitemapindex><sitemap><loc>https://s.example/m.xml</loc></sitemap></sitemapindex>"),
+        ("https://s.example/m.xml", 200, "<urlset>" + "".join(f"<url><loc>https://s.example/{n}</loc></url>" for n in ("art1", "page", "never")) + "</urlset>"),
+    ], "sitemap_url string, status int, xml string")
+    results, records = plans.harvest_site(maps, site(spark), index)
+    assert {r.url[18:]: (r.ok, r.status, r.error) for r in results.collect()} == {
+        "art1": (True, 200, None), "page": (True, 200, None), "never": (False, 0, "HTTP 0")}
+    assert records.count() == 2
+    with pytest.raises(ValueError):
+        plans.harvest_site(maps, site(spark), "index.xml")
+
+
 def test_read_fetched_and_stream_agree(spark, tmp_path):
     site(spark).write.parquet(f"{tmp_path}/in")
     batch = plans.harvest_results(read_fetched(spark, f"{tmp_path}/in"))
