@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from corpusloom.functions import dom as D
 from corpusloom.functions.text import let
 from corpusloom.operators.classify import with_page_type
+from corpusloom.operators.head import with_base
 from corpusloom.rules import DEFAULTS, Rules
 from corpusloom.sources.shred import NODE
 
@@ -50,7 +51,8 @@ def strip_boilerplate(pages: DataFrame, rules: Rules = DEFAULTS) -> DataFrame:
     """Null every boilerplate subtree below the container in ``dom``.
 
     Only the topmost boilerplate elements matter; the array is rebuilt from the
-    slices between them, so the work is linear in the page.
+    slices between them, so the work is linear in the page. Head nodes and JSON-LD
+    are read before, since they may lie inside what is removed.
     """
     if "_stripped" in pages.columns:
         return pages
@@ -65,7 +67,7 @@ def strip_boilerplate(pages: DataFrame, rules: Rules = DEFAULTS) -> DataFrame:
     rebuilt = let("cuts", topmost, (
         f"CASE WHEN size(cuts) = 0 THEN dom ELSE concat(flatten(transform(cuts, (c, i) -> {piece})), "
         f"slice(dom, {end} + 2, size(dom) - {end} - 1)) END"))
-    return D.add(with_container(pages, rules=rules), dom=rebuilt, _stripped="true")
+    return D.add(with_container(with_base(pages), rules=rules), dom=rebuilt, _stripped="true")
 
 
 def with_content(pages: DataFrame, rules: Rules = DEFAULTS) -> DataFrame:

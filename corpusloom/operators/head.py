@@ -96,6 +96,8 @@ def breadcrumbs_sql() -> str:
 
 def with_breadcrumbs(pages: DataFrame) -> DataFrame:
     """Add ``breadcrumbs``: from the first breadcrumb list with named items, else from the page's trail."""
+    if "_stripped" in pages.columns and "breadcrumbs" not in pages.columns:
+        raise ValueError("breadcrumbs are read before boilerplate removal")
     return pages if "breadcrumbs" in pages.columns else D.add(with_base(pages), breadcrumbs=breadcrumbs_sql())
 
 
