@@ -26,3 +26,15 @@ WITH whole AS (
 )
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 """
+
+WARC = """
+WITH page AS (
+  SELECT page_id, coalesce(html, '') AS payload FROM pages
+), first AS (
+  SELECT payload, min(page_id) AS page_id FROM page WHERE strlen(payload) >= 100 GROUP BY payload
+)
+SELECT p.page_id, strlen(p.payload)::BIGINT AS payload_bytes, sha256(p.payload) AS payload_digest,
+  CASE WHEN f.page_id < p.page_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN f.page_id < p.page_id THEN f.page_id END AS refers_to
+FROM page p LEFT JOIN first f ON p.payload = f.payload
+"""

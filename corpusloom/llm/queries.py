@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import oracles
+from .archives import page_archive
 from .chat import format_chats, masked_text, parse
 from .common import ORACLES, QUERIES, query, table  # noqa: F401  the registries are read from here
 from .sharding import shard_rows
@@ -32,6 +33,11 @@ def op3_jump_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
+@query(oracles.WARC)
+def op6_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return page_archive(table(spark, sf_dir, "pages"))
+
+
 @query(oracles.TOP_K)
 def op10_bit_sliced_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = quantise(table(spark, sf_dir, "embeddings"))
