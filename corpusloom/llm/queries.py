@@ -11,6 +11,7 @@ from .chat import format_chats, masked_text, parse
 from .common import ORACLES, QUERIES, query, table  # noqa: F401  the registries are read from here
 from .sharding import shard_rows
 from .topk import quantise, top_k
+from .urlfilter import judge_urls
 
 
 @query(oracles.CHAT)
@@ -38,6 +39,12 @@ def op6_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return page_archive(table(spark, sf_dir, "pages"))
 
 
+@query()
+def op7_url_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = {"net/": "block", "example.net/en/": "allow", "example.com/de/": "block", "org/fr/": "allow"}
+    return judge_urls(table(spark, sf_dir, "pages"), rules)
+
+
 @query(oracles.TOP_K)
 def op10_bit_sliced_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = quantise(table(spark, sf_dir, "embeddings"))
