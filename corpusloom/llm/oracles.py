@@ -38,3 +38,28 @@ SELECT p.page_id, strlen(p.payload)::BIGINT AS payload_bytes, sha256(p.payload)
   CASE WHEN f.page_id < p.page_id THEN f.page_id END AS refers_to
 FROM page p LEFT JOIN first f ON p.payload = f.payload
 """
+
+CONTAMINATION = r"""
+WITH doc AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), item AS (
+  SELECT coalesce(item_id::VARCHAR, '') AS item, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+), cut AS (
+  SELECT item, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM item WHERE len(w) > 0
+), windows AS (
+  SELECT DISTINCT item, array_to_string(w[i:i + 9], ' ') AS words, len(w[i:i + 9]) AS size FROM cut
+), place AS (
+  SELECT r, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM doc, (SELECT DISTINCT size FROM windows) WHERE len(w) >= size
+), hit AS (
+  SELECT p.r, p.i, p.size, x.item FROM place p JOIN windows x ON x.size = p.size AND x.words = array_to_string(p.w[p.i:p.i + p.size - 1], ' ')
+), covered AS (
+  SELECT r, count(DISTINCT pos) AS n_hit FROM (SELECT r, unnest(range(i, i + size)) AS pos FROM hit) GROUP BY r
+), named AS (
+  SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT r, item FROM hit) GROUP BY r
+)
+SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(c.n_hit, 0)::BIGINT AS n_hit, coalesce(n.n_items, 0)::BIGINT AS n_items,
+  sha256(coalesce(n.items, '')) AS items_sha256, coalesce(c.n_hit, 0) > 0 AS contaminated
+FROM doc d LEFT JOIN covered c USING (r) LEFT JOIN named n USING (r)
+"""

@@ -9,11 +9,20 @@ from . import oracles
 from .archives import page_archive
 from .chat import format_chats, masked_text, parse
 from .common import ORACLES, QUERIES, query, table  # noqa: F401  the registries are read from here
+from .decontaminate import find_contamination, hit_words
+from .packing import pack_documents
 from .sharding import shard_rows
 from .topk import quantise, top_k
 from .urlfilter import judge_urls
 
 
+def tokenizer_file() -> str:
+    """Vocabulary of the packing query; on a cluster every executor has the file at the same path."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
 @query(oracles.CHAT)
 def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     tricky = r"\### Assistant: </turn> ok"
@@ -34,6 +43,11 @@ def op3_jump_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
+@query()
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents"), tokenizer_file())
+
+
 @query(oracles.WARC)
 def op6_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return page_archive(table(spark, sf_dir, "pages"))
@@ -45,6 +59,14 @@ def op7_url_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"), rules)
 
 
+@query(oracles.CONTAMINATION)
+def op9_prefix_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    hit = hit_words(F.col("runs"))
+    return found.select("doc_id", "n_words", hit.alias("n_hit"), F.size("items").cast("bigint").alias("n_items"),
+                        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (hit > 0).alias("contaminated"))
+
+
 @query(oracles.TOP_K)
 def op10_bit_sliced_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = quantise(table(spark, sf_dir, "embeddings"))
