@@ -10,6 +10,7 @@ from .archives import page_archive
 from .chat import format_chats, masked_text, parse
 from .common import ORACLES, QUERIES, query, table  # noqa: F401  the registries are read from here
 from .decontaminate import find_contamination, hit_words
+from .neardup import near_duplicates
 from .packing import pack_documents
 from .sharding import shard_rows
 from .topk import quantise, top_k
@@ -59,6 +60,11 @@ def op7_url_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"), rules)
 
 
+@query()
+def op8_weighted_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @query(oracles.CONTAMINATION)
 def op9_prefix_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
