@@ -12,6 +12,7 @@ from .common import ORACLES, QUERIES, query, table  # noqa: F401  the registries
 from .decontaminate import find_contamination, hit_words
 from .neardup import near_duplicates
 from .packing import pack_documents
+from .repeats import remove_repeats
 from .sharding import shard_rows
 from .topk import quantise, top_k
 from .urlfilter import judge_urls
@@ -44,6 +45,13 @@ def op3_jump_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
+@query()
+def op4_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = remove_repeats(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("bigint"), lambda n, s: n + s["length"])
+    return cut.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query()
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), tokenizer_file())
