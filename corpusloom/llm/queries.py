@@ -15,6 +15,7 @@ from .packing import pack_documents
 from .repeats import remove_repeats
 from .sharding import shard_rows
 from .topk import quantise, top_k
+from .toxicity import score_documents
 from .urlfilter import judge_urls
 
 
@@ -25,6 +26,12 @@ def tokenizer_file() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+@query()
+def op1_toxicity_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", "held_out", "score", "predicted")
+
+
 @query(oracles.CHAT)
 def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     tricky = r"\### Assistant: </turn> ok"
