@@ -328,9 +328,9 @@ def _id() -> Column:
 # --- the whole ---------------------------------------------------------------------------------------------------------
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """``(doc_id, class_id, copies, linked)`` for every row.
+    """``(doc_id, node, class_id, class_node, copies, linked)`` for every row; nodes are digests of texts.
 
-    ``class_id`` is the smallest doc_id of the row's class: rows of equal text, and texts chained by verified links of at
+    ``class_id`` and ``class_node`` are the smallest doc_id of the row's class and its text: rows of equal text, and texts chained by verified links of at
     least ``threshold``. ``copies`` counts the rows of the same text, ``linked`` tells whether the text has a link to another.
     Texts are compared by runs of letters and digits, lower-cased; texts without any, empty and null ones match equal texts
     only (null counts as empty). Rows with a null id are classed too; a class without ids has the class id null. Repeated
@@ -376,6 +376,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     labels = components(links)
     classed = signed.select("node", "doc_id").join(labels, "node", "left").withColumn("linked", F.col("label").isNotNull())
     classed = classed.withColumn("label", F.coalesce("label", "node"))
-    least = classed.groupBy("label").agg(F.min("doc_id").alias("class_id"))
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "node"))  # rows without an id come last
+    least = classed.groupBy("label").agg(first.alias("first")).select("label", F.col("first.doc_id").alias("class_id"), F.col("first.node").alias("class_node"))
     return (classed.join(least, "label").join(nodes.select("node", "copies"), "node")
-            .select(F.col("doc_id").alias(doc_id), "class_id", "copies", "linked"))
+            .select(F.col("doc_id").alias(doc_id), "node", "class_id", "class_node", "copies", "linked"))

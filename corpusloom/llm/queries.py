@@ -77,7 +77,7 @@ def op7_url_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def op8_weighted_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents"))
+    return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "copies", "linked")
 
 
 @query(oracles.CONTAMINATION)

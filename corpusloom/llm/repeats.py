@@ -261,9 +261,16 @@ def _shard(table: pa.Table) -> pa.Table:
 
 # --- removal -----------------------------------------------------------------------------------------------------------
 
-def _remove(texts: pa.Table, answers: pa.Table) -> pa.Table:
-    if not texts.num_rows:
-        return pa.table({"row": pa.array([], pa.binary()), "n_bytes": pa.array([], pa.int64()), "spans": pa.array([], SPANS), "kept": pa.array([], pa.binary())})
+def _remover(decoded: bool) -> Callable:
+    def remove(texts: pa.Table, answers: pa.Table) -> pa.Table:
+        rows, sizes, spans, kept = _removed(texts, answers)
+        if decoded:
+            kept = [b.decode("utf-8", "ignore") for b in kept]  # parts of characters go
+        return pa.table({"row": rows, "n_bytes": pa.array(sizes, pa.int64()), "spans": pa.array(spans, SPANS), "kept": pa.array(kept, pa.string() if decoded else pa.binary())})
+    return remove
+
+
+def _removed(texts: pa.Table, answers: pa.Table) -> tuple[pa.Array, np.ndarray, list, list[bytes]]:
     chunk = Chunk(texts)
     n = len(chunk.data)
     change = np.zeros(n + 1, np.int32)
@@ -292,18 +299,19 @@ def _remove(texts: pa.Table, answers: pa.Table) -> pa.Table:
         else:
             spans.append([])
             kept.append(chunk.data[a:b].tobytes())
-    return pa.table({"row": chunk.rows["row"].combine_chunks(), "n_bytes": pa.array(sizes, pa.int64()), "spans": pa.array(spans, SPANS), "kept": pa.array(kept, pa.binary())})
+    return chunk.rows["row"].combine_chunks(), sizes, spans, kept
 
 
 SPANS = pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64())]))
 
 
-def remove_repeats(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+def remove_repeats(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), decoded: bool = False) -> DataFrame:
     """``(*keep, n_bytes, spans, kept)``: removed byte runs and the bytes left of every row of ``(doc_id, text)``.
 
     A byte goes if a ``REPEAT``-byte string that covers it also starts in a row of smaller doc_id, judged on the input. A null
     text is empty; a null id counts as larger than all others; rows of equal id never cut each other; texts shorter than a
-    repeat stay. The result may split a character at a run's ends. An empty table gives no rows.
+    repeat stay. ``kept`` is binary, for a run may end inside a character; ``decoded`` makes it a text without such remains. An
+    empty table gives no rows.
 
     Texts are dealt into chunks once, and that exchange serves all three steps over texts. Equal windows share an anchor, so
     (1) anchors are counted by key range, (2) strings around anchors of several rows go, copies collapsed, to the anchor's
@@ -320,6 +328,6 @@ def remove_repeats(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> Data
     answers = units.groupBy("part").applyInArrow(_shard, ANSWERS)
     both = (codes.select("chunk", "part", "codes", F.lit(None).cast("binary").alias("firsts"), F.lit(None).cast("binary").alias("masks"))
             .unionByName(answers.select("chunk", "part", F.lit(None).cast("binary").alias("codes"), "firsts", "masks")))
-    kept = f"row {rows.schema['row'].dataType.simpleString()}, n_bytes bigint, spans array<struct<start:bigint,length:bigint>>, kept binary"
-    cut = texts.groupBy("chunk").cogroup(both.groupBy("chunk")).applyInArrow(_remove, kept)
+    kept = f"row {rows.schema['row'].dataType.simpleString()}, n_bytes bigint, spans array<struct<start:bigint,length:bigint>>, kept {'string' if decoded else 'binary'}"
+    cut = texts.groupBy("chunk").cogroup(both.groupBy("chunk")).applyInArrow(_remover(decoded), kept)
     return cut.select(*[F.col("row")[c].alias(c) for c in keep], "n_bytes", "spans", "kept")
