@@ -28,7 +28,9 @@ NEGATIONS = "not never neither nor cannot hardly nicht kein keine keinen nie nie
 REPORTS = ("said says saying called calls wrote writes quoted claimed claims reported alleged sagte sagt nannte schrieb behauptet "
            "dit disait écrit appelé affirme dijo dice escribió llamó afirma").split()
 THREATS = "kill murder stab strangle shoot umbringen töten erschießen ermorden tuer assassiner égorger étrangler matar asesinar apuñalar".split()
-THREAT_WEIGHT = 3.0
+INSULTS = ("idiot moron stupid loser pathetic worthless disgusting scum trash imbecile jerk bastard bitch asshole dumbass trottel arschloch dummkopf "
+           "schwachkopf connard imbécile abruti salaud crétin idiota imbécil estúpido cabrón pendejo").split()
+INSULT_WEIGHT, THREAT_WEIGHT = 3.0, 3.0
 
 WORD = re.compile(r"[^\W\d_]+")
 CLAUSE_END = re.compile(r"[.!?;:\n]+")
@@ -184,7 +186,7 @@ def training_sample(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS)
 
 
 def learn_lexicon(sample: DataFrame) -> Lexicon:
-    """Words and word beginnings that mark label 1, weighted by log odds.
+    """The fixed insults, and the words and word beginnings that mark label 1, weighted by log odds.
 
     Counts are (document, word) pairs. A beginning is kept if it is clearly likelier under label 1; of nested ones the longest
     that keeps nearly all of its pairs, so that a stem with many endings is one cue and a single word is a whole word.
@@ -203,7 +205,7 @@ def learn_lexicon(sample: DataFrame) -> Lexicon:
     likely = F.col("ones") * F.log(F.greatest(F.col("ones") / F.col("all") / (toxic / max(1, toxic + clean) or 1.0), F.lit(1.0)))
     kept = counted.filter(F.col("ones") >= LEAST_SEEN).withColumn("odds", rate).filter((F.col("odds") >= LEAST_LOG_ODDS) & (likely >= LEAST_EVIDENCE))
     cues = {r["cue"]: (r["ones"], r["odds"]) for r in kept.orderBy(F.desc("ones"), "cue").collect()}  # of a bounded sample
-    return Lexicon(choose_cues(cues))
+    return Lexicon(dict.fromkeys(INSULTS, INSULT_WEIGHT) | choose_cues(cues))
 
 
 def choose_cues(cues: dict[str, tuple[int, float]], share: float = 0.9) -> dict[str, float]:
