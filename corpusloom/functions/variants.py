@@ -38,9 +38,28 @@ def items(v: str) -> str:
     return f"CASE WHEN {is_array(v)} THEN try_variant_get({v}, '$', 'array<variant>') ELSE {NO_VARIANTS} END"
 
 
+def one_value(text: str) -> str:
+    """The value of a text that is one whole JSON value, null when anything follows it.
+
+    The parser stops after the first value. As the first of two members of a list, with a mark as
+    the second, the text has to end where its value ends.
+    """
+    return let("pair", f"try_parse_json(concat('[', {text}, ',\"#end\"]'))", (
+        "CASE WHEN try_variant_get(pair, '$[1]', 'string') = '#end' AND try_variant_get(pair, '$[2]', 'variant') IS NULL "
+        "THEN try_variant_get(pair, '$[0]', 'variant') END"))
+
+
+def _without_nan(text: str) -> str:
+    """``NaN`` and infinities outside strings become ``null``; quoted parts are told by their place between quotes."""
+    masked = f"replace(replace({text}, '\\\\\\\\', '\\uE000'), '\\\\\"', '\\uE001')"
+    parts = f"transform(split({masked}, '\"', -1), (s, i) -> CASE WHEN i % 2 = 0 THEN regexp_replace(s, '-?Infinity|NaN', 'null') ELSE s END)"
+    return f"replace(replace(array_join({parts}, '\"'), '\\uE001', '\\\\\"'), '\\uE000', '\\\\\\\\')"
+
+
 def tolerant_json(raw: str) -> str:
-    """Parse JSON text; on failure once more without byte-order marks; else null."""
-    return let("t", strip(raw), "coalesce(try_parse_json(t), try_parse_json(replace(t, '\\uFEFF', '')))")
+    """Parse a text that is one JSON value; on failure without byte-order marks, then with ``NaN`` and infinities as null."""
+    bare = "replace(t, '\\uFEFF', '')"
+    return let("t", strip(raw), f"coalesce({one_value('t')}, {let('t', strip(bare), one_value('t'))}, {let('t', strip(bare), let('u', _without_nan('t'), one_value('u')))})")
 
 
 def top_level_objects(v: str) -> str:

@@ -9,8 +9,8 @@ from corpusloom.functions.text import sha256_hex
 
 
 def _digest(items: str) -> Column:
-    """Hash of a group's strings in sorted order."""
-    return F.expr(sha256_hex(f"listagg({items}, chr(10)) WITHIN GROUP (ORDER BY {items})"))
+    """Hash of a group's strings in sorted order; no strings hash like the empty one."""
+    return F.expr(sha256_hex(f"coalesce(listagg({items}, chr(10)) WITHIN GROUP (ORDER BY {items}), '')"))
 
 
 def corpus_signature(hashed: DataFrame, *by: str, record_hash: str = "record_hash") -> DataFrame:
@@ -55,8 +55,11 @@ def diff_counts(diff: DataFrame) -> DataFrame:
 
 
 def latest_version(names: DataFrame, name: str = "name", pattern: str = r"^corpus_ver(\d+)\z") -> DataFrame:
-    """Highest version number among the names that match, and its name; nulls when none does."""
-    version = F.expr("try_cast(nullif(v, '') as int)")
-    found = names.select(F.col(name).alias("path"), F.regexp_extract(name, pattern, 1).alias("v"))
-    numbered = found.select("path", version.alias("version")).where("version is not null")
+    """Highest version number among the names that match, and its name; nulls when none does.
+
+    A name that matches with a number beyond 64 bits is an error: left out, a lower version would pass for the latest.
+    """
+    version = F.expr("coalesce(try_cast(v as bigint), raise_error(concat('version number too large: ', path)))")
+    found = names.select(F.col(name).alias("path"), F.regexp_extract(name, pattern, 1).alias("v")).where("v <> ''")
+    numbered = found.select("path", version.alias("version"))
     return numbered.agg(F.max("version").alias("version"), F.max_by("path", "version").alias("path"))

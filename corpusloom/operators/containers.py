@@ -27,8 +27,12 @@ def _main_of() -> str:
 def _article_of(rules: Rules) -> str:
     """The four article-body selectors in order, null when none matches."""
     def inside(host_test: str) -> str:
-        within = f"{D.has_class(rules.entry_content)} AND exists(hs, h -> h.pre < n.pre AND n.pre <= h.last)"
-        return let("hs", D.select("dom", host_test), D.first("bs", within))
+        # hosts and bodies in document order: a body lies in a host if one before it reaches that far
+        body = D.has_class(rules.entry_content)
+        found = (f"aggregate({D.select('dom', D.any_of(host_test, body))}, struct(-1 AS reach, cast(null AS int) AS at), (acc, n) -> "
+                 f"CASE WHEN acc.at IS NOT NULL THEN acc WHEN {body} AND acc.reach >= n.pre THEN struct(acc.reach AS reach, n.pre AS at) "
+                 f"WHEN {host_test} THEN struct(greatest(acc.reach, n.last) AS reach, acc.at AS at) ELSE acc END).at")
+        return let("at", found, "CASE WHEN at IS NOT NULL THEN get(dom, at) END")
 
     return let("bs", D.select("dom", D.has_class(rules.theme_content, rules.entry_content)), (
         f"CASE WHEN size(bs) > 0 THEN coalesce({D.first('bs', D.has_class(rules.theme_content))}, "

@@ -82,7 +82,11 @@ def breadcrumbs_sql() -> str:
     entries = (f"filter({V.items(V.member('o', 'itemListElement'))}, "
                f"i -> {V.is_object('i')} AND coalesce({V.is_object(V.member('i', 'item'))}, false))")
     url = let("u", non_empty(V.string_member("e", "@id")), f"CASE WHEN u IS NOT NULL THEN {make_abs('base', 'u')} END")
-    entry = let("e", V.member("i", "item"), f"struct(cast({V.member('e', 'name')} AS string) AS name, {url} AS url)")
+    # 0 and false are no names, as the empty string is none
+    name = let("nm", V.member("e", "name"), (
+        f"CASE WHEN {V.is_string('nm')} THEN cast(nm AS string) WHEN schema_of_variant(nm) = 'BOOLEAN' THEN nullif(cast(nm AS string), 'false') "
+        "WHEN coalesce(try_variant_get(nm, '$', 'double'), 1) <> 0 THEN cast(nm AS string) END"))
+    entry = let("e", V.member("i", "item"), f"struct({name} AS name, {url} AS url)")
     trails = f"transform({lists}, o -> filter(transform({entries}, i -> {entry}), c -> c.name <> ''))"
     nav = D.first("dom", D.any_of(D.has_class("breadcrumb"),
                                   "n.tag = 'nav' AND " + D.attr_like("aria-label", "breadcrumb")))

@@ -12,10 +12,13 @@ def with_profile(pages: DataFrame, profiles: DataFrame, url: str = "url") -> Dat
     """Add ``profile``, the JSON text ``profiles(host, profile)`` holds for the host of ``url``.
 
     No broadcast is forced: Spark broadcasts the profiles when their size is below
-    its threshold, and otherwise joins by shuffle with skewed hosts split. One
-    profile per host is kept, so pages are never multiplied.
+    its threshold, and otherwise joins by shuffle with skewed hosts split. Repeated rows
+    of a host count once; two different profiles of one host are an error.
     """
-    one = profiles.groupBy(F.lower("host").alias("_host")).agg(F.min("profile").alias("profile"))
+    least, most = F.min("profile"), F.max("profile")
+    clash = F.raise_error(F.concat(F.lit("different profiles for host "), F.col("_host")))
+    one = (profiles.groupBy(F.lower("host").alias("_host")).agg(least.alias("profile"), most.alias("_most"))
+           .select("_host", F.when(F.col("profile").eqNullSafe(F.col("_most")), F.col("profile")).otherwise(clash).alias("profile")))
     return pages.withColumn("_host", F.expr(authority(url))).join(one, "_host", "left").drop("_host")
 
 

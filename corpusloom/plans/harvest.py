@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import datetime, timezone
+from functools import reduce
 from urllib.parse import urlsplit
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,7 +18,8 @@ from corpusloom.operators.records import RECORD, harvest_results, ok_records
 from corpusloom.rules import DEFAULTS, Rules
 from corpusloom.schema import MANIFEST_DDL
 from corpusloom.session import configure, stage
-from corpusloom.sinks.corpora import corpus_name, corpus_stats, write_corpora, write_errors
+from corpusloom.sinks.corpora import (
+    CORPUS_OF_TYPE, corpus_name, corpus_stats, harvest_errors, line_stats, write_corpora, write_errors)
 from corpusloom.sinks.tables import csv_articles, csv_products, csv_site_pages, write_csv
 from corpusloom.sources.corpus import read_manifest
 from corpusloom.sources.fetched import fetched_pages
@@ -100,8 +103,10 @@ class Published:
 def publish_version(results: DataFrame, records: DataFrame, root: str, **summary: str) -> Published:
     """Write a new version below ``root`` if the corpus signature differs from the last one.
 
-    The manifest row is appended last, so a run that dies half way leaves no version
-    behind and its folder number is simply taken again under a new path.
+    Each attempt has a folder of its own, and the manifest rows that name it are appended last: a run that dies half way
+    leaves no version behind, and the next one is not in its way. Only corpora and flat files whose content changed are
+    written; for the others the manifest points at the version that wrote them. A harvest without records is a
+    version as well.
     """
     spark = records.sparkSession
     manifest_path = f"{root}/manifest"
@@ -109,48 +114,61 @@ def publish_version(results: DataFrame, records: DataFrame, root: str, **summary
     whole = manifest.where(F.col("rel_path") == "records")
     last = latest_version(whole.select(F.concat(F.lit("corpus_ver"), F.col("version").cast("string")).alias("name")))
     number = last.first()["version"]
-    previous = whole.where(F.col("version") == number).first() if number else None
+    # one row per corpus and per flat file of one version, so this is a handful of rows
+    before = {r["rel_path"]: r for r in manifest.where(F.col("version") == (number or 0)).collect()}
     signature = corpus_signature(records).first()["corpus_signature"]
+    previous = before.get("records")
     if previous is not None and previous["corpus_signature"] == signature:
-        return Published(number, False, signature, f"{root}/corpus_ver{number}")
-    version = (number or 0) + 1
-    path = f"{root}/corpus_ver{version}"
-    kind = F.col("document_identifier.page_type").alias("page_type")
-    (records.select(*RECORD, "record_hash", "canonical", kind)
-     .write.mode("overwrite").partitionBy("page_type").parquet(f"{path}/records"))
-    written = spark.read.parquet(f"{path}/records")
-    write_corpora(written, f"{path}/corpora")
-    for name, flat in (("site_pages", csv_site_pages), ("products", csv_products), ("articles", csv_articles)):
-        write_csv(flat(written), f"{path}/csv/{name}")
-    write_errors(results, f"{path}/errors")
-    # one row per corpus and one for all records, so this is a handful of rows
-    stats = (corpus_stats(written.withColumn("rel_path", F.concat(F.lit("corpora/corpus="), corpus_name())), "rel_path")
-             .unionByName(corpus_stats(written).withColumn("rel_path", F.lit("records")))
-             .select(F.lit(version).alias("version"), "rel_path", F.col("corpus_signature").alias("content_hash"),
-                     "n_records", F.lit(signature).alias("corpus_signature"),
-                     F.current_timestamp().alias("written_at"))).collect()
-    rows = spark.createDataFrame(stats, MANIFEST_DDL)
-    before = {r["rel_path"]: r["content_hash"] for r in manifest.where(F.col("version") == (number or 0)).collect()}
-    same = tuple(sorted(r["rel_path"] for r in stats if before.get(r["rel_path"]) == r["content_hash"]))
-    (harvest_summary(results, written, previous_version=f"v{number}" if number else None,
+        return Published(number, False, signature, f"{root}/{previous['path']}")
+    version, folder = (number or 0) + 1, f"corpus_ver{(number or 0) + 1}-{uuid.uuid4().hex[:12]}"
+    path = f"{root}/{folder}"
+    flat = {f"csv/{name}": of(records) for name, of in (("site_pages", csv_site_pages), ("products", csv_products), ("articles", csv_articles))}
+    found = corpus_stats(records.withColumn("rel_path", F.concat(F.lit("corpora/corpus="), corpus_name())), "rel_path")
+    for name, lines in (flat | {"errors": harvest_errors(results)}).items():
+        found = found.unionByName(line_stats(lines).withColumn("rel_path", F.lit(name)))
+    stats = {r["rel_path"]: (r["corpus_signature"], r["n_records"]) for r in found.collect()}
+    changed = {name for name, (content, _) in stats.items() if name not in before or before[name]["content_hash"] != content}
+    kinds = [kind for kind, name in CORPUS_OF_TYPE.items() if f"corpora/corpus={name}" in changed]
+    kind = F.col("document_identifier.page_type")
+    new = records.where(kind.isin(kinds))
+    new.select(*RECORD, "record_hash", "canonical", kind.alias("page_type")).write.partitionBy("page_type").parquet(f"{path}/records")
+    write_corpora(new, f"{path}/corpora")
+    for name in sorted(changed & flat.keys()):
+        write_csv(flat[name], f"{path}/{name}")
+    if "errors" in changed:
+        write_errors(results, f"{path}/errors")
+    stamp = datetime.now(timezone.utc).replace(tzinfo=None)
+    stats["records"] = (signature, sum(n for name, (_, n) in stats.items() if name.startswith("corpora/")))
+    rows = [(version, name, content, n, signature, before[name]["path"] if name in before and name not in changed | {"records"} else folder, stamp)
+            for name, (content, n) in sorted(stats.items())]
+    same = tuple(sorted(stats.keys() - changed - {"records"}))
+    (harvest_summary(results, records, previous_version=f"v{number}" if number else None,
                      previous_signature=previous["corpus_signature"] if previous else None, output_root=root,
-                     changed=tuple(sorted({r["rel_path"] for r in stats} - set(same))), unchanged=same, **summary)
-     .write.mode("overwrite").option("ignoreNullFields", "false").json(f"{path}/summary"))
-    rows.coalesce(1).write.mode("append").parquet(manifest_path)
+                     changed=tuple(sorted(changed | {"records"})), unchanged=same, **summary)
+     .write.option("ignoreNullFields", "false").json(f"{path}/summary"))
+    spark.createDataFrame(rows, MANIFEST_DDL).coalesce(1).write.mode("append").parquet(manifest_path)
     return Published(version, True, signature, path)
 
 
 def version_changes(manifest: DataFrame, version: int) -> DataFrame:
-    """``(rel_path, status)`` of a version against the one before it."""
+    """``(rel_path, status)`` of a version against the one before it: corpora, flat files, error log and all records."""
     def of(number: int) -> DataFrame:
         return manifest.where(F.col("version") == number)
 
     return snapshot_diff(of(version), of(version - 1), key="rel_path", record_hash="content_hash")
 
 
-def version_diff(current_path: str, previous_path: str, spark: SparkSession) -> DataFrame:
-    """``(canonical, status)`` of the records of two versions; reads two columns of each."""
-    def read(path: str) -> DataFrame:
-        return spark.read.parquet(f"{path}/records").select("canonical", "record_hash")
+def version_records(spark: SparkSession, root: str, version: int) -> DataFrame:
+    """``(canonical, record_hash, page_type)`` of a version, each corpus from the folder of the version that wrote it."""
+    rows = read_manifest(spark, f"{root}/manifest").where(
+        (F.col("version") == version) & F.col("rel_path").startswith("corpora/")).collect()  # at most one per page type
+    kind_of = {f"corpora/corpus={name}": kind for kind, name in CORPUS_OF_TYPE.items()}
+    parts = [spark.read.schema("canonical STRING, record_hash STRING").parquet(f"{root}/{r['path']}/records/page_type={kind_of[r['rel_path']]}")
+             .withColumn("page_type", F.lit(kind_of[r["rel_path"]])) for r in rows]
+    none = spark.createDataFrame([], "canonical STRING, record_hash STRING, page_type STRING")
+    return reduce(DataFrame.unionByName, parts, none)
 
-    return snapshot_diff(read(current_path), read(previous_path))
+
+def version_diff(spark: SparkSession, root: str, current: int, previous: int) -> DataFrame:
+    """``(canonical, status)`` of the records of two versions; reads two columns of each."""
+    return snapshot_diff(version_records(spark, root, current), version_records(spark, root, previous))

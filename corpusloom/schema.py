@@ -26,5 +26,6 @@ collection STRUCT<name:STRING,description:STRING,pagination:STRUCT<page:INT,tota
 
 SUMMARY_DDL = "change_detection STRUCT<previous_version:STRING,previous_corpus_signature:STRING,corpus_signature:STRING>"
 
-MANIFEST_DDL = ("version INT, rel_path STRING, content_hash STRING, n_records BIGINT, "
-                "corpus_signature STRING, written_at TIMESTAMP")
+# ``path`` is the folder, below the corpus root, of the version that wrote this content.
+MANIFEST_DDL = ("version BIGINT, rel_path STRING, content_hash STRING, n_records BIGINT, "
+                "corpus_signature STRING, path STRING, written_at TIMESTAMP")

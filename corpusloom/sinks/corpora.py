@@ -37,9 +37,9 @@ def json_lines(records: DataFrame) -> DataFrame:
     return records.select(*[sorted_fields(F.col(f.name), f.dataType).alias(f.name) for f in fields])
 
 
-def in_export_order(records: DataFrame) -> DataFrame:
-    """Records sorted for export; a row number breaks ties, so copies spread over tasks too."""
-    return records.withColumn("_row", F.monotonically_increasing_id()).orderBy(*sort_key(), "_row").drop("_row")
+def in_export_order(records: DataFrame, *by: str) -> DataFrame:
+    """Records sorted for export, by ``by`` columns first; a row number breaks ties, so copies spread over tasks too."""
+    return records.withColumn("_row", F.monotonically_increasing_id()).orderBy(*by, *sort_key(), "_row").drop("_row")
 
 
 def _write_json(df: DataFrame, path: str, compression: str, *partition: str) -> None:
@@ -65,7 +65,8 @@ def corpus_stats(hashed: DataFrame, *by: str) -> DataFrame:
 
 def write_corpora(records: DataFrame, path: str, compression: str = "gzip") -> None:
     """All typed corpora in one pass, one folder per page type; together they are the full corpus."""
-    typed = in_export_order(records.withColumn("corpus", corpus_name()))
+    # sorted as the partitioned writer needs it, so that the writer does not sort once more
+    typed = in_export_order(records.withColumn("corpus", corpus_name()), "corpus")
     _write_json(json_lines(typed.select(*RECORD, "corpus")), path, compression, "corpus")
 
 
@@ -83,5 +84,10 @@ def harvest_errors(results: DataFrame) -> DataFrame:
         F.concat(F.lit("final="), F.col("final_url")), F.coalesce("error", F.lit(""))).alias("value"))
 
 
+def line_stats(lines: DataFrame) -> DataFrame:
+    """``(n_records, corpus_signature)`` of the rows of a flat file."""
+    return corpus_stats(lines.select(F.sha2(F.to_json(F.struct(*lines.columns), {"ignoreNullFields": "false"}), 256).alias("record_hash")))
+
+
 def write_errors(results: DataFrame, path: str) -> None:
     harvest_errors(results).write.mode("errorifexists").text(path)

@@ -175,11 +175,13 @@ class _Nodes:
             self._ensure_body()
         ends, barrier = _ENDS.get(tag, ((), ()))
         if self._is_open(ends):
-            cut = None
+            cut, left = None, sum(self.count.get(name, 0) for name in ends)
             for depth in range(len(self.names) - 1, 0, -1):
                 name = self.names[depth]
                 if name in ends:
-                    cut = depth
+                    cut, left = depth, left - 1
+                    if not left:
+                        break
                 elif name in barrier:
                     break
             if cut is not None:

@@ -2,34 +2,46 @@
 
 from __future__ import annotations
 
+import re
+import sys
+from xml.etree import ElementTree
+
+import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corpusloom.functions import dom as D
-from corpusloom.functions.text import NO_STRINGS, let, lit, rx, strip
 from corpusloom.functions.urls import authority
 
-_XML = ("url array<struct<loc:string>>, sitemap array<struct<loc:string>>, loc array<string>, "
-        "_corrupt_record string")
-_LOOSE_LOC = r"(?i)<loc>\s*([^<\s]+)\s*</loc>"
+# The parsing function travels to the executors by value.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+# Fixed value: how locations are found in text that is not XML.
+LOOSE_LOC = r"(?i)<loc>\s*([^<\s]+)\s*</loc>"
+
 
+def locations(xml: str | None) -> list[str]:
+    """Stripped locations of one document at any depth, in the namespace of its root; text that is not XML is searched."""
+    if not xml:
+        return []
+    try:
+        root = ElementTree.fromstring(xml.encode("utf-8", "surrogatepass"))
+    except (ElementTree.ParseError, LookupError, ValueError):
+        return re.findall(LOOSE_LOC, xml)
+    space = root.tag[:root.tag.find("}") + 1]
+    return [e.text.strip() for e in root.iter(f"{space}loc") if e is not root and e.text]
 
-def _locs() -> str:
-    """Locations of one document; text that is not XML is searched for ``<loc>`` instead."""
-    def listed(parsed: str) -> str:
-        parts = ", ".join(f"coalesce({parsed}.{p}, {NO_STRINGS})" for p in ("sitemap.loc", "url.loc", "loc"))
-        return f"transform(filter(concat({parts}), s -> s <> ''), s -> {strip('s')})"
 
-    # a prefix on the sitemap namespace itself shows as an empty first result
-    prefixed = f"from_xml(xml, {lit(_XML)}, map('ignoreNamespace', 'true'))"
-    return let("x", f"from_xml(xml, {lit(_XML)})", (
-        f"CASE WHEN x._corrupt_record IS NOT NULL THEN regexp_extract_all(xml, {rx(_LOOSE_LOC)}, 1) "
-        f"WHEN size({listed('x')}) > 0 THEN {listed('x')} ELSE {listed(prefixed)} END"))
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def _locations(xml: pd.Series) -> pd.Series:
+    return xml.map(locations)
 
 
 def sitemap_locs(sitemaps: DataFrame) -> DataFrame:
     """``(sitemap_url, pos, loc)`` of every document."""
-    return D.item_rows(sitemaps, "sitemap_url", _locs(), "pos", "loc")
+    return D.item_rows(sitemaps.withColumn("_locs", _locations("xml")), "sitemap_url", "_locs", "pos", "loc")
 
 
 def discover_frontier(sitemaps: DataFrame, is_index: Column, site_host: str | None = None) -> DataFrame:

@@ -4,6 +4,7 @@ import csv
 import glob
 import gzip
 import json
+import os
 import random
 from collections import Counter
 
@@ -77,19 +78,36 @@ def test_diff_against_brute_force(spark):
 
 
 def test_latest_version(spark):
-    names = ["corpus_ver2", "corpus_ver10", "corpus_ver9x", "xcorpus_ver11", "corpus_ver", "corpus_ver99999999999999"]
+    names = ["corpus_ver2", "corpus_ver10", "corpus_ver9x", "xcorpus_ver11", "corpus_ver", "corpus_ver99999999999"]
     df = spark.createDataFrame([(n,) for n in names], "name string")
-    assert tuple(latest_version(df).first()) == (10, "corpus_ver10")
+    assert tuple(latest_version(df).first()) == (99999999999, "corpus_ver99999999999")
     assert tuple(latest_version(df.where("name LIKE 'x%'")).first()) == (None, None)
 
 
-@pytest.mark.parametrize("bucket_rows", [1, 3, 1000])
-def test_carry_forward_with_a_hot_key(spark, bucket_rows):
+def test_version_beyond_64_bits_is_an_error(spark):
+    df = spark.createDataFrame([("corpus_ver2",), ("corpus_ver" + "9" * 25,)], "name string")
+    with pytest.raises(Exception, match="version number too large"):
+        latest_version(df).collect()
+
+
+def test_carry_forward_with_null_keys_and_sparse_time_stamps(spark):
+    rows = [(k, 1_700_000_000_000 + i * 86_400_000, f"m{i}" if i % 7 == 3 else None) for k in (None, "a") for i in range(500)]
+    df = spark.createDataFrame(rows, "key string, ms bigint, mark string")
+    got = {(r.key, r.ms): r.seen for r in carry_forward(df, "key", "ms", F.col("mark"), "seen").collect()}
+    seen = {}
+    for key, ms, mark in rows:
+        seen[key] = mark or seen.get(key)
+        assert got[key, ms] == seen[key]
+
+
+@pytest.mark.parametrize("parts", [1, 3, 8])
+def test_carry_forward_with_a_hot_key(spark, parts):
     rng = random.Random(3)
     rows = [("hot", i, i if rng.random() < 0.1 else None) for i in range(300)] + [
         (f"k{i % 20}", i // 20, i if rng.random() < 0.3 else None) for i in range(200)]
     df = spark.createDataFrame(random.Random(4).sample(rows, len(rows)), "key string, pos int, mark int")
-    got = {(r.key, r.pos): r.seen for r in carry_forward(df, "key", "pos", F.col("mark"), "seen", bucket_rows).collect()}
+    df = df.repartition(parts)
+    got = {(r.key, r.pos): r.seen for r in carry_forward(df, "key", "pos", F.col("mark"), "seen").collect()}
     want, last = {}, {}
     for key, pos, mark in sorted(rows, key=lambda r: r[:2]):
         last[key] = mark if mark is not None else last.get(key)
@@ -158,15 +176,20 @@ def test_publish(spark, tmp_path):
     assert two.version == 2 and two.created
     manifest = read_manifest(spark, f"{root}/manifest")
     status = {r.rel_path: r.status for r in plans.version_changes(manifest, 2).collect()}
-    assert status == {"corpora/corpus=articles": "changed", "corpora/corpus=collections": "removed",
-                      "corpora/corpus=pages": "same", "corpora/corpus=products": "same", "records": "changed"}
-    diff = plans.version_diff(two.path, one.path, spark)
+    assert status == {"corpora/corpus=articles": "changed", "corpora/corpus=collections": "removed", "corpora/corpus=pages": "same",
+                      "corpora/corpus=products": "same", "records": "changed", "csv/site_pages": "changed", "csv/articles": "changed",
+                      "csv/products": "same", "errors": "changed"}
+    assert {os.path.basename(p) for p in glob.glob(f"{two.path}/records/*=*")} == {"page_type=Article"}  # unchanged corpora are not written again
+    assert not glob.glob(f"{two.path}/csv/products")
+    where = {r.rel_path: f"{root}/{r.path}" for r in manifest.where("version = 2").collect()}
+    assert where["corpora/corpus=pages"] == one.path and where["corpora/corpus=articles"] == two.path
+    diff = plans.version_diff(spark, root, 2, 1)
     assert {r.canonical[-4:]: r.status for r in diff.collect()} == {"art1": "same", "art2": "removed", "prod": "same", "coll": "removed", "page": "same"}
     summary = spark.read.json(f"{two.path}/summary").first()
     assert summary.counts.errors == 1 and summary.counts.total_records == 3
     assert summary.change_detection.previous_version == "v1" and summary.output_root == root
-    assert summary.change_detection.changed_files == ["corpora/corpus=articles", "records"]
-    assert summary.change_detection.unchanged_files == ["corpora/corpus=pages", "corpora/corpus=products"]
+    assert summary.change_detection.changed_files == ["corpora/corpus=articles", "csv/articles", "csv/site_pages", "errors", "records"]
+    assert summary.change_detection.unchanged_files == ["corpora/corpus=pages", "corpora/corpus=products", "csv/products"]
     assert summary.change_detection.previous_corpus_signature == one.signature
     assert previous_signature(spark, f"{two.path}/summary").first()["corpus_signature"] == two.signature
     assert previous_signature(spark, f"{root}/nowhere").count() == 0
@@ -174,6 +197,33 @@ def test_publish(spark, tmp_path):
     assert log == ["https://s.example/x\tstatus=500\tfinal=https://s.example/x\tHTTP 500\n"]
 
 
+@pytest.mark.parametrize("step", ["write_corpora", "write_csv", "write_errors", "harvest_summary"])
+def test_publish_after_a_run_that_died(spark, tmp_path, monkeypatch, step):
+    run = plans.harvest(site(spark, "art1", "page"))
+
+    def die(*args, **kwargs):
+        raise RuntimeError("died")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(plans, step, die)
+        with pytest.raises(RuntimeError, match="died"):
+            plans.publish_version(*run, str(tmp_path))
+    assert read_manifest(spark, f"{tmp_path}/manifest").count() == 0
+    done = plans.publish_version(*run, str(tmp_path))
+    assert (done.version, done.created) == (1, True)
+    assert plans.version_records(spark, str(tmp_path), 1).count() == 2
+
+
+def test_publish_without_records(spark, tmp_path):
+    failed = spark.createDataFrame([("https://s.example/x", "https://s.example/x", 500, "")], "requested_url string, final_url string, status int, html string")
+    run = plans.harvest(failed)
+    one, again = (plans.publish_version(*run, str(tmp_path)) for _ in range(2))
+    assert (one.version, one.created, again.created) == (1, True, False) and one.signature
+    two = plans.publish_version(*plans.harvest(site(spark, "page")), str(tmp_path))
+    assert two.version == 2
+    assert {r.status for r in plans.version_diff(spark, str(tmp_path), 2, 1).collect()} == {"added"}
+
+
 def test_unreadable_summary(spark, tmp_path):
     (tmp_path / "bad.json").write_text("{oops")
     (tmp_path / "other.json").write_text('{"change_detection": {"corpus_signature": null}}')
@@ -205,6 +255,10 @@ def test_sitemaps(spark):
     df = spark.createDataFrame(docs, "sitemap_url string, status int, xml string")
     locs = sitemap_locs(df.where("sitemap_url LIKE '%/a.xml'")).orderBy("pos").collect()
     assert [r.loc for r in locs] == ["https://s.example/2?a=1&b", "https://s.example/1", "https://s.example/1"]
+    odd = [("deep", f"<urlset {ns}><url><loc>u1</loc><loc>u2</loc><group><url><loc> u3 </loc></url></group></url></urlset>"), ("junk", "<urlset><url><loc>a</loc></url></urlset> <loc>b</loc>"),
+           ("prefix", '<s:urlset xmlns:s="urn:s"><s:url><s:loc>p</s:loc><loc>no</loc></s:url></s:urlset>'), ("none", None)]
+    got = sitemap_locs(spark.createDataFrame([(u, 200, x) for u, x in odd], "sitemap_url string, status int, xml string"))
+    assert sorted((r.sitemap_url, r.pos, r.loc) for r in got.collect()) == [("deep", 0, "u1"), ("deep", 1, "u2"), ("deep", 2, "u3"), ("junk", 0, "a"), ("junk", 1, "b"), ("prefix", 0, "p")]
     is_index = F.col("sitemap_url").endswith("index.xml")
     frontier = discover_frontier(df, is_index, "S.example")
     assert [r.url for r in frontier.collect()] == ["https://s.example/1", "https://s.example/2?a=1&b", "https://s.example/3"]

@@ -266,7 +266,10 @@ def test_parse_failure_keeps_the_row(spark, monkeypatch):
 
 def test_profile(spark, records):
     pages = spark.createDataFrame([("https://A.example:80/x",), ("https://b.example/",)], "url string")
-    profiles = spark.createDataFrame([("a.EXAMPLE:80", '{"n":1}'), ("a.example:80", '{"n":2}')], "host string, profile string")
+    profiles = spark.createDataFrame([("a.EXAMPLE:80", '{"n":1}'), ("a.example:80", '{"n":1}')], "host string, profile string")
+    clash = profiles.union(spark.createDataFrame([("a.example:80", '{"n":2}')], "host string, profile string"))
+    with pytest.raises(Exception, match="different profiles"):
+        attach_profile(pages, clash).collect()
     got = attach_profile(pages, profiles).select("url", F.to_json("company_fixed").alias("p")).collect()
     assert sorted((r.url, r.p) for r in got) == [("https://A.example:80/x", '{"n":1}'), ("https://b.example/", None)]
 
