@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import re
 import zlib
 from collections.abc import Callable, Iterable, Iterator
@@ -21,17 +22,92 @@ ATTENTION = TOKENS * TOKENS
 #: Weights of the three residuals, each relative to its capacity, in the choice of a bin.
 WEIGHTS = (1.0, 0.05, 0.05)
 END_ID = 1
-WORDS_KEPT = 400_000
-TEXT_BATCH = 4 << 20
+WORDS_KEPT = 600_000
+TEXT_BATCH = 2 << 20
 
 PIECE_SCHEMA = "task int, doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, nth bigint"
 
 
+class Merges:
+    """Byte-pair merging of many words at once: all words still open take their best merge in one array step."""
+
+    def __init__(self, model: dict) -> None:
+        vocab = model["vocab"]
+        # Byte-level alphabet: printable bytes stand for themselves, the others for the code points from 256 on, in order.
+        plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+        others = [b for b in range(256) if b not in plain]
+        letters = {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(others)}
+        ending = model.get("end_of_word_suffix") or ""
+        self.inner = np.array([vocab[letters[b]] for b in range(256)], np.int64)
+        self.final = np.array([vocab[letters[b] + ending] for b in range(256)], np.int64)
+        pairs = [(vocab[a], vocab[b], vocab[a + b]) for a, b in model["merges"]]
+        self.width = max(vocab.values()) + 1
+        keys = np.array([a * self.width + b for a, b, _ in pairs], np.int64)
+        order = np.argsort(keys)
+        self.keys, self.rank = keys[order], order.astype(np.int64)
+        self.made = np.array([c for _, _, c in pairs], np.int64)
+
+    def ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        key = left * self.width + right
+        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        return np.where((self.keys[at] == key) & (left >= 0) & (right >= 0), self.rank[at], len(self.keys))
+
+    def encode(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words of at most ``LONGEST`` bytes, end to end, and their numbers."""
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        order = np.argsort(sizes, kind="stable")
+        named, sized, held = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for start in range(0, len(words), 32_768):
+            block = order[start:start + 32_768]
+            size = sizes[block]
+            raw = np.frombuffer(b"".join(words[i] for i in block.tolist()), np.uint8)
+            ids = np.full((len(block), int(size.max()) + 1), -1, np.int64)
+            inside = np.arange(ids.shape[1])[None, :] < size[:, None]
+            ids[inside] = self.inner[raw]
+            ids[np.arange(len(block)), size - 1] = self.final[raw[np.cumsum(size) - 1]]
+            rank = np.full(ids.shape, len(self.keys), np.int64)
+            rank[:, :-1] = self.ranks(ids[:, :-1], ids[:, 1:])
+            names = block
+            while True:
+                at = rank.argmin(axis=1)
+                best = rank[np.arange(len(at)), at]
+                open_ = best < len(self.keys)
+                done = ids[~open_]
+                named.append(names[~open_])
+                sized.append((done >= 0).sum(axis=1))
+                held.append(done[done >= 0])
+                if not open_.any():
+                    break
+                names, ids, rank, at, best = names[open_], ids[open_], rank[open_], at[open_], best[open_]
+                row = np.arange(len(at))
+                ids[row, at] = self.made[best]
+                left = np.ones(ids.shape, bool)
+                left[row, at + 1] = False  # every open word loses one symbol
+                ids, rank = (x[left].reshape(len(at), -1) for x in (ids, rank))
+                if ids.shape[1] < 2:
+                    ids = np.concatenate([ids, np.full((len(at), 1), -1)], axis=1)
+                    rank = np.concatenate([rank, np.full((len(at), 1), len(self.keys))], axis=1)
+                after = np.minimum(at + 1, ids.shape[1] - 1)
+                rank[row, at] = np.where(at + 1 < ids.shape[1], self.ranks(ids[row, at], ids[row, after]), len(self.keys))
+                before = np.maximum(at - 1, 0)
+                rank[row, before] = np.where(at > 0, self.ranks(ids[row, before], ids[row, before + 1]), rank[row, before])
+        number, flat = np.concatenate(sized), np.concatenate(held)
+        back = np.argsort(np.concatenate(named))  # from the order of completion to that of the words
+        starts, number = (np.cumsum(number) - number)[back], number[back]
+        shift = np.repeat(starts - (np.cumsum(number) - number), number)
+        return flat[shift + np.arange(len(shift))].astype(np.uint32), number
+
+
+#: Words of these letters, with these marks after them, split into letters and marks, and are their own normal form but for case.
+LETTERS, MARKS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131\u0134-\u0148\u014a-\u017e", ".,;:!?"
+LONGEST = 64
+
+
 class WordEncoder:
-    """Ids of whole texts from a tokenizer that never joins across blanks, each distinct word encoded once.
+    """Ids of whole texts from a tokenizer that drops white space and splits at it, each distinct word encoded once.
 
-    Exact for tokenizers whose white space is dropped before splitting: a text's ids are then those of its
-    blank-separated words in order. The word table is emptied when it holds ``WORDS_KEPT`` words.
+    A text's ids are those of its blank-separated words in order. Plain words (letters, then perhaps marks) are merged here,
+    many at once; all other words go to the tokenizer itself. The word table is emptied when it holds ``WORDS_KEPT`` words.
     """
 
     def __init__(self, path: str) -> None:
@@ -39,33 +115,56 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.merges = Merges(json.loads(self.tokenizer.to_str())["model"])
+        self.plain = re.compile(f"([{LETTERS}]{{1,{LONGEST // 2}}})([{MARKS}]*)")
         self._clear()
 
     def _clear(self) -> None:
-        self.code: dict[str, int] = {}
-        self.flat, self.ends = np.zeros(0, np.uint32), np.zeros(1, np.int64)
+        self.code: dict[str, int] = {"": 0}
+        self.atom: dict[str, int] = {"": 0}
+        self.parts = np.zeros((1, 2), np.int64)  # word -> its two atoms
+        self.flat, self.ends = np.zeros(0, np.uint32), np.zeros(2, np.int64)
 
-    def _learn(self, words: list[str]) -> None:
-        encoded = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
-        sizes = np.fromiter(map(len, encoded), np.int64, len(encoded))
-        self.flat = np.concatenate([self.flat, np.fromiter((i for ids in encoded for i in ids), np.uint32, int(sizes.sum()))])
+    def _add(self, flat: np.ndarray, sizes: np.ndarray, atoms: list[str]) -> None:
+        self.flat = np.concatenate([self.flat, flat])
         self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(sizes)])
-        for word in words:
-            self.code[word] = len(self.code)
+        self.atom.update(zip(atoms, range(len(self.atom), len(self.atom) + len(atoms)), strict=True))
+
+    def _learn(self, words: list[str]) -> None:
+        pairs = [(m[1].lower(), m[2]) if (m := self.plain.fullmatch(w)) else (w, None) for w in words]
+        cores = list({c for c, tail in pairs if tail is not None} - self.atom.keys())
+        if cores:
+            self._add(*self.merges.encode([c.encode() for c in cores]), cores)
+        # Other words are kept apart from cores by a blank before them.
+        rest = list(({" " + w for w, tail in pairs if tail is None} | {" " + tail for _, tail in pairs if tail}) - self.atom.keys())
+        if rest:
+            encoded = [e.ids for e in self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)]
+            sizes = np.fromiter(map(len, encoded), np.int64, len(encoded))
+            self._add(np.fromiter((i for ids in encoded for i in ids), np.uint32, int(sizes.sum())), sizes, rest)
+        atom = self.atom
+        parts = [(atom[c], atom[" " + tail] if tail else 0) if tail is not None else (atom[" " + c], 0) for c, tail in pairs]
+        self.parts = np.concatenate([self.parts, np.array(parts, np.int64).reshape(-1, 2)])
+        self.code.update(zip(words, range(len(self.code), len(self.code) + len(words)), strict=True))
 
-    def encode(self, text: str) -> np.ndarray:
-        words = [w for w in re.split(r"[ \n]+", text) if w] if len(text) > TEXT_BATCH else text.replace("\n", " ").split(" ")
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the texts, end to end, and how many each has."""
+        split = [t.replace("\n", " ").split(" ") for t in texts]
+        words = [w for own in split for w in own]
         fresh = set(words).difference(self.code)
         if fresh:
-            if len(self.code) + len(fresh) > WORDS_KEPT and self.code:
+            if len(self.code) + len(fresh) > WORDS_KEPT:
                 self._clear()
-                fresh = set(words)
-            self._learn(sorted(fresh))
+                fresh = set(words).difference(self.code)
+            self._learn(list(fresh))
         codes = np.fromiter(map(self.code.__getitem__, words), np.int64, len(words))
-        starts, sizes = self.ends[codes], self.ends[codes + 1] - self.ends[codes]
-        total = int(sizes.sum())
-        shift = np.repeat(starts - (np.cumsum(sizes) - sizes), sizes)
-        return self.flat[shift + np.arange(total)]
+        sized = np.diff(self.ends)
+        per_word = sized[self.parts].sum(axis=1)[codes]
+        until = np.r_[0, np.cumsum(per_word)]
+        bounds = np.cumsum(np.fromiter(map(len, split), np.int64, len(split)))
+        atoms = self.parts[codes].ravel()
+        sizes = sized[atoms]
+        shift = np.repeat(self.ends[atoms] - (np.cumsum(sizes) - sizes), sizes)
+        return self.flat[shift + np.arange(len(shift))], np.diff(np.r_[0, until[bounds]])
 
 
 def _cutter(path: str, tokens: int, end_id: int) -> Callable:
@@ -74,13 +173,21 @@ def _cutter(path: str, tokens: int, end_id: int) -> Callable:
         encoder, task, seen = WordEncoder(path), TaskContext.get().partitionId(), {}
         for batch in batches:
             rows = []
-            for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"], strict=True):
-                ids = np.append(encoder.encode(text.as_py() or ""), np.uint32(end_id)).astype("<u4")
-                for piece, start in enumerate(range(0, len(ids), tokens)):
-                    part = ids[start:start + tokens]
-                    nth = seen.get(len(part), 0)
-                    seen[len(part)] = nth + 1
-                    rows.append((task, doc_id, piece, start, len(part), zlib.crc32(part.tobytes()), nth))
+            ids_of, texts, at = batch["doc_id"].to_pylist(), batch["text"], 0
+            while at < batch.num_rows:  # some megabytes of text a step
+                some, size = [], 0
+                while at + len(some) < batch.num_rows and (size < TEXT_BATCH or not some):
+                    some.append(texts[at + len(some)].as_py() or "")
+                    size += len(some[-1])
+                flat, counts = encoder.encode(some)
+                for doc_id, end, count in zip(ids_of[at:], np.cumsum(counts).tolist(), counts.tolist(), strict=False):
+                    ids = np.append(flat[end - count:end], np.uint32(end_id)).astype("<u4")
+                    for piece, start in enumerate(range(0, len(ids), tokens)):
+                        part = ids[start:start + tokens]
+                        nth = seen.get(len(part), 0)
+                        seen[len(part)] = nth + 1
+                        rows.append((task, doc_id, piece, start, len(part), zlib.crc32(part.tobytes()), nth))
+                at += len(some)
             types = [pa.int32(), pa.int64(), pa.int32(), *[pa.int64()] * 4]
             columns = list(zip(*rows)) or [[]] * len(types)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], [f.split()[0] for f in PIECE_SCHEMA.split(", ")])
