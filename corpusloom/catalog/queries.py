@@ -71,9 +71,7 @@ def collection_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def trail_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    trails = render.trails(*(table(spark, sf_dir, name) for name in ("customer", "nation", "region")))
-    # small customers tables end up as the broadcast side, which leaves one partition to parse
-    return trails.repartition(spark.sparkContext.defaultParallelism * 2, "page_key")
+    return render.trails(scan(spark, sf_dir, "customer"), table(spark, sf_dir, "nation"), table(spark, sf_dir, "region"))
 
 
 def mixed_site(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -96,10 +94,9 @@ BODY = "CASE WHEN url LIKE 'https://m.%' OR url LIKE '%.html' THEN '' ELSE html
 
 @query
 def node_counts(spark, sf_dir):
-    """Elements per page and tag."""
-    wanted = nodes(crawled(spark, sf_dir)).where(F.col("tag").isin(
-        "title", "script", "style", "nav", "li", "a", "div", "article", "h1", "p", "b", "br", "footer"))
-    return wanted.groupBy("page_id", "tag").agg(F.count(F.lit(1)).alias("n"))
+    """Elements per page and tag, all tags."""
+    elements = nodes(crawled(spark, sf_dir)).where(F.col("tag").isNotNull())
+    return elements.groupBy("page_id", "tag").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query
@@ -344,14 +341,20 @@ def site_pages_csv(spark, sf_dir):
     return tables.csv_site_pages(build_records(crawled(spark, sf_dir)))
 
 
+def _flat(records: DataFrame, columns: list, page_type: str) -> DataFrame:
+    """The columns of a flat file, staged before its filter, which would else run the extractor once more."""
+    kind = F.col("document_identifier.page_type").alias("_kind")
+    return stage(records.select(*columns, kind), "flat").where(F.col("_kind") == page_type).drop("_kind")
+
+
 @query
 def products_csv(spark, sf_dir):
-    return tables.csv_products(stage(build_records(shredded(product_pages(spark, sf_dir))), "products"))
+    return _flat(build_records(shredded(product_pages(spark, sf_dir))), tables.product_columns(), "Product")
 
 
 @query
 def articles_csv(spark, sf_dir):
-    return tables.csv_articles(stage(build_records(shredded(article_pages(spark, sf_dir))), "articles"))
+    return _flat(build_records(shredded(article_pages(spark, sf_dir))), tables.article_columns(), "Article")
 
 
 @query
@@ -465,7 +468,7 @@ def snapshot_counts(spark, sf_dir):
 @query
 def latest_version(spark, sf_dir):
     """Highest version among folder names, most of which are not versions."""
-    name = "CASE WHEN c_mktsegment = 'BUILDING' THEN concat('corpus_ver', c_custkey) ELSE concat('corpus_ver', c_custkey, '_tmp') END"
+    name = "CASE WHEN c_mktsegment = 'BUILDING' THEN concat('corpus_ver', c_custkey + 3000000000) ELSE concat('corpus_ver', c_custkey, '_tmp') END"
     return changes.latest_version(table(spark, sf_dir, "customer").selectExpr(f"{name} AS name"))
 
 

@@ -41,12 +41,13 @@ def items(v: str) -> str:
 def one_value(text: str) -> str:
     """The value of a text that is one whole JSON value, null when anything follows it.
 
-    The parser stops after the first value. As the first of two members of a list, with a mark as
+    The parser stops after the first value. As the first of two members of a list, with the text's own digest as
     the second, the text has to end where its value ends.
     """
-    return let("pair", f"try_parse_json(concat('[', {text}, ',\"#end\"]'))", (
-        "CASE WHEN try_variant_get(pair, '$[1]', 'string') = '#end' AND try_variant_get(pair, '$[2]', 'variant') IS NULL "
-        "THEN try_variant_get(pair, '$[0]', 'variant') END"))
+    pair = f"try_parse_json(concat('[', {text}, ',\"', mark, '\"]'))"
+    return let("mark", f"md5({text})", let("pair", pair, (
+        "CASE WHEN try_variant_get(pair, '$[1]', 'string') = mark AND try_variant_get(pair, '$[2]', 'variant') IS NULL "
+        "THEN try_variant_get(pair, '$[0]', 'variant') END")))
 
 
 def _without_nan(text: str) -> str:

@@ -35,20 +35,26 @@ def csv_site_pages(records: DataFrame) -> DataFrame:
         _n(f"{CONTENT}.links_external").alias("num_external_links"))
 
 
+def product_columns() -> list[Column]:
+    return [*_ident(), *_titles(), F.col("product.name").alias("product_name"),
+            F.col("product.sections.uses_applications").alias("uses_applications"),
+            (_n("product.sections.grades_specs") > 0).alias("has_specs_tables"),
+            _n(f"{CONTENT}.text_blocks").alias("num_text_blocks")]
+
+
 def csv_products(records: DataFrame) -> DataFrame:
-    return records.where(F.col(f"{IDENT}.page_type") == "Product").select(
-        *_ident(), *_titles(), F.col("product.name").alias("product_name"),
-        F.col("product.sections.uses_applications").alias("uses_applications"),
-        (_n("product.sections.grades_specs") > 0).alias("has_specs_tables"),
-        _n(f"{CONTENT}.text_blocks").alias("num_text_blocks"))
+    return records.where(F.col(f"{IDENT}.page_type") == "Product").select(*product_columns())
+
+
+def article_columns() -> list[Column]:
+    return [*_ident(), *_titles(), F.col("article.headline").alias("headline"),
+            F.col("article.author").alias("author"), *_dates(),
+            _n(f"{CONTENT}.text_blocks").alias("num_text_blocks"),
+            _n("article.tags").alias("num_tags"), _n("article.categories").alias("num_categories")]
 
 
 def csv_articles(records: DataFrame) -> DataFrame:
-    return records.where(F.col(f"{IDENT}.page_type") == "Article").select(
-        *_ident(), *_titles(), F.col("article.headline").alias("headline"),
-        F.col("article.author").alias("author"), *_dates(),
-        _n(f"{CONTENT}.text_blocks").alias("num_text_blocks"),
-        _n("article.tags").alias("num_tags"), _n("article.categories").alias("num_categories"))
+    return records.where(F.col(f"{IDENT}.page_type") == "Article").select(*article_columns())
 
 
 def write_csv(flat: DataFrame, path: str) -> None:

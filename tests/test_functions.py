@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions import text as X
 from corpusloom.functions import urls as U
+from corpusloom.functions import variants as V
 from corpusloom.operators.classify import classify_heading, section_rules
 from corpusloom.rules import SECTION_PATTERNS
 
@@ -59,3 +60,12 @@ def test_headings(spark):
 def test_rule_table(spark):
     rows = section_rules(spark).orderBy("section_prio", "pattern_prio").collect()
     assert len(rows) == 37 and rows[0].section == "description" and rows[-1].section == "packing"
+
+
+def test_json_is_one_whole_value(spark):
+    good = ['{"a":1}', ' {"a": [1, 2]} ', "\ufeff[1]", '"x"', '{"a": NaN, "b": "NaN, \\" Infinity", "c": [-Infinity, 1]}', "null"]
+    bad = ['{"a":1};', '{"a":1}{"b":2}', '{"a":1} text', "", "{", "oops", '1,2', '1],[2', '1,"#end"],["#end"']
+    df = spark.createDataFrame([(t,) for t in good + bad], "t string")
+    got = [r[0] for r in df.selectExpr(f"to_json({V.tolerant_json('t')})").collect()]
+    assert got[:5] == ['{"a":1}', '{"a":[1,2]}', "[1]", '"x"', '{"a":null,"b":"NaN, \\" Infinity","c":[null,1]}']
+    assert got[6:] == [None] * len(bad)
