@@ -57,5 +57,5 @@ def with_page_type(pages: DataFrame, site_origin: str | None = None, rules: Rule
     return D.add(with_base(pages), page_type=page_type_sql(site_origin, rules))
 
 
-def classify_pages(pages: DataFrame, key: str = "page_id") -> DataFrame:
-    return with_page_type(pages).select(key, "page_type")
+def classify_pages(pages: DataFrame, key: str = "page_id", site_origin: str | None = None, rules: Rules = DEFAULTS) -> DataFrame:
+    return with_page_type(pages, site_origin, rules).select(key, "page_type")

@@ -62,8 +62,13 @@ def strip_boilerplate(pages: DataFrame, rules: Rules = DEFAULTS) -> DataFrame:
         return pages
     ranges = (f"transform({D.select(D.descendants('container'), is_boilerplate(rules))}, "
               "n -> struct(n.pre AS pre, n.last AS last))")
-    topmost = (f"aggregate({ranges}, cast(array() AS array<struct<pre:int,last:int>>), (acc, r) -> "
-               "CASE WHEN r.pre > coalesce(get(acc, size(acc) - 1).last, -1) THEN concat(acc, array(r)) ELSE acc END)")
+    # The fold carries the last end; ranges are gathered in short lists, so no step copies all of them.
+    kind = "array<struct<pre:int,last:int>>"
+    topmost = (f"aggregate({ranges}, struct(-1 AS reach, cast(array() AS {kind}) AS some, cast(array() AS array<{kind}>) AS full), (acc, r) -> "
+               "CASE WHEN r.pre <= acc.reach THEN acc "
+               "WHEN size(acc.some) >= 100 THEN struct(r.last AS reach, array(r) AS some, concat(acc.full, array(acc.some)) AS full) "
+               "ELSE struct(r.last AS reach, concat(acc.some, array(r)) AS some, acc.full AS full) END, "
+               "acc -> concat(flatten(acc.full), acc.some))")
     piece = let("start", "coalesce(get(cuts, i - 1).last + 1, 0)", (
         "concat(slice(dom, start + 1, c.pre - start), "
         f"array_repeat(cast(null AS {NODE.simpleString()}), c.last - c.pre + 1))"))

@@ -177,17 +177,17 @@ def with_collection(pages: DataFrame, rules: Rules = DEFAULTS) -> DataFrame:
     return D.add(pages, collection=collection_sql()).drop("_items")
 
 
-def article_facts(pages: DataFrame, key: str = "page_id") -> DataFrame:
-    return with_article(pages).select(key, F.explode_outer(F.array("article")).alias("a")).where(
+def article_facts(pages: DataFrame, key: str = "page_id", rules: Rules = DEFAULTS) -> DataFrame:
+    return with_article(pages, rules).select(key, F.explode_outer(F.array("article")).alias("a")).where(
         "a IS NOT NULL").select(key, "a.*")
 
 
-def product_facts(pages: DataFrame, key: str = "page_id") -> DataFrame:
-    return with_product(pages).select(key, F.explode_outer(F.array("product")).alias("p")).where(
+def product_facts(pages: DataFrame, key: str = "page_id", rules: Rules = DEFAULTS) -> DataFrame:
+    return with_product(pages, rules).select(key, F.explode_outer(F.array("product")).alias("p")).where(
         "p IS NOT NULL").select(key, "p.name", "p.sections.*")
 
 
-def collection_items(pages: DataFrame, key: str = "page_id") -> DataFrame:
+def collection_items(pages: DataFrame, key: str = "page_id", rules: Rules = DEFAULTS) -> DataFrame:
     """``(page_id, pos, title, url, excerpt, thumb)`` of collection pages."""
-    rows = D.item_rows(with_collection(pages), key, "collection.items", "pos", "item")
+    rows = D.item_rows(with_collection(pages, rules), key, "collection.items", "pos", "item")
     return rows.select(key, "pos", "item.title", "item.url", "item.excerpt", "item.thumb")

@@ -47,7 +47,7 @@ def harvest_site(sitemaps: DataFrame, fetched: DataFrame, index_url: str, profil
     if not parts.scheme or not parts.netloc:
         raise ValueError(f"invalid sitemap index URL: {index_url}")
     is_index = F.col("sitemap_url") == index_url
-    frontier = require_frontier(discover_frontier(sitemaps, is_index, parts.netloc))
+    frontier = require_frontier(stage(discover_frontier(sitemaps, is_index, parts.netloc), "frontier"))  # read three times
     return harvest(fetched_pages(fetched, frontier), parts.netloc, f"{parts.scheme}://{parts.netloc}", profiles, rules)
 
 

@@ -82,3 +82,18 @@ def test_hostile_input_is_linear():
     for html in ("</a" * 200_000, "<div>" * 50_000, "<p><b>" * 50_000, "<a b='" * 50_000, "<li>" * 100_000, "<!--" * 100_000):
         dom_of(html)
     assert time.perf_counter() - start < 30
+
+
+def test_time_grows_with_the_page_not_with_its_square():
+    import time
+
+    from corpusloom.sources.shred import _Nodes
+
+    def seconds(html):
+        start = time.process_time()
+        _Nodes().page(html)
+        return time.process_time() - start
+
+    for part in ("<div><p>", "<li><span>", "<td><i>x", "<p><b>x</p>"):
+        seconds(part * 500)
+        assert seconds(part * 16_000) < 10 * max(0.02, seconds(part * 4_000)), part
