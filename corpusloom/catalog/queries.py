@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -238,6 +239,40 @@ def classify_pages(spark, sf_dir):
     return classify.with_page_type(pages).select("final_url", "page_type")
 
 
+def _part_pages(spark, sf_dir, url: str, body: str) -> DataFrame:
+    pages = scan(spark, sf_dir, "part").selectExpr("p_partkey AS page_key", f"{url} AS url", f"{body} AS html")
+    return shredded(pages)
+
+
+@query
+def listing_pages(spark, sf_dir):
+    """Product pages below the listing path, and the listing itself in any case and with closing slashes."""
+    url = ("CASE p_size % 4 WHEN 0 THEN 'https://shop.example.com/products' WHEN 1 THEN 'https://SHOP.example.com/Products//' "
+           "WHEN 2 THEN concat('https://shop.example.com/products/', p_partkey) ELSE concat('https://shop.example.com/productsx', p_partkey) END")
+    pages = _part_pages(spark, sf_dir, url, """'<script type="application/ld+json">{"@type":"Product"}</script><p>x</p>'""")
+    return classify.classify_pages(pages, "page_key", "https://shop.example.com")
+
+
+@query
+def odd_scripts(spark, sf_dir):
+    """Scripts that are not one JSON value, and such with values that JSON lacks."""
+    script = ("CASE p_size % 5 WHEN 0 THEN concat('{\"@type\":\"Product\",\"n\":', p_partkey, '}') WHEN 1 THEN '{\"@type\":\"Product\"};' "
+              "WHEN 2 THEN '{\"@type\":\"Product\",\"weight\":NaN,\"far\":[-Infinity]}' WHEN 3 THEN '{\"@type\":\"Product\"}{\"a\":1}' "
+              "ELSE concat('{\"@type\":\"Article\"} ', p_name) END")
+    pages = _part_pages(spark, sf_dir, "concat('https://shop.example.com/p/', p_partkey)", f"concat('<script type=\"application/ld+json\">', {script}, '</script>')")
+    return classify.classify_pages(pages, "page_key")
+
+
+@query
+def skipped_images(spark, sf_dir):
+    """Image of articles after inline images, logos and avatars, which are none."""
+    last = "CASE WHEN p_size % 3 > 0 THEN concat('<img src=\"/i/', p_partkey, '.png\" alt=\"', p_name, '\">') ELSE '' END"
+    body = ("concat('<script type=\"application/ld+json\">{\"@type\":\"BlogPosting\"}</script><main><img src=\"data:image/png;base64,x\"><img src=\"/l.png\" alt=\"Our LOGO\">"
+            f"<img src=\"/a.png\" alt=\"Avatar of ', p_brand, '\">', {last}, '</main>')")
+    facts = entities.article_facts(_part_pages(spark, sf_dir, "concat('https://shop.example.com/p/', p_partkey)", body), key="page_key")
+    return facts.select("page_key", F.col("featured_image.src").alias("src"), F.col("featured_image.alt").alias("alt"))
+
+
 @query
 def heading_sections(spark, sf_dir):
     """Product section of headings made from part names."""
@@ -377,9 +412,9 @@ def quality_metrics(spark, sf_dir):
 def harvest_summary(spark, sf_dir):
     """Counts of the summary of a whole harvest of the mixed site."""
     results, records = plans.harvest(mixed_site(spark, sf_dir))
-    summary = plans.harvest_summary(results, records, source="https://shop.example.com")
+    summary = plans.harvest_summary(results, records, source="https://shop.example.com", generated_at=datetime(2025, 1, 2, 3, 4, 5, 678))
     return summary.select(
-        "source", "counts.total_records", "counts.products", "counts.articles", "counts.pages", "counts.collections",
+        "source", "generated_at", "counts.total_records", "counts.products", "counts.articles", "counts.pages", "counts.collections",
         "counts.errors", F.col("quality.site.total_records").alias("quality_total"),
         F.size("content_hashes").alias("n_corpora"))
 
@@ -489,6 +524,15 @@ def sitemap_locs(spark, sf_dir):
     return sitemap.sitemap_locs(render.sitemaps(table(spark, sf_dir, "pages")))
 
 
+@query
+def odd_sitemaps(spark, sf_dir):
+    """Repeated and nested locations, foreign namespaces, and documents with more after the root element."""
+    xml = ("concat('<urlset xmlns:i=\"urn:i\"><url><loc>https://a.example/', c_custkey, '</loc><loc> https://b.example/', c_custkey, ' </loc></url>"
+           "<group><url><loc>https://c.example/', c_custkey, '</loc><i:loc>https://no.example/</i:loc></url></group></urlset>', "
+           "CASE WHEN c_custkey % 3 = 0 THEN '<loc>https://d.example/</loc>' ELSE '' END)")
+    return sitemap.sitemap_locs(table(spark, sf_dir, "customer").selectExpr("c_custkey AS sitemap_url", "200 AS status", f"{xml} AS xml"))
+
+
 @query
 def sitemap_frontier(spark, sf_dir):
     return sitemap.discover_frontier(render.sitemaps(table(spark, sf_dir, "pages")), F.col("is_index"))
