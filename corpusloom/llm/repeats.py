@@ -44,7 +44,7 @@ class Chunk:
 
 
 def anchors(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places and hashes of the least-hashed ``ANCHOR``-byte strings of all ``REPEAT``-byte windows inside a text.
+    """Places and keys of the least-hashed ``ANCHOR``-byte strings of all ``REPEAT``-byte windows inside a text.
 
     A window's anchors depend on its bytes alone, so equal windows have equal anchors at equal places.
     """
@@ -72,7 +72,10 @@ def anchors(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarra
         found = np.flatnonzero(most[:stop - start] == h[start - lo:stop - lo])
         places.append(found + start)
         hashes.append(h[start - lo:stop - lo][found])
-    return np.concatenate(places), np.concatenate(hashes)
+    # Least hashes are small ones: mixed again, they fill the key ranges evenly.
+    keys = np.concatenate(hashes) * MIX_B
+    keys ^= keys >> np.uint64(32)
+    return np.concatenate(places), keys * MIX_C
 
 
 def _sliding(x: np.ndarray, width: int, pick: np.ufunc) -> np.ndarray:
