@@ -8,7 +8,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from corpusloom.session import stage
 
@@ -22,7 +21,7 @@ COMMON = 1 / 500
 #: Pairs of a bucket whose signatures agree in a smaller share are not verified: at similarity 0.8 the share is below this
 #: with probability 1e-4.
 LIKELY = 0.5
-BLOCK = 1024
+BLOCK = 512
 
 
 # --- shingle vectors -------------------------------------------------------------------------------------------------
@@ -252,41 +251,76 @@ def agreement(left: Column, right: Column) -> Column:
 
 # --- candidates of buckets that hub links left in several components ----------------------------------------------------
 
-def _likely(low: float, high: float) -> Callable:
-    def pair(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows come sorted by group: pairs of one block, or of two, in different components and of likely similarity."""
-        def pairs(group: pa.Table) -> list[tuple[str, str]]:
-            signs = np.frombuffer(b"".join(group["signature"].to_pylist()), np.uint32).reshape(group.num_rows, -1)
-            nodes, side = group["node"].to_pylist(), group["side"].to_numpy()
-            label = np.unique(group["label"].to_numpy(zero_copy_only=False).astype(str), return_inverse=True)[1]
-            one = np.flatnonzero(side == 0)
-            two = np.flatnonzero(side == 1) if (side == 1).any() else one
-            out = []
-            for i in one.tolist():
-                share = (signs[two] == signs[i]).mean(axis=1)
-                for j in two[(share >= low) & (share < high) & (label[two] != label[i])].tolist():
-                    if two is not one or i < j:
-                        out.append((min(nodes[i], nodes[j]), max(nodes[i], nodes[j])))
-            return out
-
+def _by_part(work: Callable) -> Callable:
+    """``work`` on each run of rows with equal ``part``; rows come sorted by it, runs may span batches."""
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: pa.Table | None = None
         for batch in _with_end(batches):
             if batch is not None:
                 new = pa.Table.from_batches([batch])
                 kept = new if kept is None else pa.concat_tables([kept, new])
-                if not kept.num_rows:
-                    continue
             if kept is None or not kept.num_rows:
-                break
-            groups = kept["part"].to_numpy()
-            cuts = np.flatnonzero(np.r_[True, groups[1:] != groups[:-1]])
-            whole = cuts if batch is None else cuts[:-1]
-            ends = np.r_[cuts[1:], len(groups)]
-            out = [p for a, b in zip(whole.tolist(), ends.tolist(), strict=False) if b - a > 1 for p in pairs(kept.slice(a, b - a))]
+                continue
+            parts = kept["part"].to_numpy()
+            cuts = np.flatnonzero(np.r_[True, parts[1:] != parts[:-1]])
+            ends = np.r_[cuts[1:], len(parts)]
+            whole = len(cuts) - (batch is not None)  # the last run may go on in the next batch
+            out = [work(kept.slice(a, b - a)) for a, b in zip(cuts[:whole].tolist(), ends[:whole].tolist(), strict=True) if b - a > 1]
+            out = [t for t in out if t.num_rows]
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in zip(*out)], ["a", "b"])
+                yield from pa.concat_tables(out).combine_chunks().to_batches()
             kept = kept.slice(int(cuts[-1])) if batch is not None else None
-    return pair
+    return run
+
+
+def _sides(part: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Signatures, component numbers, and the two sides that meet: two blocks, or one block with itself."""
+    signs = np.frombuffer(b"".join(part["signature"].to_pylist()), np.uint32).reshape(part.num_rows, -1)
+    labels = np.unique(part["label"].to_numpy(zero_copy_only=False).astype(str), return_inverse=True)[1]
+    side = part["side"].to_numpy()
+    return signs, labels, np.flatnonzero(side == 0), np.flatnonzero(side == 1) if (side == 1).any() else np.flatnonzero(side == 0)
+
+
+def _hopeful(part: pa.Table) -> pa.Table:
+    """The rows with a likely partner in another component."""
+    signs, labels, one, two = _sides(part)
+    kept = np.zeros(part.num_rows, bool)
+    for i in one.tolist():
+        likely = two[((signs[two] == signs[i]).mean(axis=1) >= LIKELY) & (labels[two] != labels[i])]
+        kept[likely] = True
+        kept[i] |= len(likely) > 0
+    return part.filter(pa.array(kept))
+
+
+def _linker(weights: Weights, threshold: float) -> Callable:
+    def link(part: pa.Table) -> pa.Table:
+        """Verified links of a part, as many as join its components; likely pairs of one component need no look."""
+        signs, labels, one, two = _sides(part)
+        vectors = [vector_of(t.as_py() or "", weights) for t in part["text"]]
+        starts = np.cumsum([0, *(len(h) for h, _ in vectors)])
+        known, place = np.unique(np.concatenate([h for h, _ in vectors]), return_inverse=True)
+        weight = np.concatenate([w for _, w in vectors]).astype(np.float64)
+        total = np.array([w.sum(dtype=np.float64) for _, w in vectors])
+        dense, nodes, out = np.zeros(len(known)), part["node"].to_pylist(), []
+        for i in one.tolist():
+            others = two[((signs[two] == signs[i]).mean(axis=1) >= LIKELY) & (labels[two] != labels[i])]
+            sizes = starts[others + 1] - starts[others]
+            if not len(others) or not sizes.all():
+                others, sizes = others[sizes > 0], sizes[sizes > 0]
+                if not len(others):
+                    continue
+            own = slice(starts[i], starts[i + 1])
+            dense[place[own]] = weight[own]
+            first = np.cumsum(sizes) - sizes
+            at = np.repeat(starts[others] - first, sizes) + np.arange(sizes.sum())
+            shared = np.add.reduceat(np.minimum(dense[place[at]], weight[at]), first)
+            dense[place[own]] = 0
+            for j in others[shared >= threshold * (total[i] + total[others] - shared)].tolist():
+                if labels[j] != labels[i]:
+                    out.append((min(nodes[i], nodes[j]), max(nodes[i], nodes[j])))
+                    labels[labels == labels[j]] = labels[i]
+        return pa.table([pa.array(c, pa.string()) for c in (zip(*out) if out else ([], []))], names=["a", "b"])
+    return link
 
 
 def _with_end(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch | None]:
@@ -294,12 +328,14 @@ def _with_end(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch | No
     yield None
 
 
-def unsettled_pairs(members: DataFrame, low: float, high: float) -> DataFrame:
-    """Likely pairs of ``members(bucket, node, label, signature)`` across components, signatures agreeing in [low, high).
+def unsettled_links(members: DataFrame, texts: DataFrame, weights: Weights, threshold: float) -> DataFrame:
+    """Verified links ``(a, b)`` between components of ``members(bucket, node, label, signature)``.
 
     Buckets of one component are done. The rest is cut into blocks: a component of many members into blocks of its own, by
     node, and all small components together, by component; a block meets every other block of its bucket but those of the same
-    component. A task holds two blocks whatever the bucket's size, and only likely pairs leave it.
+    component. A task holds two blocks whatever the bucket's size. Rows without a likely partner leave before texts are
+    joined; pairs are found and verified where both texts are, and only links that join components come out, so no
+    pair is ever a row.
     """
     of_label = members.groupBy("bucket", "label").agg(F.count("*").alias("n"))
     small = F.when(F.col("n") < BLOCK, F.col("n"))
@@ -317,8 +353,12 @@ def unsettled_pairs(members: DataFrame, low: float, high: float) -> DataFrame:
     left = placed.withColumnRenamed("block", "first").join(meet, ["bucket", "first"]).select(part, F.lit(0).alias("side"), "node", "label", "signature")
     right = (placed.withColumnRenamed("block", "second").join(meet.filter(F.col("first") != F.col("second")), ["bucket", "second"])
              .select(part, F.lit(1).alias("side"), "node", "label", "signature"))
+    fields = "part bigint, side int, node string, label string, signature binary"
     dealt = left.unionByName(right).repartition("part").sortWithinPartitions("part", "side", "node")
-    return dealt.mapInArrow(_likely(low, high), "a string, b string").distinct()
+    hopeful = stage(dealt.mapInArrow(_by_part(_hopeful), fields), "hopeful")
+    with_texts = hopeful.join(texts, "node").select("part", "side", "node", "label", "signature", "text")
+    met = with_texts.repartition("part").sortWithinPartitions("part", "side", "node")
+    return met.mapInArrow(_by_part(_linker(weights, threshold)), "a string, b string").distinct()
 
 
 def _id() -> Column:
@@ -336,9 +376,9 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     only (null counts as empty). Rows with a null id are classed too; a class without ids has the class id null. Repeated
     rows are copies; an empty table gives no rows; other columns are not read.
 
-    Copies are reduced to one node each before any bucket is formed. In a bucket every node is held against the two nodes that
-    meet most others; likely pairs that this leaves in different components are verified in the rounds after it, from
-    high to low agreement, so no likely pair of a bucket goes unverified unless its texts are in one class already.
+    Copies are reduced to one node each before any bucket is formed. Every node is held against two hubs, the nodes of
+    its buckets that meet most others; likely pairs of a bucket that this leaves in different components are verified after it, block
+    by block, so no likely pair goes unverified unless its texts are in one class already.
     """
     rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
     weights = fit_weights(rows.select("text"))
@@ -348,11 +388,11 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     sizes = spread.groupBy("bucket").agg(F.count("*").alias("size")).filter(F.col("size") > 1)
     members = stage(spread.join(sizes, "bucket"), "members")
     met = members.groupBy("node").agg(F.sum("size").alias("met"))
-    first = F.row_number().over(Window.partitionBy("bucket").orderBy(F.desc("met"), "node"))
-    hubs = (members.join(met, "node").select("bucket", "node", "met").withColumn("nth", first).filter(F.col("nth") <= 2)
-            .select("bucket", F.col("node").alias("hub")))
-    pairs = (members.join(hubs, "bucket").filter(F.col("node") != F.col("hub"))
-             .select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct())
+    hubs = members.join(met, "node").groupBy("bucket").agg(F.min(F.struct(-F.col("met"), "node")).alias("hub"))
+    # Of the hubs of its ten buckets a node is held against the two that meet most others.
+    offered = members.join(hubs, "bucket").filter(F.col("node") != F.col("hub.node")).groupBy("node").agg(F.collect_set("hub").alias("hubs"))
+    pairs = (offered.select("node", F.explode(F.slice(F.array_sort("hubs"), 1, 2)).alias("hub"))
+             .select(F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b")).distinct())
     signs = nodes.select("node", F.hex("signature").alias("s"))
     likely = (pairs.join(signs.toDF("a", "sa"), "a").join(signs.toDF("b", "sb"), "b")
               .filter(agreement(F.col("sa"), F.col("sb")) >= LIKELY).select("a", "b"))
@@ -366,13 +406,10 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         return with_texts.mapInArrow(_verifier(weights, threshold), "a string, b string")
 
     links = stage(verified(likely), "links")
-    for low, high in ((0.75, 1.01), (LIKELY, 0.75)):
-        labels = components(links)
-        labelled = (members.select("bucket", "node").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-                    .join(nodes.select("node", "signature"), "node"))
-        rest = stage(unsettled_pairs(labelled, low, high), "unsettled")
-        more = stage(verified(rest), "links")
-        links = links.unionByName(more)
+    labels = components(links)
+    labelled = (members.select("bucket", "node").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+                .join(nodes.select("node", "signature"), "node"))
+    links = links.unionByName(stage(unsettled_links(labelled, texts, weights, threshold), "links"))
     labels = components(links)
     classed = signed.select("node", "doc_id").join(labels, "node", "left").withColumn("linked", F.col("label").isNotNull())
     classed = classed.withColumn("label", F.coalesce("label", "node"))
