@@ -179,7 +179,12 @@ class Units:
         left, size, wide = record[:, 8], record[:, 9], record[:, 10:]
         for p, a, b in _cuts(_part(key, parts)):
             strings = wide[a:b][np.arange(wide.shape[1])[None, :] < size[a:b, None]]
-            yield p, key[a:b].tobytes(), left[a:b].tobytes(), size[a:b].tobytes(), self.first[a:b].tobytes(), strings.tobytes()
+            yield p, key[a:b].tobytes(), left[a:b].tobytes(), size[a:b].tobytes(), _squeezed(self.first[a:b]), _squeezed(strings)
+
+
+def _squeezed(values: np.ndarray) -> bytes:
+    """Strings and ids shrink to about half; the shuffle's own codec only finds repeats."""
+    return pa.compress(values.tobytes(), codec="zstd", asbytes=True)
 
 
 def _codes_of(answers: pa.Table) -> np.ndarray:
@@ -237,8 +242,12 @@ def _shard(table: pa.Table) -> pa.Table:
     def joined(name: str, kind: str) -> np.ndarray:
         return np.frombuffer(b"".join(table[name].to_pylist()), kind)
     counts = [len(b) for b in table["lefts"].to_pylist()]
-    keys, lefts, sizes, firsts = joined("keys", "<u8"), joined("lefts", np.uint8), joined("sizes", np.uint8).astype(np.int64), joined("firsts", "<i8")
-    flat = joined("strings", np.uint8)
+    lengths = [int(np.frombuffer(b, np.uint8).sum()) for b in table["sizes"].to_pylist()]
+
+    def unpacked(name: str, kind: str, sizes: list[int]) -> np.ndarray:
+        return np.frombuffer(b"".join(pa.decompress(b, n, codec="zstd", asbytes=True) for b, n in zip(table[name].to_pylist(), sizes, strict=True)), kind)
+    keys, lefts, sizes = joined("keys", "<u8"), joined("lefts", np.uint8), joined("sizes", np.uint8).astype(np.int64)
+    firsts, flat = unpacked("firsts", "<i8", [8 * n for n in counts]), unpacked("strings", np.uint8, lengths)
     width = REPEAT + SPAN - 1
     wide = np.zeros((len(sizes), width), np.uint8)
     wide[np.arange(width)[None, :] < sizes[:, None]] = flat
