@@ -49,7 +49,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Places of the documents' pieces in training sequences."""
-    return pack_documents(docs, tokenizer_file())
+    return pack_documents(docs, tokenizer_file(), special_as_text=False)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

@@ -108,13 +108,14 @@ class WordEncoder:
 
     A text's ids are those of its blank-separated words in order. Plain words (letters, then perhaps marks) are merged here,
     many at once; all other words go to the tokenizer itself. The word table is emptied when it holds ``WORDS_KEPT`` words.
+    The literal of a special token is that token, or with ``special_as_text`` spelled out; no such literal may hold a blank.
     """
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, special_as_text: bool = False) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = special_as_text
         self.merges = Merges(json.loads(self.tokenizer.to_str())["model"])
         self.plain = re.compile(f"([{LETTERS}]{{1,{LONGEST // 2}}})([{MARKS}]*)")
         self._clear()
@@ -167,10 +168,10 @@ class WordEncoder:
         return self.flat[shift + np.arange(len(shift))], np.diff(np.r_[0, until[bounds]])
 
 
-def _cutter(path: str, tokens: int, end_id: int) -> Callable:
+def _cutter(path: str, tokens: int, end_id: int, special_as_text: bool) -> Callable:
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Pieces of each document, numbered within their task by length."""
-        encoder, task, seen = WordEncoder(path), TaskContext.get().partitionId(), {}
+        encoder, task, seen = WordEncoder(path, special_as_text), TaskContext.get().partitionId(), {}
         for batch in batches:
             rows = []
             ids_of, texts, at = batch["doc_id"].to_pylist(), batch["text"], 0
@@ -194,10 +195,10 @@ def _cutter(path: str, tokens: int, end_id: int) -> Callable:
     return cut
 
 
-def pieces_of(docs: DataFrame, tokenizer: str, tokens: int = TOKENS, end_id: int = END_ID) -> DataFrame:
+def pieces_of(docs: DataFrame, tokenizer: str, tokens: int = TOKENS, end_id: int = END_ID, special_as_text: bool = False) -> DataFrame:
     """Stage the pieces of all documents; ids themselves are not kept, they can be had again from text and start."""
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return stage(rows.mapInArrow(_cutter(tokenizer, tokens, end_id), PIECE_SCHEMA), "pieces")
+    return stage(rows.mapInArrow(_cutter(tokenizer, tokens, end_id, special_as_text), PIECE_SCHEMA), "pieces")
 
 
 def best_fit(histogram: dict[int, int], tokens: int = TOKENS, pieces: int = PIECES, attention: int = ATTENTION,
@@ -288,10 +289,11 @@ def pack(pieces: DataFrame, tokens: int = TOKENS, limit_pieces: int = PIECES, at
     return ranked.mapInArrow(place, "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, sequence_id bigint, offset bigint")
 
 
-def pack_documents(docs: DataFrame, tokenizer: str) -> DataFrame:
+def pack_documents(docs: DataFrame, tokenizer: str, special_as_text: bool = True) -> DataFrame:
     """Tokenise, cut and pack all rows; only documents longer than a sequence are cut.
 
     A null or empty text is the end id alone. Equal and repeated rows are packed as often as they occur; other columns are
-    not read; an empty table gives no rows.
+    not read; an empty table gives no rows. Literals of special tokens (``<|endoftext|>``) are spelled out as text, or with
+    ``special_as_text=False`` are those tokens, as by the tokenizer's own default; the query and the pipeline use the latter.
     """
-    return pack(pieces_of(docs, tokenizer))
+    return pack(pieces_of(docs, tokenizer, special_as_text=special_as_text))

@@ -61,7 +61,7 @@ def op4_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack_documents(table(spark, sf_dir, "documents"), tokenizer_file())
+    return pack_documents(table(spark, sf_dir, "documents"), tokenizer_file(), special_as_text=False)
 
 
 @query(oracles.WARC)
