@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.session import stage
@@ -13,7 +13,6 @@ from .common import parts_for
 
 BLOCK_ROWS = 16_384
 QUERIES_PER_UNIT = 256
-LIMIT = 1 << 27
 
 INDEX_SCHEMA = "block int, attribute int, slice int, base bigint, bits binary"
 HIT_SCHEMA = "query_id bigint, vec_id bigint, score bigint"
@@ -21,11 +20,17 @@ HIT_SCHEMA = "query_id bigint, vec_id bigint, score bigint"
 
 def quantise(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding", scale: int = 256) -> DataFrame:
     """``(vec_id, x)`` with ``x = floor(scale * component)``; rows with a null id, a null vector, or a component
-    that is null or not finite are left out. Components beyond 2**27 in size are clamped to it, so that scores fit 64 bits."""
+    that is null or not finite are left out. All others stay as they are; an ``x`` of more than 64 bits is an error."""
     inf = float("inf")
     usable = F.col(vec_id).isNotNull() & F.col(embedding).isNotNull() & F.forall(
         embedding, lambda x: F.coalesce(~F.isnan(x) & (x.cast("double") < inf) & (x.cast("double") > -inf), F.lit(False)))
-    whole = F.transform(embedding, lambda x: F.floor(F.least(F.greatest(x.cast("double") * scale, F.lit(-float(LIMIT))), F.lit(float(LIMIT)))).cast("bigint"))
+
+    def floor(x: Column) -> Column:
+        scaled = x.cast("double") * scale
+        beyond = F.raise_error(F.concat(F.lit(f"top k: a component times {scale} is beyond 64 bits: "), x.cast("string"))).cast("bigint")
+        return F.when(F.abs(scaled) < 2.0 ** 63, F.floor(scaled).cast("bigint")).otherwise(beyond)
+
+    whole = F.transform(embedding, floor)
     return vectors.filter(usable).select(F.col(vec_id).cast("bigint").alias("vec_id"), whole.alias("x"))
 
 
@@ -119,6 +124,16 @@ def _select(planes: np.ndarray, rows: np.ndarray, k: int) -> np.ndarray:
     return np.concatenate([_members(sure), _members(tied)[:k - count]])
 
 
+def _sums(held: np.ndarray) -> list[int]:
+    """Numbers whose bits are the columns, from the least significant row on, whatever their size."""
+    sums = [0] * held.shape[1]
+    for at in range(0, len(held), 32):
+        part = held[at:at + 32].astype(np.int64)
+        some = (part << np.arange(len(part))[:, None]).sum(axis=0)
+        sums = [total + (low << at) for total, low in zip(sums, some.tolist(), strict=True)]
+    return sums
+
+
 def _searcher(k: int):
     def search(index: pa.Table, queries: pa.Table) -> pa.Table:
         """Top k of one block for each query of one unit."""
@@ -139,12 +154,12 @@ def _searcher(k: int):
             np.maximum.at(highest, attribute, shift)
             bases = np.zeros(len(highest), np.int64)
             bases[attribute[first]] = base[first]
-            spans = (np.int64(1) << (highest + 1)) - 1
+            spans = [(1 << (h + 1)) - 1 for h in highest.tolist()]
             for query_id, q in zip(np.asarray(queries["vec_id"]).tolist(), _matrix(queries["x"]), strict=True):
                 width = min(len(q), len(bases))
                 q = np.concatenate([q[:width], np.zeros(len(bases) - width, np.int64)])
                 # q*x = |q|*(x - base) + q*base, and for negative q the complement of x - base counts instead.
-                fixed = int((q * bases).sum() + (np.minimum(q, 0) * spans).sum())
+                fixed = sum(x * base + min(x, 0) * span for x, base, span in zip(q.tolist(), bases.tolist(), spans, strict=True))
                 size, which = np.abs(q)[attribute], np.arange(len(attribute)) + (q < 0)[attribute] * len(attribute)
                 depth = int(size.max(initial=0)).bit_length()
                 rows, power = np.nonzero((size[:, None] >> np.arange(max(1, depth))[None, :]) & 1)
@@ -161,8 +176,10 @@ def _searcher(k: int):
                     rest = every & ~np.packbits(mine, bitorder="little").view(np.uint64)
                 at = _select(planes, rest, k)
                 held = (planes[:, at // 64] >> (at % 64).astype(np.uint64)[None, :]) & np.uint64(1)
-                scores = (held.astype(np.int64) << np.arange(len(planes))[:, None]).sum(axis=0) + fixed
-                got.extend(zip([query_id] * len(at), ids[at].tolist(), scores.tolist(), strict=True))
+                scores = [above + fixed for above in _sums(held)]
+                if any(not -(1 << 63) <= score < 1 << 63 for score in scores):
+                    raise ValueError(f"top k: a score of query {query_id} is beyond 64 bits")
+                got.extend(zip([query_id] * len(at), ids[at].tolist(), scores, strict=True))
         columns = list(zip(*got)) or [[], [], []]
         return pa.table([pa.array(c, pa.int64()) for c in columns], names=["query_id", "vec_id", "score"])
     return search
@@ -173,6 +190,7 @@ def top_k(quantised: DataFrame, queries: DataFrame, k: int) -> DataFrame:
 
     Both inputs have ``(vec_id, x)``; a row that carries the query's own id is no candidate, of repeated query ids the
     least vector asks. Vectors of unequal length are compared as if padded with zeros. With no rows the result is empty.
+    Components have any size of 64 bits; a score beyond 64 bits among the ``k`` highest of a block is an error.
 
     The index is staged once in blocks. A stated query set meets every block: units of (block, query chunk) are
     cogrouped, so a task holds one block and one chunk whatever the table's size, and nothing is broadcast or pruned.
