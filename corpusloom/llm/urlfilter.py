@@ -34,6 +34,10 @@ def path_of(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(_after(url), r"^[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
+def suffix_of(host: Column) -> Column:
+    return F.substring_index(host, ".", -1)
+
+
 def rule_of(host: Column, path: Column, rules: dict[str, str]) -> Column:
     """Longest rule ``host/path`` that fits the host or a parent of it and leads the path; null if none does."""
     fits = []
@@ -63,31 +67,33 @@ def lexical(urls: DataFrame) -> DataFrame:
         "url_length": n, "host_length": F.length(host).cast("double"), "path_depth": _count(path, "/"),
         "host_labels": _count(host, ".") + 1, "digit_ratio": F.when(n > 0, _count(url, "0-9") / n).otherwise(0.0),
         "hyphens": _count(host, "-"), "entropy": entropy(url),
-        "parameters": F.when(query == "", 0.0).otherwise(_count(query, "&") + 1), "_suffix": F.substring_index(host, ".", -1)})
+        "parameters": F.when(query == "", 0.0).otherwise(_count(query, "&") + 1), "_suffix": suffix_of(host)})
 
 
-def fit(labelled: DataFrame) -> tuple[object | None, DataFrame, float]:
-    """Model, suffix statistics and rate of label 1 from ``(_url, _host, _path, label)``.
+def fit(rows: DataFrame) -> tuple[object | None, DataFrame, float]:
+    """Model, suffix statistics and rate of label 1 from ``(_url, _host, _path, label)``; rows no rule fits have a null label.
 
-    The sample is the ``TRAIN_ROWS`` distinct labelled URLs with the smallest hash; the suffix table made from it has no
-    more rows than that. Without both labels in the sample there is no model and the rate alone decides.
+    Counts per suffix are taken over all rows, label rates over all labelled rows. Only the trees learn from a sample, the
+    ``TRAIN_ROWS`` distinct labelled URLs with the smallest hash. Without both labels in the sample there is no model and the
+    rate alone decides.
     """
-    sample = (labelled.dropDuplicates(["_url"]).orderBy(F.xxhash64("_url"), "_url").limit(TRAIN_ROWS))
+    counts = rows.groupBy(suffix_of(F.col("_host")).alias("_suffix")).agg(
+        F.count("*").alias("n"), F.count("label").alias("labelled"), F.coalesce(F.sum("label"), F.lit(0.0)).alias("ones"))
+    counts = stage(counts, "url-suffixes")
+    total = counts.agg(F.sum("labelled").alias("labelled"), F.sum("ones").alias("ones")).first()
+    rate = (total["ones"] or 0.0) / max(1, total["labelled"] or 0)
+    suffixes = counts.select("_suffix", ((F.col("ones") + rate * 2) / (F.col("labelled") + 2)).alias("suffix_rate"), F.log2(F.col("n") + 1).alias("suffix_weight"))
+    sample = rows.filter(F.col("label").isNotNull()).dropDuplicates(["_url"]).orderBy(F.xxhash64("_url"), "_url").limit(TRAIN_ROWS)
     sample = stage(sample, "url-sample")
-    counts = {r["label"]: r["n"] for r in sample.groupBy("label").agg(F.count("*").alias("n")).collect()}
-    rate = counts.get(1.0, 0) / max(1, sum(counts.values()))
-    suffixes = (lexical(sample).groupBy("_suffix").agg(F.sum("label").alias("ones"), F.count("*").alias("n"))
-                .select("_suffix", ((F.col("ones") + rate * 2) / (F.col("n") + 2)).alias("suffix_rate"), F.log2(F.col("n") + 1).alias("suffix_weight")))
-    suffixes = stage(suffixes, "url-suffixes")
-    if len(counts) < 2:
+    if sample.select("label").distinct().count() < 2:
         return None, suffixes, rate
     trees = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=7, labelCol="label", featuresCol="features")
     return trees.fit(featured(sample, suffixes, rate).select("features", "label")), suffixes, rate
 
 
 def featured(urls: DataFrame, suffixes: DataFrame, rate: float) -> DataFrame:
-    """Features as one vector. The suffix table is bounded by the training sample, hence the broadcast."""
-    rows = lexical(urls).join(F.broadcast(suffixes), "_suffix", "left").fillna({"suffix_rate": rate, "suffix_weight": 0.0})
+    """Features as one vector. The suffix table grows with the distinct suffixes, so Spark chooses the join by its size."""
+    rows = lexical(urls).join(suffixes, "_suffix", "left").fillna({"suffix_rate": rate, "suffix_weight": 0.0})
     return VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(rows)
 
 
@@ -96,14 +102,15 @@ def judge_urls(pages: DataFrame, rules: dict[str, str], url: str = "url", keep:
 
     ``rules`` maps ``host/path`` to ``allow`` or ``block``. URLs that a rule fits are the labelled ones the trees learn
     from; all others get the trees' verdict, ``block`` from a probability of 0.5. A null URL, or one without ``://``, has
-    empty host and path. Of the table only ``keep`` and the URL are read, and no row is exchanged.
+    empty host and path. Of the table only ``keep`` and the URL are read; its rows are exchanged only where the suffix table
+    is above Spark's size for broadcasts.
     """
     rows = pages.select(*[F.col(c).alias(f"_keep{i}") for i, c in enumerate(keep)], F.col(url).cast("string").alias("_url"))
     rows = rows.withColumns({"_host": host_of(F.col("_url")), "_path": path_of(F.col("_url"))})
     rows = rows.withColumn("_rule", rule_of(F.col("_host"), F.col("_path"), rules))
     wanted = reduce(lambda so_far, rule: F.when(F.col("_rule") == rule, F.lit(rules[rule])).otherwise(so_far), rules, F.lit(None).cast("string"))
-    labelled = rows.filter(F.col("_rule").isNotNull()).withColumn("label", F.when(wanted == "block", 1.0).otherwise(0.0))
-    model, suffixes, rate = fit(labelled.select("_url", "_host", "_path", "label"))
+    label = F.when(F.col("_rule").isNotNull(), F.when(wanted == "block", 1.0).otherwise(0.0))
+    model, suffixes, rate = fit(rows.select("_url", "_host", "_path", label.alias("label")))
     if model is None:
         scored = rows.withColumn("score", F.lit(rate))
     else:
