@@ -63,3 +63,57 @@ SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(c.n_hit, 0)::BIGINT AS n_
   sha256(coalesce(n.items, '')) AS items_sha256, coalesce(c.n_hit, 0) > 0 AS contaminated
 FROM doc d LEFT JOIN covered c USING (r) LEFT JOIN named n USING (r)
 """
+
+# CRC-32 bit by bit, over the bytes of a decimal number.
+CRC32 = """xor(list_reduce(flatten(list_transform(range(1, length(%s) + 1), lambda i: [ord((%s)[i])::BIGINT, 0, 0, 0, 0, 0, 0, 0])),
+    lambda c, b: xor(xor(c, b) >> 1, 3988292384 * (xor(c, b) & 1)), 4294967295::BIGINT), 4294967295)"""
+
+_FIELD = "coalesce(strlen(%s)::VARCHAR || ':' || %s, '-')"
+
+
+def _leaf(text: str) -> str:
+    return "sha256(" + " || ".join(_FIELD % (f, f) for f in ("doc_id::VARCHAR", "source", "lang", "n_chars::VARCHAR", text)) + ")"
+
+
+MERKLE = f"""
+WITH RECURSIVE leaf AS (
+  SELECT doc_id, source, {_leaf('text')} AS leaf,
+    CASE WHEN {CRC32 % ('doc_id::VARCHAR', 'doc_id::VARCHAR')} % 2 = 0 THEN {_leaf("replace(text, chr(10), '')")} ELSE {_leaf('text')} END AS shown
+  FROM documents
+), placed AS (
+  SELECT *, row_number() OVER () AS r, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM leaf
+), up AS (
+  SELECT source, 0 AS lvl, pos, leaf AS node, count(*) OVER (PARTITION BY source) AS n FROM placed
+  UNION ALL
+  SELECT source, lvl + 1, pos // 3, sha256(string_agg(node, '' ORDER BY pos)), (n + 2) // 3 FROM up WHERE n > 1 GROUP BY source, lvl, pos // 3, n
+), subroot AS (
+  SELECT source, node, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS place FROM up WHERE n = 1
+), above AS (
+  SELECT 0 AS lvl, place AS pos, node, count(*) OVER () AS n FROM subroot
+  UNION ALL
+  SELECT lvl + 1, pos // 3, sha256(string_agg(node, '' ORDER BY pos)), (n + 2) // 3 FROM above WHERE n > 1 GROUP BY lvl, pos // 3, n
+), run AS (
+  SELECT source, 0 AS part, lvl, pos // 3 AS run, list(node ORDER BY pos) AS nodes FROM up WHERE n > 1 GROUP BY source, lvl, pos // 3
+  UNION ALL
+  SELECT NULL, 1, lvl, pos // 3, list(node ORDER BY pos) FROM above WHERE n > 1 GROUP BY lvl, pos // 3
+), heights AS (
+  SELECT source, max(lvl) AS height FROM up GROUP BY source
+), fold AS (
+  SELECT r, source, 0 AS part, 0 AS lvl, pos, shown AS node, '' AS proof FROM placed
+  UNION ALL
+  SELECT f.r, f.source, CASE WHEN f.part = 0 AND f.lvl = h.height THEN 1 ELSE f.part END, CASE WHEN f.part = 0 AND f.lvl = h.height THEN 0 ELSE f.lvl + 1 END,
+    CASE WHEN f.part = 0 AND f.lvl = h.height THEN s.place ELSE f.pos // 3 END,
+    CASE WHEN f.part = 0 AND f.lvl = h.height THEN f.node
+         ELSE sha256(array_to_string(x.nodes[:f.pos % 3], '') || f.node || array_to_string(x.nodes[f.pos % 3 + 2:], '')) END,
+    CASE WHEN f.part = 0 AND f.lvl = h.height THEN f.proof
+         ELSE f.proof || array_to_string(x.nodes[:f.pos % 3], '') || array_to_string(x.nodes[f.pos % 3 + 2:], '') END
+  FROM fold f JOIN heights h ON f.source IS NOT DISTINCT FROM h.source JOIN subroot s ON f.source IS NOT DISTINCT FROM s.source
+    LEFT JOIN run x ON x.part = f.part AND x.lvl = f.lvl AND x.run = f.pos // 3 AND (f.part = 1 OR x.source IS NOT DISTINCT FROM f.source)
+  WHERE f.part = 0 OR f.lvl < (SELECT max(lvl) FROM above)
+), root AS (
+  SELECT node AS root FROM above WHERE n = 1
+)
+SELECT p.doc_id, p.leaf, s.node AS subroot, root, sha256(f.proof) AS proof_sha256, f.node AS folded_root, f.node = root AS verified
+FROM placed p JOIN fold f ON p.r = f.r AND f.part = 1 AND f.lvl = (SELECT max(lvl) FROM above)
+  JOIN subroot s ON p.source IS NOT DISTINCT FROM s.source CROSS JOIN root
+"""

@@ -10,6 +10,7 @@ from .archives import page_archive
 from .chat import format_chats, masked_text, parse
 from .common import ORACLES, QUERIES, query, table  # noqa: F401  the registries are read from here
 from .decontaminate import find_contamination, hit_words
+from .merkle import merkle_manifest, proof
 from .neardup import near_duplicates
 from .packing import pack_documents
 from .repeats import remove_repeats
@@ -92,3 +93,11 @@ def op9_prefix_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_bit_sliced_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = quantise(table(spark, sf_dir, "embeddings"))
     return top_k(vectors, vectors.filter(F.col("vec_id") % 50 == 0), k=5)
+
+
+@query(oracles.MERKLE)
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string")) % 2 == 0, F.replace("text", F.lit("\n")))
+    rows = merkle_manifest(table(spark, sf_dir, "documents"), tampered)
+    return rows.select("doc_id", "leaf", "subroot", "root", proof(F.col("path")).alias("proof_sha256"), "folded_root",
+                       (F.col("folded_root") == F.col("root")).alias("verified"))
