@@ -12,20 +12,27 @@ from corpusloom.session import stage
 _ROW_BITS = 33  # monotonically_increasing_id: partition number above, row number within the partition below
 
 
+def in_places(df: DataFrame, *order: Column, name: str = "place") -> DataFrame:
+    """Stage the rows sorted by ``order`` over ranges, with a number that ascends in that order.
+
+    Ranges are the parts of a number above 33 bits, and numbers within a range have no gaps. Rows equal in ``order`` keep one arbitrary
+    order among themselves and may fall into different ranges, so no key is too frequent for a task.
+    """
+    tied = df.withColumn("_tie", F.monotonically_increasing_id())
+    ranged = tied.repartitionByRange(*order, "_tie").sortWithinPartitions(*order, "_tie").drop("_tie")
+    return stage(ranged.withColumn(name, F.monotonically_increasing_id()), "ordered")
+
+
 def numbered(df: DataFrame, *order: Column, by: tuple[str, ...] = (), position: str = "position",
              total: str | None = None) -> DataFrame:
     """Add the 0-based ``position`` of every row in ``order`` (nulls where the order puts them), counted per ``by`` group,
     and with ``total`` the size of its group.
 
-    Rows are dealt to ranges of (``by``, ``order``), sorted within each and written with their place; the position is the
-    place within the range plus the rows of the group in earlier ranges, so a group of any size spreads over ranges and
-    the only table that meets in one place has a row for each range and group. Rows equal in ``order`` keep one
-    arbitrary order among themselves and may fall into different ranges.
+    The position is a row's place within its range plus the rows of the group in earlier ranges, so a group of any size
+    spreads over ranges and the only table that meets in one place has a row for each range and group.
     """
     keys = [F.col(c).asc_nulls_first() for c in by] + list(order)
-    tied = df.withColumn("_tie", F.monotonically_increasing_id())
-    ranged = tied.repartitionByRange(*keys, "_tie").sortWithinPartitions(*keys, "_tie").drop("_tie")
-    placed = stage(ranged.withColumn("_place", F.monotonically_increasing_id()), "ordered")
+    placed = in_places(df, *keys, name="_place")
     counted = (placed.groupBy(F.shiftright("_place", _ROW_BITS).alias("_range"), *[F.col(c).alias(f"_of_{c}") for c in by])
                .agg(F.min("_place").alias("_first"), F.count(F.lit(1)).alias("_n")))
     group = [f"_of_{c}" for c in by]
