@@ -117,3 +117,58 @@ SELECT p.doc_id, p.leaf, s.node AS subroot, root, sha256(f.proof) AS proof_sha25
 FROM placed p JOIN fold f ON p.r = f.r AND f.part = 1 AND f.lvl = (SELECT max(lvl) FROM above)
   JOIN subroot s ON p.source IS NOT DISTINCT FROM s.source CROSS JOIN root
 """
+
+_BLANKS = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+# (state, insertions, state after them, lines inserted); states: start, after system, after user, after assistant.
+_INSERTIONS = """(0, 0, 0, []), (0, 1, 2, ['user:']), (0, 2, 3, ['user:', 'assistant:']), (0, 3, 2, ['user:', 'assistant:', 'user:']),
+  (1, 0, 1, []), (1, 1, 2, ['user:']), (1, 2, 3, ['user:', 'assistant:']), (1, 3, 2, ['user:', 'assistant:', 'user:']),
+  (2, 0, 2, []), (2, 1, 3, ['assistant:']), (2, 2, 2, ['assistant:', 'user:']), (2, 3, 3, ['assistant:', 'user:', 'assistant:']),
+  (3, 0, 3, []), (3, 1, 2, ['user:']), (3, 2, 3, ['user:', 'assistant:']), (3, 3, 2, ['user:', 'assistant:', 'user:'])"""
+_KEY = "(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '))"
+
+REPAIR = f"""
+WITH RECURSIVE fated AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, {CRC32 % (_KEY, _KEY)} % 20 AS fate FROM conversations
+), kept AS (
+  SELECT conv_id, turn, CASE WHEN fate = 4 THEN 'user' ELSE role END AS role,
+    CASE WHEN fate = 1 THEN '' WHEN fate = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(CASE WHEN fate = 3 THEN [0, 1] ELSE [0] END) AS copy
+  FROM fated WHERE fate <> 0
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i, rtrim(text, {_BLANKS}) AS shown FROM kept
+), coded AS (
+  SELECT *, left(role, 1) AS initial, lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS earlier,
+    CASE WHEN shown = '' THEN 'blank' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+      WHEN right(shown, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE 'sound' END AS fault
+  FROM placed
+), ins(s, k, t, lines) AS (VALUES {_INSERTIONS}
+), way AS (
+  SELECT DISTINCT conv_id, 0::BIGINT AS i, 0 AS s, {{'cost': 0, 'audit': '', 'lines': []::VARCHAR[]}} AS best FROM coded
+  UNION ALL
+  SELECT w.conv_id, w.i + 1, e.to_state, min({{'cost': w.best.cost + 5 * x.k + e.cost, 'audit': w.best.audit || repeat('I', x.k) || e.letter,
+      'lines': list_concat(list_concat(w.best.lines, x.lines::VARCHAR[]), CASE WHEN e.letter = 'D' THEN []::VARCHAR[] ELSE [e.role || ':' || c.text] END)}})
+  FROM way w JOIN coded c ON w.conv_id IS NOT DISTINCT FROM c.conv_id AND c.i = w.i + 1 JOIN ins x ON x.s = w.s
+    CROSS JOIN LATERAL (
+      SELECT 'D' AS letter, 2 AS cost, x.t AS to_state, '' AS role
+      UNION ALL SELECT 'K', CASE WHEN c.fault = 'truncated' THEN 5 ELSE 0 END, CASE c.initial WHEN 's' THEN 1 WHEN 'u' THEN 2 ELSE 3 END, c.role
+        WHERE c.fault IN ('sound', 'truncated') AND ((x.t = 0 AND c.initial = 's') OR (x.t <> 2 AND c.initial = 'u') OR (x.t = 2 AND c.initial = 'a'))
+      UNION ALL SELECT 'R', CASE WHEN c.fault = 'truncated' THEN 6 ELSE 1 END, CASE WHEN x.t = 2 THEN 3 ELSE 2 END, CASE WHEN x.t = 2 THEN 'assistant' ELSE 'user' END
+        WHERE c.fault IN ('sound', 'truncated')
+    ) e
+  GROUP BY w.conv_id, w.i, e.to_state
+), counted AS (
+  SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+    count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+    count(*) FILTER (i > 1 AND earlier || initial NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM coded GROUP BY conv_id
+), ended AS (
+  SELECT w.conv_id, min({{'cost': w.best.cost + 5 * x.k, 'audit': w.best.audit || repeat('I', x.k), 'lines': list_concat(w.best.lines, x.lines::VARCHAR[])}}) AS best
+  FROM way w JOIN counted c ON w.conv_id IS NOT DISTINCT FROM c.conv_id AND w.i = c.n JOIN ins x ON x.s = w.s AND x.t IN (0, 3)
+  GROUP BY w.conv_id
+)
+SELECT o.conv_id, coalesce(c.gaps, 0)::BIGINT AS gaps, coalesce(c.blank, 0) AS blank, coalesce(c.duplicate, 0) AS duplicate, coalesce(c.truncated, 0) AS truncated,
+  coalesce(c.illegal, 0) AS illegal, coalesce(e.best.cost, 0)::BIGINT AS cost, coalesce(e.best.audit, '') AS audit,
+  sha256(coalesce(array_to_string(e.best.lines, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN counted c ON o.conv_id IS NOT DISTINCT FROM c.conv_id
+  LEFT JOIN ended e ON o.conv_id IS NOT DISTINCT FROM e.conv_id
+"""

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,6 +15,7 @@ from .decontaminate import find_contamination, hit_words
 from .merkle import merkle_manifest, proof
 from .neardup import near_duplicates
 from .packing import pack_documents
+from .repair import Repair, damage
 from .repeats import remove_repeats
 from .sharding import shard_rows
 from .topk import quantise, top_k
@@ -95,6 +98,15 @@ def op10_bit_sliced_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(vectors, vectors.filter(F.col("vec_id") % 50 == 0), k=5)
 
 
+@query(oracles.REPAIR)
+def op11_checkpointed_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    found = Repair(damage(turns)).summary().withColumnRenamed("conv_id", "_id")
+    whole = turns.select("conv_id").distinct().join(found, F.col("conv_id").eqNullSafe(F.col("_id")), "left").drop("_id")
+    counts = [c for c in whole.columns if c not in ("conv_id", "audit", "repaired_sha256")]
+    return whole.fillna(0, counts).fillna({"audit": "", "repaired_sha256": hashlib.sha256().hexdigest()})
+
+
 @query(oracles.MERKLE)
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     tampered = F.when(F.crc32(F.col("doc_id").cast("string")) % 2 == 0, F.replace("text", F.lit("\n")))
