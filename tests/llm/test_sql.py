@@ -7,7 +7,7 @@ from corpusloom.llm.common import ORACLES
 from corpusloom.llm.queries import QUERIES
 
 
-REGISTERED = range(1, 13)
+REGISTERED = range(1, 14)
 
 
 @pytest.fixture(scope="module")
