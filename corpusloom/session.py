@@ -15,6 +15,8 @@ def configure(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
+    # Batches sent to Python are cut by bytes, so long texts and pages do not multiply by the rows of a batch.
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
     return spark
 
 
