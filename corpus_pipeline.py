@@ -13,7 +13,7 @@ from corpusloom.llm.packing import pack_documents
 from corpusloom.llm.queries import tokenizer_file
 from corpusloom.llm.repeats import remove_repeats
 from corpusloom.llm.toxicity import score_documents
-from corpusloom.session import stage
+from corpusloom.session import configure, stage
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -62,7 +62,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; what each keeps is staged in the shared folder."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = configure(spark).read.parquet(f"{sf_dir}/documents.parquet")
     for name, step in STAGES:
         docs = stage(step(spark, docs, sf_dir), name)
     return docs
