@@ -13,8 +13,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .chunks import ChunkTable, gather, slices
-from .packing import LETTERS, MARKS, Merges
+from .chunks import ChunkTable, PlainChunks, gather, slices
+from .packing import Merges
 
 #: Words of up to so many bytes are worked on many at once.
 SHORT = 64
@@ -259,23 +259,19 @@ class Speculator:
 
 
 class Words:
-    """Words of chunks as the tokenizer cuts them, as byte strings; its own normaliser and splitter serve all but plain chunks."""
+    """Words of chunks as the tokenizer cuts them, as byte strings, by its own normaliser and splitter."""
 
     def __init__(self, path: str, vocabulary: Vocabulary) -> None:
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)
         self.normal, self.split, self.letters = tokenizer.normalizer, tokenizer.pre_tokenizer, vocabulary.letters
-        self.plain = re.compile(f"([{LETTERS}]+)([{MARKS}]*)")
         names = sorted(vocabulary.special, key=len, reverse=True)
         self.special = re.compile("(" + "|".join(map(re.escape, names)) + ")") if names else None
         self.known = vocabulary.special
 
     def of(self, chunk: str) -> list[bytes | int]:
         """Words, and numbers of special tokens where their literals stand."""
-        plain = self.plain.fullmatch(chunk)
-        if plain:
-            return [plain[1].lower().encode(), plain[2].encode()] if plain[2] else [plain[1].lower().encode()]
         out: list[bytes | int] = []
         for part in self.special.split(chunk) if self.special else [chunk]:
             if part in self.known:
@@ -287,14 +283,14 @@ class Words:
 
 
 class Encoder:
-    """Ids of whole texts; each distinct chunk is cut into words once, and each of its new words is encoded once."""
+    """Ids of whole texts; each distinct chunk is cut into words once, and the letters of plain chunks are encoded once."""
 
     def __init__(self, path: str, vocabulary: Vocabulary) -> None:
         self.words, self.speculator = Words(path, vocabulary), Speculator(vocabulary)
-        self.table = ChunkTable(self._learn)
+        self.table = ChunkTable(self._others, PlainChunks(self.speculator.encode, self._others).learn_words)
         self.encode = self.table.encode
 
-    def _learn(self, chunks: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    def _others(self, chunks: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         cut = [self.words.of(c.decode("utf-8", "surrogatepass")) for c in chunks]
         distinct = list(dict.fromkeys(w for words in cut for w in words if isinstance(w, bytes) and w))
         flat, sizes = self.speculator.encode(distinct) if distinct else (np.zeros(0, np.uint32), np.zeros(0, np.int64))

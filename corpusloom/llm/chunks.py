@@ -50,14 +50,16 @@ def gather(values: np.ndarray, firsts: np.ndarray, sizes: np.ndarray) -> np.ndar
 
 
 class ChunkTable:
-    """Ids of whole texts from ``learn``, which gives those of a list of chunks (all ids end to end, and each chunk's number).
+    """Ids of whole texts from ``learn``, which gives those of a list of chunks (all ids end to end, and each chunk's number);
+    ``learn_words``, if given, does the same for chunks of up to ``LONGEST`` bytes as rows of machine words, and their sizes.
 
     A chunk of up to ``LONGEST`` bytes is a few machine words. Their hash finds its number, and comparing all of them verifies the spelling; longer
     chunks, and chunks whose hash another one has, go through a plain dictionary.
     """
 
-    def __init__(self, learn: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]]) -> None:
-        self.learn = learn
+    def __init__(self, learn: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]],
+                 learn_words: Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]] | None = None, kept: int | None = None) -> None:
+        self.learn, self.learn_words, self.kept = learn, learn_words, kept or KEPT
         self._clear()
 
     def _clear(self) -> None:
@@ -100,55 +102,26 @@ class ChunkTable:
 
     # --- chunks ----------------------------------------------------------------------------------------------------------
 
-    def _add(self, chunks: list[bytes]) -> np.ndarray:
-        """Learn chunks and give their new numbers."""
-        ids, numbers = self.learn(chunks)
-        codes = np.arange(self.count, self.count + len(chunks))
-        while len(self.size) < self.count + len(chunks):
+    def _keep(self, ids: np.ndarray, numbers: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Numbers of chunks newly learnt."""
+        codes = np.arange(self.count, self.count + len(sizes))
+        while len(self.size) < self.count + len(sizes):
             self.size, self.first, self.number, self.spelt = (np.concatenate([x, np.zeros_like(x)]) for x in (self.size, self.first, self.number, self.spelt))
         while len(self.ids) < self.filled + len(ids):
             self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
         self.ids[self.filled:self.filled + len(ids)] = ids
-        self.size[codes] = np.fromiter(map(len, chunks), np.int64, len(chunks))
+        self.size[codes] = sizes
         self.number[codes], self.first[codes] = numbers, self.filled + np.cumsum(numbers) - numbers
         self.filled += len(ids)
-        self.count += len(chunks)
-        self.bytes += int(self.size[codes].sum()) + 4 * len(ids)
+        self.count += len(sizes)
+        self.bytes += int(np.sum(sizes)) + 4 * len(ids)
         return codes
 
-    def _words(self, data: np.ndarray, first: np.ndarray, size: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """(k, which chunks have a k-th machine word, those words)."""
-        padded = np.concatenate([data, np.zeros(WORD, np.uint8)])
-        loads = np.ndarray((len(data) + 1,), "<u8", padded, strides=(1,))
-        which = np.arange(len(first))
-        for k in range(LONGEST // WORD):
-            left = size[which] - WORD * k
-            which, left = which[left > 0], left[left > 0]
-            if not len(which):
-                break
-            yield k, which, loads[first[which] + WORD * k] & _MASKS[np.minimum(left, WORD)]
-
-    def read(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The chunks' numbers in order, and how many chunks each text has."""
-        first, last = cut(data, bounds)
-        size = last - first
-        per_text = np.diff(np.searchsorted(first, bounds))
-        if self.count > KEPT or self.bytes > KEPT_BYTES:
-            self._clear()
-        codes = np.full(len(first), -1, np.int64)
-        short = size <= LONGEST
-        if short.any():
-            at = np.flatnonzero(short) if not short.all() else np.arange(len(first))
-            codes[at] = self._short(data, first[at], size[at])
-        if not short.all():
-            odd = np.flatnonzero(~short).tolist()
-            codes[odd] = self._odd([data[a:b].tobytes() for a, b in zip(first[odd].tolist(), last[odd].tolist(), strict=True)])
-        return codes, per_text
-
-    def _short(self, data: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    def _short(self, words: list[tuple[np.ndarray, np.ndarray]], size: np.ndarray) -> np.ndarray:
+        """Numbers of chunks given as machine words: per k, which chunks have a k-th one, and those."""
         hashes = size.astype(np.uint64)
-        for _, which, words in self._words(data, first, size):
-            mixed = (hashes[which] ^ words) * _MIX
+        for which, held in words:
+            mixed = (hashes[which] ^ held) * _MIX
             hashes[which] = (mixed ^ (mixed >> np.uint64(29))) * _MIX
         hashes |= np.uint64(1)
         codes = self._find(hashes)
@@ -156,28 +129,161 @@ class ChunkTable:
         if len(new):
             known, place, back = np.unique(hashes[new], return_index=True, return_inverse=True)
             some = new[place]
-            fresh = self._add([data[a:a + n].tobytes() for a, n in zip(first[some].tolist(), size[some].tolist(), strict=True)])
-            for k, which, words in self._words(data, first[some], size[some]):
-                self.spelt[fresh[which], k] = words
+            spelt = _matrix(words, some, len(size))
+            fresh = self._keep(*(self.learn_words or self._learn_listed)(spelt, size[some]), size[some])
+            self.spelt[fresh] = spelt
             self._enter(known, fresh.astype(np.int32))
             codes[new] = fresh[back]
         same = self.size[codes] == size
-        for k, which, words in self._words(data, first, size):
-            same[which] &= self.spelt[codes[which], k] == words
+        for k, (which, held) in enumerate(words):
+            same[which] &= self.spelt[codes[which], k] == held
         if not same.all():
             other = np.flatnonzero(~same)
-            codes[other] = self._odd([data[a:a + n].tobytes() for a, n in zip(first[other].tolist(), size[other].tolist(), strict=True)])
+            codes[other] = self._odd(listed(_matrix(words, other, len(size)), size[other]))
         return codes
 
+    def _learn_listed(self, spelt: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return self.learn(listed(spelt, size))
+
     def _odd(self, chunks: list[bytes]) -> np.ndarray:
         fresh = [c for c in dict.fromkeys(chunks) if c not in self.odd]
         if fresh:
-            self.odd.update(zip(fresh, self._add(fresh).tolist(), strict=True))
+            self.odd.update(zip(fresh, self._keep(*self.learn(fresh), np.fromiter(map(len, fresh), np.int64, len(fresh))).tolist(), strict=True))
         return np.array([self.odd[c] for c in chunks], np.int64)
 
+    def known(self, spelt: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """Numbers of chunks of up to ``LONGEST`` bytes, given as rows of machine words."""
+        self._make_room()
+        words = []
+        for k in range(LONGEST // WORD):
+            which = np.flatnonzero(size > WORD * k)
+            if not len(which):
+                break
+            words.append((which, spelt[which, k]))
+        return self._short(words, size)
+
+    def _make_room(self) -> None:
+        if self.count > self.kept or self.bytes > KEPT_BYTES:
+            self._clear()
+
+    def read(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The chunks' numbers in order, and how many chunks each text has."""
+        first, last = cut(data, bounds)
+        size = last - first
+        per_text = np.diff(np.searchsorted(first, bounds))
+        self._make_room()
+        codes = np.full(len(first), -1, np.int64)
+        short = size <= LONGEST
+        if short.any():
+            at = np.flatnonzero(short) if not short.all() else np.arange(len(first))
+            codes[at] = self._short(_words(data, first[at], size[at]), size[at])
+        if not short.all():
+            odd = np.flatnonzero(~short).tolist()
+            codes[odd] = self._odd([data[a:b].tobytes() for a, b in zip(first[odd].tolist(), last[odd].tolist(), strict=True)])
+        return codes, per_text
+
     def encode(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the texts, end to end, and how many each has."""
         codes, per_text = self.read(data, bounds)
         numbers = self.number[codes]
         until = np.r_[0, np.cumsum(numbers)]
         return gather(self.ids, self.first[codes], numbers), np.diff(until[np.r_[0, np.cumsum(per_text)]])
+
+
+def _words(data: np.ndarray, first: np.ndarray, size: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    padded = np.concatenate([data, np.zeros(WORD, np.uint8)])
+    loads = np.ndarray((len(data) + 1,), "<u8", padded, strides=(1,))
+    which, out = np.arange(len(first)), []
+    for k in range(LONGEST // WORD):
+        left = size[which] - WORD * k
+        which, left = which[left > 0], left[left > 0]
+        if not len(which):
+            break
+        out.append((which, loads[first[which] + WORD * k] & _MASKS[np.minimum(left, WORD)]))
+    return out
+
+
+def _matrix(words: list[tuple[np.ndarray, np.ndarray]], some: np.ndarray, of: int) -> np.ndarray:
+    """Rows of machine words of ``some`` of ``of`` chunks."""
+    row = np.full(of, -1, np.int64)
+    row[some] = np.arange(len(some))
+    out = np.zeros((len(some), LONGEST // WORD), np.uint64)
+    for k, (which, held) in enumerate(words):
+        at = row[which]
+        out[at[at >= 0], k] = held[at >= 0]
+    return out
+
+
+def listed(spelt: np.ndarray, size: np.ndarray) -> list[bytes]:
+    """The same chunks as byte strings."""
+    raw = np.ascontiguousarray(spelt, "<u8").tobytes()
+    return [raw[at:at + n] for at, n in zip(range(0, len(raw), LONGEST), size.tolist(), strict=True)]
+
+
+# --- plain chunks: letters, then perhaps marks ---------------------------------------------------------------------------
+
+#: Kinds of bytes: letter, mark, none, other. Letters are A-Z, a-z, and U+00C0 to U+00FF but the two signs among them.
+LETTER, MARK, NONE, OTHER = range(4)
+MARKS = b".,;:!?"
+_KIND = np.full(256, OTHER, np.uint8)
+_KIND[[*range(0x41, 0x5B), *range(0x61, 0x7B), 0xC3]] = LETTER
+_KIND[list(MARKS)] = MARK
+_KIND[0] = NONE
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[0x41:0x5B] += 32
+
+
+def plain_parts(spelt: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """``(plain, core, core size, tail)`` of chunks given as rows of machine words: which are letters and up to eight marks, their letters
+    in lower case, and the marks as one machine word."""
+    width = LONGEST if len(size) and size.max() > 16 else 16
+    if width > 16:  # the few long ones apart, so that the others need narrow arrays
+        small = size <= 16
+        if small.any():
+            out = (np.zeros(len(size), bool), np.zeros_like(spelt), np.zeros(len(size), np.int64), np.zeros(len(size), np.uint64))
+            for part in (small, ~small):
+                for whole, found in zip(out, plain_parts(spelt[part], size[part]), strict=True):
+                    whole[part] = found
+            return out
+    raw = np.ascontiguousarray(spelt[:, :width // WORD], "<u8").view(np.uint8).reshape(len(size), width)
+    kind, low = _KIND[raw], _LOWER[raw]
+    after = np.zeros(raw.shape, bool)
+    after[:, 1:] = raw[:, :-1] == 0xC3
+    kind[after & (raw >= 0x80) & (raw != 0x97) & (raw != 0xB7)] = LETTER
+    low[after & (raw >= 0x80) & (raw <= 0x9E) & (raw != 0x97)] += 32
+    letters, marks = (kind == LETTER).sum(axis=1), (kind == MARK).sum(axis=1)
+    plain = (letters > 0) & (marks <= WORD) & (letters + marks == size) & (kind[:, 1:] >= kind[:, :-1]).all(axis=1)
+    core = np.zeros_like(spelt)
+    core[:, :width // WORD] = np.where(np.arange(width)[None, :] < letters[:, None], low, 0).astype(np.uint8).view("<u8")
+    wide = np.concatenate([raw, np.zeros((len(size), WORD), np.uint8)], axis=1)
+    tail = np.take_along_axis(wide, np.minimum(letters, width)[:, None] + np.arange(WORD)[None, :], axis=1)
+    return plain, core, letters.astype(np.int64), np.where(plain, np.ascontiguousarray(tail).view("<u8").ravel(), np.uint64(0))
+
+
+class PlainChunks:
+    """What a ``ChunkTable`` learns new chunks with: ids of plain ones are those of their letters, from ``cores``, and of their marks; those of all
+    others, and of marks alone, come from ``others``. Both give all ids end to end and each one's number.
+    """
+
+    def __init__(self, cores: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]], others: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]]) -> None:
+        self.cores, self.others = ChunkTable(cores), others
+        self.marks: dict[int, np.ndarray] = {0: np.zeros(0, np.uint32)}
+
+    def learn_words(self, spelt: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        plain, core, letters, tail = plain_parts(spelt, size)
+        codes = self.cores.known(core[plain], letters[plain])
+        tails, tail_of = np.unique(tail[plain], return_inverse=True)
+        for t in tails.tolist():
+            if t not in self.marks:
+                self.marks[t] = self.others([t.to_bytes(WORD, "little").rstrip(b"\0")])[0].astype(np.uint32)
+        marks = [self.marks[t] for t in tails.tolist()]
+        rest, counts = self.others(listed(spelt[~plain], size[~plain])) if not plain.all() else (np.zeros(0, np.uint32), np.zeros(0, np.int64))
+        # every chunk has two runs of ids, in one array: of its letters and of its marks, or all of its own and none
+        pool = np.concatenate([self.cores.ids[:self.cores.filled], rest, *marks]).astype(np.uint32)
+        marks_size = np.array([len(m) for m in marks], np.int64)
+        marks_first = self.cores.filled + len(rest) + np.cumsum(marks_size) - marks_size
+        first, number = np.zeros((len(size), 2), np.int64), np.zeros((len(size), 2), np.int64)
+        first[plain, 0], number[plain, 0] = self.cores.first[codes], self.cores.number[codes]
+        first[plain, 1], number[plain, 1] = marks_first[tail_of], marks_size[tail_of]
+        first[~plain, 0], number[~plain, 0] = self.cores.filled + np.cumsum(counts) - counts, counts
+        return gather(pool, first.ravel(), number.ravel()), number.sum(axis=1)

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import json
-import re
 import zlib
 from collections.abc import Callable, Iterable, Iterator
 
@@ -15,6 +14,8 @@ from pyspark.sql import functions as F
 
 from corpusloom.session import stage
 
+from .chunks import ChunkTable, PlainChunks, slices
+
 #: Capacities of a sequence: tokens, pieces, attention cost (sum of squared piece lengths).
 TOKENS = 4096
 PIECES = TOKENS  # a document has one token at least, so this one binds only if set lower
@@ -22,6 +23,7 @@ ATTENTION = TOKENS * TOKENS
 #: Weights of the three residuals, each relative to its capacity, in the choice of a bin.
 WEIGHTS = (1.0, 0.05, 0.05)
 END_ID = 1
+#: The table of words is emptied when it holds this many.
 WORDS_KEPT = 600_000
 TEXT_BATCH = 2 << 20
 
@@ -98,17 +100,12 @@ class Merges:
         return flat[shift + np.arange(len(shift))].astype(np.uint32), number
 
 
-#: Words of these letters, with these marks after them, split into letters and marks, and are their own normal form but for case.
-LETTERS, MARKS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131\u0134-\u0148\u014a-\u017e", ".,;:!?"
-LONGEST = 64
-
-
 class WordEncoder:
     """Ids of whole texts from a tokenizer that drops white space and splits at it, each distinct word encoded once.
 
-    A text's ids are those of its blank-separated words in order. Plain words (letters, then perhaps marks) are merged here,
-    many at once; all other words go to the tokenizer itself. The word table is emptied when it holds ``WORDS_KEPT`` words.
-    The literal of a special token is that token, or with ``special_as_text`` spelled out; no such literal may hold a blank.
+    A text's ids are those of its blank-separated words in order, which a ``ChunkTable`` finds on the text's bytes. Of new words the letters of plain ones
+    (letters, then perhaps marks) are merged here, many at once; all others go to the tokenizer itself. The literal of a special token is
+    that token, or with ``special_as_text`` spelled out; no such literal may hold a blank.
     """
 
     def __init__(self, path: str, special_as_text: bool = False) -> None:
@@ -116,82 +113,37 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = special_as_text
-        self.merges = Merges(json.loads(self.tokenizer.to_str())["model"])
-        self.plain = re.compile(f"([{LETTERS}]{{1,{LONGEST // 2}}})([{MARKS}]*)")
-        self._clear()
-
-    def _clear(self) -> None:
-        self.code: dict[str, int] = {"": 0}
-        self.atom: dict[str, int] = {"": 0}
-        self.parts = np.zeros((1, 2), np.int64)  # word -> its two atoms
-        self.flat, self.ends = np.zeros(0, np.uint32), np.zeros(2, np.int64)
-
-    def _add(self, flat: np.ndarray, sizes: np.ndarray, atoms: list[str]) -> None:
-        self.flat = np.concatenate([self.flat, flat])
-        self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(sizes)])
-        self.atom.update(zip(atoms, range(len(self.atom), len(self.atom) + len(atoms)), strict=True))
-
-    def _learn(self, words: list[str]) -> None:
-        pairs = [(m[1].lower(), m[2]) if (m := self.plain.fullmatch(w)) else (w, None) for w in words]
-        cores = list({c for c, tail in pairs if tail is not None} - self.atom.keys())
-        if cores:
-            self._add(*self.merges.encode([c.encode() for c in cores]), cores)
-        # Other words are kept apart from cores by a blank before them.
-        rest = list(({" " + w for w, tail in pairs if tail is None} | {" " + tail for _, tail in pairs if tail}) - self.atom.keys())
-        if rest:
-            encoded = [e.ids for e in self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)]
-            sizes = np.fromiter(map(len, encoded), np.int64, len(encoded))
-            self._add(np.fromiter((i for ids in encoded for i in ids), np.uint32, int(sizes.sum())), sizes, rest)
-        atom = self.atom
-        parts = [(atom[c], atom[" " + tail] if tail else 0) if tail is not None else (atom[" " + c], 0) for c, tail in pairs]
-        self.parts = np.concatenate([self.parts, np.array(parts, np.int64).reshape(-1, 2)])
-        self.code.update(zip(words, range(len(self.code), len(self.code) + len(words)), strict=True))
+        plain = PlainChunks(Merges(json.loads(self.tokenizer.to_str())["model"]).encode, self._others)
+        self.table = ChunkTable(self._others, plain.learn_words, WORDS_KEPT)
+
+    def _others(self, chunks: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        encoded = [e.ids for e in self.tokenizer.encode_batch_fast([c.decode("utf-8", "surrogatepass") for c in chunks], add_special_tokens=False)]
+        sizes = np.fromiter(map(len, encoded), np.int64, len(encoded))
+        return np.fromiter((i for ids in encoded for i in ids), np.uint32, int(sizes.sum())), sizes
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the texts, end to end, and how many each has."""
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        words = [w for own in split for w in own]
-        fresh = set(words).difference(self.code)
-        if fresh:
-            if len(self.code) + len(fresh) > WORDS_KEPT:
-                self._clear()
-                fresh = set(words).difference(self.code)
-            self._learn(list(fresh))
-        codes = np.fromiter(map(self.code.__getitem__, words), np.int64, len(words))
-        sized = np.diff(self.ends)
-        per_word = sized[self.parts].sum(axis=1)[codes]
-        until = np.r_[0, np.cumsum(per_word)]
-        bounds = np.cumsum(np.fromiter(map(len, split), np.int64, len(split)))
-        atoms = self.parts[codes].ravel()
-        sizes = sized[atoms]
-        shift = np.repeat(self.ends[atoms] - (np.cumsum(sizes) - sizes), sizes)
-        return self.flat[shift + np.arange(len(shift))], np.diff(np.r_[0, until[bounds]])
+        parts = [t.encode("utf-8", "surrogatepass") for t in texts]
+        return self.table.encode(np.frombuffer(b"".join(parts), np.uint8), np.cumsum([0, *map(len, parts)]))
 
 
 def _cutter(path: str, tokens: int, end_id: int, special_as_text: bool) -> Callable:
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Pieces of each document, numbered within their task by length."""
         encoder, task, seen = WordEncoder(path, special_as_text), TaskContext.get().partitionId(), {}
+        types = [pa.int32(), pa.int64(), pa.int32(), *[pa.int64()] * 4]
         for batch in batches:
-            rows = []
-            ids_of, texts, at = batch["doc_id"].to_pylist(), batch["text"], 0
-            while at < batch.num_rows:  # some megabytes of text a step
-                some, size = [], 0
-                while at + len(some) < batch.num_rows and (size < TEXT_BATCH or not some):
-                    some.append(texts[at + len(some)].as_py() or "")
-                    size += len(some[-1])
-                flat, counts = encoder.encode(some)
-                for doc_id, end, count in zip(ids_of[at:], np.cumsum(counts).tolist(), counts.tolist(), strict=False):
-                    ids = np.append(flat[end - count:end], np.uint32(end_id)).astype("<u4")
-                    for piece, start in enumerate(range(0, len(ids), tokens)):
-                        part = ids[start:start + tokens]
+            for at, to, data, bounds in slices(batch, size=TEXT_BATCH):
+                flat, counts = encoder.table.encode(data, bounds)
+                ends = np.cumsum(counts)
+                ids, rows = np.insert(flat, ends, np.uint32(end_id)).astype("<u4"), []
+                for doc_id, end, count in zip(batch["doc_id"].slice(at, to - at).to_pylist(), (ends + np.arange(1, len(ends) + 1)).tolist(), (counts + 1).tolist(), strict=True):
+                    for piece, start in enumerate(range(0, count, tokens)):
+                        part = ids[end - count + start:min(end, end - count + start + tokens)]
                         nth = seen.get(len(part), 0)
                         seen[len(part)] = nth + 1
-                        rows.append((task, doc_id, piece, start, len(part), zlib.crc32(part.tobytes()), nth))
-                at += len(some)
-            types = [pa.int32(), pa.int64(), pa.int32(), *[pa.int64()] * 4]
-            columns = list(zip(*rows)) or [[]] * len(types)
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], [f.split()[0] for f in PIECE_SCHEMA.split(", ")])
+                        rows.append((task, doc_id, piece, start, len(part), zlib.crc32(part), nth))
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types, strict=True)], [f.split()[0] for f in PIECE_SCHEMA.split(", ")])
     return cut
 
 
