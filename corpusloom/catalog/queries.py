@@ -22,8 +22,8 @@ from corpusloom.plans import harvest as plans
 from corpusloom.session import configure, new_work_path, spread, stage
 from corpusloom.sinks import corpora, tables
 from corpusloom.sources import corpus, sitemap
-from corpusloom.sources.fetched import fetched_pages, from_pages
-from corpusloom.sources.shred import nodes, shred_pages
+from corpusloom.sources.fetched import FetchStore, from_pages
+from corpusloom.sources.shred import Needs, nodes, shred_pages
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -46,8 +46,8 @@ def scan(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spread(table(spark, sf_dir, name))
 
 
-def crawled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shred_pages(from_pages(scan(spark, sf_dir, "pages")))
+def crawled(spark: SparkSession, sf_dir: str, needs: Needs | None = None) -> DataFrame:
+    return shred_pages(from_pages(scan(spark, sf_dir, "pages")), needs)
 
 
 def fetched(rendered: DataFrame) -> DataFrame:
@@ -55,8 +55,8 @@ def fetched(rendered: DataFrame) -> DataFrame:
                            F.lit(200).alias("status"), "html")
 
 
-def shredded(rendered: DataFrame) -> DataFrame:
-    return shred_pages(fetched(rendered))
+def shredded(rendered: DataFrame, needs: Needs | None = None) -> DataFrame:
+    return shred_pages(fetched(rendered), needs)
 
 
 def product_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -102,12 +102,12 @@ def node_counts(spark, sf_dir):
 
 @query
 def page_titles(spark, sf_dir):
-    return head.with_head(crawled(spark, sf_dir)).select("page_id", "head.title")
+    return head.with_head(crawled(spark, sf_dir, head.TITLE_NEEDS)).select("page_id", "head.title")
 
 
 @query
 def page_h1(spark, sf_dir):
-    return content.with_headings(crawled(spark, sf_dir)).select("page_id", "h1")
+    return content.with_headings(crawled(spark, sf_dir, content.heading_needs())).select("page_id", "h1")
 
 
 @query
@@ -127,7 +127,7 @@ def stripped_body_text(spark, sf_dir):
 @query
 def stripped_content_links(spark, sf_dir):
     """Links left in the content; the crawl has all of its links in navigation."""
-    return content.with_links(crawled(spark, sf_dir)).select("page_id", F.size("links").alias("n_links"))
+    return content.with_links(crawled(spark, sf_dir, content.link_needs())).select("page_id", F.size("links").alias("n_links"))
 
 
 @query
@@ -137,13 +137,13 @@ def text_blocks(spark, sf_dir):
 
 @query
 def page_links(spark, sf_dir):
-    return content.links(crawled(spark, sf_dir), whole_page=True)
+    return content.links(crawled(spark, sf_dir, content.link_needs(whole_page=True)), whole_page=True)
 
 
 @query
 def link_counts_by_host(spark, sf_dir):
     """Links and distinct targets per site; targets are made distinct first, so a large site is no hot task."""
-    found = content.links(crawled(spark, sf_dir), whole_page=True)
+    found = content.links(crawled(spark, sf_dir, content.link_needs(whole_page=True)), whole_page=True)
     per_target = (found.select(F.expr(U.authority("href")).alias("host"), "href")
                   .groupBy("host", "href").agg(F.count(F.lit(1)).alias("n")))
     return per_target.groupBy("host").agg(F.sum("n").alias("n_links"), F.count(F.lit(1)).alias("n_targets"))
@@ -188,7 +188,7 @@ def article_fallback_blocks(spark, sf_dir):
 
 @query
 def head_meta(spark, sf_dir):
-    pages = head.with_head(shredded(render.order_heads(scan(spark, sf_dir, "orders"))))
+    pages = head.with_head(shredded(render.order_heads(scan(spark, sf_dir, "orders")), head.HEAD_NEEDS))
     return pages.select(
         "page_key", "head.title", "head.canonical", "head.meta_description", "head.robots",
         F.col("head.og")["og:title"].alias("og_title"), F.size("head.og").alias("n_og"),
@@ -368,7 +368,8 @@ def frontier_fetches(spark, sf_dir):
     pages = table(spark, sf_dir, "pages")
     frontier = pages.select("url").distinct()
     done = from_pages(pages.where("url LIKE 'https://%'")).drop("page_id")
-    return fetched_pages(done, frontier).select("requested_url", "final_url", "status", F.length("html").alias("n_chars"))
+    store = FetchStore.create(done, new_work_path(spark, "fetched"), buckets=int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return store.pages(frontier).select("requested_url", "final_url", "status", F.length("html").alias("n_chars"))
 
 
 @query

@@ -8,8 +8,9 @@ from corpusloom.functions import dom as D
 from corpusloom.functions.text import let, lit, normalize_heading, rx
 from corpusloom.functions.urls import url_key
 from corpusloom.operators.head import with_base
-from corpusloom.operators.jsonld import flatten_types
+from corpusloom.operators.jsonld import JSONLD_NEEDS, flatten_types
 from corpusloom.rules import DEFAULTS, SECTION_PATTERNS, Rules
+from corpusloom.sources.shred import Needs
 
 def section_rules(spark: SparkSession, patterns=SECTION_PATTERNS) -> DataFrame:
     """The rule set as rows: ``(section_prio, pattern_prio, section, pattern)``."""
@@ -29,6 +30,11 @@ def is_card(rules: Rules = DEFAULTS) -> str:
     return D.any_of(D.tag_in("article"), D.has_class(*rules.card_classes))
 
 
+def page_type_needs(rules: Rules = DEFAULTS) -> Needs:
+    """What the page type is read from: JSON-LD types, paging, cards."""
+    return JSONLD_NEEDS | Needs(tags=frozenset(["a", "article"]), classes=frozenset(["pagination", *rules.card_classes]), attrs=frozenset(["class"]))
+
+
 def page_type_sql(site_origin: str | None = None, rules: Rules = DEFAULTS) -> str:
     site = lit(site_origin) if site_origin else "concat(base.scheme, '://', base.authority)"
     listing = f"{url_key('final_url')} = {url_key(f'concat({site}, {lit(rules.listing_path)})')}"

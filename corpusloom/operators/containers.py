@@ -6,10 +6,18 @@ from pyspark.sql import DataFrame
 
 from corpusloom.functions import dom as D
 from corpusloom.functions.text import let
-from corpusloom.operators.classify import with_page_type
+from corpusloom.operators.classify import page_type_needs, with_page_type
 from corpusloom.operators.head import with_base
 from corpusloom.rules import DEFAULTS, Rules
-from corpusloom.sources.shred import NODE
+from corpusloom.sources.shred import NODE, Needs
+
+def content_needs(rules: Rules = DEFAULTS) -> Needs:
+    """What the content of a page is found by: its type, containers, boilerplate."""
+    return page_type_needs(rules) | Needs(
+        tags=frozenset(["main", "article", "body", *rules.boilerplate_tags]), ids=frozenset(rules.boilerplate_ids),
+        classes=frozenset([rules.theme_content, rules.entry_content, rules.single_post, *rules.boilerplate_classes]),
+        attrs=frozenset(["class", "id", "role"]))
+
 
 def is_boilerplate(rules: Rules = DEFAULTS) -> str:
     return D.any_of(D.tag_in(*rules.boilerplate_tags), D.has_class(*rules.boilerplate_classes),

@@ -8,9 +8,22 @@ from pyspark.sql import functions as F
 from corpusloom.functions import dom as D
 from corpusloom.functions.text import let, lit, non_empty, normalize_ws, strip
 from corpusloom.functions.urls import authority, is_download, make_abs
-from corpusloom.operators.containers import with_content
+from corpusloom.operators.containers import content_needs, with_content
 from corpusloom.operators.head import with_base
 from corpusloom.rules import DEFAULTS, Rules
+from corpusloom.sources.shred import Needs
+
+
+def heading_needs(rules: Rules = DEFAULTS) -> Needs:
+    """What ``with_headings`` reads."""
+    names = frozenset(["h1", "h2", "h3"])
+    return content_needs(rules) | Needs(tags=names, text_in=names)
+
+
+def link_needs(whole_page: bool = False, rules: Rules = DEFAULTS) -> Needs:
+    """What ``links`` reads, of the content or of the whole page."""
+    anchors = Needs(tags=frozenset(["a"]), attrs=frozenset(["href"]), text_in=frozenset(["a"]))
+    return anchors if whole_page else anchors | content_needs(rules)
 
 
 def tables_of(nodes: str) -> str:

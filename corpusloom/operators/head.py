@@ -9,6 +9,12 @@ from corpusloom.functions import variants as V
 from corpusloom.functions.text import first, let, non_empty, normalize_ws, strip
 from corpusloom.functions.urls import make_abs, split_url
 from corpusloom.operators.jsonld import JSONLD, MARKS
+from corpusloom.sources.shred import Needs
+
+
+#: What ``head.title`` reads, and what the whole of ``head`` reads.
+TITLE_NEEDS = Needs(tags=frozenset(["title"]), text_in=frozenset(["title"]))
+HEAD_NEEDS = TITLE_NEEDS | Needs(tags=frozenset(["meta", "link"]), attrs=frozenset(["name", "property", "content", "rel", "href"]))
 
 
 def with_base(pages: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from corpusloom.functions import dom as D
 from corpusloom.functions import variants as V
 from corpusloom.functions.text import let
+from corpusloom.sources.shred import Needs
 
 _SCRIPTS = D.select("dom", "n.tag = 'script' AND " + D.attr_like("type", r"application/ld\+json"))
 # The nodes metadata is read from; everything in the head needs only these.
@@ -15,6 +16,8 @@ MARKS = D.select("dom", D.tag_in("title", "meta", "link"))
 _OBJECTS = f"transform({_SCRIPTS}, n -> {let('v', V.tolerant_json(D.raw_text('n')), V.top_level_objects('v'))})"
 
 JSONLD = f"flatten({_OBJECTS})"
+#: What JSON-LD is read from.
+JSONLD_NEEDS = Needs(scripts=frozenset([r"application/ld\+json"]), attrs=frozenset(["type"]))
 
 
 def with_jsonld(pages: DataFrame) -> DataFrame:

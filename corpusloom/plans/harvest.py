@@ -22,7 +22,7 @@ from corpusloom.sinks.corpora import (
     CORPUS_OF_TYPE, corpus_name, corpus_stats, harvest_errors, line_stats, write_corpora, write_errors)
 from corpusloom.sinks.tables import csv_articles, csv_products, csv_site_pages, write_csv
 from corpusloom.sources.corpus import read_manifest
-from corpusloom.sources.fetched import fetched_pages
+from corpusloom.sources.fetched import FetchStore, fetched_pages
 from corpusloom.sources.sitemap import discover_frontier, require_frontier
 
 
@@ -37,9 +37,9 @@ def harvest(fetched: DataFrame, site_host: str | None = None, site_origin: str |
     return results, records.withColumn("canonical", F.col("document_identifier.canonical"))
 
 
-def harvest_site(sitemaps: DataFrame, fetched: DataFrame, index_url: str, profiles: DataFrame | None = None,
+def harvest_site(sitemaps: DataFrame, fetched: DataFrame | FetchStore, index_url: str, profiles: DataFrame | None = None,
                  rules: Rules = DEFAULTS) -> tuple[DataFrame, DataFrame]:
-    """A whole site from its sitemap index: frontier, its fetch results, records.
+    """A whole site from its sitemap index: frontier, its fetch results, records; from a ``FetchStore`` no page is exchanged.
 
     Fails on an index URL without scheme or host, and when nothing is discovered.
     """
@@ -48,7 +48,8 @@ def harvest_site(sitemaps: DataFrame, fetched: DataFrame, index_url: str, profil
         raise ValueError(f"invalid sitemap index URL: {index_url}")
     is_index = F.col("sitemap_url") == index_url
     frontier = require_frontier(stage(discover_frontier(sitemaps, is_index, parts.netloc), "frontier"))  # read three times
-    return harvest(fetched_pages(fetched, frontier), parts.netloc, f"{parts.scheme}://{parts.netloc}", profiles, rules)
+    pages = fetched.pages(frontier) if isinstance(fetched, FetchStore) else fetched_pages(fetched, frontier)
+    return harvest(pages, parts.netloc, f"{parts.scheme}://{parts.netloc}", profiles, rules)
 
 
 def harvest_summary(results: DataFrame, records: DataFrame, source: str | None = None,

@@ -11,6 +11,7 @@ from __future__ import annotations
 import re
 import sys
 from collections.abc import Iterator
+from dataclasses import dataclass, fields
 from html import unescape
 
 import numpy as np
@@ -74,10 +75,38 @@ _RANK = {"div": 150, "td": 160, "th": 160, "tr": 170, "thead": 180, "tbody": 180
          "table": 190, "head": 200, "body": 200, "html": 220, "#document": 999}
 
 
+# All attributes of a start tag at once, for tags whose attributes nobody reads.
+_ATTRS = re.compile(r"(?:[\s/]*+[^\s/>][^\s/>=]*+(?:\s*+=\s*+(?:\"[^\"]*\"|'[^']*'|[^\s\"'>][^\s>]*+)?+)?+)*+([\s/]*+)")
+
+
+@dataclass(frozen=True)
+class Needs:
+    """What an extractor reads of a page; the parser keeps nothing else.
+
+    Kept are elements of ``tags``, those with one of ``classes`` or ``ids``, and scripts whose type matches ``scripts``, with the
+    attributes ``attrs`` only; readable text within an element of ``text_in``, and the contents of kept scripts. The nodes left are
+    numbered anew, so subtrees are still slices. Needs of several extractors are joined with ``|``.
+    """
+
+    tags: frozenset[str] = frozenset()
+    classes: frozenset[str] = frozenset()
+    ids: frozenset[str] = frozenset()
+    attrs: frozenset[str] = frozenset()
+    text_in: frozenset[str] = frozenset()
+    scripts: frozenset[str] = frozenset()
+
+    def __or__(self, other: Needs) -> Needs:
+        return Needs(*[getattr(self, f.name) | getattr(other, f.name) for f in fields(self)])
+
+
 class _Nodes:
     """Growing columns of the nodes of one batch, and the open elements of one page."""
 
-    def __init__(self) -> None:
+    def __init__(self, needs: Needs | None = None) -> None:
+        self.needs = needs
+        if needs:
+            self.every_attribute = bool(needs.classes or needs.ids)
+            self.script_types = re.compile("|".join(sorted(needs.scripts)), re.I) if needs.scripts else None
         self.offsets = [0]
         self.rows: list[tuple] = []  # parent, level, tag, text, raw
         self.last: list[int] = []
@@ -93,8 +122,13 @@ class _Nodes:
     def _add(self, tag: str, attrs: dict[str, str] | None = None, text: str | None = None, raw: str | None = None) -> int:
         row, opened = len(self.rows), self.open
         pre = row - self.base
-        self.rows.append((opened[-1] if opened else None, len(opened), tag, text, raw))
+        parent = opened[-1] if opened else None
+        if parent is not None and parent < 0:
+            parent = ~parent
+        self.rows.append((parent, len(opened), tag, text, raw))
         self.last.append(pre)
+        if attrs and self.needs:
+            attrs = {k: v for k, v in attrs.items() if k in self.needs.attrs}
         if attrs:
             self.with_attrs.append(row)
             self.n_attrs.append(len(attrs))
@@ -107,9 +141,29 @@ class _Nodes:
                 self.classes.extend(words)
         return pre
 
+    def _wanted(self, tag: str, attrs: dict[str, str] | None) -> bool:
+        needs = self.needs
+        if not needs or tag in needs.tags or tag == "#document":
+            return True
+        if not attrs:
+            return False
+        if tag == "script" and self.script_types and self.script_types.search(attrs.get("type", "")):
+            return True
+        return ("class" in attrs and not needs.classes.isdisjoint(attrs["class"].split())) or attrs.get("id") in needs.ids
+
+    def _reads(self) -> bool:
+        """Whether the text at hand is wanted; of what is raw, the contents of a kept element are."""
+        if not self.needs:
+            return True
+        if self.names[-1] in _RAW_TEXT:
+            return self.open[-1] >= 0
+        return self._is_open(self.needs.text_in)
+
     def _push(self, tag: str, attrs: dict[str, str] | None = None) -> None:
-        pre = self._add(tag, attrs)
-        self.open.append(pre)
+        if self._wanted(tag, attrs):
+            self.open.append(self._add(tag, attrs))
+        else:  # an element not kept stands for the nearest one that is
+            self.open.append(self.open[-1] if self.open[-1] < 0 else ~self.open[-1])
         self.names.append(tag)
         self.count[tag] = self.count.get(tag, 0) + 1
 
@@ -117,7 +171,9 @@ class _Nodes:
         self._flush()
         end = len(self.rows) - self.base - 1
         while len(self.open) > depth:
-            self.last[self.base + self.open.pop()] = end
+            kept = self.open.pop()
+            if kept >= 0:
+                self.last[self.base + kept] = end
             self.count[self.names.pop()] -= 1
 
     def _is_open(self, tags) -> bool:
@@ -130,6 +186,8 @@ class _Nodes:
         if self.buffer:
             text = self.buffer[0] if len(self.buffer) == 1 else "".join(self.buffer)
             self.buffer = []
+            if self.needs and not self._reads():
+                return
             if self._is_open(_RAW_TEXT):
                 self._add("#raw", raw=text)
             else:
@@ -187,7 +245,8 @@ class _Nodes:
             if cut is not None:
                 self._pop_to(cut)
         if closed or tag in _VOID:
-            self._add(tag, attrs)
+            if self._wanted(tag, attrs):
+                self._add(tag, attrs)
         else:
             self._push(tag, attrs)
 
@@ -215,21 +274,25 @@ class _Nodes:
             # what follows the last ">" cannot be markup
             mark = html.find("<", at) if at < last_close else -1
             if mark != at:
-                text = html[at:mark] if mark > 0 else html[at:]
-                self._data(unescape(text) if "&" in text else text)
+                if not self.needs or not self.body or self._reads():
+                    text = html[at:mark] if mark > 0 else html[at:]
+                    self._data(unescape(text) if "&" in text else text)
                 if mark < 0:
                     break
             found = _MARKUP.match(html, mark)
             kind = found.lastgroup if found else None
             if kind == "open":
-                attrs, at, closed = _attributes(html, found.end())
+                tag = found.group("open").lower()
+                if self.needs and not (self.every_attribute or tag in self.needs.tags or tag == "script"):
+                    attrs, at, closed = _no_attributes(html, found.end())
+                else:
+                    attrs, at, closed = _attributes(html, found.end())
                 if at:
-                    tag = found.group("open").lower()
                     self._start(tag, attrs, closed)
                     if tag in _RAW_END and not closed:
                         stop = _RAW_END[tag].search(html, at)
                         body = html[at:stop.start() if stop else end]
-                        if body:
+                        if body and (not self.needs or self._reads()):
                             self.buffer.append(unescape(body) if tag in ("title", "textarea") else body)
                         at = stop.start() if stop else end
                     continue
@@ -298,6 +361,12 @@ def _collapse(text: str) -> str:
     return (" " if text[0].isspace() else "") + words + (" " if text[-1].isspace() else "")
 
 
+def _no_attributes(html: str, at: int) -> tuple[None, int, bool]:
+    """As ``_attributes``, without reading them."""
+    found = _ATTRS.match(html, at)
+    return (None, found.end() + 1, found[1].endswith("/")) if html.startswith(">", found.end()) else (None, 0, False)
+
+
 def _attributes(html: str, at: int) -> tuple[dict[str, str] | None, int, bool]:
     """Attributes of the start tag at ``at``, where the tag ends, and whether it ends in a slash.
 
@@ -320,12 +389,12 @@ def _attributes(html: str, at: int) -> tuple[dict[str, str] | None, int, bool]:
         out.setdefault(name.lower(), value)
 
 
-def _shred(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _shred(batches: Iterator[pa.RecordBatch], needs: Needs | None = None) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         at = batch.schema.get_field_index("html")
         kept = [i for i in range(batch.num_columns) if i != at]
         names = [batch.schema.names[i] for i in kept] + ["dom", "parse_error"]
-        html, nodes, start, chars = batch.column(at), _Nodes(), 0, 0
+        html, nodes, start, chars = batch.column(at), _Nodes(needs), 0, 0
         for row in range(batch.num_rows):
             page = html[row].as_py()
             nodes.page(page)
@@ -334,14 +403,17 @@ def _shred(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if full or row + 1 == batch.num_rows:
                 rows = batch.slice(start, row + 1 - start)
                 yield pa.RecordBatch.from_arrays([rows.column(i) for i in kept] + list(nodes.columns()), names)
-                nodes, start, chars = _Nodes(), row + 1, 0
+                nodes, start, chars = _Nodes(needs), row + 1, 0
+
 
+def shred_pages(pages: DataFrame, needs: Needs | None = None) -> DataFrame:
+    """``(…, html)`` to ``(…, dom, parse_error)``; all other columns pass through.
 
-def shred_pages(pages: DataFrame) -> DataFrame:
-    """``(…, html)`` to ``(…, dom, parse_error)``; all other columns pass through."""
+    With ``needs`` only the nodes that some extractors read are kept; others must not be run on the result.
+    """
     schema = T.StructType([f for f in pages.schema.fields if f.name != "html"]
                           + [T.StructField("dom", DOM), T.StructField("parse_error", T.StringType())])
-    return pages.mapInArrow(_shred, schema)
+    return pages.mapInArrow(lambda batches: _shred(batches, needs), schema)
 
 
 def nodes(shredded: DataFrame, key: str = "page_id") -> DataFrame:

@@ -18,7 +18,7 @@ from corpusloom.operators.records import build_records, duplicate_docs, ok_recor
 from corpusloom.plans import harvest as plans
 from corpusloom.sinks import corpora, tables
 from corpusloom.sources.corpus import previous_signature, read_corpus, read_manifest
-from corpusloom.sources.fetched import from_pages, read_fetched
+from corpusloom.sources.fetched import FetchStore, from_pages, read_fetched
 from corpusloom.sources.shred import shred_pages
 from corpusloom.sources.sitemap import discover_frontier, require_frontier, sitemap_locs
 from corpusloom.streaming.ingest import fetched_stream, harvest_stream
@@ -266,7 +266,7 @@ def test_sitemaps(spark):
         require_frontier(discover_frontier(df, is_index, "other.example"))
 
 
-def test_harvest_site(spark):
+def test_harvest_site(spark, tmp_path):
     index = "https://s.example/index.xml"
     maps = spark.createDataFrame([
         (index, 200, "<sitemapindex><sitemap><loc>https://s.example/m.xml</loc></sitemap></sitemapindex>"),
@@ -276,6 +276,9 @@ def test_harvest_site(spark):
     assert {r.url[18:]: (r.ok, r.status, r.error) for r in results.collect()} == {
         "art1": (True, 200, None), "page": (True, 200, None), "never": (False, 0, "HTTP 0")}
     assert records.count() == 2
+    store = FetchStore.create(site(spark), str(tmp_path / "store"), buckets=3)
+    stored = plans.harvest_site(maps, store, index)[0]
+    assert sorted(r.record_hash or "" for r in stored.collect()) == sorted(r.record_hash or "" for r in results.collect())
     with pytest.raises(ValueError):
         plans.harvest_site(maps, site(spark), "index.xml")
 

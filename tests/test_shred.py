@@ -5,7 +5,7 @@ from html.parser import HTMLParser
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from corpusloom.sources.shred import _Nodes
+from corpusloom.sources.shred import Needs, _Nodes
 
 TAGS = ["p", "b", "div", "li", "ul", "table", "tr", "td", "h1", "a", "br", "script", "title", "main", "body", "html", "head", "x-y"]
 PIECES = st.one_of(
@@ -14,8 +14,8 @@ PIECES = st.one_of(
     st.text(max_size=6))
 
 
-def dom_of(html):
-    nodes = _Nodes()
+def dom_of(html, needs=None):
+    nodes = _Nodes(needs)
     nodes.page(html)
     dom, errors = nodes.columns()
     assert errors.to_pylist() == [None]
@@ -87,7 +87,7 @@ def test_hostile_input_is_linear():
 def test_time_grows_with_the_page_not_with_its_square():
     import time
 
-    from corpusloom.sources.shred import _Nodes
+    from corpusloom.sources.shred import Needs, _Nodes
 
     def seconds(html):
         start = time.process_time()
@@ -97,3 +97,44 @@ def test_time_grows_with_the_page_not_with_its_square():
     for part in ("<div><p>", "<li><span>", "<td><i>x", "<p><b>x</p>"):
         seconds(part * 500)
         assert seconds(part * 16_000) < 10 * max(0.02, seconds(part * 4_000)), part
+
+
+NAMES = st.frozensets(st.sampled_from(["p", "b", "div", "li", "td", "h1", "a", "title", "main", "body", "template"]), max_size=4)
+NEEDS = st.builds(Needs, tags=NAMES, text_in=NAMES, classes=st.sampled_from([frozenset(), frozenset("b")]), ids=st.sampled_from([frozenset(), frozenset("i")]),
+                  attrs=st.sampled_from([frozenset(), frozenset(["href", "class"])]), scripts=st.sampled_from([frozenset(), frozenset(["JSON"])]))
+MORE = st.one_of(PIECES, st.sampled_from(['<div class="a b">', "<p id=i>", "<a href='x>y'>", "<a b=c/>", "<p a='>", "<br class=b>", "<template><p>x</p></template>",
+                                          "<script type=text/json>{1}</script>", "<script type='x'>no</script>", "<title>t &amp; u</title>"]))
+
+
+@settings(max_examples=500, deadline=None)
+@given(st.lists(MORE, max_size=40).map("".join), NEEDS)
+def test_pruned_nodes_are_the_wanted_ones_of_the_whole(html, needs):
+    """The parser told what is needed keeps exactly those nodes, numbered anew."""
+    whole = dom_of(html)
+
+    def ancestors(n):
+        while n["parent"] is not None:
+            n = whole[n["parent"]]
+            yield n
+
+    def kept(n):
+        attrs, tag = dict(n["attrs"] or []), n["tag"]
+        if tag == "#document":
+            return True
+        if tag == "#raw" and whole[n["parent"]]["tag"] in ("script", "style", "template", "rt", "rp"):
+            return kept(whole[n["parent"]])
+        if tag.startswith("#"):
+            return any(a["tag"] in needs.text_in for a in ancestors(n))
+        return (tag in needs.tags or (tag == "script" and bool(needs.scripts) and "json" in attrs.get("type", "").lower())
+                or bool(needs.classes & set(n["classes"] or [])) or attrs.get("id") in needs.ids)
+
+    left = [n for n in whole if kept(n)]
+    number = {n["pre"]: i for i, n in enumerate(left)}
+    want = []
+    for i, n in enumerate(left):
+        attrs = [(k, v) for k, v in n["attrs"] or [] if k in needs.attrs]
+        up = next((number[a["pre"]] for a in ancestors(n) if a["pre"] in number), None)
+        inside = [number[m["pre"]] for m in left if n["pre"] <= m["pre"] <= n["last"]]
+        want.append({**n, "pre": i, "last": max(inside), "parent": up, "attrs": attrs or [], "classes": (n["classes"] or []) if "class" in needs.attrs else []})
+    got = [{**n, "attrs": n["attrs"] or [], "classes": n["classes"] or []} for n in dom_of(html, needs)]
+    assert got == want
