@@ -304,49 +304,61 @@ class Encoder:
         return gather(flat, firsts[codes], sizes[codes]), np.diff(until[np.r_[0, np.cumsum(per_chunk)]])
 
 
-def _encoder(path: str, vocabulary: Vocabulary, keep: list[str]) -> Callable:
+class Spellings:
+    """Texts of ids: the tokens' spellings joined by blanks, which is what a vocabulary without a decoder of its own gives."""
+
+    def __init__(self, names: list[str]) -> None:
+        spelt = [f"{n} ".encode() for n in names]
+        self.data, self.sizes = np.frombuffer(b"".join(spelt), np.uint8), np.fromiter(map(len, spelt), np.int64, len(spelt))
+        self.firsts = np.cumsum(self.sizes) - self.sizes
+
+    def decode(self, flat: np.ndarray, counts: np.ndarray) -> pa.Array:
+        """Texts of runs of ids."""
+        ends, out = np.cumsum(counts), []
+        for end, n in zip(ends.tolist(), counts.tolist(), strict=True):
+            ids = flat[end - n:end]
+            out.append(gather(self.data, self.firsts[ids], self.sizes[ids])[:-1].tobytes())
+        return pa.array(out, pa.binary()).cast(pa.string())
+
+
+def _encoder(path: str, vocabulary: Vocabulary, keep: list[str], decoded: bool) -> Callable:
     def encode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(path, vocabulary)
+        encoder, spellings = Encoder(path, vocabulary), Spellings(vocabulary.names)
         for batch in batches:
             for at, to, data, bounds in slices(batch):
                 flat, counts = encoder.encode(data, bounds)
                 ids = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(counts)].astype(np.int32)), pa.array(flat.view(np.int32)))
-                yield pa.RecordBatch.from_arrays([*(batch[c].slice(at, to - at) for c in keep), ids], [*keep, "ids"])
+                texts = {"decoded": spellings.decode(flat, counts)} if decoded else {}
+                yield pa.RecordBatch.from_arrays([*(batch[c].slice(at, to - at) for c in keep), ids, *texts.values()], [*keep, "ids", *texts])
     return encode
 
 
-def encode_documents(docs: DataFrame, path: str, keep: tuple[str, ...] = ("doc_id",), text: str = "text") -> DataFrame:
-    """``(*keep, ids)``: the tokenizer's ids of every whole text, special literals read as their tokens, none added.
+def encode_documents(docs: DataFrame, path: str, keep: tuple[str, ...] = ("doc_id",), text: str = "text", decoded: bool = False) -> DataFrame:
+    """``(*keep, ids)``: the tokenizer's ids of every whole text, special literals read as their tokens, none added; and with
+    ``decoded`` what these ids decode to.
 
-    A null or empty text has no ids; repeated rows are encoded each; other columns are not read; an empty table gives no rows. The tokenizer file
-    has to lie at the same path on every executor.
+    A null or empty text has no ids; repeated rows are encoded each; other columns are not read; an empty table gives no rows. A task holds
+    about a megabyte of text (one text at least) and its table of chunks. The tokenizer file has to lie at the same path on every executor.
     """
     rows = docs.select(F.struct(*keep).alias("row"), F.col(text).cast("string").alias("text"))
-    found = rows.mapInArrow(_encoder(path, Vocabulary(path), ["row"]), f"row {rows.schema['row'].dataType.simpleString()}, ids array<int>")
-    return found.select(*[F.col("row")[c].alias(c) for c in keep], "ids")
+    schema = f"row {rows.schema['row'].dataType.simpleString()}, ids array<int>" + ", decoded string" * decoded
+    found = rows.mapInArrow(_encoder(path, Vocabulary(path), ["row"], decoded), schema)
+    return found.select(*[F.col("row")[c].alias(c) for c in keep], *found.columns[1:])
 
 
 def _decoder(names: list[str]) -> Callable:
     def decode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        spelt = [f"{n} ".encode() for n in names]
-        data, sizes = np.frombuffer(b"".join(spelt), np.uint8), np.fromiter(map(len, spelt), np.int64, len(spelt))
-        firsts = np.cumsum(sizes) - sizes
+        spellings = Spellings(names)
         for batch in batches:
-            lists, out = batch["ids"], []
-            for row in range(batch.num_rows):
-                ids = lists[row].values
-                ids = ids.to_numpy() if ids is not None else np.zeros(0, np.int32)
-                out.append(gather(data, firsts[ids], sizes[ids])[:-1].tobytes() if len(ids) else b"")
-            decoded = pa.array(out, pa.large_binary()).cast(pa.large_string()).cast(pa.string())
-            yield pa.RecordBatch.from_arrays([*(batch[c] for c in batch.schema.names), decoded], [*batch.schema.names, "decoded"])
+            ids = batch["ids"]
+            counts = ids.value_lengths().fill_null(0).to_numpy()
+            flat = ids.flatten().to_numpy()
+            yield pa.RecordBatch.from_arrays([*batch.columns, spellings.decode(flat, counts)], [*batch.schema.names, "decoded"])
     return decode
 
 
 def decode_documents(encoded: DataFrame, path: str) -> DataFrame:
-    """Add ``decoded``: the tokens' spellings joined by blanks, which is what a vocabulary without a decoder of its own gives.
-
-    Ids outside the vocabulary fail the job; null or empty ids give an empty text.
-    """
+    """Add ``decoded`` to rows with ``ids``. Ids outside the vocabulary fail the job; null or empty ids give an empty text."""
     rows = encoded.select(F.struct(*[c for c in encoded.columns if c != "ids"]).alias("row"), "ids")
     schema = f"row {rows.schema['row'].dataType.simpleString()}, ids array<int>, decoded string"
     found = rows.mapInArrow(_decoder(Vocabulary(path).names), schema)

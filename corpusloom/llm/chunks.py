@@ -11,7 +11,7 @@ SLICE_BYTES = 1 << 20
 #: The table is emptied before a slice once it holds this many chunks or this many of their bytes.
 KEPT, KEPT_BYTES = 600_000, 64 << 20
 #: Chunks of more bytes than this are looked up one by one.
-LONGEST = 64
+LONGEST = 32
 WORD = 8  # bytes compared at once
 
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
@@ -237,14 +237,13 @@ def plain_parts(spelt: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.nda
     """``(plain, core, core size, tail)`` of chunks given as rows of machine words: which are letters and up to eight marks, their letters
     in lower case, and the marks as one machine word."""
     width = LONGEST if len(size) and size.max() > 16 else 16
-    if width > 16:  # the few long ones apart, so that the others need narrow arrays
+    if width > 16 and size.min() <= 16:  # the few long ones apart, so that the others need narrow arrays
         small = size <= 16
-        if small.any():
-            out = (np.zeros(len(size), bool), np.zeros_like(spelt), np.zeros(len(size), np.int64), np.zeros(len(size), np.uint64))
-            for part in (small, ~small):
-                for whole, found in zip(out, plain_parts(spelt[part], size[part]), strict=True):
-                    whole[part] = found
-            return out
+        out = (np.zeros(len(size), bool), np.zeros_like(spelt), np.zeros(len(size), np.int64), np.zeros(len(size), np.uint64))
+        for part in (small, ~small):
+            for whole, found in zip(out, plain_parts(spelt[part], size[part]), strict=True):
+                whole[part] = found
+        return out
     raw = np.ascontiguousarray(spelt[:, :width // WORD], "<u8").view(np.uint8).reshape(len(size), width)
     kind, low = _KIND[raw], _LOWER[raw]
     after = np.zeros(raw.shape, bool)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from . import oracles
 from .archives import page_archive
-from .bpe import decode_documents, encode_documents
+from .bpe import encode_documents
 from .chat import format_chats, masked_text, parse
 from .common import ORACLES, QUERIES, query, table  # noqa: F401  the registries are read from here
 from .decontaminate import find_contamination, hit_words
@@ -118,6 +118,6 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def op13_speculative_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = decode_documents(encode_documents(table(spark, sf_dir, "documents"), tokenizer_file()), tokenizer_file())
+    rows = encode_documents(table(spark, sf_dir, "documents"), tokenizer_file(), decoded=True)
     return rows.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
                        F.sha2("decoded", 256).alias("decoded_sha256"))

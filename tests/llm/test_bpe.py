@@ -93,6 +93,8 @@ def test_awkward_rows(spark, tokenizer):
     assert sorted(((r.doc_id, r.ids) for r in got), key=repr) == sorted(want, key=repr)
     assert all(r.decoded == tokenizer.decode(r.ids, skip_special_tokens=False) for r in got)
     assert {(r.node, r.key) for r in got} == {("x", 2)}
+    both = B.encode_documents(documents(spark), tokenizer_file(), decoded=True).collect()
+    assert sorted(((r.doc_id, r.ids, r.decoded) for r in both), key=repr) == sorted(((r.doc_id, r.ids, r.decoded) for r in got), key=repr)
     empty = B.decode_documents(B.encode_documents(documents(spark, []), tokenizer_file()), tokenizer_file())
     assert empty.count() == 0
     nothing = spark.createDataFrame([(1, None), (2, [])], "doc_id bigint, ids array<int>")
