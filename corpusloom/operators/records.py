@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corpusloom.functions import dom as D
+from corpusloom.functions.canonical import canonical_json
 from corpusloom.functions.text import sha256_hex
 from corpusloom.operators.classify import page_type_sql
 from corpusloom.operators.containers import with_content
@@ -85,7 +87,7 @@ def harvest_results(fetched: DataFrame, site_host: str | None = None, site_origi
         .otherwise(F.col("parse_error")).alias("error"),
         F.when(ok, F.col("page_type")).alias("page_type"),
         F.when(ok, F.struct(*RECORD)).alias("record"))
-    return results.withColumn("record_hash", _content_hash(F.col("record")))
+    return results.withColumn("record_hash", _content_hash(F.col("record"), results.schema["record"].dataType))
 
 
 def harvest_records(fetched: DataFrame, site_host: str | None = None, site_origin: str | None = None,
@@ -112,11 +114,12 @@ def duplicate_docs(records: DataFrame) -> DataFrame:
     return records.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_records")).where("n_records > 1")
 
 
-def _content_hash(record: Column) -> Column:
-    """Hash of the canonical JSON: fixed field order, sorted maps and objects, nulls kept."""
-    return F.sha2(F.to_json(record, {"ignoreNullFields": "false"}), 256)
+def _content_hash(record: Column, kind: T.DataType) -> Column:
+    """Hash of the line that the record is exported as."""
+    return F.sha2(canonical_json(record, kind), 256)
 
 
 def with_record_hash(records: DataFrame) -> DataFrame:
     """Add ``record_hash`` over the canonical JSON of the whole record."""
-    return records.withColumn("record_hash", _content_hash(F.struct(*RECORD)))
+    kind = T.StructType([records.schema[name] for name in RECORD])
+    return records.withColumn("record_hash", _content_hash(F.struct(*RECORD), kind))

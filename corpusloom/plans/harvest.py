@@ -2,22 +2,24 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 from dataclasses import dataclass
 from datetime import datetime, timezone
 from functools import reduce
 from urllib.parse import urlsplit
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.operators.changes import corpus_signature, latest_version, snapshot_diff
+from corpusloom.operators.hashtree import TREE_DDL, keys_of, tree_of
 from corpusloom.operators.profiles import with_profile
 from corpusloom.operators.quality import quality_columns, quality_struct
 from corpusloom.operators.records import RECORD, harvest_results, ok_records
 from corpusloom.rules import DEFAULTS, Rules
-from corpusloom.schema import MANIFEST_DDL
 from corpusloom.session import configure, stage
+from corpusloom.sinks.commits import create_once
 from corpusloom.sinks.corpora import (
     CORPUS_OF_TYPE, corpus_name, corpus_stats, harvest_errors, line_stats, write_corpora, write_errors)
 from corpusloom.sinks.tables import csv_articles, csv_products, csv_site_pages, write_csv
@@ -56,15 +58,21 @@ def harvest_summary(results: DataFrame, records: DataFrame, source: str | None =
                     sitemap_index: str | None = None, generated_at: datetime | None = None,
                     previous_version: str | None = None, previous_signature: str | None = None,
                     output_root: str | None = None, changed: tuple[str, ...] = (),
-                    unchanged: tuple[str, ...] = ()) -> DataFrame:
-    """One row: counts, content hashes, quality and change detection of a run."""
+                    unchanged: tuple[str, ...] = (), signature: str | None = None, hashes: dict[str, str] | None = None) -> DataFrame:
+    """One row: counts, content hashes, quality and change detection of a run.
+
+    ``signature`` and ``hashes`` (by corpus) are computed if not given.
+    """
     stamp = F.lit(generated_at) if generated_at else F.current_timestamp()
     errors = results.where(~F.col("ok")).agg(F.count(F.lit(1)))
     kind = F.col("document_identifier.page_type")
     totals = records.agg(*quality_columns(), F.count_if(kind == "WebPage").alias("pages_total"))
-    per_corpus = corpus_stats(records.withColumn("corpus", corpus_name()), "corpus")
-    hashes = per_corpus.agg(F.map_from_entries(F.array_sort(F.collect_list(
-        F.struct("corpus", "corpus_signature")))))
+    if hashes is None:
+        per_corpus = corpus_stats(records.withColumn("corpus", corpus_name()), "corpus")
+        by_corpus = per_corpus.agg(F.map_from_entries(F.array_sort(F.collect_list(
+            F.struct("corpus", "corpus_signature"))))).scalar()
+    else:
+        by_corpus = F.create_map(*[F.lit(v) for pair in sorted(hashes.items()) for v in pair]).cast("map<string,string>")
     none = F.lit(None).cast("string")
     return totals.select(
         F.date_format(stamp, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("generated_at"),
@@ -76,12 +84,12 @@ def harvest_summary(results: DataFrame, records: DataFrame, source: str | None =
             F.struct(F.col("site_total_records").alias("site_pages.csv"),
                      F.col("products_total").alias("products.csv"),
                      F.col("articles_total").alias("articles.csv")).alias("csv")).alias("counts"),
-        hashes.scalar().alias("content_hashes"),
+        by_corpus.alias("content_hashes"),
         quality_struct().alias("quality"),
         F.struct(
             (F.lit(previous_version) if previous_version else none).alias("previous_version"),
             (F.lit(previous_signature) if previous_signature else none).alias("previous_corpus_signature"),
-            corpus_signature(records).scalar().alias("corpus_signature"),
+            (F.lit(signature) if signature else corpus_signature(records).scalar()).alias("corpus_signature"),
             _strings(changed).alias("changed_files"), _strings(unchanged).alias("unchanged_files"),
         ).alias("change_detection"),
         F.lit(output_root).cast("string").alias("output_root"))
@@ -104,51 +112,121 @@ class Published:
 def publish_version(results: DataFrame, records: DataFrame, root: str, **summary: str) -> Published:
     """Write a new version below ``root`` if the corpus signature differs from the last one.
 
-    Each attempt has a folder of its own, and the manifest rows that name it are appended last: a run that dies half way
-    leaves no version behind, and the next one is not in its way. Only corpora and flat files whose content changed are
-    written; for the others the manifest points at the version that wrote them. A harvest without records is a
-    version as well.
+    Each attempt has a folder of its own. A version exists from the moment its manifest file, named by the version's number, is put in place, which
+    succeeds for one writer only: one that comes second takes the next number, or none if the first has published the same records. A run
+    that dies before leaves no version behind. Only corpora, flat files and keys whose content changed are written; for the others the
+    manifest points at the folder that holds them. A harvest without records is a version as well.
     """
     spark = records.sparkSession
-    manifest_path = f"{root}/manifest"
-    manifest = read_manifest(spark, manifest_path)
-    whole = manifest.where(F.col("rel_path") == "records")
-    last = latest_version(whole.select(F.concat(F.lit("corpus_ver"), F.col("version").cast("string")).alias("name")))
-    number = last.first()["version"]
-    # one row per corpus and per flat file of one version, so this is a handful of rows
-    before = {r["rel_path"]: r for r in manifest.where(F.col("version") == (number or 0)).collect()}
     signature = corpus_signature(records).first()["corpus_signature"]
-    previous = before.get("records")
-    if previous is not None and previous["corpus_signature"] == signature:
-        return Published(number, False, signature, f"{root}/{previous['path']}")
-    version, folder = (number or 0) + 1, f"corpus_ver{(number or 0) + 1}-{uuid.uuid4().hex[:12]}"
-    path = f"{root}/{folder}"
-    flat = {f"csv/{name}": of(records) for name, of in (("site_pages", csv_site_pages), ("products", csv_products), ("articles", csv_articles))}
-    found = corpus_stats(records.withColumn("rel_path", F.concat(F.lit("corpora/corpus="), corpus_name())), "rel_path")
-    for name, lines in (flat | {"errors": harvest_errors(results)}).items():
-        found = found.unionByName(line_stats(lines).withColumn("rel_path", F.lit(name)))
-    stats = {r["rel_path"]: (r["corpus_signature"], r["n_records"]) for r in found.collect()}
-    changed = {name for name, (content, _) in stats.items() if name not in before or before[name]["content_hash"] != content}
-    kinds = [kind for kind, name in CORPUS_OF_TYPE.items() if f"corpora/corpus={name}" in changed]
-    kind = F.col("document_identifier.page_type")
-    new = records.where(kind.isin(kinds))
-    new.select(*RECORD, "record_hash", "canonical", kind.alias("page_type")).write.partitionBy("page_type").parquet(f"{path}/records")
-    write_corpora(new, f"{path}/corpora")
-    for name in sorted(changed & flat.keys()):
-        write_csv(flat[name], f"{path}/{name}")
-    if "errors" in changed:
-        write_errors(results, f"{path}/errors")
-    stamp = datetime.now(timezone.utc).replace(tzinfo=None)
-    stats["records"] = (signature, sum(n for name, (_, n) in stats.items() if name.startswith("corpora/")))
-    rows = [(version, name, content, n, signature, before[name]["path"] if name in before and name not in changed | {"records"} else folder, stamp)
-            for name, (content, n) in sorted(stats.items())]
-    same = tuple(sorted(stats.keys() - changed - {"records"}))
-    (harvest_summary(results, records, previous_version=f"v{number}" if number else None,
-                     previous_signature=previous["corpus_signature"] if previous else None, output_root=root,
-                     changed=tuple(sorted(changed | {"records"})), unchanged=same, **summary)
-     .write.option("ignoreNullFields", "false").json(f"{path}/summary"))
-    spark.createDataFrame(rows, MANIFEST_DDL).coalesce(1).write.mode("append").parquet(manifest_path)
-    return Published(version, True, signature, path)
+    latest = _latest(spark, root)
+    if latest and latest["records"]["corpus_signature"] == signature:
+        return _published(root, latest, False)
+    attempt = _Attempt(results, records, root, signature, latest or {})
+    while True:
+        attempt.write_summary(latest or {}, **summary)
+        made = attempt.manifest(latest or {})
+        if create_once(spark, f"{root}/manifest/{made['records']['version']:020d}.json", "\n".join(map(json.dumps, made.values())) + "\n"):
+            return _published(root, made, True)
+        latest = _latest(spark, root)
+        if latest["records"]["corpus_signature"] == signature:
+            return _published(root, latest, False)
+
+
+def _published(root: str, manifest: dict[str, dict], created: bool) -> Published:
+    whole = manifest["records"]
+    return Published(whole["version"], created, whole["corpus_signature"], f"{root}/{whole['path']}")
+
+
+def _latest(spark: SparkSession, root: str) -> dict[str, dict] | None:
+    """Manifest rows of the last version by name: one per corpus, flat file and log."""
+    manifest = read_manifest(spark, f"{root}/manifest")
+    names = manifest.where(F.col("rel_path") == "records").select(F.concat(F.lit("corpus_ver"), F.col("version").cast("string")).alias("name"))
+    number = latest_version(names).first()["version"]
+    return {r["rel_path"]: r.asDict() for r in manifest.where(F.col("version") == number).collect()} if number else None
+
+
+class _Attempt:
+    """What one run writes; all of it lies in a folder of its own and can be named by any version number."""
+
+    def __init__(self, results: DataFrame, records: DataFrame, root: str, signature: str, before: dict[str, dict]) -> None:
+        self.results, self.records, self.root, self.signature, self.before = results, records, root, signature, before
+        self.folder = f"run-{uuid.uuid4().hex[:16]}"
+        path, spark = f"{root}/{self.folder}", records.sparkSession
+        flat = {f"csv/{name}": of(records) for name, of in (("site_pages", csv_site_pages), ("products", csv_products), ("articles", csv_articles))}
+        found = corpus_stats(records.withColumn("rel_path", F.concat(F.lit("corpora/corpus="), corpus_name())), "rel_path")
+        for name, lines in (flat | {"errors": harvest_errors(results)}).items():
+            found = found.unionByName(line_stats(lines).withColumn("rel_path", F.lit(name)))
+        self.stats = {r["rel_path"]: (r["corpus_signature"], r["n_records"]) for r in found.collect()}
+        self.changed = {name for name, (content, _) in self.stats.items() if name not in before or before[name]["content_hash"] != content}
+        kinds = [kind for kind, name in CORPUS_OF_TYPE.items() if f"corpora/corpus={name}" in self.changed]
+        kind = F.col("document_identifier.page_type")
+        new = records.where(kind.isin(kinds))
+        new.select(*RECORD, "record_hash", "canonical", kind.alias("page_type")).write.partitionBy("page_type").parquet(f"{path}/records")
+        write_corpora(new, f"{path}/corpora")
+        for name in sorted(self.changed & flat.keys()):
+            write_csv(flat[name], f"{path}/{name}")
+        if "errors" in self.changed:
+            write_errors(results, f"{path}/errors")
+        self._write_tree(spark, path)
+        self.stats["records"] = (signature, sum(n for name, (_, n) in self.stats.items() if name.startswith("corpora/")))
+
+    def _write_tree(self, spark: SparkSession, path: str) -> None:
+        """Keys below the prefixes that changed, and the tree that names the folder of every prefix."""
+        keys = keys_of(self.records)
+        known = {r["prefix"]: r for r in _tree(spark, self.root, self.before)}
+        rows = []
+        for r in tree_of(keys).collect():  # one row per prefix
+            old = known.get(r["prefix"])
+            rows.append((r["prefix"], r["digest"], r["n_keys"], old["path"] if old and old["digest"] == r["digest"] else self.folder))
+        mine = [prefix for prefix, _, _, where in rows if where == self.folder]
+        (keys.where(F.col("prefix").isin(mine)).repartitionByRange("prefix", "canonical", "record_hash").sortWithinPartitions("prefix", "canonical")
+         .write.partitionBy("prefix").parquet(f"{path}/keys"))
+        spark.createDataFrame(rows, TREE_DDL).coalesce(1).write.json(f"{path}/tree")
+
+    def manifest(self, before: dict[str, dict]) -> dict[str, dict]:
+        """Rows of the version after ``before``."""
+        version = before["records"]["version"] + 1 if before else 1
+        stamp = datetime.now(timezone.utc).replace(tzinfo=None).isoformat()
+        old = {name: self.before[name]["path"] for name in self.before.keys() - self.changed - {"records"}}
+        return {name: {"version": version, "rel_path": name, "content_hash": content, "n_records": n, "corpus_signature": self.signature,
+                       "path": old.get(name, self.folder), "written_at": stamp} for name, (content, n) in sorted(self.stats.items())}
+
+    def write_summary(self, before: dict[str, dict], **summary: str) -> None:
+        changed = {name for name, (content, _) in self.stats.items() if name not in before or before[name]["content_hash"] != content}
+        whole = before.get("records")
+        (harvest_summary(self.results, self.records, previous_version=f"v{whole['version']}" if whole else None,
+                         previous_signature=whole["corpus_signature"] if whole else None, output_root=self.root, signature=self.signature,
+                         hashes={name.removeprefix("corpora/corpus="): content for name, (content, _) in self.stats.items() if name.startswith("corpora/")},
+                         changed=tuple(sorted(changed | {"records"})), unchanged=tuple(sorted(self.stats.keys() - changed - {"records"})), **summary)
+         .write.mode("overwrite").option("ignoreNullFields", "false").json(f"{self.root}/{self.folder}/summary"))
+
+
+def _tree(spark: SparkSession, root: str, manifest: dict[str, dict]) -> list[Row]:
+    """Rows of a version's tree, at most one per prefix."""
+    return spark.read.schema(TREE_DDL).json(f"{root}/{manifest['records']['path']}/tree").collect() if manifest else []
+
+
+def _version(spark: SparkSession, root: str, version: int) -> dict[str, dict]:
+    rows = read_manifest(spark, f"{root}/manifest").where(F.col("version") == version).collect()
+    if not rows:
+        raise ValueError(f"no version {version} below {root}")
+    return {r["rel_path"]: r.asDict() for r in rows}
+
+
+def _keys(spark: SparkSession, root: str, tree: list[Row]) -> DataFrame:
+    """``(canonical, record_hash)`` below the given prefixes, from the folders that hold them."""
+    paths = [f"{root}/{r['path']}/keys/prefix={r['prefix']}" for r in tree]
+    schema = "canonical STRING, record_hash STRING"
+    return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
+
+
+def version_delta(spark: SparkSession, root: str, current: int, previous: int) -> DataFrame:
+    """``(canonical, status)`` of the records added, removed or changed; prefixes with equal digests are not read."""
+    now, before = (_tree(spark, root, _version(spark, root, n)) for n in (current, previous))
+    same = {(r["prefix"], r["digest"]) for r in now} & {(r["prefix"], r["digest"]) for r in before}
+    sides = [_keys(spark, root, [r for r in tree if (r["prefix"], r["digest"]) not in same]) for tree in (now, before)]
+    return snapshot_diff(*sides).where("status <> 'same'")
 
 
 def version_changes(manifest: DataFrame, version: int) -> DataFrame:

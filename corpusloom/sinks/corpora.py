@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from corpusloom.functions.canonical import sorted_fields
 from corpusloom.operators.changes import corpus_signature
 from corpusloom.operators.records import RECORD, sort_key, with_record_hash
 from corpusloom.session import stage
@@ -14,23 +14,6 @@ from corpusloom.session import stage
 CORPUS_OF_TYPE = {"Product": "products", "Article": "articles", "WebPage": "pages", "CollectionPage": "collections"}
 
 
-def _has_struct(kind: T.DataType) -> bool:
-    if isinstance(kind, T.ArrayType):
-        return _has_struct(kind.elementType)
-    return isinstance(kind, T.StructType)
-
-
-def sorted_fields(value: Column, kind: T.DataType) -> Column:
-    """The same value with struct fields in alphabetical order at every level."""
-    if isinstance(kind, T.StructType):
-        rebuilt = F.struct(*[sorted_fields(value[f.name], f.dataType).alias(f.name)
-                             for f in sorted(kind.fields, key=lambda f: f.name)])
-        return F.when(value.isNotNull(), rebuilt)
-    if isinstance(kind, T.ArrayType) and _has_struct(kind):
-        return F.transform(value, lambda v: sorted_fields(v, kind.elementType))
-    return value
-
-
 def json_lines(records: DataFrame) -> DataFrame:
     """Records with keys sorted, as they are written."""
     fields = sorted(records.schema.fields, key=lambda f: f.name)

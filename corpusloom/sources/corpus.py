@@ -32,4 +32,5 @@ def previous_signature(spark: SparkSession, summary_path: str) -> DataFrame:
 
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
-    return _or_empty(spark, MANIFEST_DDL, lambda: spark.read.schema(MANIFEST_DDL).parquet(path))
+    """Rows of all versions; each version is one file, named by its number."""
+    return _or_empty(spark, MANIFEST_DDL, lambda: spark.read.schema(MANIFEST_DDL).json(path))

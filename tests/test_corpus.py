@@ -3,6 +3,7 @@
 import csv
 import glob
 import gzip
+import hashlib
 import json
 import os
 import random
@@ -17,6 +18,7 @@ from corpusloom.operators.quality import quality_metrics
 from corpusloom.operators.records import build_records, duplicate_docs, ok_records, with_record_hash
 from corpusloom.plans import harvest as plans
 from corpusloom.sinks import corpora, tables
+from corpusloom.sinks.commits import create_once
 from corpusloom.sources.corpus import previous_signature, read_corpus, read_manifest
 from corpusloom.sources.fetched import FetchStore, from_pages, read_fetched
 from corpusloom.sources.shred import shred_pages
@@ -214,6 +216,67 @@ def test_publish_after_a_run_that_died(spark, tmp_path, monkeypatch, step):
     assert plans.version_records(spark, str(tmp_path), 1).count() == 2
 
 
+def test_two_publishers_at_once(spark, tmp_path, monkeypatch):
+    """Both have read the manifest before either commits: different records make two versions, equal ones make one."""
+    from concurrent.futures import ThreadPoolExecutor
+    from threading import Barrier
+
+    create = plans.create_once
+    for n, names in enumerate(((("art1",), ("page",)), (("page",), ("page",)))):
+        runs, root, meet, met = [plans.harvest(site(spark, *some)) for some in names], f"{tmp_path}/{n}", Barrier(2), set()
+
+        def together(spark, path, content):
+            if path not in met and path.endswith("1.json"):
+                meet.wait(300)
+                met.add(path)
+            return create(spark, path, content)
+        monkeypatch.setattr(plans, "create_once", together)
+        with ThreadPoolExecutor(2) as pool:
+            done = [f.result() for f in [pool.submit(plans.publish_version, *run, root) for run in runs]]
+        manifest = read_manifest(spark, f"{root}/manifest")
+        per_version = {r.version: (r.n, r.sets) for r in manifest.groupBy("version").agg(
+            F.count("*").alias("n"), F.countDistinct("corpus_signature").alias("sets")).collect()}
+        assert all(sets == 1 and rows == manifest.where(F.col("version") == v).select("rel_path").distinct().count() for v, (rows, sets) in per_version.items())
+        if n == 0:
+            assert sorted((p.version, p.created) for p in done) == [(1, True), (2, True)] and len(per_version) == 2
+            second = max(done, key=lambda p: p.version)
+            assert spark.read.json(f"{second.path}/summary").first().change_detection.previous_version == "v1"
+            assert {r.status for r in plans.version_delta(spark, root, 2, 1).collect()} == {"added", "removed"}
+        else:
+            assert sorted(p.created for p in done) == [False, True] and {p.version for p in done} == {1} and len(per_version) == 1
+        assert not [f for f in os.listdir(f"{root}/manifest") if not f.strip(".").startswith("0")]
+
+
+def test_a_difference_reads_only_prefixes_that_differ(spark, tmp_path):
+    names = [f"p{i}" for i in range(60)]
+
+    def pages(edited):
+        rows = [(f"https://s.example/{n}", f"<title>{n}{'!' if n in edited else ''}</title>") for n in names if n not in edited[1:2]]
+        return spark.createDataFrame(rows, "url string, html string").selectExpr("url AS requested_url", "url AS final_url", "200 AS status", "html")
+    root = str(tmp_path)
+    plans.publish_version(*plans.harvest(pages([])), root)
+    two = plans.publish_version(*plans.harvest(pages(["p3", "p7"])), root)
+    delta = plans.version_delta(spark, root, 2, 1)
+    assert {r.canonical[-2:]: r.status for r in delta.collect()} == {"p3": "changed", "p7": "removed"}
+    read = {f.split("prefix=")[1][:2] for f in delta.inputFiles()}
+    touched = {hashlib.sha256(f"https://s.example/{n}".encode()).hexdigest()[:2] for n in ("p3", "p7")}
+    assert read == touched
+    assert {os.path.basename(p)[7:] for p in glob.glob(f"{two.path}/keys/prefix=*")} <= touched  # and only those are written again
+    assert plans.version_delta(spark, root, 2, 2).count() == 0
+    with pytest.raises(ValueError):
+        plans.version_delta(spark, root, 3, 1)
+
+
+def test_a_file_is_made_once(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+    (tmp_path / "d").mkdir()
+    with ThreadPoolExecutor(8) as pool:
+        made = list(pool.map(lambda i: create_once(spark, f"{tmp_path}/d/x.json", f"{i}" * 1000), range(8)))
+    assert sum(made) == 1
+    assert (tmp_path / "d/x.json").read_text() == f"{made.index(True)}" * 1000
+    assert [f for f in os.listdir(tmp_path / "d") if not f.startswith(".")] == ["x.json"]
+
+
 def test_publish_without_records(spark, tmp_path):
     failed = spark.createDataFrame([("https://s.example/x", "https://s.example/x", 500, "")], "requested_url string, final_url string, status int, html string")
     run = plans.harvest(failed)
