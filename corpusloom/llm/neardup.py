@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from corpusloom.session import stage
 
 from .components import components
-from .words import Lookup, Words, of_strings, slices
+from .words import MIX, STEP, Lookup, Words, of_strings, slices
 
 SHINGLE, THRESHOLD = 5, 0.8
 BANDS, ROWS = 10, 3
@@ -82,46 +82,65 @@ class Weights:
 
 # --- document frequencies of common shingles ---------------------------------------------------------------------------
 
-def _reporter(share: float) -> Callable:
-    def report(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Shingles in at least ``share`` of the task's documents; what no task reports is rarer than that overall."""
-        seen, counts, pending, texts = np.zeros(0, np.uint64), np.zeros(0, np.int64), [], 0
+SLICES = 64  # a histogram travels in so many parts
 
-        def fold() -> tuple[np.ndarray, np.ndarray]:
-            every = np.concatenate([seen, *pending])
-            order = np.argsort(every, kind="stable")
-            every, n = every[order], np.concatenate([counts, np.ones(len(every) - len(seen), np.int64)])[order]
-            edge = np.flatnonzero(np.r_[True, every[1:] != every[:-1]]) if len(every) else np.zeros(0, np.int64)
-            return every[edge], np.add.reduceat(n, edge) if len(edge) else n
 
-        size = 0
-        for rows, words in slices(batches):
-            own, _, _ = shingle_bags(words, rows.num_rows)
-            pending.append(own)
-            size += len(own)
-            texts += rows.num_rows
-            if size > max(1_000_000, len(seen)):
-                seen, counts = fold()
-                pending, size = [], 0
-                if len(seen) > 4_000_000:  # pass on what a stretch of documents holds often enough, and begin a new stretch
-                    often = counts >= share * texts
-                    yield pa.RecordBatch.from_arrays([pa.array(seen[often].view(np.int64)), pa.array(counts[often])], ["hash", "n"])
-                    seen, counts, texts = seen[:0], counts[:0], 0
-        seen, counts = fold()
-        often = counts >= share * texts
-        yield pa.RecordBatch.from_arrays([pa.array(seen[often].view(np.int64)), pa.array(counts[often])], ["hash", "n"])
-    return report
-
-
-def _counter(hashes: np.ndarray) -> Callable:
+def _cells(hashes: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Two cells of each shingle, in histograms of ``2 ** bits``."""
+    shift = np.uint64(64 - bits)
+    return (hashes * MIX) >> shift, (((hashes ^ (hashes >> np.uint64(32))) * STEP) ^ hashes) * MIX >> shift
+
+
+def _bags(batches: Iterable[pa.RecordBatch], size: int = 1_000_000) -> Iterator[np.ndarray]:
+    """Shingles of texts, each once a text, some texts at a time."""
+    pending, n = [], 0
+    for rows, words in slices(batches):
+        pending.append(shingle_bags(words, rows.num_rows)[0])
+        n += len(pending[-1])
+        if n >= size:
+            yield np.concatenate(pending)
+            pending, n = [], 0
+    if n:
+        yield np.concatenate(pending)
+
+
+def _histogram(bits: int) -> Callable:
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lookup = Lookup(hashes)
-        sums = np.zeros(len(lookup.known), np.int64)
-        for rows, words in slices(batches):
-            own, _, _ = shingle_bags(words, rows.num_rows)
-            sums += np.bincount(lookup.find(own, np.ones(len(own), bool))[1], minlength=len(sums))
-        held = np.flatnonzero(sums)
-        yield pa.RecordBatch.from_arrays([pa.array(lookup.known[held].view(np.int64)), pa.array(sums[held])], ["hash", "n"])
+        """Two histograms of the task's shingles, of fixed size however many documents it has."""
+        sums = np.zeros((2, 1 << bits), np.uint32)
+        for own in _bags(batches):
+            for held, cells in zip(sums, _cells(own, bits), strict=True):
+                held += np.bincount(cells.astype(np.int64), minlength=1 << bits).astype(np.uint32)
+        if sums.any():
+            parts = [p.astype(np.uint8 if p.max() < 256 else np.uint16 if p.max() < 65_536 else np.uint32) for p in sums.reshape(2 * SLICES, -1)]
+            yield pa.RecordBatch.from_arrays([pa.array(range(2 * SLICES), pa.int32()), pa.array([p.tobytes() for p in parts], pa.binary())], ["part", "counts"])
+    return count
+
+
+def _summed(bits: int, least: int) -> Callable:
+    def total(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Per part a bit for each cell that reaches ``least`` in the sum."""
+        sums: dict[int, np.ndarray] = {}
+        size = (1 << bits) // SLICES
+        for batch in batches:
+            for part, counts in zip(batch["part"].to_pylist(), batch["counts"], strict=True):
+                data = counts.as_buffer()
+                held = np.frombuffer(data, {1: np.uint8, 2: np.uint16, 4: np.uint32}[len(data) // size])
+                sums[part] = sums.get(part, np.zeros(size, np.int64)) + held
+        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([np.packbits(s >= least).tobytes() for s in sums.values()], pa.binary())], ["part", "high"])
+    return total
+
+
+def _counter(high: np.ndarray, bits: int) -> Callable:
+    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Exact counts of the task's shingles with both cells high."""
+        seen, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        for own in _bags(batches):
+            one, two = (row[cells.astype(np.int64)] for row, cells in zip(high, _cells(own, bits), strict=True))
+            found, n = np.unique(own[one & two], return_counts=True)
+            seen, place = np.unique(np.concatenate([seen, found]), return_inverse=True)
+            counts = np.bincount(place, np.concatenate([counts, n]), len(seen)).astype(np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(seen.view(np.int64)), pa.array(counts)], ["hash", "n"])
     return count
 
 
@@ -129,20 +148,26 @@ def fit_weights(texts: DataFrame, common: float = COMMON) -> Weights:
     """Weights from exact document frequencies over all rows.
 
     Frequencies sum to the number of shingles, so at most (shingles per document) / ``common`` shingles reach ``common``, at any
-    corpus size: that table is collected and travels to the tasks. Tasks first report what is frequent among their own
-    documents (a shingle frequent overall is frequent in some task, and misses at most half of ``common`` in the sum), then
-    the shingles left are counted exactly in a second pass.
+    corpus size: that table is collected and travels to the tasks. It is found in two passes. The first adds each shingle to
+    two histograms, whose cells are many enough that an average one stays at an eighth of ``common``; tasks put out these and nothing else, so neither
+    their memory nor their rows depend on how documents are dealt. A cell is never below the count of a shingle in it, so the second
+    pass counts exactly those with both cells high, and misses none.
     """
-    total = texts.count()
-    reported = texts.mapInArrow(_reporter(common / 2), "hash bigint, n bigint").groupBy("hash").agg(F.sum("n").alias("n"))
-    candidates = reported.filter(F.col("n") >= max(2, common / 2 * total)).select("hash").toArrow()["hash"].to_numpy()
-    least = max(2, int(np.ceil(common * total)))
-    empty = np.zeros(0, np.uint64)
-    if not len(candidates):
-        return Weights(empty, np.zeros(0, np.int64), total, least)
-    exact = texts.mapInArrow(_counter(candidates.view(np.uint64)), "hash bigint, n bigint").groupBy("hash").agg(F.sum("n").alias("n"))
+    size = texts.agg(F.count(F.lit(1)), F.sum(F.octet_length("text"))).first()
+    total, least = size[0], max(2, int(np.ceil(common * size[0])))
+    empty = Weights(np.zeros(0, np.uint64), np.zeros(0, np.int64), total, least)
+    per_text = (size[1] or 0) / 6 / max(1, total)  # about six bytes a word
+    bits = min(26, max(14, int(np.ceil(np.log2(max(1.0, 8 * per_text / common))))))
+    parts = texts.mapInArrow(_histogram(bits), "part int, counts binary").repartition("part")
+    rows = parts.mapInArrow(_summed(bits, least), "part int, high binary").collect()  # a bit for each cell
+    if not rows:
+        return empty
+    high = np.zeros((2 * SLICES, (1 << bits) // SLICES), bool)
+    for r in rows:
+        high[r["part"]] = np.unpackbits(np.frombuffer(r["high"], np.uint8)).astype(bool)
+    exact = texts.mapInArrow(_counter(high.reshape(2, -1), bits), "hash bigint, n bigint").groupBy("hash").agg(F.sum("n").alias("n"))
     table = exact.filter(F.col("n") >= least).toArrow()
-    return Weights(table["hash"].to_numpy().view(np.uint64), table["n"].to_numpy(), total, least)
+    return Weights(table["hash"].to_numpy().view(np.uint64), table["n"].to_numpy(), total, least) if table.num_rows else empty
 
 
 # --- signatures --------------------------------------------------------------------------------------------------------
@@ -415,5 +440,6 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     classed = classed.withColumn("label", F.coalesce("label", "node"))
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "node"))  # rows without an id come last
     least = classed.groupBy("label").agg(first.alias("first")).select("label", F.col("first.doc_id").alias("class_id"), F.col("first.node").alias("class_node"))
+    least = stage(least, "classes")  # so that the join below reads rows only, and Spark can split a large class
     return (classed.join(least, "label").join(nodes.select("node", "copies"), "node")
             .select(F.col("doc_id").alias(doc_id), "node", "class_id", "class_node", "copies", "linked"))

@@ -1,17 +1,36 @@
+import math
 import random
+from collections import Counter
 from functools import lru_cache
 
 import numpy as np
-from brute import DOCUMENTS, classes, documents
+from brute import DOCUMENTS, classes, documents, words
 
 from corpusloom.llm import neardup as N
 from corpusloom.llm.components import components
 
 
 def judge(spark, rows):
-    weights = N.fit_weights(documents(spark, rows).select("text").fillna({"text": ""}))
-    vector = lru_cache(None)(lambda t: N.vector_of(t, weights))
-    return lambda a, b: N.weighted_jaccard(vector(a), vector(b)) >= N.THRESHOLD if len(vector(a)[0]) and len(vector(b)[0]) else False
+    """Weighted Jaccard over TF-IDF of five-word shingles by dictionaries; rarer shingles than ``COMMON`` count as frequent as that."""
+    def bag(text):
+        w = words(text)
+        return Counter(tuple(w[i:i + N.SHINGLE]) for i in range(max(1, len(w) - N.SHINGLE + 1))) if w else Counter()
+    found = Counter(s for _, text in rows for s in bag(text))
+    least = max(2, math.ceil(N.COMMON * len(rows)))
+
+    @lru_cache(None)
+    def vector(text):
+        out = {}
+        for shingle, n in bag(text).items():
+            log = math.log1p(len(rows) / max(least, found[shingle]))
+            out[shingle] = log / (log + 0.5) * (1 + math.log(n))
+        return out
+
+    def near(a, b):
+        x, y = vector(a), vector(b)
+        shared = sum(min(w, y[s]) for s, w in x.items() if s in y)
+        return bool(x and y) and shared >= N.THRESHOLD * (sum(x.values()) + sum(y.values()) - shared)
+    return near
 
 
 def check(spark, rows):
@@ -61,3 +80,14 @@ def test_components(spark):
     assert {got[f"n{i:03d}"] for i in range(61)} == {"n000"}
     assert (got["y"], got["a3"], got["hub"]) == ("x", "a1", "a1")
     assert components(spark.createDataFrame([], "a string, b string")).count() == 0
+
+
+def test_document_frequencies_do_not_depend_on_how_rows_are_dealt(spark, monkeypatch):
+    """Histograms put out as many rows a task for few documents as for many, and find exactly the common shingles."""
+    monkeypatch.setattr(N, "COMMON", 1 / 20)
+    rows = [(i, " ".join(f"c{i % 7}x{j}" for j in range(12)) + f" own{i} a{i} b{i} c{i} d{i}") for i in range(400)]
+    texts = documents(spark, rows).select("text")
+    few, many = (N.fit_weights(texts.repartition(n), 1 / 20) for n in (2, 64))
+    assert len(few.lookup.known) == 7 * 8  # shingles within the shared words; the others are in one document
+    assert (few.lookup.known == many.lookup.known).all() and (few.idf == many.idf).all()
+    assert texts.repartition(64).mapInArrow(N._histogram(14), "part int, counts binary").count() <= 64 * 2 * N.SLICES
