@@ -126,8 +126,11 @@ def stripped_body_text(spark, sf_dir):
 
 @query
 def stripped_content_links(spark, sf_dir):
-    """Links left in the content; the crawl has all of its links in navigation."""
-    return content.with_links(crawled(spark, sf_dir, content.link_needs())).select("page_id", F.size("links").alias("n_links"))
+    """Links left in the content; the crawl has all of its own in navigation, and gets some within articles and asides."""
+    link = F.concat(F.lit('<a href="/x/'), "page_id", F.lit('">x</a>'))
+    inside = F.concat(F.lit("<article>"), F.when(F.col("page_id") % 3 == 0, link).otherwise(""), F.lit("<aside>"), link, F.lit("</aside>"))
+    pages = scan(spark, sf_dir, "pages").withColumn("html", F.replace("html", F.lit("<article>"), inside))
+    return content.with_links(shred_pages(from_pages(pages), content.link_needs())).select("page_id", F.size("links").alias("n_links"))
 
 
 @query
@@ -285,6 +288,19 @@ def heading_sections(spark, sf_dir):
                         F.expr(classify.classify_heading("heading")).alias("section"))
 
 
+@query
+def table_rules(spark, sf_dir):
+    """Section of headings made from part names by rules from a table: the library's, then one per part material, some without a literal word."""
+    part = table(spark, sf_dir, "part")
+    wording = "CASE p_size % 7 WHEN 0 THEN 'Description of ' WHEN 1 THEN 'Industries for ' WHEN 2 THEN 'Made of ' WHEN 3 THEN 'packing, ' ELSE '' END"
+    headings = part.selectExpr("p_partkey", f"concat({wording}, p_type, CASE WHEN p_size % 5 = 0 THEN ' 2nd' ELSE '' END) AS heading")
+    kinds = part.selectExpr("lower(substring_index(p_type, ' ', -1)) AS kind").distinct()
+    own = kinds.selectExpr("100 AS section_prio", "ascii(kind) AS pattern_prio", "concat('material ', kind) AS section", "concat('\\\\b', kind, '\\\\b') AS pattern")
+    loose = kinds.selectExpr("50 AS section_prio", "ascii(kind) AS pattern_prio", "concat('second ', kind) AS section", "concat(kind, '.*\\\\d') AS pattern")
+    rules = classify.section_rules(spark).unionByName(own).unionByName(loose)
+    return classify.classify_headings(headings, rules).select("p_partkey", "norm", "section")
+
+
 @query
 def section_assign(spark, sf_dir):
     """As-of assignment: every turn belongs to the latest user turn of its conversation."""
@@ -422,14 +438,42 @@ def harvest_summary(spark, sf_dir):
 
 @query
 def jsonl_round_trip(spark, sf_dir):
-    """Collections written as compressed JSON lines and read back."""
+    """Collections written as compressed JSON lines and read back, with the line that each would be written as again."""
     path = new_work_path(spark, "jsonl")
-    corpora.write_jsonl(build_records(shredded(collection_pages(spark, sf_dir))), path)
+    corpora.write_jsonl(build_records(shredded(collection_pages(spark, sf_dir))), path, file_bytes=1 << 20)
     back = corpus.read_corpus(spark, path)
     return back.select("url", F.col("document_identifier.page_type").alias("page_type"), F.col("content.h1").alias("h1"),
                        F.size("collection.items").alias("n_items"))
 
 
+@query
+def jsonl_lines(spark, sf_dir):
+    """The crawl written as compressed JSON lines: the hash of every line that a record read back would be written as."""
+    path = new_work_path(spark, "jsonl")
+    corpora.write_jsonl(build_records(crawled(spark, sf_dir)), path, file_bytes=256 << 10)
+    return with_record_hash(corpus.read_corpus(spark, path)).select("url", "record_hash")
+
+
+@query
+def export_positions(spark, sf_dir):
+    """Position of every record of the crawl in the written corpus, read back from its files."""
+    path = new_work_path(spark, "jsonl")
+    corpora.write_jsonl(build_records(crawled(spark, sf_dir)), path, file_bytes=256 << 10)
+    return corpus.read_positions(spark, path).select(
+        "position", F.col("document_identifier.canonical").alias("canonical"), F.col("document_identifier.page_type").alias("page_type"), "doc_id")
+
+
+@query
+def csv_round_trip(spark, sf_dir):
+    """Product CSV with quotes, commas and line breaks, written and read back."""
+    name = "concat('P \\\\\"', p_name, '\\\\\",\\\\n', p_brand, ' \u00e9')"
+    body = f"concat('<script type=\"application/ld+json\">{{\"@type\":\"Product\",\"name\":\"', {name}, '\"}}</script><title>', p_name, ', &quot;x&quot;</title>')"
+    path = new_work_path(spark, "csv")
+    flat = tables.csv_products(build_records(_part_pages(spark, sf_dir, "concat('https://shop.example.com/p/', p_partkey)", body)))
+    tables.write_csv(flat, path)
+    return spark.read.option("header", "true").option("escape", '"').option("multiLine", "true").csv(path).select("url", "title", "product_name", "has_specs_tables")
+
+
 @query
 def typed_corpora(spark, sf_dir):
     """All typed corpora written in one pass and counted by folder."""
@@ -441,25 +485,39 @@ def typed_corpora(spark, sf_dir):
 
 @query
 def published_versions(spark, sf_dir):
-    """Publish the crawl, publish it again unchanged, then without its ``.html`` pages."""
+    """Publish the crawl, publish it again unchanged, then without its ``.html`` pages: what each version holds, and whether it was written anew."""
     root = new_work_path(spark, "versions")
     crawl = from_pages(scan(spark, sf_dir, "pages")).drop("page_id")
     whole = plans.harvest(crawl)
     smaller = plans.harvest(crawl.where("requested_url NOT LIKE '%.html'"))
     for results, records in (whole, whole, smaller):
         plans.publish_version(results, records, root)
-    return corpus.read_manifest(spark, f"{root}/manifest").select("version", "rel_path", "n_records")
+    manifest = corpus.read_manifest(spark, f"{root}/manifest")
+    before = manifest.select((F.col("version") + 1).alias("version"), "rel_path", F.col("path").alias("old_path"))
+    return manifest.join(before, ["version", "rel_path"], "left").select(
+        "version", "rel_path", "n_records", "content_hash", "corpus_signature", F.coalesce(F.col("path") == F.col("old_path"), F.lit(False)).alias("same_folder"))
+
+
+@query
+def published_delta(spark, sf_dir):
+    """Records added, removed and changed between two published versions: some pages under other names, some with other titles."""
+    root = new_work_path(spark, "versions")
+    pages = scan(spark, sf_dir, "pages").select(F.col("url").alias("requested_url"), F.lit(200).alias("status"), "html")
+    name = F.when(F.col("requested_url").like("%?%"), F.concat("requested_url", F.lit("&new=1"))).otherwise(F.col("requested_url"))
+    title = F.when(F.col("requested_url").like("%/en/%"), F.replace("html", F.lit("<title>"), F.lit("<title>New "))).otherwise(F.col("html"))
+    later = pages.select(name.alias("requested_url"), "status", title.alias("html"))
+    for state in (pages, later):
+        plans.publish_version(*plans.harvest(state.withColumn("final_url", F.col("requested_url"))), root)
+    return plans.version_delta(spark, root, 2, 1)
 
 
 @query
 def previous_signature(spark, sf_dir):
-    """Signature read back from a written summary; equal to the one computed from the records."""
+    """Signature of the crawl, read back from a written summary."""
     root = new_work_path(spark, "versions")
-    results, records = plans.harvest(fetched(collection_pages(spark, sf_dir)).drop("page_key"))
+    results, records = plans.harvest(from_pages(scan(spark, sf_dir, "pages")).drop("page_id"))
     published = plans.publish_version(results, records, root)
-    read = corpus.previous_signature(spark, f"{published.path}/summary")
-    return (read.join(changes.corpus_signature(records), "corpus_signature", "left_semi")
-            .agg(F.count(F.lit(1)).alias("n_equal")))
+    return corpus.previous_signature(spark, f"{published.path}/summary")
 
 
 # ---- signature, differences, versions, profile ------------------------------------------
@@ -541,6 +599,5 @@ def sitemap_frontier(spark, sf_dir):
 
 @query
 def record_hashes(spark, sf_dir):
-    """One hash per record: as many distinct hashes as records when no page is repeated."""
-    hashed = with_record_hash(build_records(shredded(collection_pages(spark, sf_dir))))
-    return hashed.agg(F.count(F.lit(1)).alias("n_records"), F.count_distinct("record_hash").alias("n_hashes"))
+    """Hash of the exported line of every page of the crawl."""
+    return with_record_hash(build_records(crawled(spark, sf_dir), keep=("page_id",))).select("page_id", "record_hash")

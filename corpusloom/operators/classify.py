@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from corpusloom.functions import dom as D
 from corpusloom.functions.text import let, lit, normalize_heading, rx
@@ -26,6 +27,40 @@ def classify_heading(heading: str, patterns=SECTION_PATTERNS) -> str:
     return let("norm", normalize_heading(heading), f"CASE {rules} END")
 
 
+# In the text of a pattern, before any group or class: a word between word borders, or before white space.
+NEEDED_WORD = r"^[^(\[]*?\\b([a-z0-9]+)(?:\\b(?![?*{])|\\s\+)"
+#: Rules without such a word are tested on every distinct heading; more of them than this are refused.
+MOST_UNINDEXED = 1000
+
+
+def classify_headings(headings: DataFrame, rules: DataFrame, heading: str = "heading") -> DataFrame:
+    """Add ``norm`` and ``section``: the section of the first rule, by (section_prio, pattern_prio), that a heading matches; null without one.
+
+    ``rules`` is ``(section_prio, pattern_prio, section, pattern)``, patterns in lower case. A rule is looked up by a word it needs: the words of the
+    distinct headings are joined with those of the rules, and only the pairs so found are matched. Rules that need no whole word are
+    matched one after the other with every distinct heading. Headings are made distinct first, so a frequent one is matched once.
+    """
+    normed = headings.withColumn("norm", F.expr(normalize_heading(heading)))
+    distinct = normed.select("norm").distinct()
+    choice = F.struct("section_prio", "pattern_prio", "section")
+    # a pattern without alternatives has the word in every match
+    known = rules.select(choice.alias("rule"), "pattern",
+                         F.when(~F.col("pattern").contains("|"), F.nullif(F.regexp_extract("pattern", NEEDED_WORD, 1), F.lit(""))).alias("word"))
+    words = distinct.select("norm", F.explode(F.array_distinct(F.split("norm", r"[^a-z0-9_]+"))).alias("word"))
+    indexed = (words.join(known.where("word IS NOT NULL"), "word").where(F.expr("regexp_like(norm, pattern)"))
+               .groupBy("norm").agg(F.min("rule").alias("found")))
+    rest = known.where("word IS NULL").select("rule", "pattern")
+    few = rest.agg(F.when(F.count(F.lit(1)) > MOST_UNINDEXED, F.raise_error(F.lit("too many rules without a literal word")).cast(ARRAY_OF_RULES))
+                   .otherwise(F.array_sort(F.collect_list(F.struct("rule", "pattern"))))).scalar()
+    tested = distinct.withColumn("_rules", few).select("norm", F.expr("get(filter(_rules, r -> regexp_like(norm, r.pattern)), 0).rule").alias("other"))
+    first = (tested.join(indexed, "norm", "left")
+             .select("norm", F.least("found", "other").getField("section").alias("section")).where("section IS NOT NULL"))
+    return normed.join(first, "norm", "left").select(*headings.columns, "norm", "section")
+
+
+ARRAY_OF_RULES = "array<struct<rule:struct<section_prio:int,pattern_prio:int,section:string>,pattern:string>>"
+
+
 def is_card(rules: Rules = DEFAULTS) -> str:
     return D.any_of(D.tag_in("article"), D.has_class(*rules.card_classes))
 

@@ -30,12 +30,15 @@ from corpusloom.sources.sitemap import discover_frontier, require_frontier
 
 def harvest(fetched: DataFrame, site_host: str | None = None, site_origin: str | None = None,
             profiles: DataFrame | None = None, rules: Rules = DEFAULTS) -> tuple[DataFrame, DataFrame]:
-    """``(results, records)``, parsed and hashed once and staged as a table in the shared folder."""
+    """``(results, records)``, parsed and hashed once and staged in the shared folder, in one folder per page type.
+
+    ``session.clear_staged`` removes what runs have staged.
+    """
     configure(fetched.sparkSession)
     if profiles is not None:
         fetched = with_profile(fetched, profiles, "final_url")
-    results = stage(harvest_results(fetched, site_host, site_origin, rules=rules), "results")
-    records = ok_records(results, keep=("record_hash",))
+    results = stage(harvest_results(fetched, site_host, site_origin, rules=rules), "results", by=("page_type",))
+    records = ok_records(results, keep=("record_hash", "page_type"))
     return results, records.withColumn("canonical", F.col("document_identifier.canonical"))
 
 
@@ -160,7 +163,7 @@ class _Attempt:
         self.stats = {r["rel_path"]: (r["corpus_signature"], r["n_records"]) for r in found.collect()}
         self.changed = {name for name, (content, _) in self.stats.items() if name not in before or before[name]["content_hash"] != content}
         kinds = [kind for kind, name in CORPUS_OF_TYPE.items() if f"corpora/corpus={name}" in self.changed]
-        kind = F.col("document_identifier.page_type")
+        kind = F.col("page_type") if "page_type" in records.columns else F.col("document_identifier.page_type")
         new = records.where(kind.isin(kinds))
         new.select(*RECORD, "record_hash", "canonical", kind.alias("page_type")).write.partitionBy("page_type").parquet(f"{path}/records")
         write_corpora(new, f"{path}/corpora")

@@ -29,3 +29,6 @@ SUMMARY_DDL = "change_detection STRUCT<previous_version:STRING,previous_corpus_s
 # ``path`` is the folder, below the corpus root, of the version that wrote this content.
 MANIFEST_DDL = ("version BIGINT, rel_path STRING, content_hash STRING, n_records BIGINT, "
                 "corpus_signature STRING, path STRING, written_at TIMESTAMP")
+
+# Lines per file, files and lines of a written corpus.
+LAYOUT_DDL = "per_file BIGINT, files BIGINT, n_records BIGINT"

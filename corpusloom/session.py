@@ -35,16 +35,29 @@ def new_work_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/corpusloom/{name}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
-    """Write ``df`` once as Parquet in the shared folder and read it back.
+def stage(df: DataFrame, name: str, path: str | None = None, by: tuple[str, ...] = ()) -> DataFrame:
+    """Write ``df`` once as Parquet in the shared folder, in folders ``by`` columns if given, and read it back.
 
     Several consumers then share one computation, each reads only its columns,
     and a lost executor costs a re-read, not a re-parse.
     """
     spark = df.sparkSession
     path = path or new_work_path(spark, name)
-    df.write.mode("errorifexists").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    df.write.mode("errorifexists").partitionBy(*by).parquet(path)
+    _STAGED.append(path)
+    return spark.read.schema(df.schema).parquet(path).select(*df.columns)
+
+
+_STAGED: list[str] = []
+
+
+def clear_staged(spark: SparkSession) -> int:
+    """Remove the tables that this process has staged, once nothing reads them any more; tells how many there were."""
+    conf, removed = spark.sparkContext._jsc.hadoopConfiguration(), 0
+    while _STAGED:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_STAGED.pop())
+        removed += path.getFileSystem(conf).delete(path, True)
+    return removed
 
 
 def spread(df: DataFrame, per_core: int = 2) -> DataFrame:

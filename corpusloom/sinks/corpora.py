@@ -4,12 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from corpusloom.functions.canonical import sorted_fields
+from corpusloom.functions.canonical import canonical_json, sorted_fields
 from corpusloom.operators.changes import corpus_signature
-from corpusloom.operators.records import RECORD, sort_key, with_record_hash
+from corpusloom.operators.ranking import numbered
+from corpusloom.operators.records import RECORD, sort_key
+from corpusloom.schema import LAYOUT_DDL
 from corpusloom.session import stage
 
+#: Size of a corpus file before compression; one compressed file is read by one task.
+FILE_BYTES = 256 << 20
 # Corpus names by page type.
 CORPUS_OF_TYPE = {"Product": "products", "Article": "articles", "WebPage": "pages", "CollectionPage": "collections"}
 
@@ -30,11 +35,24 @@ def _write_json(df: DataFrame, path: str, compression: str, *partition: str) ->
      .partitionBy(*partition).json(path))
 
 
-def write_jsonl(records: DataFrame, path: str, compression: str = "gzip") -> DataFrame:
-    """Write one record per line and return ``(n_records, corpus_signature)`` of the content."""
-    records = stage(with_record_hash(records), "jsonl")
-    _write_json(json_lines(in_export_order(records).select(*RECORD)), path, compression)
-    return corpus_stats(records)
+def write_jsonl(records: DataFrame, path: str, compression: str = "gzip", file_bytes: int = FILE_BYTES) -> DataFrame:
+    """Write one record per line and return ``(n_records, corpus_signature)`` of the content.
+
+    Lines lie in export order over files of about ``file_bytes`` each before compression, so that a compressed corpus is read by as many tasks as
+    it has files. All files but the last have the same number of lines; ``_layout``, which readers skip, tells it, and so gives every line
+    its position (``sources.corpus.read_positions``). Lines are rendered once, hashed and written.
+    """
+    spark, kind = records.sparkSession, T.StructType([records.schema[name] for name in RECORD])
+    keys = [f"_k{i}" for i in range(len(sort_key()))]
+    lines = records.select(canonical_json(F.struct(*RECORD), kind).alias("value"), *[k.alias(n) for k, n in zip(sort_key(), keys, strict=True)])
+    placed = stage(numbered(lines, *map(F.col, keys)).select("value", "position"), "jsonl")
+    total = placed.agg(F.count(F.lit(1)), F.sum(F.octet_length("value"))).first()
+    per_file = max(1, file_bytes * total[0] // max(1, total[1] or 0))
+    files = max(1, -(-total[0] // per_file))
+    dealt = placed.repartitionById(files, F.floor(F.col("position") / per_file).cast("int")).sortWithinPartitions("position")
+    dealt.select("value").write.mode("errorifexists").option("compression", compression).text(path)
+    spark.createDataFrame([(per_file, files, total[0])], LAYOUT_DDL).coalesce(1).write.json(f"{path}/_layout")
+    return corpus_stats(placed.select(F.sha2("value", 256).alias("record_hash")))
 
 
 def corpus_stats(hashed: DataFrame, *by: str) -> DataFrame:

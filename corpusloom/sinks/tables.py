@@ -42,8 +42,14 @@ def product_columns() -> list[Column]:
             _n(f"{CONTENT}.text_blocks").alias("num_text_blocks")]
 
 
+def of_type(records: DataFrame, page_type: str) -> DataFrame:
+    """Records of one page type; where they are stored by type, only its folder is read."""
+    kind = F.col("page_type") if "page_type" in records.columns else F.col(f"{IDENT}.page_type")
+    return records.where(kind == page_type)
+
+
 def csv_products(records: DataFrame) -> DataFrame:
-    return records.where(F.col(f"{IDENT}.page_type") == "Product").select(*product_columns())
+    return of_type(records, "Product").select(*product_columns())
 
 
 def article_columns() -> list[Column]:
@@ -54,7 +60,7 @@ def article_columns() -> list[Column]:
 
 
 def csv_articles(records: DataFrame) -> DataFrame:
-    return records.where(F.col(f"{IDENT}.page_type") == "Article").select(*article_columns())
+    return of_type(records, "Article").select(*article_columns())
 
 
 def write_csv(flat: DataFrame, path: str) -> None:

@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from corpusloom.schema import MANIFEST_DDL, RECORD_DDL, SUMMARY_DDL
+from corpusloom.schema import LAYOUT_DDL, MANIFEST_DDL, RECORD_DDL, SUMMARY_DDL
 
 
 def read_corpus(spark: SparkSession, path: str) -> DataFrame:
@@ -14,6 +14,20 @@ def read_corpus(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(RECORD_DDL).json(path)
 
 
+def read_positions(spark: SparkSession, path: str) -> DataFrame:
+    """Records of a corpus that ``write_jsonl`` wrote, with their ``position`` in the export.
+
+    A file holds the lines from its number times the lines per file on; within a file lines are counted in the order in which they are
+    read, so what meets in one place is a file.
+    """
+    per_file = spark.read.schema(LAYOUT_DDL).json(f"{path}/_layout").first()["per_file"]
+    lines = spark.read.schema(RECORD_DDL).json(path).select(
+        "*", F.regexp_extract("_metadata.file_name", r"^part-(\d+)", 1).cast("bigint").alias("_file"),
+        F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_row"))
+    nth = F.row_number().over(Window.partitionBy("_file").orderBy("_block", "_row")) - 1
+    return lines.withColumn("position", F.col("_file") * per_file + nth).drop("_file", "_block", "_row")
+
+
 def _or_empty(spark: SparkSession, schema: str, load) -> DataFrame:
     try:
         return load()

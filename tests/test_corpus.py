@@ -15,15 +15,16 @@ from pyspark.sql import functions as F
 from corpusloom.operators.carry import carry_forward
 from corpusloom.operators.changes import corpus_signature, diff_counts, latest_version, snapshot_diff
 from corpusloom.operators.quality import quality_metrics
+from corpusloom.operators.ranking import numbered
 from corpusloom.operators.records import build_records, duplicate_docs, ok_records, with_record_hash
 from corpusloom.plans import harvest as plans
 from corpusloom.sinks import corpora, tables
 from corpusloom.sinks.commits import create_once
-from corpusloom.sources.corpus import previous_signature, read_corpus, read_manifest
+from corpusloom.sources.corpus import previous_signature, read_corpus, read_manifest, read_positions
 from corpusloom.sources.fetched import FetchStore, from_pages, read_fetched
 from corpusloom.sources.shred import shred_pages
 from corpusloom.sources.sitemap import discover_frontier, require_frontier, sitemap_locs
-from corpusloom.streaming.ingest import fetched_stream, harvest_stream
+from corpusloom.streaming.ingest import fetched_once, fetched_stream, harvest_stream, latest_metrics, metrics_stream
 
 LONG = "This sentence is long enough to be counted as a block of text."
 
@@ -356,6 +357,91 @@ def test_read_fetched_and_stream_agree(spark, tmp_path):
     assert corpus_signature(ok_records(streamed, ("record_hash",))).first() == corpus_signature(ok_records(batch, ("record_hash",))).first()
 
 
+def test_stream_restarted_between_arrivals(spark, tmp_path):
+    """URLs that come again, also in a later run, are harvested once; running counts equal those of a batch over the URLs once."""
+    def arrive(names, hour):
+        rows = site(spark, *names).withColumn("fetched_at", F.expr(f"timestamp'2025-01-01 00:00:00' + interval {hour} hours"))
+        rows.coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+
+    def run():
+        query = harvest_stream(fetched_once(fetched_stream(spark, f"{tmp_path}/in", timed=True)).drop("fetched_at"), f"{tmp_path}/out", f"{tmp_path}/ck1")
+        counts = metrics_stream(fetched_once(fetched_stream(spark, f"{tmp_path}/in", timed=True)).drop("fetched_at"), f"{tmp_path}/counts", f"{tmp_path}/ck2")
+        query.awaitTermination(300)
+        counts.awaitTermination(300)
+
+    arrive(["art1", "page"], 0)
+    arrive(["art1"], 1)
+    run()
+    arrive(["page", "prod", "art1"], 2)
+    run()  # as a new process would, from the checkpoints
+    run()
+    urls = [r.url for r in spark.read.parquet(f"{tmp_path}/out").collect()]
+    assert sorted(urls) == sorted(f"https://s.example/{n}" for n in ("art1", "page", "prod"))
+    batch = plans.harvest_results(site(spark, "art1", "page", "prod")).groupBy("ok", "status", "page_type").agg(F.count("*").alias("n"))
+    assert sorted(map(tuple, latest_metrics(spark, f"{tmp_path}/counts").collect())) == sorted(map(tuple, batch.collect()))
+
+
+def test_corpus_is_read_by_as_many_tasks_as_files(spark, tmp_path):
+    rows = [(f"https://s.example/{i % 40}", f"<title>t{i}</title><p>{LONG * 20}</p>") for i in range(200)]
+    records = build_records(shred_pages(from_pages(spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "page_id long, url string, html string"))))
+    stats = corpora.write_jsonl(records, f"{tmp_path}/all", file_bytes=20_000).first()
+    files = sorted(glob.glob(f"{tmp_path}/all/part-*.gz"))
+    lines = [gzip.open(f, "rt", encoding="utf-8").read().splitlines() for f in files]
+    assert len(files) > 8 and len({len(some) for some in lines[:-1]}) == 1
+    assert max(sum(map(len, some)) for some in lines) < 25_000
+    spark.conf.set("spark.sql.files.openCostInBytes", "128m")
+    try:
+        assert read_corpus(spark, f"{tmp_path}/all").rdd.getNumPartitions() >= len(files)
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    written = [json.loads(line) for some in lines for line in some]
+    keys = [(r["document_identifier"]["canonical"], r["document_identifier"]["page_type"], r["doc_id"]) for r in written]
+    assert keys == sorted(keys) and stats.n_records == 200
+    back = read_positions(spark, f"{tmp_path}/all").select("position", "doc_id").orderBy("position").collect()
+    assert [(r.position, r.doc_id) for r in back] == [(i, k[2]) for i, k in enumerate(keys)]
+
+
+def test_positions_of_an_empty_corpus(spark, tmp_path):
+    corpora.write_jsonl(build_records(shred_pages(site(spark).limit(0))), f"{tmp_path}/none")
+    assert read_positions(spark, f"{tmp_path}/none").count() == 0
+
+
+def test_flat_files_read_only_their_types_folder(spark):
+    results, records = plans.harvest(site(spark))
+    for flat, kind in ((tables.csv_products, "Product"), (tables.csv_articles, "Article")):
+        plan = flat(records)._jdf.queryExecution().executedPlan().toString()
+        filters = [line for line in plan.splitlines() if "PartitionFilters" in line]
+        assert filters and all(f"(page_type" in line and kind in line for line in filters)
+        assert flat(records).count() == (1 if kind == "Product" else 2)
+
+
+def test_staged_tables_are_removed(spark, tmp_path):
+    from corpusloom import session
+    before = session._STAGED[:]
+    session._STAGED.clear()
+    try:
+        staged = session.stage(spark.range(3), "x")
+        path = session._STAGED[0]
+        assert staged.count() == 3 and os.path.isdir(path)
+        assert session.clear_staged(spark) == 1 and not os.path.exists(path)
+    finally:
+        session._STAGED[:] = before
+
+
+@pytest.mark.parametrize("by", [(), ("g",)])
+def test_numbers_in_order(spark, by):
+    rng = random.Random(6)
+    rows = [(rng.choice(["hot"] * 10 + ["a", None]), rng.choice([None, *range(30)])) for _ in range(500)]
+    df = spark.createDataFrame(rows, "g string, v int").repartition(7)
+    got = [(r.g if by else "", r.v, r.position, r.size) for r in numbered(df, F.col("v").asc_nulls_last(), by=by, total="size").collect()]
+    groups = {}
+    for g, v in rows:
+        groups.setdefault(g if by else "", []).append(v)
+    want = [(g, v, i, len(vs)) for g, vs in groups.items() for i, v in enumerate(sorted(vs, key=lambda v: (v is None, v or 0)))]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
+    assert numbered(df.limit(0), F.col("v"), by=by).count() == 0
+
+
 def test_from_pages_keeps_keys(spark):
     pages = spark.createDataFrame([(7, "u", "<p>x")], "page_id long, url string, html string")
     assert from_pages(pages).first().asDict() == {"page_id": 7, "requested_url": "u", "final_url": "u", "status": 200, "html": "<p>x"}

@@ -3,12 +3,13 @@
 import re
 from urllib.parse import urljoin, urlsplit
 
+import pytest
 from pyspark.sql import functions as F
 
 from corpusloom.functions import text as X
 from corpusloom.functions import urls as U
 from corpusloom.functions import variants as V
-from corpusloom.operators.classify import classify_heading, section_rules
+from corpusloom.operators.classify import classify_heading, classify_headings, section_rules
 from corpusloom.rules import SECTION_PATTERNS
 
 BASES = ["http://h.example", "http://h.example/", "https://h.example:81/a/b/c?q=1", "http://h.example/a//b/",
@@ -69,3 +70,23 @@ def test_json_is_one_whole_value(spark):
     got = [r[0] for r in df.selectExpr(f"to_json({V.tolerant_json('t')})").collect()]
     assert got[:5] == ['{"a":1}', '{"a":[1,2]}', "[1]", '"x"', '{"a":null,"b":"NaN, \\" Infinity","c":[null,1]}']
     assert got[6:] == [None] * len(bad)
+
+
+def test_rules_from_a_table(spark):
+    """The first rule by priority wins, whether it is found by a word or tested one by one; a third of all headings are alike."""
+    texts = ["Description", "What is this?", "Industries", "Re-usage of", "packing  and storage:", "Synonym", "other name", "unrelated", "", None, "grades",
+             "x foo y", "foo_bar", "foo", "bar foo 7", "foo?", "éfoo", "a foodie"] + ["Description"] * 9
+    headings = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "key int, heading string")
+    more = [(2, 0, "late", r"\bfoo\b"), (2, 1, "later", "foo"), (0, 90, "digit", r"foo \d"), (7, 0, "optional", r"(\bfoo\b)?_bar"), (7, 1, "starred", r"fo*d")]
+    rules = section_rules(spark).union(spark.createDataFrame(more, "section_prio int, pattern_prio int, section string, pattern string"))
+    listed = sorted([(i, j, s, p) for i, (s, ps) in enumerate(SECTION_PATTERNS) for j, p in enumerate(ps)] + more)
+    got = {r.key: (r.norm, r.section) for r in classify_headings(headings, rules).collect()}
+    for key, (norm, section) in got.items():
+        assert section == next((s for _, _, s, p in listed if re.search(p, norm)), None), norm
+    assert len(got) == len(texts) and got[0][1] == "description" and got[14][1] == "digit"
+    plan = classify_headings(headings, rules)._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    none = classify_headings(headings, rules.limit(0)).collect()
+    assert len(none) == len(texts) and all(r.section is None for r in none)
+    with pytest.raises(Exception, match="too many rules"):
+        classify_headings(headings, spark.range(1001).selectExpr("0 section_prio", "int(id) pattern_prio", "'s' section", "concat('a|', id) pattern")).collect()
