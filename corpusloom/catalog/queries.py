@@ -19,7 +19,7 @@ from corpusloom.operators.profiles import attach_profile
 from corpusloom.operators.records import (
     build_records, doc_id, duplicate_docs, harvest_records, harvest_results, with_record_hash)
 from corpusloom.plans import harvest as plans
-from corpusloom.session import configure, new_work_path, spread, stage
+from corpusloom.session import configure, new_work_path, stage
 from corpusloom.sinks import corpora, tables
 from corpusloom.sources import corpus, sitemap
 from corpusloom.sources.fetched import FetchStore, from_pages
@@ -42,8 +42,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def scan(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table that feeds the page parser, at least one partition per core."""
-    return spread(table(spark, sf_dir, name))
+    """A table that feeds the page parser; the small given ones are one split each, and are dealt to the cores."""
+    rows, cores = table(spark, sf_dir, name), spark.sparkContext.defaultParallelism
+    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(2 * cores)
 
 
 def crawled(spark: SparkSession, sf_dir: str, needs: Needs | None = None) -> DataFrame:

@@ -98,5 +98,10 @@ def with_page_type(pages: DataFrame, site_origin: str | None = None, rules: Rule
     return D.add(with_base(pages), page_type=page_type_sql(site_origin, rules))
 
 
+def of_site(pages: DataFrame, site_origin: str | None, rules: Rules = DEFAULTS) -> DataFrame:
+    """Pages typed as those of the one site of a harvest, if it is named; what is extracted then follows that type."""
+    return with_page_type(pages, site_origin, rules) if site_origin else pages
+
+
 def classify_pages(pages: DataFrame, key: str = "page_id", site_origin: str | None = None, rules: Rules = DEFAULTS) -> DataFrame:
     return with_page_type(pages, site_origin, rules).select(key, "page_type")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from corpusloom.functions import dom as D
 from corpusloom.functions.text import let, lit, non_empty, normalize_ws, strip
 from corpusloom.functions.urls import authority, is_download, make_abs
+from corpusloom.operators.classify import of_site
 from corpusloom.operators.containers import content_needs, with_content
 from corpusloom.operators.head import with_base
 from corpusloom.rules import DEFAULTS, Rules
@@ -111,38 +112,38 @@ def with_links(pages: DataFrame, site_host: str | None = None, rules: Rules = DE
     return D.add(with_content(with_base(pages), rules), links=_links("_content", site_host, rules))
 
 
-# Fact tables: one row per item, exploded in place without a shuffle.
+# Fact tables: one row per item, exploded in place without a shuffle. ``site_origin`` names the one site of a harvest.
 
-def headings(pages: DataFrame, key: str = "page_id", rules: Rules = DEFAULTS) -> DataFrame:
-    rows = D.item_rows(with_headings(pages, rules), key, "headings", "pos", "h")
+def headings(pages: DataFrame, key: str = "page_id", rules: Rules = DEFAULTS, site_origin: str | None = None) -> DataFrame:
+    rows = D.item_rows(with_headings(of_site(pages, site_origin, rules), rules), key, "headings", "pos", "h")
     return rows.select(key, "pos", "h.tag", "h.text")
 
 
-def text_blocks(pages: DataFrame, key: str = "page_id", rules: Rules = DEFAULTS) -> DataFrame:
+def text_blocks(pages: DataFrame, key: str = "page_id", rules: Rules = DEFAULTS, site_origin: str | None = None) -> DataFrame:
     """``(page_id, block_no, text)``, numbered from 1."""
-    rows = D.item_rows(with_text_blocks(pages, rules), key, "text_blocks", "pos", "text")
+    rows = D.item_rows(with_text_blocks(of_site(pages, site_origin, rules), rules), key, "text_blocks", "pos", "text")
     return rows.select(key, (F.col("pos") + 1).alias("block_no"), "text")
 
 
-def table_cells(pages: DataFrame, key: str = "page_id", rules: Rules = DEFAULTS) -> DataFrame:
+def table_cells(pages: DataFrame, key: str = "page_id", rules: Rules = DEFAULTS, site_origin: str | None = None) -> DataFrame:
     """``(page_id, table_no, row_no, col_no, text)``, numbered from 1."""
-    rows = D.item_rows(with_tables(pages, rules), key, "tables", "t", "rows")
+    rows = D.item_rows(with_tables(of_site(pages, site_origin, rules), rules), key, "tables", "t", "rows")
     rows = D.item_rows(rows, (key, "t"), "rows", "r", "cells")
     rows = D.item_rows(rows, (key, "t", "r"), "cells", "c", "text")
     return rows.select(key, *[(F.col(a) + 1).alias(b) for a, b in
                               (("t", "table_no"), ("r", "row_no"), ("c", "col_no"))], "text")
 
 
-def images(pages: DataFrame, key: str = "page_id", rules: Rules = DEFAULTS) -> DataFrame:
-    rows = D.item_rows(with_images(pages, rules), key, "images", "pos", "im")
+def images(pages: DataFrame, key: str = "page_id", rules: Rules = DEFAULTS, site_origin: str | None = None) -> DataFrame:
+    rows = D.item_rows(with_images(of_site(pages, site_origin, rules), rules), key, "images", "pos", "im")
     return rows.select(key, "pos", "im.src", "im.alt")
 
 
 def links(pages: DataFrame, site_host: str | None = None, whole_page: bool = False,
-          key: str = "page_id", rules: Rules = DEFAULTS) -> DataFrame:
+          key: str = "page_id", rules: Rules = DEFAULTS, site_origin: str | None = None) -> DataFrame:
     """``(page_id, pos, href, text, kind)`` of the content, or of the whole page."""
     if whole_page:
         pages = D.add(with_base(pages), links=_links("dom", site_host, rules))
     else:
-        pages = with_links(pages, site_host, rules)
+        pages = with_links(of_site(pages, site_origin, rules), site_host, rules)
     return D.item_rows(pages, key, "links", "pos", "l").select(key, "pos", "l.href", "l.text", "l.kind")

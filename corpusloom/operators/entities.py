@@ -9,7 +9,7 @@ from corpusloom.functions import dom as D
 from corpusloom.functions import variants as V
 from corpusloom.functions.text import NO_STRINGS, falsy_coalesce, first, let, lit, non_empty, split_trim, strip
 from corpusloom.functions.urls import make_abs
-from corpusloom.operators.classify import classify_heading, is_card
+from corpusloom.operators.classify import classify_heading, is_card, of_site
 from corpusloom.operators.containers import with_content
 from corpusloom.operators.content import tables_of, with_headings, with_images
 from corpusloom.operators.head import with_head
@@ -177,17 +177,17 @@ def with_collection(pages: DataFrame, rules: Rules = DEFAULTS) -> DataFrame:
     return D.add(pages, collection=collection_sql()).drop("_items")
 
 
-def article_facts(pages: DataFrame, key: str = "page_id", rules: Rules = DEFAULTS) -> DataFrame:
-    return with_article(pages, rules).select(key, F.explode_outer(F.array("article")).alias("a")).where(
+def article_facts(pages: DataFrame, key: str = "page_id", rules: Rules = DEFAULTS, site_origin: str | None = None) -> DataFrame:
+    return with_article(of_site(pages, site_origin, rules), rules).select(key, F.explode_outer(F.array("article")).alias("a")).where(
         "a IS NOT NULL").select(key, "a.*")
 
 
-def product_facts(pages: DataFrame, key: str = "page_id", rules: Rules = DEFAULTS) -> DataFrame:
-    return with_product(pages, rules).select(key, F.explode_outer(F.array("product")).alias("p")).where(
+def product_facts(pages: DataFrame, key: str = "page_id", rules: Rules = DEFAULTS, site_origin: str | None = None) -> DataFrame:
+    return with_product(of_site(pages, site_origin, rules), rules).select(key, F.explode_outer(F.array("product")).alias("p")).where(
         "p IS NOT NULL").select(key, "p.name", "p.sections.*")
 
 
-def collection_items(pages: DataFrame, key: str = "page_id", rules: Rules = DEFAULTS) -> DataFrame:
+def collection_items(pages: DataFrame, key: str = "page_id", rules: Rules = DEFAULTS, site_origin: str | None = None) -> DataFrame:
     """``(page_id, pos, title, url, excerpt, thumb)`` of collection pages."""
-    rows = D.item_rows(with_collection(pages, rules), key, "collection.items", "pos", "item")
+    rows = D.item_rows(with_collection(of_site(pages, site_origin, rules), rules), key, "collection.items", "pos", "item")
     return rows.select(key, "pos", "item.title", "item.url", "item.excerpt", "item.thumb")

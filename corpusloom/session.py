@@ -58,16 +58,3 @@ def clear_staged(spark: SparkSession) -> int:
         path = spark._jvm.org.apache.hadoop.fs.Path(_STAGED.pop())
         removed += path.getFileSystem(conf).delete(path, True)
     return removed
-
-
-def spread(df: DataFrame, per_core: int = 2) -> DataFrame:
-    """Give a plain file scan at least one partition per core.
-
-    Only for scans: a small or single-row-group input would otherwise be parsed
-    by one task. Scans with enough splits of their own are returned untouched, so
-    large inputs are never shuffled.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores * per_core)

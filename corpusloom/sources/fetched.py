@@ -10,14 +10,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusloom.session import spread
-
 FETCHED = "requested_url STRING, final_url STRING, status INT, html STRING"
 
 
-def read_fetched(spark: SparkSession, path: str, format: str = "parquet") -> DataFrame:
-    """Fetch results stored as Parquet or JSON lines."""
-    return spread(spark.read.format(format).schema(FETCHED).load(path))
+def read_fetched(spark: SparkSession, path: str, format: str = "parquet", partitions: int | None = None) -> DataFrame:
+    """Fetch results stored as Parquet or JSON lines.
+
+    ``partitions`` deals the pages anew, for input in fewer splits than there are cores; by default nothing is exchanged.
+    """
+    fetched = spark.read.format(format).schema(FETCHED).load(path)
+    return fetched.repartition(partitions) if partitions else fetched
 
 
 def from_pages(pages: DataFrame) -> DataFrame:

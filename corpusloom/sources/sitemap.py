@@ -18,20 +18,36 @@ from corpusloom.functions.urls import authority
 # The parsing function travels to the executors by value.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+PIECE = 1 << 16  # bytes fed to the parser at once
 # Fixed value: how locations are found in text that is not XML.
 LOOSE_LOC = r"(?i)<loc>\s*([^<\s]+)\s*</loc>"
 
 
 def locations(xml: str | None) -> list[str]:
-    """Stripped locations of one document at any depth, in the namespace of its root; text that is not XML is searched."""
+    """Stripped locations of one document at any depth, in the namespace of its root; text that is not XML is searched.
+
+    The document is pulled through the parser in pieces and what has been read is let go, so a large sitemap is never a tree.
+    """
     if not xml:
         return []
+    found: list[str] = []
+    wanted, root = None, None
+    parser = ElementTree.XMLPullParser(["start", "end"])
+    data = xml.encode("utf-8", "surrogatepass")
     try:
-        root = ElementTree.fromstring(xml.encode("utf-8", "surrogatepass"))
+        for at in range(0, len(data), PIECE):
+            parser.feed(data[at:at + PIECE])
+            for event, element in parser.read_events():
+                if root is None:
+                    root, wanted = element, element.tag.rpartition("}")[0] + "}loc" if element.tag[0] == "{" else "loc"
+                elif event == "end" and element is not root:
+                    if element.tag == wanted and element.text:
+                        found.append(element.text.strip())
+                    element.clear()
+        parser.close()
     except (ElementTree.ParseError, LookupError, ValueError):
         return re.findall(LOOSE_LOC, xml)
-    space = root.tag[:root.tag.find("}") + 1]
-    return [e.text.strip() for e in root.iter(f"{space}loc") if e is not root and e.text]
+    return found
 
 
 @F.pandas_udf(T.ArrayType(T.StringType()))

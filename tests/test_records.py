@@ -5,6 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from corpusloom.operators import content, entities
 from corpusloom.operators.profiles import attach_profile
 from corpusloom.operators.records import build_records, harvest_results, with_record_hash
 from corpusloom.rules import Rules
@@ -290,3 +291,15 @@ def test_records_need_no_shuffle(spark):
     pages = from_pages(spark.createDataFrame([("1", URL, "<p>x")], "page_id string, url string, html string"))
     plan = with_record_hash(build_records(shred_pages(pages)))._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and plan.count("MapInArrow") == 1
+
+
+def test_facts_follow_the_site_that_is_named(spark):
+    """A page below the listing path of its own host, but of another site, is a product; so is its content found."""
+    html = '<script type="application/ld+json">{"@type":"Product"}</script><main><h2>a</h2></main><div class="entry-content"><h2>Grades</h2><table><tr><td>1</td></tr></table><p>x</p></div>'
+    page = spark.createDataFrame([(1, "https://m.example/products", html)], "page_id long, url string, html string")
+    pages = shred_pages(from_pages(page))
+    assert entities.product_facts(pages).count() == 0
+    assert entities.product_facts(pages, site_origin="https://www.example").count() == 1
+    assert [r.text for r in content.headings(pages).collect()] == ["a"]
+    assert [r.text for r in content.headings(pages, site_origin="https://www.example").collect()] == ["Grades"]
+    assert content.table_cells(pages).count() == 0 and content.table_cells(pages, site_origin="https://www.example").count() == 1
