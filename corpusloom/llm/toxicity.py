@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, field
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +28,12 @@ TARGETS = ("you your yours yourself he she they them these those people everyone
 NEGATIONS = "not never neither nor cannot hardly nicht kein keine keinen nie niemals pas jamais aucun aucune nunca jamás tampoco ningún".split()
 REPORTS = ("said says saying called calls wrote writes quoted claimed claims reported alleged sagte sagt nannte schrieb behauptet "
            "dit disait écrit appelé affirme dijo dice escribió llamó afirma").split()
-THREATS = "kill murder stab strangle shoot umbringen töten erschießen ermorden tuer assassiner égorger étrangler matar asesinar apuñalar".split()
+HARMS = ("kill kills killed killing murder murders murdered murdering stab stabs stabbed stabbing strangle strangles strangled strangling shoot shoots shot shooting "
+         "hurt hurts hurting umbringen umbringe umbringt umgebracht töten töte tötet getötet erschießen erschieße erschießt erschossen ermorden ermorde ermordet "
+         "tuer tue tues tuez assassiner assassine égorger égorge étrangler étrangle matar mato mata matamos asesinar asesina apuñalar apuñala").split()
+VOWS = "tuerai tuerons assassinerai égorgerai étranglerai mataré mataremos asesinaré apuñalaré".split()  # harm in a future form
+INTENTS = "will ll gonna going shall must werde werden muss vais allons voy vamos".split()
+MENTIONS = "word words term terms wort wörter begriff mot mots terme palabra palabras término".split()
 INSULTS = ("idiot moron stupid loser pathetic worthless disgusting scum trash imbecile jerk bastard bitch asshole dumbass trottel arschloch dummkopf "
            "schwachkopf connard imbécile abruti salaud crétin idiota imbécil estúpido cabrón pendejo").split()
 INSULT_WEIGHT, THREAT_WEIGHT = 3.0, 3.0
@@ -37,8 +43,8 @@ CLAUSE_END = re.compile(r"[.!?;:\n]+")
 
 # --- transducers -------------------------------------------------------------------------------------------------------
 
-#: Symbols of the clause grammar. The marked forms are what transducers turn insults and threats into.
-SYMBOLS = ("other", "insult", "threat", "target", "negation", "report", "end",
+#: Symbols of words, and what transducers make of them: matched insults and threats, and their marked forms.
+SYMBOLS = ("other", "insult word", "mention", "harm", "vow", "intent", "target", "negation", "report", "end", "insult", "threat", "aimed threat",
            "negated insult", "negated threat", "reported insult", "reported threat", "addressed end")
 
 
@@ -70,6 +76,40 @@ def compose(first: Transducer, second: Transducer) -> Transducer:
     return Transducer(arcs)
 
 
+def insult(reach: int = 2) -> Transducer:
+    """Matches insult words, but not within ``reach`` words after a word for words: 'the word idiot' insults nobody."""
+    arcs: dict[tuple[int, str], tuple[int, str]] = {}
+    for state in range(reach + 1):
+        arcs[state, "mention"] = (reach, "mention")
+        arcs[state, "end"] = (0, "end")
+        arcs[state, "insult word"] = (max(0, state - 1), "other" if state else "insult")
+        for symbol in ("other", "harm", "vow", "intent", "target", "report", "negation"):
+            arcs[state, symbol] = (max(0, state - 1), symbol)
+    return Transducer(arcs)
+
+
+def threat(reach: int = 3) -> Transducer:
+    """Matches a verb of harm within ``reach`` words after an intent, or before somebody it is aimed at, and vows: 'kill the process' threatens nobody.
+
+    A state is what is left of the reach of an intent and of a verb of harm.
+    """
+    arcs: dict[tuple[int, str], tuple[int, str]] = {}
+    number = {(i, h): i * (reach + 1) + h for i in range(reach + 1) for h in range(reach + 1)}
+    for (i, h), state in number.items():
+        less = number[max(0, i - 1), max(0, h - 1)]
+        for symbol in ("other", "mention", "insult", "report"):
+            arcs[state, symbol] = (less, symbol)
+        arcs[state, "intent"] = (number[reach, max(0, h - 1)], "intent")
+        arcs[state, "vow"] = (0, "threat")
+        arcs[state, "harm"] = (0, "threat") if i else (number[0, reach], "other")
+        arcs[state, "target"] = (number[i, 0], "aimed threat") if h else (less, "target")
+        arcs[state, "end"] = (0, "end")
+    return Transducer(arcs)
+
+
+MATCHED = {"insult": "insult", "threat": "threat", "aimed threat": "threat"}
+
+
 def negation(reach: int = 3) -> Transducer:
     """Marks an insult or threat within ``reach`` words after a negation."""
     arcs: dict[tuple[int, str], tuple[int, str]] = {}
@@ -77,28 +117,33 @@ def negation(reach: int = 3) -> Transducer:
         arcs[state, "negation"] = (reach, "negation")
         arcs[state, "end"] = (0, "end")
         if state:
-            for symbol in ("other", "target", "report"):
+            for symbol in ("other", "mention", "intent", "target", "report"):
                 arcs[state, symbol] = (state - 1, symbol)
-            for symbol in ("insult", "threat"):
-                arcs[state, symbol] = (state - 1, f"negated {symbol}")
+            for symbol, kind in MATCHED.items():
+                arcs[state, symbol] = (state - 1, f"negated {kind}")
     return Transducer(arcs)
 
 
 def reported_speech() -> Transducer:
     """Marks what follows a verb of saying in its clause."""
     arcs = {(0, "report"): (1, "report"), (1, "end"): (0, "end")}
-    arcs |= {(1, s): (1, f"reported {s}") for s in ("insult", "threat")}
+    arcs |= {(1, s): (1, f"reported {kind}") for s, kind in MATCHED.items()}
     return Transducer(arcs)
 
 
 def target() -> Transducer:
     """Marks the end of a clause that names somebody."""
-    return Transducer({(0, "target"): (1, "target"), (1, "end"): (0, "addressed end")})
+    return Transducer({(0, "target"): (1, "target"), (0, "aimed threat"): (1, "aimed threat"), (1, "end"): (0, "addressed end")})
+
+
+def machines() -> list[Transducer]:
+    """The five transducers in the order in which each reads what the one before puts out."""
+    return [insult(), threat(), negation(), reported_speech(), target()]
 
 
 def grammar() -> np.ndarray:
     """The composed machine as a table: [state, symbol] -> (state, symbol)."""
-    machine = compose(compose(negation(), reported_speech()), target())
+    machine = reduce(compose, machines())
     table = np.zeros((len(machine.states()), len(SYMBOLS), 2), np.int64)
     for state in machine.states():
         for i, symbol in enumerate(SYMBOLS):
@@ -113,12 +158,13 @@ FEATURES = ("plain", "addressed", "negated", "reported", "clauses")
 
 @dataclass(frozen=True)
 class Lexicon:
-    """The lexical transducer: words, and word beginnings (``stem*``), to insult weights; the fixed lists to their symbols."""
+    """Symbols of words: words and word beginnings (``stem*``) with their insult weights, the fixed lists with theirs."""
 
     weights: dict[str, float]
 
     def __post_init__(self) -> None:
-        fixed = {w: "target" for w in TARGETS} | {w: "negation" for w in NEGATIONS} | {w: "report" for w in REPORTS} | {w: "threat" for w in THREATS}
+        lists = {"target": TARGETS, "negation": NEGATIONS, "report": REPORTS, "harm": HARMS, "vow": VOWS, "intent": INTENTS, "mention": MENTIONS}
+        fixed = {w: symbol for symbol, some in lists.items() for w in some}
         object.__setattr__(self, "fixed", fixed)
         object.__setattr__(self, "lengths", sorted({len(w) - 1 for w in self.weights if w.endswith("*")}))
 
@@ -127,9 +173,8 @@ class Lexicon:
         if weight is None:
             weight = next((self.weights[k] for n in self.lengths if n <= len(word) and (k := word[:n] + "*") in self.weights), None)
         if weight is not None:
-            return "insult", weight
-        symbol = self.fixed.get(word, "other")
-        return symbol, THREAT_WEIGHT if symbol == "threat" else 0.0
+            return "insult word", weight
+        return self.fixed.get(word, "other"), 0.0
 
 
 class Scorer:
@@ -139,7 +184,7 @@ class Scorer:
         self.lexicon, self.table = lexicon, grammar().tolist()
         self.symbol = {s: i for i, s in enumerate(SYMBOLS)}
         self.automaton = ahocorasick.Automaton()
-        for cue in {w.rstrip("*") for w in lexicon.weights} | set(THREATS):
+        for cue in {w.rstrip("*") for w in lexicon.weights} | set(HARMS) | set(VOWS):
             self.automaton.add_word(cue, len(cue))
         if len(self.automaton):
             self.automaton.make_automaton()
@@ -157,8 +202,9 @@ class Scorer:
             for word in WORD.findall(clause):
                 symbol, weight = self.lexicon.read(word)
                 state, put = self.table[state][self.symbol[symbol]]
+                name = SYMBOLS[put]
+                weight = weight if name.endswith("insult") else THREAT_WEIGHT if name.endswith("threat") else 0.0
                 if weight:
-                    name = SYMBOLS[put]
                     found[1 if name.startswith("negated") else 2 if name.startswith("reported") else 0] += weight
             state, put = self.table[state][self.symbol["end"]]
             out[1 if SYMBOLS[put] == "addressed end" else 0] += found[0]
@@ -178,11 +224,14 @@ def held_out(doc_id: Column) -> Column:
 def training_sample(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> DataFrame:
     """Staged ``(text, toxic)`` of the ``rows`` labelled documents with the smallest hash of their id, none of them held out.
 
-    Of repeated labels the greatest counts. The chosen ids are bounded by ``rows``, hence the broadcast.
+    Of repeated labels the greatest counts, of repeated ids the least text, so the sample has ``rows`` rows at most. The chosen ids are
+    bounded by ``rows``, hence the broadcast.
     """
     known = labels.filter(F.col("toxic").isNotNull() & ~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
-    return stage(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select(F.coalesce("text", F.lit("")).alias("text"), "toxic"), "toxic-sample")
+    texts = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).join(F.broadcast(chosen.select("doc_id")), "doc_id", "left_semi")
+    one = texts.groupBy("doc_id").agg(F.min("text").alias("text"))
+    return stage(one.join(F.broadcast(chosen), "doc_id").select("text", "toxic"), "toxic-sample")
 
 
 def learn_lexicon(sample: DataFrame) -> Lexicon:
@@ -251,7 +300,8 @@ def score_documents(docs: DataFrame, labels: DataFrame, keep: tuple[str, ...] =
 
     Only the text is scored: learned cues and fixed lists give symbols, the composed grammar rewrites them clause by clause, and a
     calibrated sum of the clause weights gives the score. Null and empty texts have no clause and get the score of the
-    intercept. Without labelled documents nothing is learned and scores are low. Rows are never exchanged.
+    intercept. Without labelled documents nothing is learned and scores are low. Repeated rows are scored each; very long texts are read whole, clause by
+    clause; an empty table gives no rows; columns named like those added are only read if kept. Rows are never exchanged.
     """
     sample = training_sample(docs, labels)
     lexicon = learn_lexicon(sample)
