@@ -8,17 +8,18 @@ from pyspark.sql import functions as F
 # Fixed values of the template: header mark, turn end, and the control strings escaped inside texts.
 HEADER = "### "
 END = "\n</turn>\n"
-CONTROL = r"\\*(?:###|</turn>)"
+CONTROL = r"\\*+(?:###|</turn>)"
+BEGIN = r"(?<!\\)"  # a match begins where its run of backslashes does, so a long run is gone through once
 DEEPEST = 2
 
 
 def escape(text: Column) -> Column:
     """One more backslash before each control string and the backslashes that lead it."""
-    return F.regexp_replace(text, f"({CONTROL})", r"\\$1")
+    return F.regexp_replace(text, f"{BEGIN}({CONTROL})", r"\\$1")
 
 
 def unescape(text: Column) -> Column:
-    return F.regexp_replace(text, rf"\\({CONTROL})", "$1")
+    return F.regexp_replace(text, rf"{BEGIN}\\({CONTROL})", "$1")
 
 
 def _pack_role(role: Column) -> Column:
@@ -60,8 +61,8 @@ def format_chats(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", ro
     a parser result that never agrees fails the job. ``loss_mask`` lists (start, length) in code points of the
     bodies of ``trained`` turns; ``escapes`` counts turns that needed escaping; ``agrees`` tells that the whole
     text reparses to the source. Turns are ordered by (turn, role, text), a null turn first; a null role or text
-    is empty, a null conversation id is one conversation. Other columns are not read. The one exchange is by
-    conversation, which is the unit of output.
+    is empty, a null conversation id is one conversation; repeated rows are turns of their own; an empty table gives no rows; texts of any length are
+    gone through a fixed number of times. Other columns are not read. The one exchange is by conversation, which is the unit of output.
     """
     source = turns.select(F.col(conv).alias("conv"), F.col(turn).alias("turn"), F.coalesce(role, F.lit("")).alias("role"),
                           F.coalesce(text, F.lit("")).alias("text"))

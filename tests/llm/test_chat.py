@@ -1,5 +1,6 @@
 import hashlib
 import itertools
+import time
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -49,3 +50,15 @@ def test_broken_text_has_null_turns(spark):
     df = spark.createDataFrame([(f"no header{END}",), (f"{HEADER}user:\nplain ### inside{END}",), (f"{HEADER}user:\nx{END}tail",)], "s string")
     got = [r[0] for r in df.select(parse(F.col("s"))).collect()]
     assert got[0] == [None] and got[1] == [None] and got[2][1] is None
+
+
+def test_long_runs_of_backslashes(spark):
+    """A million backslashes are gone through once a pass, before a control string or not."""
+    run = "\\" * 1_000_000
+    rows = [(1, 0, "assistant", run), (2, 0, "assistant", run + "###" + run), (3, 0, "user", (run[:200_000] + "x") * 5)]
+    began = time.time()
+    got = {r.conv_id: r for r in formatted(spark, rows)}
+    assert time.time() - began < 60
+    assert {c: r.turns[0].text for c, r in got.items()} == {c: t for c, _, _, t in rows}
+    assert got[1].loss == run and got[2].loss == run + "###" + run and got[3].loss == ""
+    assert (got[1].escapes, got[2].escapes) == (0, 1)
