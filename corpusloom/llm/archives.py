@@ -20,6 +20,7 @@ SMALLEST_REVISIT = 100
 # Fixed values of the two formats: ARC record definitions by version, WARC version and revisit profile.
 DEFINITION = {1: "URL IP-address Archive-date Content-type Archive-length",
               2: "URL IP-address Archive-date Content-type Result-code Checksum Location Offset Filename Archive-length"}
+VERSION_BODY = re.compile(rb"[12] \d+[ \n]")  # version, reserved, origin
 WARC_VERSION = "WARC/1.1"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 ID_HEADER = "X-Page-Id"
@@ -115,20 +116,22 @@ def arc_records(data: bytes, name: str) -> Iterator[tuple]:
             continue
         end = data.find(b"\n", at)
         parts = data[at:end if end >= 0 else len(data)].decode("utf-8", "replace").split(" ")
-        if data.startswith(b"filedesc://", at):  # this line is laid out by the version it announces
-            length, line = parts[-1], dict(zip(DEFINITION[1].split(), parts, strict=False))
+        start, length = end + 1, parts[-1]
+        # A version block's line is laid out by the version it announces; a page may be called like one, but has no such body.
+        about = data.startswith(b"filedesc://", at) and VERSION_BODY.match(data, start)
+        if about:
+            line = dict(zip(DEFINITION[1].split(), parts, strict=False))
         else:
             if len(parts) != len(fields):
                 raise ValueError(f"{name} at {at}: header of {len(parts)} fields, {len(fields)} expected")
             line = dict(zip(fields, parts, strict=True))
             length = line["Archive-length"]
-        start = end + 1
         if end < 0 or not length.isdigit() or start + int(length) > len(data):
             raise ValueError(f"{name} at {at}: length {length!r} does not fit the file")
         body = data[start:start + int(length)]
         id_ = f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{name}#{at}#{parts[0]}')}>"
         common = (id_, parts[0], line.get("IP-address", "0.0.0.0"), _iso(line.get("Archive-date", "")), line.get("Content-type", ""))
-        if parts[0].startswith("filedesc://"):
+        if about:
             lines = body.decode("utf-8", "replace").split("\n")
             fields = lines[1].split() if len(lines) > 1 and lines[1].startswith("URL ") else DEFINITION[int(lines[0].split(" ")[0])].split()
             yield (*common, "warcinfo", b"", body)

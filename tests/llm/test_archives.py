@@ -30,6 +30,16 @@ def test_awkward_pages(spark, monkeypatch):
     assert A.page_archive(pages(spark, [])).count() == 0
 
 
+def test_pages_named_like_version_blocks_and_repeated_rows(spark):
+    body = "1 0 corpus\nURL IP-address Archive-date Content-type Archive-length\n" * 3
+    rows = [(1, "filedesc://pages.arc", body), (2, "filedesc://x", "short"), (3, "http://a.example/", body), (3, "http://a.example/", body), (2, "filedesc://x", "short"),
+            (4, "filedesc://y", None), (5, "http://b.example/", "w" * 300_000), (5, "http://b.example/", "w" * 300_000)]
+    got = sorted((tuple(r) for r in A.page_archive(pages(spark, rows).repartition(2)).collect()), key=repr)
+    assert [g[:3] for g in got] == [w[:3] for w in brute(rows)]
+    assert sorted((g[0], g[3], g[4]) for g in got) == sorted([(1, "response", None), (2, "response", None), (2, "response", None), (3, "revisit", 1), (3, "revisit", 1),
+                                                              (4, "response", None), (5, "response", None), (5, "revisit", 5)], key=repr)
+
+
 def test_both_versions_and_their_header_lines(spark, tmp_path):
     v1 = b"filedesc://one.arc 0.0.0.0 20010203040506 text/plain 77\n1 0 crawler\nURL IP-address Archive-date Content-type Archive-length\n" + b"x" * 5
     v1 = v1.replace(b" 77\n", b" %d\n" % (len(v1) - v1.index(b"\n") - 1))
