@@ -18,6 +18,8 @@ SPAN = REPEAT - ANCHOR + 1
 CHUNK_BYTES = 4 << 20
 #: Occurrences from which an anchor's strings are dealt to shards window by window.
 HOT = 20_000
+#: Chunks that rows equal in id and text are dealt to.
+DEALT = 4096
 LAST = np.int64((1 << 63) - 1)
 MIX_A, MIX_B, MIX_C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0xBF58476D1CE4E5B9)
 
@@ -105,30 +107,46 @@ def _table(schema: str, rows: list[tuple]) -> pa.Table:
 
 # --- which anchors occur in more than one document ---------------------------------------------------------------------
 
+SEVEN_BITS = 127
+
+
+def _packed(keys: np.ndarray, occurrences: np.ndarray, several: np.ndarray) -> bytes:
+    """Number of anchors, their keys, a byte each (occurrences up to 126 and whether in several rows), and the larger numbers."""
+    short = np.minimum(occurrences, SEVEN_BITS).astype(np.uint8) * 2 + several
+    return np.uint32(len(keys)).tobytes() + keys.tobytes() + short.tobytes() + occurrences[occurrences >= SEVEN_BITS].astype("<u4").tobytes()
+
+
+def _unpacked(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    n = int(np.frombuffer(blob, "<u4", 1)[0])
+    keys, short = np.frombuffer(blob, "<u8", n, 4), np.frombuffer(blob, np.uint8, n, 4 + 8 * n)
+    occurrences = (short >> 1).astype(np.int64)
+    occurrences[occurrences == SEVEN_BITS] = np.frombuffer(blob, "<u4", offset=4 + 9 * n)
+    return keys, occurrences, (short & 1).astype(bool)
+
+
 def _anchor_counts(parts: int) -> Callable:
     def counted(table: pa.Table) -> pa.Table:
-        """A chunk's distinct anchors by key range, with the number of its rows that hold each (255: or more)."""
+        """A chunk's distinct anchors by key range, with their occurrences, and whether more than one of its rows holds them."""
         chunk = Chunk(table)
         pairs = np.unique(chunk.slot * np.int64(len(chunk.ids)) + chunk.doc) // len(chunk.ids)
-        rows = np.minimum(np.bincount(pairs, minlength=len(chunk.known)), 255).astype(np.uint8)
+        several = np.bincount(pairs, minlength=len(chunk.known)) > 1
+        occurrences = np.bincount(chunk.slot, minlength=len(chunk.known))
         where, id_ = _part(chunk.known, parts), table["chunk"][0].as_py()
-        return _table(CODES, [(id_, p, chunk.known[a:b].tobytes() + rows[a:b].tobytes()) for p, a, b in _cuts(where)])
+        return _table(CODES, [(id_, p, _packed(chunk.known[a:b], occurrences[a:b], several[a:b])) for p, a, b in _cuts(where)])
     return counted
 
 
 def _anchor_codes(table: pa.Table) -> pa.Table:
-    """For every chunk of a key range: 0 for an anchor of one row, 1 for more, 2 for very many."""
-    blobs = table["codes"].to_pylist()
-    sizes = [len(b) // 9 for b in blobs]
-    keys = np.concatenate([np.frombuffer(b, "<u8", n) for b, n in zip(blobs, sizes, strict=True)])
-    rows = np.concatenate([np.frombuffer(b, np.uint8, n, 8 * n) for b, n in zip(blobs, sizes, strict=True)])
+    """For every chunk of a key range: 0 for an anchor of one row, 1 for more, 2 for one of very many occurrences in more."""
+    blobs = [_unpacked(b) for b in table["codes"].to_pylist()]
+    keys, occurrences, several = (np.concatenate(x) for x in zip(*blobs))
     _, slot = np.unique(keys, return_inverse=True)
-    total = np.bincount(slot, rows)
-    codes = ((total > 1).astype(np.uint8) + (total >= HOT))[slot]
+    shared = (np.bincount(slot) > 1) | (np.bincount(slot, several) > 0)
+    codes = (shared.astype(np.uint8) + (shared & (np.bincount(slot, occurrences) >= HOT)))[slot]
     at, out = 0, []
-    for chunk, part, n in zip(table["chunk"].to_pylist(), table["part"].to_pylist(), sizes, strict=True):
-        out.append((chunk, part, codes[at:at + n].tobytes()))
-        at += n
+    for chunk, part, (own, _, _) in zip(table["chunk"].to_pylist(), table["part"].to_pylist(), blobs, strict=True):
+        out.append((chunk, part, codes[at:at + len(own)].tobytes()))
+        at += len(own)
     return _table(CODES, out)
 
 
@@ -322,7 +340,7 @@ def remove_repeats(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), decoded
 
     A byte goes if a ``REPEAT``-byte string that covers it also starts in a row of smaller doc_id, judged on the input. A null
     text is empty; a null id counts as larger than all others; rows of equal id never cut each other; texts shorter than a
-    repeat stay. ``kept`` is binary, for a run may end inside a character; ``decoded`` makes it a text without such remains. An
+    repeat stay; repeated rows are rows of their own; one text is one piece of work, however long. ``kept`` is binary, for a run may end inside a character; ``decoded`` makes it a text without such remains. An
     empty table gives no rows.
 
     Texts are dealt into chunks once, and that exchange serves all three steps over texts. Equal windows share an anchor, so
@@ -333,7 +351,9 @@ def remove_repeats(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), decoded
     total = text_bytes(docs)
     chunks, parts = parts_for(total, CHUNK_BYTES), parts_for(total, CHUNK_BYTES)
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"), F.struct(*keep).alias("row"))
-    rows = rows.withColumn("digest", F.xxhash64("doc_id", "text")).withColumn("chunk", F.pmod("digest", F.lit(chunks)).cast("bigint"))
+    # Rows equal in id and text are dealt to several chunks too; within one their order does not matter.
+    deal = F.xxhash64("digest", F.monotonically_increasing_id() % DEALT)
+    rows = rows.withColumn("digest", F.xxhash64("doc_id", "text")).withColumn("chunk", F.pmod(deal, F.lit(chunks)).cast("bigint"))
     texts = rows.select("chunk", "doc_id", "digest", "text", "row")
     codes = (texts.groupBy("chunk").applyInArrow(_anchor_counts(parts), CODES).groupBy("part").applyInArrow(_anchor_codes, CODES))
     units = texts.groupBy("chunk").cogroup(codes.groupBy("chunk")).applyInArrow(_unit_rows(parts), UNITS)

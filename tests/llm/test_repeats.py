@@ -60,3 +60,38 @@ def test_equal_windows_have_equal_anchors():
         for p in range(len(text) - 49):
             alone, _ = R.anchors(np.frombuffer(text[p:p + 50], np.uint8), np.array([0, 50]))
             assert len(alone) and {p + i for i in alone.tolist()} <= places
+
+
+def test_very_long_texts_and_many_equal_rows(spark, monkeypatch):
+    monkeypatch.setattr(R, "CHUNK_BYTES", 40_000)
+    monkeypatch.setattr(R, "HOT", 300)
+    same = "the same passage over and over, of more than fifty bytes, by one id; "
+    rows = [*DOCUMENTS, *[(500, same)] * 700, (400, "x" + same * 3), (600, same[5:60]), (None, same), (None, same)]
+    assert run(spark, rows) == sorted(repeats(rows))
+
+
+def test_equal_rows_do_not_meet_in_one_chunk(spark, monkeypatch):
+    monkeypatch.setattr(R, "CHUNK_BYTES", 4000)
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(parts):
+        work = original(parts)
+
+        def run_(table):
+            seen.add(1)
+            return work(table)
+        return run_
+    original = R._anchor_counts
+    monkeypatch.setattr(R, "_anchor_counts", counted)
+    rows = [(7, "one text that is said a thousand times and has more than fifty bytes")] * 1000
+    assert R.remove_repeats(documents(spark, rows)).filter("size(spans) > 0").count() == 0
+    assert seen.value > 8
+
+
+def test_counts_travel_whole():
+    rng = np.random.default_rng(1)
+    keys = np.unique(rng.integers(0, 2**63, 500, dtype=np.uint64))
+    occurrences, several = rng.choice([1, 2, 126, 127, 128, 255, 70_000], len(keys)), rng.random(len(keys)) < 0.5
+    got = R._unpacked(R._packed(keys, occurrences, several))
+    assert all((a == b).all() for a, b in zip(got, (keys, occurrences, several)))
+    assert all(len(x) == 0 for x in R._unpacked(R._packed(keys[:0], occurrences[:0], several[:0])))
