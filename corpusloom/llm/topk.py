@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable, Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -12,7 +14,8 @@ from corpusloom.session import stage
 from .common import parts_for
 
 BLOCK_ROWS = 16_384
-QUERIES_PER_UNIT = 256
+#: A block is copied to more tasks only if each has so many queries.
+QUERIES_PER_UNIT = 64
 
 INDEX_SCHEMA = "block int, attribute int, slice int, base bigint, bits binary"
 HIT_SCHEMA = "query_id bigint, vec_id bigint, score bigint"
@@ -134,54 +137,78 @@ def _sums(held: np.ndarray) -> list[int]:
     return sums
 
 
-def _searcher(k: int):
-    def search(index: pa.Table, queries: pa.Table) -> pa.Table:
-        """Top k of one block for each query of one unit."""
-        got: list[tuple[int, int, int]] = []
+class Block:
+    """One block of the index, ready to be asked."""
+
+    def __init__(self, index: pa.Table) -> None:
         attribute, shift, base = (np.asarray(index[c]) for c in ("attribute", "slice", "base"))
-        if len(attribute) and queries.num_rows:
-            blobs = index["bits"].to_pylist()
-            head = int(np.flatnonzero(attribute == -1)[0])
-            ids = np.frombuffer(blobs[head], "<i8")
-            words = -(-len(ids) // 64)
-            own = np.flatnonzero(attribute >= 0)
-            bits = np.frombuffer(b"".join(blobs[i] for i in own), np.uint64).reshape(len(own), words)
-            attribute, shift, base = attribute[own], shift[own].astype(np.int64), base[own]
-            slices = np.concatenate([bits, ~bits])  # the complement serves negative query components
-            every = np.packbits(np.r_[np.ones(len(ids), np.uint8), np.zeros(words * 64 - len(ids), np.uint8)], bitorder="little").view(np.uint64)
-            first = shift == 0
-            highest = np.zeros(attribute.max(initial=-1) + 1, np.int64)
-            np.maximum.at(highest, attribute, shift)
-            bases = np.zeros(len(highest), np.int64)
-            bases[attribute[first]] = base[first]
-            spans = [(1 << (h + 1)) - 1 for h in highest.tolist()]
-            for query_id, q in zip(np.asarray(queries["vec_id"]).tolist(), _matrix(queries["x"]), strict=True):
-                width = min(len(q), len(bases))
-                q = np.concatenate([q[:width], np.zeros(len(bases) - width, np.int64)])
-                # q*x = |q|*(x - base) + q*base, and for negative q the complement of x - base counts instead.
-                fixed = sum(x * base + min(x, 0) * span for x, base, span in zip(q.tolist(), bases.tolist(), spans, strict=True))
-                size, which = np.abs(q)[attribute], np.arange(len(attribute)) + (q < 0)[attribute] * len(attribute)
-                depth = int(size.max(initial=0)).bit_length()
-                rows, power = np.nonzero((size[:, None] >> np.arange(max(1, depth))[None, :]) & 1)
-                weight = shift[rows] + power
-                order = np.argsort(weight, kind="stable")
-                cuts = np.searchsorted(weight[order], np.arange(weight.max(initial=-1) + 2))
-                levels = [[slices[which[rows[order[a:b]]]]] if b > a else [] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
-                planes = _add(levels) if levels else np.zeros((1, words), np.uint64)
-                rest = every
-                lo, hi = np.searchsorted(ids, [query_id, query_id + 1])
-                if hi > lo:
-                    mine = np.zeros(words * 64, np.uint8)
-                    mine[lo:hi] = 1
-                    rest = every & ~np.packbits(mine, bitorder="little").view(np.uint64)
-                at = _select(planes, rest, k)
-                held = (planes[:, at // 64] >> (at % 64).astype(np.uint64)[None, :]) & np.uint64(1)
-                scores = [above + fixed for above in _sums(held)]
-                if any(not -(1 << 63) <= score < 1 << 63 for score in scores):
-                    raise ValueError(f"top k: a score of query {query_id} is beyond 64 bits")
-                got.extend(zip([query_id] * len(at), ids[at].tolist(), scores, strict=True))
-        columns = list(zip(*got)) or [[], [], []]
-        return pa.table([pa.array(c, pa.int64()) for c in columns], names=["query_id", "vec_id", "score"])
+        blobs = index["bits"].to_pylist()
+        self.ids = np.frombuffer(blobs[int(np.flatnonzero(attribute == -1)[0])], "<i8")
+        self.words = words = -(-len(self.ids) // 64)
+        own = np.flatnonzero(attribute >= 0)
+        bits = np.frombuffer(b"".join(blobs[i] for i in own), np.uint64).reshape(len(own), words)
+        self.attribute, self.shift, base = attribute[own], shift[own].astype(np.int64), base[own]
+        self.slices = np.concatenate([bits, ~bits])  # the complement serves negative query components
+        self.every = np.packbits(np.r_[np.ones(len(self.ids), np.uint8), np.zeros(words * 64 - len(self.ids), np.uint8)], bitorder="little").view(np.uint64)
+        first = self.shift == 0
+        highest = np.zeros(self.attribute.max(initial=-1) + 1, np.int64)
+        np.maximum.at(highest, self.attribute, self.shift)
+        self.bases = np.zeros(len(highest), np.int64)
+        self.bases[self.attribute[first]] = base[first]
+        self.spans = [(1 << (h + 1)) - 1 for h in highest.tolist()]
+
+    def top(self, query_id: int, q: np.ndarray, k: int) -> list[tuple[int, int, int]]:
+        """The ``k`` highest of the block but the query's own rows."""
+        attribute, shift, slices, ids = self.attribute, self.shift, self.slices, self.ids
+        width = min(len(q), len(self.bases))
+        q = np.concatenate([q[:width], np.zeros(len(self.bases) - width, np.int64)])
+        # q*x = |q|*(x - base) + q*base, and for negative q the complement of x - base counts instead.
+        fixed = sum(x * base + min(x, 0) * span for x, base, span in zip(q.tolist(), self.bases.tolist(), self.spans, strict=True))
+        size, which = np.abs(q)[attribute], np.arange(len(attribute)) + (q < 0)[attribute] * len(attribute)
+        depth = int(size.max(initial=0)).bit_length()
+        rows, power = np.nonzero((size[:, None] >> np.arange(max(1, depth))[None, :]) & 1)
+        weight = shift[rows] + power
+        order = np.argsort(weight, kind="stable")
+        cuts = np.searchsorted(weight[order], np.arange(weight.max(initial=-1) + 2))
+        levels = [[slices[which[rows[order[a:b]]]]] if b > a else [] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+        planes = _add(levels) if levels else np.zeros((1, self.words), np.uint64)
+        rest = self.every
+        lo, hi = np.searchsorted(ids, [query_id, query_id + 1])
+        if hi > lo:
+            mine = np.zeros(self.words * 64, np.uint8)
+            mine[lo:hi] = 1
+            rest = rest & ~np.packbits(mine, bitorder="little").view(np.uint64)
+        at = _select(planes, rest, k)
+        held = (planes[:, at // 64] >> (at % 64).astype(np.uint64)[None, :]) & np.uint64(1)
+        scores = [above + fixed for above in _sums(held)]
+        if any(not -(1 << 63) <= score < 1 << 63 for score in scores):
+            raise ValueError(f"top k: a score of query {query_id} is beyond 64 bits")
+        return list(zip([query_id] * len(at), ids[at].tolist(), scores, strict=True))
+
+
+def _searcher(k: int) -> Callable:
+    def search(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows come by (block, lane), the block's slices before its queries: a task holds one block and asks as queries pass."""
+        unit, held, block = None, [], None
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            lanes, asks = np.asarray(table["block"], np.int64) << 32 | np.asarray(table["lane"], np.int64), table["vec_id"].is_valid().to_numpy()
+            cuts = np.flatnonzero(np.r_[True, (lanes[1:] != lanes[:-1]) | (asks[1:] != asks[:-1])])
+            got: list[tuple[int, int, int]] = []
+            for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), table.num_rows], strict=True):
+                if lanes[a] != unit:
+                    unit, held, block = lanes[a], [], None
+                part = table.slice(a, b - a)
+                if not asks[a]:
+                    held.append(part)
+                    continue
+                if block is None and held:
+                    block, held = Block(pa.concat_tables(held).combine_chunks()), []
+                if block is not None:
+                    for query_id, q in zip(part["vec_id"].to_pylist(), _matrix(part["x"]), strict=True):
+                        got.extend(block.top(query_id, q, k))
+            columns = list(zip(*got)) or [[], [], []]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["query_id", "vec_id", "score"])
     return search
 
 
@@ -192,16 +219,19 @@ def top_k(quantised: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     least vector asks. Vectors of unequal length are compared as if padded with zeros. With no rows the result is empty.
     Components have any size of 64 bits; a score beyond 64 bits among the ``k`` highest of a block is an error.
 
-    The index is staged once in blocks. A stated query set meets every block: units of (block, query chunk) are
-    cogrouped, so a task holds one block and one chunk whatever the table's size, and nothing is broadcast or pruned.
-    A query's own top k of each block is all that reaches the final ranking.
+    The index is staged once in blocks. A stated query set meets every block: a block's slices go to one task, or to as many as
+    are needed to keep all cores busy, and the queries pass by it there, so a task holds one block whatever the table's size, the index moves
+    once where there are as many blocks as cores, and nothing is broadcast or pruned. A query's own top k of each block is all that
+    reaches the final ranking.
     """
     index, blocks = build_index(quantised)
     asked = queries.groupBy("vec_id").agg(F.min("x").alias("x"))
-    chunks = parts_for(asked.count(), QUERIES_PER_UNIT)
-    left = index.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))))
-    right = (asked.withColumn("chunk", F.pmod(F.xxhash64("vec_id"), F.lit(chunks)).cast("int"))
-             .withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))))
-    hits = left.groupBy("block", "chunk").cogroup(right.groupBy("block", "chunk")).applyInArrow(_searcher(k), HIT_SCHEMA)
+    cores = quantised.sparkSession.sparkContext.defaultParallelism
+    lanes = min(parts_for(asked.count(), QUERIES_PER_UNIT), parts_for(cores, blocks))
+    every = F.explode(F.sequence(F.lit(0), F.lit(lanes - 1))).alias("lane")
+    left = index.select("block", every, *index.columns[1:])
+    right = asked.select(F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), F.pmod(F.xxhash64("vec_id"), F.lit(lanes)).cast("int").alias("lane"), "vec_id", "x")
+    met = left.unionByName(right, allowMissingColumns=True).repartition("block", "lane").sortWithinPartitions("block", "lane", F.col("vec_id").asc_nulls_first())
+    hits = met.mapInArrow(_searcher(k), HIT_SCHEMA)
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return hits.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
