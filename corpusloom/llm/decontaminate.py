@@ -141,6 +141,8 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, keep: tuple[str, .
     kept = [f"_keep{i}" for i in range(len(keep))]
     rows = docs.select(*[F.col(c).alias(k) for c, k in zip(keep, kept, strict=True)], F.col("text").cast("string").alias("text"),
                        *([F.monotonically_increasing_id().alias("row")] if passes > 1 else []))
+    if passes > 1:
+        rows = stage(rows, "numbered-documents")  # every pass has to see the same numbers
     found = None
     for n in range(passes):
         part = [(r["words"], r["items"]) for r in windows.filter(F.pmod(F.xxhash64("words"), F.lit(passes)) == n).collect()]
