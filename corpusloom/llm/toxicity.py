@@ -9,8 +9,10 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corpusloom.session import stage
 
@@ -275,7 +277,8 @@ def _features(lexicon: Lexicon, keep: list[str]) -> Callable:
     def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(lexicon)
         for batch in batches:
-            rows = np.array([scorer.features(t.as_py() or "") for t in batch["text"]], np.float64).reshape(-1, len(FEATURES))
+            texts = batch["text"] if "text" in batch.schema.names else pc.struct_field(batch["row"], "text")
+            rows = np.array([scorer.features(t.as_py() or "") for t in texts], np.float64).reshape(-1, len(FEATURES))
             yield pa.RecordBatch.from_arrays([*(batch[c] for c in keep), *(pa.array(rows[:, i]) for i in range(len(FEATURES)))], [*keep, *FEATURES])
     return score
 
@@ -309,7 +312,9 @@ def score_documents(docs: DataFrame, labels: DataFrame, keep: tuple[str, ...] =
     known = sample.mapInArrow(_features(lexicon, ["toxic"]), f"toxic {sample.schema['toxic'].dataType.simpleString()}, {fields}").toArrow()
     matrix = np.column_stack([known[f].to_numpy() for f in FEATURES]).reshape(-1, len(FEATURES))
     weights = calibrate(matrix, known["toxic"].to_numpy().astype(np.float64))
-    rows = docs.select(F.struct(*keep).alias("row"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), held_out(F.col("doc_id")).alias("held_out"))
+    # A text that is kept anyway travels once.
+    text = [] if "text" in keep and docs.schema["text"].dataType == T.StringType() else [F.col("text").cast("string").alias("text")]
+    rows = docs.select(F.struct(*keep).alias("row"), *text, held_out(F.col("doc_id")).alias("held_out"))
     scored = rows.mapInArrow(_features(lexicon, ["row", "held_out"]), f"row {rows.schema['row'].dataType.simpleString()}, held_out boolean, {fields}")
     total = sum((F.col(f) * float(w) for f, w in zip(FEATURES, weights[1:], strict=True)), F.lit(float(weights[0])))
     score = 1 / (1 + F.exp(-F.greatest(F.least(total, F.lit(30.0)), F.lit(-30.0))))
