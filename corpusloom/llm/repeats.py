@@ -16,7 +16,7 @@ from .suffixes import permuted_lcp, suffix_array
 REPEAT, ANCHOR = 50, 16
 SPAN = REPEAT - ANCHOR + 1
 CHUNK_BYTES = 4 << 20
-#: Occurrences from which an anchor's strings are dealt to shards window by window.
+#: Distinct strings around an anchor from which they are dealt to shards window by window; copies of one string are one.
 HOT = 20_000
 #: Chunks that rows equal in id and text are dealt to.
 DEALT = 4096
@@ -94,7 +94,9 @@ def _part(keys: np.ndarray, parts: int) -> np.ndarray:
 
 
 def _cuts(parts: np.ndarray) -> Iterator[tuple[int, int, int]]:
-    edge = np.flatnonzero(np.r_[True, parts[1:] != parts[:-1]]) if len(parts) else np.zeros(0, np.int64)
+    if not len(parts):
+        return
+    edge = np.flatnonzero(np.r_[True, parts[1:] != parts[:-1]])
     yield from zip(parts[edge].tolist(), edge.tolist(), np.r_[edge[1:], len(parts)].astype(int).tolist(), strict=True)
 
 
@@ -110,39 +112,51 @@ def _table(schema: str, rows: list[tuple]) -> pa.Table:
 SEVEN_BITS = 127
 
 
-def _packed(keys: np.ndarray, occurrences: np.ndarray, several: np.ndarray) -> bytes:
-    """Number of anchors, their keys, a byte each (occurrences up to 126 and whether in several rows), and the larger numbers."""
-    short = np.minimum(occurrences, SEVEN_BITS).astype(np.uint8) * 2 + several
-    return np.uint32(len(keys)).tobytes() + keys.tobytes() + short.tobytes() + occurrences[occurrences >= SEVEN_BITS].astype("<u4").tobytes()
+def _packed(keys: np.ndarray, strings: np.ndarray, several: np.ndarray) -> bytes:
+    """Number of anchors, their keys, a byte each (strings up to 126 and whether in several rows), and the larger numbers."""
+    short = np.minimum(strings, SEVEN_BITS).astype(np.uint8) * 2 + several
+    return np.uint32(len(keys)).tobytes() + keys.tobytes() + short.tobytes() + strings[strings >= SEVEN_BITS].astype("<u4").tobytes()
 
 
 def _unpacked(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     n = int(np.frombuffer(blob, "<u4", 1)[0])
     keys, short = np.frombuffer(blob, "<u8", n, 4), np.frombuffer(blob, np.uint8, n, 4 + 8 * n)
-    occurrences = (short >> 1).astype(np.int64)
-    occurrences[occurrences == SEVEN_BITS] = np.frombuffer(blob, "<u4", offset=4 + 9 * n)
-    return keys, occurrences, (short & 1).astype(bool)
+    strings = (short >> 1).astype(np.int64)
+    strings[strings == SEVEN_BITS] = np.frombuffer(blob, "<u4", offset=4 + 9 * n)
+    return keys, strings, (short & 1).astype(bool)
+
+
+def _strings(chunk: Chunk) -> np.ndarray:
+    """For each distinct anchor the number of distinct strings around it, told apart by a hash of their bytes."""
+    begin, end = np.maximum(chunk.bounds[chunk.doc], chunk.at - SPAN + 1), np.minimum(chunk.bounds[chunk.doc + 1], chunk.at + REPEAT)
+    n, odd = len(chunk.data), int(MIX_A)
+    power = np.cumprod(np.full(n + 1, np.uint64(odd)))
+    until = np.concatenate([np.zeros(1, np.uint64), np.cumsum((chunk.data.astype(np.uint64) + np.uint64(1)) * power[:n])])
+    back = np.cumprod(np.full(n + 1, np.uint64(pow(odd, -1, 1 << 64))))
+    around = (until[end] - until[begin]) * back[begin]
+    _, one = np.unique((around ^ (around >> np.uint64(31))) * MIX_B + chunk.hash, return_index=True)
+    return np.bincount(chunk.slot[one], minlength=len(chunk.known))
 
 
 def _anchor_counts(parts: int) -> Callable:
     def counted(table: pa.Table) -> pa.Table:
-        """A chunk's distinct anchors by key range, with their occurrences, and whether more than one of its rows holds them."""
+        """A chunk's distinct anchors by key range, with their distinct strings, and whether more than one of its rows holds them."""
         chunk = Chunk(table)
         pairs = np.unique(chunk.slot * np.int64(len(chunk.ids)) + chunk.doc) // len(chunk.ids)
         several = np.bincount(pairs, minlength=len(chunk.known)) > 1
-        occurrences = np.bincount(chunk.slot, minlength=len(chunk.known))
+        strings = _strings(chunk)
         where, id_ = _part(chunk.known, parts), table["chunk"][0].as_py()
-        return _table(CODES, [(id_, p, _packed(chunk.known[a:b], occurrences[a:b], several[a:b])) for p, a, b in _cuts(where)])
+        return _table(CODES, [(id_, p, _packed(chunk.known[a:b], strings[a:b], several[a:b])) for p, a, b in _cuts(where)])
     return counted
 
 
 def _anchor_codes(table: pa.Table) -> pa.Table:
-    """For every chunk of a key range: 0 for an anchor of one row, 1 for more, 2 for one of very many occurrences in more."""
+    """For every chunk of a key range: 0 for an anchor of one row, 1 for more, 2 for one of more rows with very many strings."""
     blobs = [_unpacked(b) for b in table["codes"].to_pylist()]
-    keys, occurrences, several = (np.concatenate(x) for x in zip(*blobs))
+    keys, strings, several = (np.concatenate(x) for x in zip(*blobs))
     _, slot = np.unique(keys, return_inverse=True)
     shared = (np.bincount(slot) > 1) | (np.bincount(slot, several) > 0)
-    codes = (shared.astype(np.uint8) + (shared & (np.bincount(slot, occurrences) >= HOT)))[slot]
+    codes = (shared.astype(np.uint8) + (shared & (np.bincount(slot, strings) >= HOT)))[slot]
     at, out = 0, []
     for chunk, part, (own, _, _) in zip(table["chunk"].to_pylist(), table["part"].to_pylist(), blobs, strict=True):
         out.append((chunk, part, codes[at:at + len(own)].tobytes()))
@@ -169,30 +183,34 @@ class Units:
         left = at - begin
         windows = size[hot] - REPEAT + 1
         shift = np.arange(windows.sum()) - np.repeat(np.cumsum(windows) - windows, windows)
-        self.begin = np.r_[begin[~hot], np.repeat(begin[hot], windows) + shift]
-        self.size = np.r_[size[~hot], np.full(len(shift), REPEAT, np.int64)]
-        self.left = np.r_[left[~hot], np.full(len(shift), SPAN)]
+        apart = np.repeat(begin[hot], windows) + shift
+        self.begin, self.size = np.r_[begin[~hot], apart], np.r_[size[~hot], np.full(len(apart), REPEAT, np.int64)]
         self.doc = np.r_[doc[~hot], np.repeat(doc[hot], windows)]
         width = REPEAT + SPAN - 1
-        wide = np.zeros((len(self.begin), width), np.uint8)
         padded = np.r_[chunk.data, np.zeros(width, np.uint8)]
-        for j in range(width):
-            wide[:, j] = padded[self.begin + j]
-        wide[np.arange(width)[None, :] >= self.size[:, None]] = 0
-        own = np.zeros(len(shift), np.uint64)
+        plain, plain_of = _distinct(self._records(key[~hot], left[~hot], size[~hot], _bytes(padded, begin[~hot], size[~hot], width)))
+        # Windows are made distinct by their bytes before they are laid out like the others.
+        single, single_of = _distinct(_bytes(padded, apart, None, REPEAT))
+        raw = single.view(np.uint8).reshape(len(single), REPEAT)
+        own = np.zeros(len(single), np.uint64)
         for j in range(0, REPEAT, 2):
-            own = (own ^ wide[len(self.begin) - len(shift):, j:j + 2].copy().view("<u2")[:, 0]) * MIX_A
+            own = (own ^ raw[:, j:j + 2].copy().view("<u2")[:, 0]) * MIX_A
             own ^= own >> np.uint64(31)
-        self.key = np.r_[key[~hot], own]
-        # Equal units become one: sorted by key, then by place, size and bytes.
-        record = np.concatenate([self.key.byteswap().view(np.uint8).reshape(-1, 8), self.left.astype(np.uint8)[:, None], self.size.astype(np.uint8)[:, None], wide], axis=1)
-        packed = np.ascontiguousarray(record).view(f"V{record.shape[1]}")[:, 0]
-        self.distinct, self.of = np.unique(packed, return_inverse=True)
+        laid = np.zeros((len(single), width), np.uint8)
+        laid[:, :REPEAT] = raw
+        whole = self._records(own, np.full(len(single), SPAN), np.full(len(single), REPEAT), laid)
+        self.distinct, of = _distinct(np.concatenate([plain.view(np.uint8).reshape(len(plain), whole.shape[1]), whole]))
+        self.of = np.r_[of[:len(plain)][plain_of], of[len(plain):][single_of]]
         self.first = np.full(len(self.distinct), LAST)
         np.minimum.at(self.first, self.of, chunk.ids[self.doc])
 
+    @staticmethod
+    def _records(key: np.ndarray, left: np.ndarray, size: np.ndarray, wide: np.ndarray) -> np.ndarray:
+        """Rows that sort by key, then by place, size and bytes."""
+        return np.concatenate([key.byteswap().view(np.uint8).reshape(-1, 8), left.astype(np.uint8)[:, None], size.astype(np.uint8)[:, None], wide], axis=1)
+
     def blobs(self, parts: int) -> Iterator[tuple]:
-        record = self.distinct.view(np.uint8).reshape(len(self.distinct), -1)
+        record = self.distinct.view(np.uint8).reshape(len(self.distinct), self.distinct.dtype.itemsize)
         key = record[:, :8].copy().view(">u8")[:, 0].astype(np.uint64)
         left, size, wide = record[:, 8], record[:, 9], record[:, 10:]
         for p, a, b in _cuts(_part(key, parts)):
@@ -200,6 +218,21 @@ class Units:
             yield p, key[a:b].tobytes(), left[a:b].tobytes(), size[a:b].tobytes(), _squeezed(self.first[a:b]), _squeezed(strings)
 
 
+def _bytes(padded: np.ndarray, begin: np.ndarray, size: np.ndarray | None, width: int) -> np.ndarray:
+    """Rows of ``width`` bytes from each beginning on, 0 beyond a row's size."""
+    wide = np.zeros((len(begin), width), np.uint8)
+    for j in range(width):
+        wide[:, j] = padded[begin + j]
+    if size is not None:
+        wide[np.arange(width)[None, :] >= size[:, None]] = 0
+    return wide
+
+
+def _distinct(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct rows of bytes in order, and for each row its place among them."""
+    return np.unique(np.ascontiguousarray(rows).view(f"V{rows.shape[1]}")[:, 0], return_inverse=True)
+
+
 def _squeezed(values: np.ndarray) -> bytes:
     """Strings and ids shrink to about half; the shuffle's own codec only finds repeats."""
     return pa.compress(values.tobytes(), codec="zstd", asbytes=True)

@@ -95,3 +95,9 @@ def test_counts_travel_whole():
     got = R._unpacked(R._packed(keys, occurrences, several))
     assert all((a == b).all() for a, b in zip(got, (keys, occurrences, several)))
     assert all(len(x) == 0 for x in R._unpacked(R._packed(keys[:0], occurrences[:0], several[:0])))
+
+
+def test_texts_without_anything_in_common(spark):
+    rows = [(i, "".join(chr(97 + (i * 31 + j * j * (i + 3)) % 26) for j in range(200))) for i in range(12)]
+    assert sum(r[1][1] for r in repeats(rows)) == 0
+    assert run(spark, rows) == sorted(repeats(rows))
