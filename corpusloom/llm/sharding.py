@@ -39,7 +39,8 @@ def shard_rows(docs: DataFrame, shards: int, key: str = "doc_id", text: str = "t
     """``(key, size, text_crc32, shard, slot, grown_shard)`` of every row.
 
     Size is the text's UTF-8 bytes plus 16 (null text: 16, checksum 0). ``slot`` numbers a shard's rows from 0
-    in key order; ``grown_shard`` is the shard after one more is appended. Columns beside key and text are not read.
+    in key order; ``grown_shard`` is the shard after one more is appended. Repeated rows have a slot each; of a text only size and
+    checksum count, however long it is; an empty table gives no rows; columns beside key and text are not read.
 
     A shard may hold any share of the rows, so no task numbers a whole shard: rows are cut into key ranges,
     each range is numbered on its own, and counts per (range, shard) give the offsets. Rows that agree in key,

@@ -102,7 +102,7 @@ def judge_urls(pages: DataFrame, rules: dict[str, str], url: str = "url", keep:
 
     ``rules`` maps ``host/path`` to ``allow`` or ``block``. URLs that a rule fits are the labelled ones the trees learn
     from; all others get the trees' verdict, ``block`` from a probability of 0.5. A null URL, or one without ``://``, has
-    empty host and path. Of the table only ``keep`` and the URL are read; its rows are exchanged only where the suffix table
+    empty host and path. Repeated rows are judged each; an empty table gives no rows; URLs of any length are read whole. Of the table only ``keep`` and the URL are read; its rows are exchanged only where the suffix table
     is above Spark's size for broadcasts.
     """
     rows = pages.select(*[F.col(c).alias(f"_keep{i}") for i, c in enumerate(keep)], F.col(url).cast("string").alias("_url"))

@@ -64,8 +64,24 @@ def test_all_documents_are_packed(staged):
 
 
 def test_awkward_rows_pass_every_stage(spark, sf_dir):
-    for docs in (documents(spark), documents(spark, [])):
-        for _, step in C.STAGES:
-            out = step(spark, docs, sf_dir)
-            assert out.count() >= 0
-    assert len(C.drop_near_duplicates(spark, documents(spark), sf_dir).collect()) < len(DOCUMENTS)
+    """Nulls, empty and very long texts, repeated rows, columns of clashing names: what each stage keeps of them."""
+    docs, items = documents(spark), [(r.item_id, r.text) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()]
+
+    def kept(step):
+        out = step(spark, docs, sf_dir)
+        assert tuple(out.columns) == C.COLUMNS
+        return sorted(((r.doc_id, r.text) for r in out.collect()), key=repr)
+    everything = sorted(DOCUMENTS, key=repr)
+    assert kept(C.drop_toxic) == everything
+    numbered = [(n, t) for n, (_, t) in enumerate(DOCUMENTS)]
+    one = kept(C.drop_near_duplicates)
+    assert len(one) == len(set(classes(numbered, judge(spark, numbered)))) and set(one) <= set(DOCUMENTS)
+    cut = kept(C.cut_repeats)
+    left = [(i, t, size - removed) for (i, t), (_, (size, removed, _, _)) in zip(DOCUMENTS, repeats(DOCUMENTS), strict=True) if not removed or size > removed]
+    assert sorted(((i, t) for i, t, n in left if n == len((t or "").encode())), key=repr) == sorted((r for r in cut if r in DOCUMENTS), key=repr)
+    assert {i for i, _ in cut} <= {i for i, _, _ in left}
+    assert kept(C.drop_contaminated) == sorted((r for r, found in zip(DOCUMENTS, contamination(DOCUMENTS, items), strict=True) if not found[2]), key=repr)
+    pieces = C.pack_sequences(spark, docs, sf_dir).collect()
+    assert sorted((r.doc_id for r in pieces if r.piece == 0), key=repr) == sorted((i for i, _ in DOCUMENTS), key=repr)
+    for _, step in C.STAGES:
+        assert step(spark, documents(spark, []), sf_dir).count() == 0

@@ -34,7 +34,7 @@ def check(rows, got):
 def test_rules_on_awkward_urls(spark):
     urls = [None, "", "no scheme.net/", "http://a.NET/x", "http://a.net", "http://net/", "http://anet/", "x://y://z.net/", "http://WWW.Example.com/de/a?b#c", "http://example.com/de",
             "http://q.org/fr/é?x=/", "http://u@h.org:80/fr/", "http:///path", "http://Ä.org/fr/#", "http://a.net?x", "http://a.net#x/", "h" * 20_000, "http://b.example.net/en/1"]
-    rows = list(enumerate(urls))
+    rows = [*enumerate(urls), (3, urls[3]), (17, urls[17])]  # repeated rows
     df = spark.createDataFrame([(i, u, "x", 1.0) for i, u in rows], "page_id bigint, url string, host string, label double")
     check(rows, U.judge_urls(df, RULES).collect())
     assert U.judge_urls(df.limit(0), RULES).count() == 0
