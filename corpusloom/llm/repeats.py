@@ -129,12 +129,14 @@ def _unpacked(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 def _strings(chunk: Chunk) -> np.ndarray:
     """For each distinct anchor the number of distinct strings around it, told apart by a hash of their bytes."""
     begin, end = np.maximum(chunk.bounds[chunk.doc], chunk.at - SPAN + 1), np.minimum(chunk.bounds[chunk.doc + 1], chunk.at + REPEAT)
-    n, odd = len(chunk.data), int(MIX_A)
-    power = np.cumprod(np.full(n + 1, np.uint64(odd)))
-    until = np.concatenate([np.zeros(1, np.uint64), np.cumsum((chunk.data.astype(np.uint64) + np.uint64(1)) * power[:n])])
-    back = np.cumprod(np.full(n + 1, np.uint64(pow(odd, -1, 1 << 64))))
-    around = (until[end] - until[begin]) * back[begin]
-    _, one = np.unique((around ^ (around >> np.uint64(31))) * MIX_B + chunk.hash, return_index=True)
+    room = REPEAT + SPAN + 8
+    eight = np.ndarray((len(chunk.data) + room - 7,), "<u8", np.r_[chunk.data, np.zeros(room, np.uint8)].tobytes(), 0, (1,))
+    kept = np.array([(1 << 8 * n) - 1 for n in range(8)] + [(1 << 64) - 1], np.uint64)
+    around = (end - begin).astype(np.uint64)
+    for j in range(0, REPEAT + SPAN, 8):
+        around = (around ^ (eight[begin + j] & kept[np.clip(end - begin - j, 0, 8)])) * MIX_A
+        around ^= around >> np.uint64(29)
+    _, one = np.unique(around * MIX_B + chunk.hash, return_index=True)
     return np.bincount(chunk.slot[one], minlength=len(chunk.known))
 
 
@@ -270,8 +272,8 @@ def repeated_windows(strings: list[bytes] | np.ndarray, sizes: np.ndarray, first
     inside[starts + sizes] = False
     symbols = np.zeros(total, np.uint16)
     symbols[inside] = flat.astype(np.uint16) + 1
-    owner = np.repeat(np.arange(len(sizes)), sizes + 1)
-    place = np.arange(total) - starts[owner]
+    owner = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes + 1)
+    place = (np.arange(total) - np.repeat(starts, sizes + 1)).astype(np.int32)
     order = suffix_array(symbols)
     shared = permuted_lcp(np.where(inside, symbols - 1, 0).astype(np.uint8), order, REPEAT)
     whole = place + REPEAT <= sizes[owner]  # suffixes that hold a window of their own string
@@ -382,7 +384,7 @@ def remove_repeats(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), decoded
     moves is proportional to the text; a task holds one chunk or one shard, both of bounded size.
     """
     total = text_bytes(docs)
-    chunks, parts = parts_for(total, CHUNK_BYTES), parts_for(total, CHUNK_BYTES)
+    chunks, parts = parts_for(total, CHUNK_BYTES), parts_for(total, CHUNK_BYTES // 2)  # a sorted byte takes more room than a read one
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"), F.struct(*keep).alias("row"))
     # Rows equal in id and text are dealt to several chunks too; within one their order does not matter.
     deal = F.xxhash64("digest", F.monotonically_increasing_id() % DEALT)

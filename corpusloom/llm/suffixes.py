@@ -8,13 +8,18 @@ import numpy as np
 WIDE = 4096
 
 
+def _index(n: int) -> type:
+    """Type of positions; half the room where it is enough."""
+    return np.int32 if n < 1 << 30 else np.int64
+
+
 def _later_types(s: np.ndarray) -> np.ndarray:
     """True where a suffix is smaller than its right neighbour; ``s`` ends with its unique least symbol."""
     n = len(s)
     step = np.zeros(n, np.int8)
-    step[:-1] = np.sign(s[1:].astype(np.int64) - s[:-1])
+    step[:-1] = (s[1:] > s[:-1]).astype(np.int8) - (s[1:] < s[:-1])
     step[-1] = 1
-    at = np.where(step != 0, np.arange(n), n)
+    at = np.where(step != 0, np.arange(n, dtype=_index(n)), _index(n)(n))
     decides = np.minimum.accumulate(at[::-1])[::-1]  # equal symbols take the type of what ends their run
     return step[decides] > 0
 
@@ -25,7 +30,7 @@ def _induce(s: np.ndarray, small: np.ndarray, seeds: np.ndarray, sigma: int) ->
     counts = np.bincount(s, minlength=sigma)
     ends = np.cumsum(counts)
     heads, tails = ends - counts, ends.copy()
-    order = np.full(n, -1, np.int64)
+    order = np.full(n, -1, _index(n))
     symbol = s[seeds]
     seeds = seeds[np.argsort(symbol, kind="stable")]
     cut = np.r_[0, np.cumsum(np.bincount(symbol, minlength=sigma))]
@@ -152,14 +157,14 @@ def permuted_lcp(data: np.ndarray, order: np.ndarray, most: int) -> np.ndarray:
     those that still agree going on.
     """
     n = len(data)
-    before = np.full(n, -1, np.int64)
+    before = np.full(n, -1, _index(n))
     before[order[1:]] = order[:-1]
     room = -(-most // 8) * 8 + 8
     padded = np.zeros(n + room, np.uint8)
     padded[:n] = data
     eight = np.ndarray((n + room - 7,), "<u8", padded.tobytes(), 0, (1,))
-    out = np.zeros(n, np.int64)
-    live = np.flatnonzero(before >= 0)
+    out = np.zeros(n, np.int16)
+    live = np.flatnonzero(before >= 0).astype(_index(n))
     for depth in range(0, most, 8):
         differ = eight[live + depth] ^ eight[before[live] + depth]
         low = differ & (~differ + np.uint64(1))
@@ -168,5 +173,5 @@ def permuted_lcp(data: np.ndarray, order: np.ndarray, most: int) -> np.ndarray:
         live = live[differ == 0]
         if not len(live):
             break
-    left = n - np.maximum(np.arange(n), before)
+    left = n - np.maximum(np.arange(n, dtype=_index(n)), before)
     return np.minimum(np.minimum(out, left), most) * (before >= 0)
