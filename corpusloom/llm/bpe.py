@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .chunks import ChunkTable, PlainChunks, gather, slices
+from .common import tidy
 from .packing import Merges
 
 #: Words of up to so many bytes are worked on many at once.
@@ -342,7 +343,7 @@ def encode_documents(docs: DataFrame, path: str, keep: tuple[str, ...] = ("doc_i
     """
     rows = docs.select(F.struct(*keep).alias("row"), F.col(text).cast("string").alias("text"))
     schema = f"row {rows.schema['row'].dataType.simpleString()}, ids array<int>" + ", decoded string" * decoded
-    found = rows.mapInArrow(_encoder(path, Vocabulary(path), ["row"], decoded), schema)
+    found = rows.mapInArrow(tidy(_encoder(path, Vocabulary(path), ["row"], decoded)), schema)
     return found.select(*[F.col("row")[c].alias(c) for c in keep], *found.columns[1:])
 
 

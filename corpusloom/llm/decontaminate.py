@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from corpusloom.session import stage
 
-from .common import parts_for
+from .common import parts_for, tidy
 from .words import LOWER, UPPER, WORD, Lookup, of_strings, slices
 
 WINDOW, SHINGLE = 10, 5
@@ -109,13 +109,13 @@ def _one_pass(texts: DataFrame, windows: list[tuple[list[str], list[str]]]) -> D
     window's shingles must occur, its rarest one is the whole necessary prefix."""
     shingles = shingles_of([w for w, _ in windows])
     by_width = {w: np.unique(np.concatenate([h for x, h in shingles if x == w])) for w in {x for x, _ in shingles}}
-    counted = (texts.mapInArrow(_counter(by_width), "width int, hash bigint, n bigint").groupBy("width", "hash").agg(F.sum("n").alias("n")))
+    counted = (texts.mapInArrow(tidy(_counter(by_width)), "width int, hash bigint, n bigint").groupBy("width", "hash").agg(F.sum("n").alias("n")))
     often = {(r["width"], r["hash"]): r["n"] for r in counted.collect()}  # at most the shingles of one pass
     prefix = []
     for width, hashes in shingles:
         rarest = min(range(len(hashes)), key=lambda i: (often.get((width, int(hashes[i].view(np.int64))), 0), int(hashes[i])))
         prefix.append((width, int(hashes[rarest]), rarest))
-    return texts.mapInArrow(_joiner(windows, prefix), _hit_schema(texts))
+    return texts.mapInArrow(tidy(_joiner(windows, prefix)), _hit_schema(texts))
 
 
 def _hit_schema(texts: DataFrame) -> T.StructType:

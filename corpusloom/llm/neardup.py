@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.session import stage
 
+from .common import tidy
 from .components import components
 from .words import MIX, STEP, Lookup, Words, of_strings, slices
 
@@ -158,14 +159,14 @@ def fit_weights(texts: DataFrame, common: float = COMMON) -> Weights:
     empty = Weights(np.zeros(0, np.uint64), np.zeros(0, np.int64), total, least)
     per_text = (size[1] or 0) / 6 / max(1, total)  # about six bytes a word
     bits = min(26, max(14, int(np.ceil(np.log2(max(1.0, 8 * per_text / common))))))
-    parts = texts.mapInArrow(_histogram(bits), "part int, counts binary").repartition("part")
-    rows = parts.mapInArrow(_summed(bits, least), "part int, high binary").collect()  # a bit for each cell
+    parts = texts.mapInArrow(tidy(_histogram(bits)), "part int, counts binary").repartition("part")
+    rows = parts.mapInArrow(tidy(_summed(bits, least)), "part int, high binary").collect()  # a bit for each cell
     if not rows:
         return empty
     high = np.zeros((2 * SLICES, (1 << bits) // SLICES), bool)
     for r in rows:
         high[r["part"]] = np.unpackbits(np.frombuffer(r["high"], np.uint8)).astype(bool)
-    exact = texts.mapInArrow(_counter(high.reshape(2, -1), bits), "hash bigint, n bigint").groupBy("hash").agg(F.sum("n").alias("n"))
+    exact = texts.mapInArrow(tidy(_counter(high.reshape(2, -1), bits)), "hash bigint, n bigint").groupBy("hash").agg(F.sum("n").alias("n"))
     table = exact.filter(F.col("n") >= least).toArrow()
     return Weights(table["hash"].to_numpy().view(np.uint64), table["n"].to_numpy(), total, least) if table.num_rows else empty
 
@@ -380,10 +381,10 @@ def unsettled_links(members: DataFrame, texts: DataFrame, weights: Weights, thre
              .select(part, F.lit(1).alias("side"), "node", "label", "signature"))
     fields = "part bigint, side int, node string, label string, signature binary"
     dealt = left.unionByName(right).repartition("part").sortWithinPartitions("part", "side", "node")
-    hopeful = stage(dealt.mapInArrow(_by_part(_hopeful), fields), "hopeful")
+    hopeful = stage(dealt.mapInArrow(tidy(_by_part(_hopeful)), fields), "hopeful")
     with_texts = hopeful.join(texts, "node").select("part", "side", "node", "label", "signature", "text")
     met = with_texts.repartition("part").sortWithinPartitions("part", "side", "node")
-    return met.mapInArrow(_by_part(_linker(weights, threshold)), "a string, b string").distinct()
+    return met.mapInArrow(tidy(_by_part(_linker(weights, threshold))), "a string, b string").distinct()
 
 
 def _id() -> Column:
@@ -407,7 +408,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """
     rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
     weights = fit_weights(rows.select("text"))
-    signed = stage(rows.withColumn("node", F.md5("text")).mapInArrow(_signer(weights), "node string, doc_id bigint, signature binary, bands array<bigint>"), "signatures")
+    signed = stage(rows.withColumn("node", F.md5("text")).mapInArrow(tidy(_signer(weights)), "node string, doc_id bigint, signature binary, bands array<bigint>"), "signatures")
     nodes = stage(signed.groupBy("node").agg(F.count("*").alias("copies"), F.min(_id()).alias("one"), F.first("signature").alias("signature"), F.first("bands").alias("bands")), "nodes")
     spread = nodes.select("node", F.explode("bands").alias("bucket"))
     sizes = spread.groupBy("bucket").agg(F.count("*").alias("size")).filter(F.col("size") > 1)
@@ -428,7 +429,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     def verified(likely: DataFrame) -> DataFrame:
         with_texts = (likely.join(texts.toDF("a", "left"), "a").join(texts.toDF("b", "right"), "b").select("a", "b", "left", "right"))
-        return with_texts.mapInArrow(_verifier(weights, threshold), "a string, b string")
+        return with_texts.mapInArrow(tidy(_verifier(weights, threshold)), "a string, b string")
 
     links = stage(verified(likely), "links")
     labels = components(links)

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from corpusloom.session import stage
 
 from .chunks import ChunkTable, PlainChunks, slices
+from .common import tidy
 
 #: Capacities of a sequence: tokens, pieces, attention cost (sum of squared piece lengths).
 TOKENS = 4096
@@ -150,7 +151,7 @@ def _cutter(path: str, tokens: int, end_id: int, special_as_text: bool) -> Calla
 def pieces_of(docs: DataFrame, tokenizer: str, tokens: int = TOKENS, end_id: int = END_ID, special_as_text: bool = False) -> DataFrame:
     """Stage the pieces of all documents; ids themselves are not kept, they can be had again from text and start."""
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return stage(rows.mapInArrow(_cutter(tokenizer, tokens, end_id, special_as_text), PIECE_SCHEMA), "pieces")
+    return stage(rows.mapInArrow(tidy(_cutter(tokenizer, tokens, end_id, special_as_text)), PIECE_SCHEMA), "pieces")
 
 
 def best_fit(histogram: dict[int, int], tokens: int = TOKENS, pieces: int = PIECES, attention: int = ATTENTION,

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import parts_for, text_bytes
+from .common import parts_for, text_bytes, tidy_pair, tidy_table
 from .suffixes import permuted_lcp, suffix_array
 
 #: Shortest repeat, and the length of the anchors that lead equal repeats to one shard.
@@ -390,11 +390,11 @@ def remove_repeats(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), decoded
     deal = F.xxhash64("digest", F.monotonically_increasing_id() % DEALT)
     rows = rows.withColumn("digest", F.xxhash64("doc_id", "text")).withColumn("chunk", F.pmod(deal, F.lit(chunks)).cast("bigint"))
     texts = rows.select("chunk", "doc_id", "digest", "text", "row")
-    codes = (texts.groupBy("chunk").applyInArrow(_anchor_counts(parts), CODES).groupBy("part").applyInArrow(_anchor_codes, CODES))
-    units = texts.groupBy("chunk").cogroup(codes.groupBy("chunk")).applyInArrow(_unit_rows(parts), UNITS)
-    answers = units.groupBy("part").applyInArrow(_shard, ANSWERS)
+    codes = (texts.groupBy("chunk").applyInArrow(tidy_table(_anchor_counts(parts)), CODES).groupBy("part").applyInArrow(tidy_table(_anchor_codes), CODES))
+    units = texts.groupBy("chunk").cogroup(codes.groupBy("chunk")).applyInArrow(tidy_pair(_unit_rows(parts)), UNITS)
+    answers = units.groupBy("part").applyInArrow(tidy_table(_shard), ANSWERS)
     both = (codes.select("chunk", "part", "codes", F.lit(None).cast("binary").alias("firsts"), F.lit(None).cast("binary").alias("masks"))
             .unionByName(answers.select("chunk", "part", F.lit(None).cast("binary").alias("codes"), "firsts", "masks")))
     kept = f"row {rows.schema['row'].dataType.simpleString()}, n_bytes bigint, spans array<struct<start:bigint,length:bigint>>, kept {'string' if decoded else 'binary'}"
-    cut = texts.groupBy("chunk").cogroup(both.groupBy("chunk")).applyInArrow(_remover(decoded), kept)
+    cut = texts.groupBy("chunk").cogroup(both.groupBy("chunk")).applyInArrow(tidy_pair(_remover(decoded)), kept)
     return cut.select(*[F.col("row")[c].alias(c) for c in keep], "n_bytes", "spans", "kept")

@@ -16,6 +16,8 @@ from pyspark.sql import types as T
 
 from corpusloom.session import stage
 
+from .common import tidy
+
 #: Bound of the training sample, in labelled documents.
 TRAIN_ROWS = 20_000
 #: A learned cue begins at least this many (document, word) pairs of label 1, and is this much likelier there.
@@ -309,13 +311,13 @@ def score_documents(docs: DataFrame, labels: DataFrame, keep: tuple[str, ...] =
     sample = training_sample(docs, labels)
     lexicon = learn_lexicon(sample)
     fields = ", ".join(f"{f} double" for f in FEATURES)
-    known = sample.mapInArrow(_features(lexicon, ["toxic"]), f"toxic {sample.schema['toxic'].dataType.simpleString()}, {fields}").toArrow()
+    known = sample.mapInArrow(tidy(_features(lexicon, ["toxic"])), f"toxic {sample.schema['toxic'].dataType.simpleString()}, {fields}").toArrow()
     matrix = np.column_stack([known[f].to_numpy() for f in FEATURES]).reshape(-1, len(FEATURES))
     weights = calibrate(matrix, known["toxic"].to_numpy().astype(np.float64))
     # A text that is kept anyway travels once.
     text = [] if "text" in keep and docs.schema["text"].dataType == T.StringType() else [F.col("text").cast("string").alias("text")]
     rows = docs.select(F.struct(*keep).alias("row"), *text, held_out(F.col("doc_id")).alias("held_out"))
-    scored = rows.mapInArrow(_features(lexicon, ["row", "held_out"]), f"row {rows.schema['row'].dataType.simpleString()}, held_out boolean, {fields}")
+    scored = rows.mapInArrow(tidy(_features(lexicon, ["row", "held_out"])), f"row {rows.schema['row'].dataType.simpleString()}, held_out boolean, {fields}")
     total = sum((F.col(f) * float(w) for f, w in zip(FEATURES, weights[1:], strict=True)), F.lit(float(weights[0])))
     score = 1 / (1 + F.exp(-F.greatest(F.least(total, F.lit(30.0)), F.lit(-30.0))))
     return (scored.withColumn("score", score).withColumn("predicted", F.when(F.col("score") >= 0.5, 1).otherwise(0))
