@@ -55,7 +55,7 @@ def test_an_empty_table_has_no_rows(spark, tmp_path):
     assert queries.scan(spark, orders(spark, tmp_path, 0), "orders").count() == 0
 
 
-@pytest.mark.parametrize("name", ["head_meta", "table_cells"])
+@pytest.mark.parametrize("name", ["head_meta", "table_cells", "page_dates"])
 def test_queries_over_orders_parse_in_bounded_tasks(spark, tmp_path, small_tasks, name):
     read = queries.QUERIES[name](spark, orders(spark, tmp_path, 20_000))
     assert read.rdd.getNumPartitions() >= 200
