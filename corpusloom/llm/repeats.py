@@ -15,6 +15,8 @@ from .suffixes import permuted_lcp, suffix_array
 #: Shortest repeat, and the length of the anchors that lead equal repeats to one shard.
 REPEAT, ANCHOR = 50, 16
 SPAN = REPEAT - ANCHOR + 1
+#: A window has this many bytes at least before its anchor, or after it.
+SIDE = (REPEAT - ANCHOR + 1) // 2
 CHUNK_BYTES = 4 << 20
 #: Distinct strings around an anchor from which they are dealt to shards window by window; copies of one string are one.
 HOT = 20_000
@@ -50,7 +52,7 @@ def anchors(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
     A window's anchors depend on its bytes alone, so equal windows have equal anchors at equal places.
     """
-    n, block = len(data), 1 << 18
+    n, block = len(data), 1 << 16  # what a block needs stays near the processor
     if n < REPEAT:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
     padded = np.zeros(n + 2 * REPEAT, np.uint8)
@@ -128,7 +130,9 @@ def _unpacked(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def _strings(chunk: Chunk) -> np.ndarray:
     """For each distinct anchor the number of distinct strings around it, told apart by a hash of their bytes."""
-    begin, end = np.maximum(chunk.bounds[chunk.doc], chunk.at - SPAN + 1), np.minimum(chunk.bounds[chunk.doc + 1], chunk.at + REPEAT)
+    often = np.flatnonzero(np.bincount(chunk.slot, minlength=len(chunk.known))[chunk.slot] > 1)  # an anchor found once has one
+    at, doc = chunk.at[often], chunk.doc[often]
+    begin, end = np.maximum(chunk.bounds[doc], at - SPAN + 1), np.minimum(chunk.bounds[doc + 1], at + REPEAT)
     room = REPEAT + SPAN + 8
     eight = np.ndarray((len(chunk.data) + room - 7,), "<u8", np.r_[chunk.data, np.zeros(room, np.uint8)].tobytes(), 0, (1,))
     kept = np.array([(1 << 8 * n) - 1 for n in range(8)] + [(1 << 64) - 1], np.uint64)
@@ -136,16 +140,19 @@ def _strings(chunk: Chunk) -> np.ndarray:
     for j in range(0, REPEAT + SPAN, 8):
         around = (around ^ (eight[begin + j] & kept[np.clip(end - begin - j, 0, 8)])) * MIX_A
         around ^= around >> np.uint64(29)
-    _, one = np.unique(around * MIX_B + chunk.hash, return_index=True)
-    return np.bincount(chunk.slot[one], minlength=len(chunk.known))
+    _, one = np.unique(around * MIX_B + chunk.hash[often], return_index=True)
+    return np.maximum(np.bincount(chunk.slot[often[one]], minlength=len(chunk.known)), 1)
 
 
 def _anchor_counts(parts: int) -> Callable:
     def counted(table: pa.Table) -> pa.Table:
         """A chunk's distinct anchors by key range, with their distinct strings, and whether more than one of its rows holds them."""
         chunk = Chunk(table)
-        pairs = np.unique(chunk.slot * np.int64(len(chunk.ids)) + chunk.doc) // len(chunk.ids)
-        several = np.bincount(pairs, minlength=len(chunk.known)) > 1
+        # Anchors come row by row: of equal ones, the first and the last tell whether there are more rows than one.
+        first, last = np.zeros(len(chunk.known), np.int64), np.zeros(len(chunk.known), np.int64)
+        first[chunk.slot[::-1]] = chunk.doc[::-1]
+        last[chunk.slot] = chunk.doc
+        several = first != last
         strings = _strings(chunk)
         where, id_ = _part(chunk.known, parts), table["chunk"][0].as_py()
         return _table(CODES, [(id_, p, _packed(chunk.known[a:b], strings[a:b], several[a:b])) for p, a, b in _cuts(where)])
@@ -222,9 +229,8 @@ class Units:
 
 def _bytes(padded: np.ndarray, begin: np.ndarray, size: np.ndarray | None, width: int) -> np.ndarray:
     """Rows of ``width`` bytes from each beginning on, 0 beyond a row's size."""
-    wide = np.zeros((len(begin), width), np.uint8)
-    for j in range(width):
-        wide[:, j] = padded[begin + j]
+    rows = np.ndarray((len(padded) - width + 1,), f"V{width}", padded, 0, (1,))
+    wide = rows[begin].view(np.uint8).reshape(len(begin), width)
     if size is not None:
         wide[np.arange(width)[None, :] >= size[:, None]] = 0
     return wide
@@ -290,6 +296,30 @@ def repeated_windows(strings: list[bytes] | np.ndarray, sizes: np.ndarray, first
     return masks
 
 
+def _may_share(keys: np.ndarray, lefts: np.ndarray, sizes: np.ndarray, wide: np.ndarray) -> np.ndarray:
+    """Whether another string of the key agrees on the ``SIDE`` bytes before the anchor, or on those after it.
+
+    Two equal windows hold their anchor at one place and at least ``SIDE`` bytes on one side of it, so strings that agree with no
+    other on either side share none. Sides are told apart by a hash: an equal one only costs a string that is sorted for nothing.
+    """
+    lefts, found = lefts.astype(np.int64), np.zeros(len(keys), bool)
+    flat = np.r_[wide.ravel(), np.zeros(8, np.uint8)]
+    eight = np.ndarray((len(flat) - 7,), "<u8", flat.data, 0, (1,))
+    for begin in (lefts - SIDE, lefts + ANCHOR):
+        held = np.flatnonzero((begin >= 0) & (begin + SIDE <= sizes))
+        at, side = held * wide.shape[1] + begin[held], keys[held].astype(np.uint64)
+        for j in [*range(0, SIDE - 8, 8), SIDE - 8]:
+            side = (side ^ eight[at + j]) * MIX_A
+            side ^= side >> np.uint64(29)
+        order = np.argsort(side)
+        equal = np.diff(side[order]) == 0
+        twin = np.zeros(len(held), bool)
+        twin[1:] |= equal
+        twin[:-1] |= equal
+        found[held[order[twin]]] = True
+    return found
+
+
 def _shard(table: pa.Table) -> pa.Table:
     """A shard's answer to each chunk: least document of every unit, and its windows that a smaller document has."""
     def joined(name: str, kind: str) -> np.ndarray:
@@ -308,11 +338,8 @@ def _shard(table: pa.Table) -> pa.Table:
     _, one, of = np.unique(np.ascontiguousarray(record).view(f"V{record.shape[1]}")[:, 0], return_index=True, return_inverse=True)
     first = np.full(len(one), LAST)
     np.minimum.at(first, of, firsts)
-    # A key of one string needs no sorting: the string's least document is that of all its windows.
-    key = keys[one]
-    edge = np.r_[True, key[1:] != key[:-1]]
-    group = np.cumsum(edge) - 1
-    several = np.bincount(group, minlength=1)[group] > 1 if len(group) else np.zeros(0, bool)
+    # A string that no other can share a window with needs no sorting: its least document is that of all its windows.
+    several = _may_share(keys[one], lefts[one], sizes[one], wide[one])
     masks = np.zeros(len(one), np.uint64)
     if several.any():
         held = one[several]

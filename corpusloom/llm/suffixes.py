@@ -108,7 +108,7 @@ def _doubled(s: np.ndarray) -> np.ndarray:
     while True:
         key = rank * np.int64(n + 1)
         key[:n - width] += rank[width:] + 1
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         ranked = np.r_[0, np.cumsum(key[order[1:]] != key[order[:-1]])]
         rank = np.empty(n, np.int64)
         rank[order] = ranked

@@ -101,3 +101,51 @@ def test_texts_without_anything_in_common(spark):
     rows = [(i, "".join(chr(97 + (i * 31 + j * j * (i + 3)) % 26) for j in range(200))) for i in range(12)]
     assert sum(r[1][1] for r in repeats(rows)) == 0
     assert run(spark, rows) == sorted(repeats(rows))
+
+
+def units_of(texts):
+    """The one shard's input, with the anchors of all texts taken for shared ones."""
+    n = len(texts)
+    rows = R.pa.table({"chunk": R.pa.array([0] * n, R.pa.int64()), "doc_id": R.pa.array(range(n), R.pa.int64()),
+                       "digest": R.pa.array(range(n), R.pa.int64()), "text": texts})
+    chunk = R.Chunk(rows)
+    units = R.Units(chunk, np.ones(len(chunk.known), np.uint8))
+    return units, R._table(R.UNITS, [(p, 0, *blobs) for p, *blobs in units.blobs(1)])
+
+
+def test_strings_that_share_no_window_are_not_sorted(monkeypatch):
+    rng, sorted_strings = random.Random(5), []
+
+    def watched(strings, sizes, firsts):
+        sorted_strings.append(len(sizes))
+        return original(strings, sizes, firsts)
+    original = R.repeated_windows
+    monkeypatch.setattr(R, "repeated_windows", watched)
+
+    def noise(n):
+        return "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n))
+    passage, short = noise(50), noise(30)
+    units, table = units_of([noise(90) + short + noise(90) for _ in range(200)])
+    key = units.distinct.view(np.uint8).reshape(len(units.distinct), -1)[:, :8].copy().view(">u8")[:, 0]
+    assert np.unique(key, return_counts=True)[1].max() > 50  # many strings around one anchor
+    answers = R._shard(table)
+    assert not any(np.frombuffer(b"".join(answers["masks"].to_pylist()), "<u8"))
+    assert sum(sorted_strings) < 20
+    masks = np.frombuffer(b"".join(R._shard(units_of([noise(90) + passage + noise(90) for _ in range(20)])[1])["masks"].to_pylist()), "<u8")
+    assert np.count_nonzero(masks) >= 19
+
+
+def test_single_windows_around_anchors_at_every_place(spark):
+    rng, rows, places = random.Random(6), [], set()
+
+    def noise(n):
+        return "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n))
+    for i in range(150):
+        window = noise(50)
+        places |= set(R.anchors(np.frombuffer(window.encode(), np.uint8), np.array([0, 50]))[0].tolist())
+        before, after = (0, 40) if i % 5 == 0 else (40, 0) if i % 5 == 1 else (40, 40)
+        rows += [(2 * i, noise(before) + "A" * (before > 0) + window + "B" * (after > 0) + noise(after)),
+                 (2 * i + 1, noise(before) + "C" * (before > 0) + window + "D" * (after > 0) + noise(after))]
+    assert places == set(range(R.SPAN))
+    want = sorted(repeats(rows))
+    assert sum(w[1][1] for w in want) >= 150 * 50 and run(spark, rows) == want
