@@ -49,6 +49,18 @@ def gather(values: np.ndarray, firsts: np.ndarray, sizes: np.ndarray) -> np.ndar
     return values[np.repeat(firsts - (np.cumsum(sizes) - sizes), sizes) + np.arange(total)]
 
 
+def _roomy(values: np.ndarray, used: int, needed: int) -> np.ndarray:
+    """``values`` or, if they are fewer than ``needed``, a copy of those used in an array twice as long or more, the rest of which is not touched yet."""
+    room = len(values)
+    if room >= needed:
+        return values
+    while room < needed:
+        room *= 2
+    out = np.zeros((room, *values.shape[1:]), values.dtype)
+    out[:used] = values[:used]
+    return out
+
+
 class ChunkTable:
     """Ids of whole texts from ``learn``, which gives those of a list of chunks (all ids end to end, and each chunk's number);
     ``learn_words``, if given, does the same for chunks of up to ``LONGEST`` bytes as rows of machine words, and their sizes.
@@ -105,10 +117,8 @@ class ChunkTable:
     def _keep(self, ids: np.ndarray, numbers: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         """Numbers of chunks newly learnt."""
         codes = np.arange(self.count, self.count + len(sizes))
-        while len(self.size) < self.count + len(sizes):
-            self.size, self.first, self.number, self.spelt = (np.concatenate([x, np.zeros_like(x)]) for x in (self.size, self.first, self.number, self.spelt))
-        while len(self.ids) < self.filled + len(ids):
-            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+        self.size, self.first, self.number, self.spelt = (_roomy(x, self.count, self.count + len(sizes)) for x in (self.size, self.first, self.number, self.spelt))
+        self.ids = _roomy(self.ids, self.filled, self.filled + len(ids))
         self.ids[self.filled:self.filled + len(ids)] = ids
         self.size[codes] = sizes
         self.number[codes], self.first[codes] = numbers, self.filled + np.cumsum(numbers) - numbers

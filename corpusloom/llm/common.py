@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import gc
 import math
 from collections.abc import Callable, Iterable, Iterator
 
@@ -54,11 +55,12 @@ def give_back() -> None:
 
 
 def tidy(work: Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable:
-    """``work`` on the batches of a task, giving its memory back at the end."""
+    """``work`` on the batches of a task, giving its memory back at the end, that of objects which refer to each other too."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         try:
             yield from work(batches)
         finally:
+            gc.collect()  # else they stay beside those of the next task
             give_back()
     return run
 

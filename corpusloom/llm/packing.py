@@ -26,7 +26,7 @@ WEIGHTS = (1.0, 0.05, 0.05)
 END_ID = 1
 #: The table of words is emptied when it holds this many.
 WORDS_KEPT = 600_000
-TEXT_BATCH = 2 << 20
+TEXT_BATCH = 1 << 20
 
 PIECE_SCHEMA = "task int, doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, nth bigint"
 
@@ -114,6 +114,8 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = special_as_text
+        # The table below asks for a chunk once; the tokenizer's own cache would help none and outlive it, one more with every task.
+        getattr(self.tokenizer.model, "_resize_cache", lambda size: None)(0)
         plain = PlainChunks(Merges(json.loads(self.tokenizer.to_str())["model"]).encode, self._others)
         self.table = ChunkTable(self._others, plain.learn_words, WORDS_KEPT)
 
